@@ -37,7 +37,7 @@ def register(name: str, sql: str | None = None, bench: bool = False):
 
 def entries() -> dict[str, Entry]:
     # Importing the modules registers their queries.
-    from marketlens.plans import queries_bars, queries_ops  # noqa: F401
+    from marketlens.plans import queries_bars, queries_ingest, queries_ops  # noqa: F401
     return dict(_REGISTRY)
 
 

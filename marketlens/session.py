@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,3 +58,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint to the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the session's (shared) checkpoint folder for
+    intermediate files a job writes and reads back."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"

@@ -55,17 +55,28 @@ def write_json_row(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_landing(df: DataFrame, path: str, snapshot_col: str = "download_timestamp",
-                  exchange: str | None = None) -> None:
-    """Raw snapshot layout ``{path}/exchange=X/snapshot_date=YYYYMMDD``
-    as headered CSV.  Only the touched partitions are replaced
-    (dynamic partition overwrite), empty inputs write nothing, and
-    ``exchange`` limits the publish to one exchange."""
+def write_landing(df: DataFrame, path: str, columns=None,
+                  snapshot_col: str = "download_timestamp", exchange: str | None = None,
+                  mode: str = "overwrite") -> None:
+    """Raw snapshot layout
+    ``{path}/landing_exchange=X/snapshot_date=YYYYMMDD/part-*.csv``.
+
+    Files keep every raw column in ``columns`` order (the partition columns
+    are copies), timestamps as ``yyyy-MM-dd HH:mm:ss.SSSSSS``.  Only the
+    touched partitions are replaced (dynamic partition overwrite), empty
+    inputs write nothing, and ``exchange`` limits the publish to one
+    exchange.  Rows are clustered by partition first so each task writes
+    few directories."""
     d = df if exchange is None else df.filter(F.col("exchange") == exchange)
-    d = d.withColumn("snapshot_date", F.date_format(F.col(snapshot_col), "yyyyMMdd"))
-    (d.repartition("exchange", "snapshot_date")
-     .write.mode("overwrite")
+    cols = list(columns or d.columns)
+    stamp = F.col(snapshot_col)
+    body = [F.date_format(stamp, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c) if c == snapshot_col
+            else F.col(c) for c in cols]
+    d = d.select(*body, F.col("exchange").alias("landing_exchange"),
+                 F.date_format(stamp, "yyyyMMdd").alias("snapshot_date"))
+    (d.repartition("landing_exchange", "snapshot_date")
+     .write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .option("header", True)
-     .partitionBy("exchange", "snapshot_date")
+     .partitionBy("landing_exchange", "snapshot_date")
      .csv(path))
