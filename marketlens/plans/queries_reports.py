@@ -121,3 +121,87 @@ def j9_exchanges_without_data(spark, sf):
     rep = collection.report(attempts(spark, sf, days=0))
     ex = T.read_table(spark, sf, "nation").select(T.exchange_of(F.col("n_nationkey")).alias("exchange"))
     return collection.without_data(rep, ex)
+
+
+# --------------------------------------------------------------------------
+# Step 8: analysis pipeline (Q2), insights report (Q3, P26), results
+# --------------------------------------------------------------------------
+
+from marketlens.operators import insights  # noqa: E402
+from marketlens.plans.queries_bars import (  # noqa: E402
+    anomalies_sql, indicators_sql, processed, processed_sql, signals_sql,
+)
+
+ANALYSIS_CTES = (T.BARS_SQL, processed_sql(), indicators_sql("processed"),
+                 anomalies_sql("ind"), signals_sql("flagged"))
+
+
+def analysed(spark, sf):
+    return insights.analysis(processed(spark, sf))
+
+
+@register("q2_analysis_pipeline", with_cte(*ANALYSIS_CTES) + "SELECT * FROM sig", bench=True)
+def q2_analysis_pipeline(spark, sf):
+    return analysed(spark, sf)
+
+
+INSIGHTS_FLAT_SQL = with_cte(*ANALYSIS_CTES) + """
+, today AS (SELECT * FROM sig WHERE date = (SELECT max(date) FROM sig)),
+g AS (SELECT symbol, exchange, daily_return, close AS price, volume FROM today
+      WHERE daily_return > 0 ORDER BY daily_return DESC, exchange, symbol LIMIT 10),
+v AS (SELECT symbol, exchange, volume, close AS price FROM today
+      ORDER BY volume DESC NULLS LAST, exchange, symbol LIMIT 10),
+a AS (SELECT DISTINCT symbol, exchange, date, anomaly_score FROM sig WHERE has_anomaly
+      ORDER BY anomaly_score DESC, date DESC, exchange, symbol LIMIT 20)
+SELECT 'top_gainers' AS section,
+       CAST(row_number() OVER (ORDER BY daily_return DESC, exchange, symbol) AS INTEGER) AS rank,
+       symbol, exchange, daily_return, price, volume, CAST(NULL AS DATE) AS date,
+       CAST(NULL AS INTEGER) AS anomaly_score, CAST(NULL AS VARCHAR) AS signal,
+       CAST(NULL AS BIGINT) AS n_rows FROM g
+UNION ALL
+SELECT 'top_volume', CAST(row_number() OVER (ORDER BY volume DESC NULLS LAST, exchange, symbol) AS INTEGER),
+       symbol, exchange, NULL, price, volume, NULL, NULL, NULL, NULL FROM v
+UNION ALL
+SELECT 'anomaly_stocks',
+       CAST(row_number() OVER (ORDER BY anomaly_score DESC, date DESC, exchange, symbol) AS INTEGER),
+       symbol, exchange, NULL, NULL, NULL, date, anomaly_score, NULL, NULL FROM a
+UNION ALL
+SELECT 'trading_signals', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, combined_signal, count(*)
+FROM sig GROUP BY combined_signal
+UNION ALL
+SELECT 'latest_date', NULL, NULL, NULL, NULL, NULL, NULL, max(date), NULL, NULL, NULL FROM sig"""
+
+
+@register("q3_insights_flat", INSIGHTS_FLAT_SQL)
+def q3_insights_flat(spark, sf):
+    return insights.flatten(insights.report(analysed(spark, sf)))
+
+
+@register("q3_insights_json")
+def q3_insights_json(spark, sf):
+    """The one-row JSON report (rows-only; its content is checked
+    flattened by q3_insights_flat)."""
+    return insights.report_json(insights.report(analysed(spark, sf)))
+
+
+RESULTS_SQL = """
+res AS (
+  SELECT symbol, exchange, 'technical_analysis' AS analysis_type,
+         arg_max(rsi, date) AS rsi, arg_max(macd, date) AS macd, arg_max(ma_50, date) AS sma_50,
+         arg_max(combined_signal, date) AS signal, max(date) AS generated_at
+  FROM sig GROUP BY symbol, exchange)"""
+
+
+@register("p27_result_fields", with_cte(*ANALYSIS_CTES, RESULTS_SQL) + """
+SELECT symbol, exchange, analysis_type, generated_at, rsi, macd, sma_50,
+       CAST(NULL AS DOUBLE) AS sma_200, CAST(NULL AS DOUBLE) AS support,
+       CAST(NULL AS DOUBLE) AS resistance, signal, CAST(NULL AS DOUBLE) AS confidence
+FROM res""")
+def p27_result_fields(spark, sf):
+    return insights.parse_results(insights.analysis_results(analysed(spark, sf)))
+
+
+@register("p27_result_signal", with_cte(*ANALYSIS_CTES, RESULTS_SQL) + """
+SELECT symbol, exchange, analysis_type, signal FROM res""")
+def p27_result_signal(spark, sf):
+    return insights.result_field(insights.analysis_results(analysed(spark, sf)), "$.signal", "signal")
