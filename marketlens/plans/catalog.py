@@ -37,7 +37,9 @@ def register(name: str, sql: str | None = None, bench: bool = False):
 
 def entries() -> dict[str, Entry]:
     # Importing the modules registers their queries.
-    from marketlens.plans import queries_bars, queries_ingest, queries_ops, queries_reports  # noqa: F401
+    from marketlens.plans import (  # noqa: F401
+        queries_alerts, queries_bars, queries_ingest, queries_ops, queries_reports,
+    )
     return dict(_REGISTRY)
 
 
