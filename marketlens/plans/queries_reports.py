@@ -205,3 +205,24 @@ def p27_result_fields(spark, sf):
 SELECT symbol, exchange, analysis_type, signal FROM res""")
 def p27_result_signal(spark, sf):
     return insights.result_field(insights.analysis_results(analysed(spark, sf)), "$.signal", "signal")
+
+
+# --------------------------------------------------------------------------
+# Step 10: clustering (M1-M4, A4) - no SQL form, rows-only check
+# --------------------------------------------------------------------------
+
+from marketlens.operators import clusters, profile  # noqa: E402
+
+
+def clustered(spark, sf):
+    return clusters.cluster_symbols(profile.symbol_profile(processed(spark, sf)), k=5, seed=42)
+
+
+@register("m1_cluster_symbols")
+def m1_cluster_symbols(spark, sf):
+    return clustered(spark, sf)
+
+
+@register("a4_cluster_distribution")
+def a4_cluster_distribution(spark, sf):
+    return clusters.cluster_distribution(clustered(spark, sf))

@@ -33,15 +33,19 @@ PRICE_COLS = ("open", "high", "low", "close", "adjusted_close")
 PATH_PARTS = r"/(?:[^/=]+=)?([^/]+)/(?:[^/=]+=)?(\d{8})/[^/]+$"
 
 
-def _lines(spark: SparkSession, path) -> DataFrame:
-    """Non-empty text lines with their source file and field count."""
-    df = spark.read.text(path)
+def text_lines(df: DataFrame) -> DataFrame:
+    """Non-empty lines of a text-source frame (batch or streaming) with
+    their source file and field count."""
     v = F.col("value")
     return (df.select(v, F.col("_metadata.file_path").alias("source_file"))
             .filter(F.length(F.trim(v)) > 0)
             .withColumn("n_fields", F.size(F.split(v, ",", -1))))
 
 
+def _lines(spark: SparkSession, path) -> DataFrame:
+    return text_lines(spark.read.text(path))
+
+
 def _is_header(first_field: str) -> Column:
     head = F.lower(F.trim(F.split(F.col("value"), ",", 2).getItem(0)))
     return head == F.lit(first_field.lower())
@@ -65,7 +69,13 @@ def split_ragged(spark: SparkSession, path, layouts=(RAW12, RAW13),
     """(good, bad) lines.  Good lines have the field count of one of the
     ``layouts``; header lines and empty lines are dropped.  ``bad`` keeps the
     source file, the line and its field count for inspection."""
-    lines = _lines(spark, path).filter(~_is_header(header_first))
+    return split_ragged_lines(_lines(spark, path), layouts, header_first)
+
+
+def split_ragged_lines(lines: DataFrame, layouts=(RAW12, RAW13),
+                       header_first: str = "exchangeCode") -> tuple[DataFrame, DataFrame]:
+    """``split_ragged`` on a frame of ``text_lines``."""
+    lines = lines.filter(~_is_header(header_first))
     counts = [len(x) for x in layouts]
     ok = F.col("n_fields").isin(counts)
     return lines.filter(ok), lines.filter(~ok)
@@ -80,10 +90,16 @@ def read_raw_bars(spark: SparkSession, path, layouts=(RAW12, RAW13),
                   types=None) -> DataFrame:
     """S1 + U2 + S16: raw bars of every layout under ``path`` with columns
     mapped by name, typed with try_cast (bad values -> NULL), plus the
-    exchange directory and snapshot day taken from the file path."""
-    types = types or {"date": "date", "volume": "long", "download_timestamp": "timestamp",  # naive vendor time
+    exchange directory and snapshot day taken from the file path.  The
+    vendor's download time is naive local time (``timestamp_ntz``)."""
+    return parse_raw_lines(_lines(spark, path), layouts, types)
+
+
+def parse_raw_lines(lines: DataFrame, layouts=(RAW12, RAW13), types=None) -> DataFrame:
+    """``read_raw_bars`` on a frame of ``text_lines`` (batch or streaming)."""
+    types = types or {"date": "date", "volume": "long", "download_timestamp": "timestamp",
                       **{c: "double" for c in PRICE_COLS}}
-    good, _ = split_ragged(spark, path, layouts)
+    good, _ = split_ragged_lines(lines, layouts)
     arr = F.split(F.col("value"), ",", -1)
     n = F.col("n_fields")
 
