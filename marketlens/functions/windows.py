@@ -70,3 +70,54 @@ def exact_stddev(c, w: WindowSpec | None = None, kind: str = "price") -> Column:
     n = _over(F.count(x), w)
     num = n.cast(n_dec) * s2 - s1 * s1
     return F.sqrt(safe_div(num.cast("double"), (n * (n - 1)).cast("double")))
+
+
+def with_trailing_sums(df, cols: dict, ns, keys=SERIES_KEYS, order="date"):
+    """Exact trailing sums and counts over the last n rows, in O(1) per row.
+
+    For every ``name -> decimal column`` in ``cols`` and every n in ``ns``
+    adds ``_ts_{name}_{n}`` (sum) and ``_tc_{name}_{n}`` (count of non-NULL
+    values): a running sum over the ordered series minus its value n rows
+    earlier.  Decimal sums are exact, so the difference equals the sum over
+    the sliding frame bit for bit, but Spark's sliding frames re-add the
+    whole frame for every row (O(rows x n)), while running frames and lag
+    are incremental - one pass whatever the frame lengths.  All columns
+    share one window spec: one exchange, one sort."""
+    w = ordered(keys, order)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = {}
+    for name, c in cols.items():
+        cum[f"_cs_{name}"] = F.sum(c).over(run)
+        cum[f"_cc_{name}"] = F.count(c).over(run)
+    step = df.withColumns(cum)
+    out = {}
+    for name in cols:
+        s, c = F.col(f"_cs_{name}"), F.col(f"_cc_{name}")
+        for n in sorted(set(ns)):
+            out[f"_ts_{name}_{n}"] = s - F.coalesce(F.lag(s, n).over(w), F.lit(0))
+            out[f"_tc_{name}_{n}"] = c - F.coalesce(F.lag(c, n).over(w), F.lit(0))
+    return step.withColumns(out).drop(*cum)
+
+
+def trailing_mean(name: str, n: int) -> Column:
+    """Mean from ``with_trailing_sums`` columns (one double division)."""
+    return safe_div(F.col(f"_ts_{name}_{n}").cast("double"), F.col(f"_tc_{name}_{n}"))
+
+
+def trailing_stddev(name: str, sq_name: str, n: int, kind: str = "price") -> Column:
+    """Sample stddev from trailing sums of x and x*x (see ``exact_stddev``)."""
+    if kind == "price":
+        s1 = F.col(f"_ts_{name}_{n}").cast(PRICE_SUM_DEC)
+        s2 = F.col(f"_ts_{sq_name}_{n}").cast(PRICE_SQ_SUM_DEC)
+        n_dec = COUNT_DEC
+    else:
+        s1 = F.col(f"_ts_{name}_{n}").cast(VOLUME_DEC)
+        s2 = F.col(f"_ts_{sq_name}_{n}").cast(VOLUME_SQ_SUM_DEC)
+        n_dec = VOLUME_COUNT_DEC
+    cnt = F.col(f"_tc_{name}_{n}")
+    num = cnt.cast(n_dec) * s2 - s1 * s1
+    return F.sqrt(safe_div(num.cast("double"), (cnt * (cnt - 1)).cast("double")))
+
+
+def drop_trailing(df):
+    return df.drop(*[c for c in df.columns if c.startswith(("_ts_", "_tc_"))])

@@ -18,41 +18,48 @@ from marketlens.functions import windows as W
 
 def add_moving_averages(bars: DataFrame, ma=(5, 10, 20, 50)) -> DataFrame:
     """ma_n = mean close over the trailing n rows (partial frames)."""
-    return bars.withColumns({f"ma_{n}": W.exact_mean("close", W.trailing(n)) for n in ma})
+    x = W.with_trailing_sums(bars, {"c": C.price_dec("close")}, ma)
+    return W.drop_trailing(x.withColumns({f"ma_{n}": W.trailing_mean("c", n) for n in ma}))
 
 
 def add_indicators(bars: DataFrame, ma=(5, 10, 20, 50), rsi: int = 14,
                    bb=(20, 2.0), macd=(12, 26), vol: int = 10) -> DataFrame:
-    """Moving averages, RSI, Bollinger bands, MACD, volume ratio."""
+    """Moving averages, RSI, Bollinger bands, MACD, volume ratio.
+
+    Trailing statistics come from exact running sums (one pass per series,
+    see ``windows.with_trailing_sums``); results equal sliding-frame sums
+    exactly."""
     w = W.ordered()
     close_d = C.price_dec("close")
-    change_d = close_d - F.lag(close_d).over(w)
     bb_n, bb_k = bb
     fast, slow = macd
-    step1 = bars.withColumns({
-        **{f"ma_{n}": W.exact_mean("close", W.trailing(n)) for n in ma},
-        # W2/W3 as exact decimals: the first row has no change -> 0
-        "_chg": change_d,
-    }).withColumns({
+    zero = F.lit(0).cast("decimal(17,4)")
+    # W2/W3 as exact decimals: the first row has no change -> gain = loss = 0
+    step1 = bars.withColumn("_chg", close_d - F.lag(close_d).over(w)).withColumns({
         "price_change": F.col("_chg").cast("double"),
-        "_gain": F.when(F.col("_chg") > 0, F.col("_chg")).otherwise(F.lit(0).cast("decimal(17,4)")),
-        "_loss": F.when(F.col("_chg") < 0, -F.col("_chg")).otherwise(F.lit(0).cast("decimal(17,4)")),
+        "_gain": F.when(F.col("_chg") > 0, F.col("_chg")).otherwise(zero),
+        "_loss": F.when(F.col("_chg") < 0, -F.col("_chg")).otherwise(zero),
     })
-    wr = W.trailing(rsi)
-    step2 = step1.withColumns({
+    price_ns = set(ma) | {bb_n, fast, slow}
+    sums = W.with_trailing_sums(step1, {"c": close_d, "c2": close_d.cast("decimal(20,4)") * close_d.cast("decimal(20,4)")},
+                                price_ns)
+    sums = W.with_trailing_sums(sums, {"g": F.col("_gain"), "l": F.col("_loss")}, [rsi])
+    sums = W.with_trailing_sums(sums, {"v": F.col("volume").cast("decimal(20,0)")}, [vol])
+    step2 = sums.withColumns({
+        **{f"ma_{n}": W.trailing_mean("c", n) for n in ma},
         "gain": F.col("_gain").cast("double"),
         "loss": F.col("_loss").cast("double"),
         # Simple trailing means of gain and loss
-        "avg_gain": C.safe_div(F.sum("_gain").over(wr).cast("double"), F.count("_gain").over(wr)),
-        "avg_loss": C.safe_div(F.sum("_loss").over(wr).cast("double"), F.count("_loss").over(wr)),
+        "avg_gain": W.trailing_mean("g", rsi),
+        "avg_loss": W.trailing_mean("l", rsi),
         # W6
-        f"std_{bb_n}": W.exact_stddev("close", W.trailing(bb_n)),
-        f"_ma_bb": W.exact_mean("close", W.trailing(bb_n)),
+        f"std_{bb_n}": W.trailing_stddev("c", "c2", bb_n),
+        "_ma_bb": W.trailing_mean("c", bb_n),
         # W7
-        f"ema_{fast}": W.exact_mean("close", W.trailing(fast)),
-        f"ema_{slow}": W.exact_mean("close", W.trailing(slow)),
+        f"ema_{fast}": W.trailing_mean("c", fast),
+        f"ema_{slow}": W.trailing_mean("c", slow),
         # W8
-        f"volume_ma_{vol}": W.exact_mean("volume", W.trailing(vol), dec="decimal(20,0)"),
+        f"volume_ma_{vol}": W.trailing_mean("v", vol),
     })
     std = F.col(f"std_{bb_n}")
     out = step2.withColumns({
@@ -68,15 +75,16 @@ def add_indicators(bars: DataFrame, ma=(5, 10, 20, 50), rsi: int = 14,
         "bb_position": C.safe_div(F.col("close") - F.col("bb_lower"),
                                   F.col("bb_upper") - F.col("bb_lower")),
     })
-    return out.drop("_chg", "_gain", "_loss", "_ma_bb")
+    return W.drop_trailing(out).drop("_chg", "_gain", "_loss", "_ma_bb")
 
 
 def add_returns(bars: DataFrame) -> DataFrame:
     """prev_close, daily_return_pct from the previous close, ma_5, ma_20."""
     w = W.ordered()
-    return (bars.withColumn("prev_close", F.lag("close").over(w))
-            .withColumns({
-                "daily_return_pct": C.pct_change("close", "prev_close"),
-                "ma_5": W.exact_mean("close", W.trailing(5)),
-                "ma_20": W.exact_mean("close", W.trailing(20)),
-            }))
+    x = W.with_trailing_sums(bars.withColumn("prev_close", F.lag("close").over(w)),
+                             {"c": C.price_dec("close")}, (5, 20))
+    return W.drop_trailing(x.withColumns({
+        "daily_return_pct": C.pct_change("close", "prev_close"),
+        "ma_5": W.trailing_mean("c", 5),
+        "ma_20": W.trailing_mean("c", 20),
+    }))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.operators import anomalies, indicators, rankings, signals
+from marketlens.session import materialize
 
 
 def analysis(processed: DataFrame) -> DataFrame:
@@ -38,12 +39,21 @@ def _ranked(keys: list[Column], fields: list[str]) -> Column:
 GAINER_FIELDS = ["symbol", "exchange", "daily_return", "price", "volume"]
 VOLUME_FIELDS = ["symbol", "exchange", "volume", "price"]
 ANOMALY_FIELDS = ["symbol", "exchange", "date", "anomaly_score"]
+REPORT_INPUT = ("symbol", "exchange", "date", "daily_return", "close", "volume", "has_anomaly",
+                "anomaly_score", "combined_signal")
 
 
 def report(analysed: DataFrame, n_gainers: int = 10, n_volume: int = 10,
-           n_anomalies: int = 20) -> DataFrame:
+           n_anomalies: int = 20, write_input: bool = True) -> DataFrame:
     """Q3 as one row: latest_date, top_gainers, top_volume, anomaly_stocks,
-    trading_signals (map combined_signal -> rows)."""
+    trading_signals (map combined_signal -> rows).
+
+    The five parts read different columns, so their plans differ and Spark
+    cannot share one computation of ``analysed`` between them.  With
+    ``write_input`` the nine columns they need are written once (shared
+    checkpoint folder) and every part scans that copy."""
+    if write_input:
+        analysed = materialize(analysed.select(*REPORT_INPUT), "insights_input")
     desc = lambda c: -F.col(c)  # noqa: E731  (numeric keys, descending)
     gain = rankings.day_gainers(analysed, n_gainers).agg(
         _ranked([desc("daily_return"), F.col("exchange"), F.col("symbol")], GAINER_FIELDS)

@@ -65,3 +65,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     intermediate files a job writes and reads back."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and
+    read it back: later plans start from the files (lineage cut, computed
+    once, survives executor loss) instead of recomputing ``df``."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
