@@ -327,7 +327,7 @@ def t3_anomaly_list_brand(spark, sf):
 # Step 2: profiles and summaries
 # --------------------------------------------------------------------------
 
-@register("a1_symbol_profile", with_cte(T.BARS_SQL, processed_sql()) + f"""
+PROFILE_SELECT = f"""
 SELECT *, CAST(datediff('day', first_date, last_date) AS INTEGER) AS data_span_days,
        {S.div('price_volatility', 'avg_price')} * 100 AS price_range_ratio
 FROM (SELECT symbol, exchange, count(*) AS record_count, min(date) AS first_date,
@@ -336,7 +336,10 @@ FROM (SELECT symbol, exchange, count(*) AS record_count, min(date) AS first_date
              {S.mean('volume', None, 'DECIMAL(20,0)')} AS avg_volume,
              max(volume) AS max_volume, min(volume) AS min_volume,
              round(avg(daily_return), 9) AS avg_daily_return
-      FROM processed GROUP BY symbol, exchange) t""")
+      FROM processed GROUP BY symbol, exchange) t"""
+
+
+@register("a1_symbol_profile", with_cte(T.BARS_SQL, processed_sql()) + PROFILE_SELECT)
 def a1_symbol_profile(spark, sf):
     return profile.symbol_profile(processed(spark, sf))
 
