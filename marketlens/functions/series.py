@@ -79,7 +79,9 @@ def islands(df: DataFrame, keys, ts: str, cond: Column, bucket_seconds: int = 86
     buckets = x.groupBy(*kb).agg(F.count(F.lit(1)).alias("_n"))
     prev_b = buckets.select(*kb, F.lag("_bucket").over(
         Window.partitionBy(*keys).orderBy("_bucket")).alias("_prev_bucket"))
-    edge = seg.filter(F.col("_ts0") | F.col("_ts1")).join(prev_b, kb)
+    # left join: no inferred filter on ``seg``, so both uses of it share one
+    # exchange (ReusedExchange) - the readings are scanned and shuffled once
+    edge = seg.filter(F.col("_ts0") | F.col("_ts1")).join(prev_b, kb, "left")
     wk = Window.partitionBy(*keys).orderBy("_bucket", "start_ts")
     cont = (F.col("_ts0") & F.lag("_ts1").over(wk)
             & (F.lag("_bucket").over(wk) == F.col("_prev_bucket")))
