@@ -18,14 +18,43 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+TARGET_ROWS = 1_000_000      # rows per (key, bucket) in adaptive mode
+
+
+def _micros(ts) -> Column:
+    t = F.col(ts) if isinstance(ts, str) else ts
+    return F.unix_micros(t.cast("timestamp"))
+
+
 def bucket_of(ts, seconds: int) -> Column:
     """Bucket number of a timestamp: floor(epoch micros / bucket size)."""
-    t = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(F.unix_micros(t.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("long")
+    return F.floor(_micros(ts) / F.lit(seconds * 1_000_000)).cast("long")
+
+
+def with_buckets(df: DataFrame, keys, ts: str, bucket_seconds: int | None,
+                 target_rows: int = TARGET_ROWS) -> DataFrame:
+    """Adds ``_bucket``: fixed-width time buckets, or (``bucket_seconds``
+    None) a width chosen per key so a bucket holds about ``target_rows``
+    samples - span * target / count - which bounds every task by rows
+    whatever the key's density.  The per-key statistics are one row per key
+    (partial aggregation); the planner broadcasts them when small and uses
+    a skew-split sort-merge join otherwise."""
+    if bucket_seconds is not None:
+        return df.withColumn("_bucket", bucket_of(ts, bucket_seconds))
+    keys = list(keys)
+    st = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"),
+                               F.min(_micros(ts)).alias("_t0"), F.max(_micros(ts)).alias("_t1"))
+    width = F.greatest(F.lit(1), F.ceil((F.col("_t1") - F.col("_t0") + 1) * F.lit(target_rows)
+                                        / F.col("_cnt")).cast("long"))
+    st = st.select(*keys, "_t0", width.alias("_width"))
+    j = df.join(st, keys, "left")
+    return (j.withColumn("_bucket", F.floor((_micros(ts) - F.col("_t0")) / F.col("_width")).cast("long"))
+            .drop("_t0", "_width"))
 
 
 def running_total(df: DataFrame, keys, ts: str, value: str, out: str,
-                  bucket_seconds: int = 86_400, order=()) -> DataFrame:
+                  bucket_seconds: int | None = None, order=(),
+                  target_rows: int = TARGET_ROWS) -> DataFrame:
     """``out`` = sum of ``value`` over all earlier-or-equal samples of the key.
 
     Inside-bucket running sums come from a window on (key, bucket); the
@@ -33,7 +62,7 @@ def running_total(df: DataFrame, keys, ts: str, value: str, out: str,
     (key, bucket), joined back on (key, bucket)."""
     keys = list(keys)
     kb = keys + ["_bucket"]
-    x = df.withColumn("_bucket", bucket_of(ts, bucket_seconds))
+    x = with_buckets(df, keys, ts, bucket_seconds, target_rows)
     w_in = (Window.partitionBy(*kb).orderBy(ts, *order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     x = x.withColumn("_in", F.sum(value).over(w_in))
@@ -45,8 +74,8 @@ def running_total(df: DataFrame, keys, ts: str, value: str, out: str,
             .drop("_bucket", "_in", "_pre"))
 
 
-def islands(df: DataFrame, keys, ts: str, cond: Column, bucket_seconds: int = 86_400,
-            order=()) -> DataFrame:
+def islands(df: DataFrame, keys, ts: str, cond: Column, bucket_seconds: int | None = None,
+            order=(), target_rows: int = TARGET_ROWS) -> DataFrame:
     """Runs of consecutive samples (per key, ordered by ``ts`` then
     ``order``) where ``cond`` is true (NULL counts as false).
 
@@ -60,9 +89,9 @@ def islands(df: DataFrame, keys, ts: str, cond: Column, bucket_seconds: int = 86
     the key's previous non-empty bucket.  Interior runs pass through."""
     keys = list(keys)
     kb = keys + ["_bucket"]
-    x = df.select(*keys, F.col(ts).alias("_ts"), *[F.col(c) for c in order],
-                  F.coalesce(cond, F.lit(False)).alias("_f"),
-                  bucket_of(ts, bucket_seconds).alias("_bucket"))
+    x = with_buckets(df.select(*keys, F.col(ts).alias("_ts"), *[F.col(c) for c in order],
+                               F.coalesce(cond, F.lit(False)).alias("_f")),
+                     keys, "_ts", bucket_seconds, target_rows)
     is_false = F.when(F.col("_f"), F.lit(0)).otherwise(F.lit(1))
     w_run = (Window.partitionBy(*kb).orderBy("_ts", *order)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))

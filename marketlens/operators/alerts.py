@@ -101,10 +101,10 @@ def rollup(alerts: DataFrame, services: DataFrame) -> DataFrame:
 
 
 def sustained(readings: DataFrame, cond, for_seconds: int, keys=("series", "instance"),
-              bucket_seconds: int = 86_400) -> DataFrame:
+              bucket_seconds: int | None = None, target_rows: int = SR.TARGET_ROWS) -> DataFrame:
     """Runs where ``cond`` held on consecutive readings, with their
     duration and whether they lasted ``for_seconds`` (the alert fired)."""
-    runs = SR.islands(readings, keys, "ts", cond, bucket_seconds)
+    runs = SR.islands(readings, keys, "ts", cond, bucket_seconds, target_rows=target_rows)
     dur = (F.unix_micros(F.col("end_ts").cast("timestamp"))
            - F.unix_micros(F.col("start_ts").cast("timestamp")))
     return runs.withColumns({
@@ -118,12 +118,13 @@ def ratio(num, den):
     return C.safe_div(C.col_(num).cast("double"), C.col_(den).cast("double")) * F.lit(100.0)
 
 
-def counters(readings: DataFrame, keys=("series", "instance"), bucket_seconds: int = 86_400,
-             out: str = "counter") -> DataFrame:
+def counters(readings: DataFrame, keys=("series", "instance"), bucket_seconds: int | None = None,
+             out: str = "counter", target_rows: int = SR.TARGET_ROWS) -> DataFrame:
     """Monotone counters from readings: running count of samples per key
     (skew-safe running total)."""
     x = readings.withColumn("_one", F.lit(1).cast("long"))
-    return SR.running_total(x, keys, "ts", "_one", out, bucket_seconds).drop("_one")
+    return SR.running_total(x, keys, "ts", "_one", out, bucket_seconds,
+                            target_rows=target_rows).drop("_one")
 
 
 def counter_rate(cnt: DataFrame, window: str = "5 minutes", keys=("series", "instance"),
@@ -132,18 +133,23 @@ def counter_rate(cnt: DataFrame, window: str = "5 minutes", keys=("series", "ins
     two samples of the window per second, a drop (counter reset) counting
     as the new value - then averaged over the remaining labels by ``by``.
 
-    The ordered step runs on (key, window) partitions, so a hot key is
-    spread over its windows."""
+    Only the last two samples of each (key, window) matter: the
+    ``row_number() <= 2`` filter is planned with a partial WindowGroupLimit
+    before the shuffle, so a dense key sends at most two rows per group and
+    map task, and the final step aggregates at most two rows per group."""
     keys = list(keys)
     x = cnt.withColumn("_w", F.window("ts", window).start)
-    w = Window.partitionBy(*keys, "_w").orderBy("ts")
-    x = x.withColumns({"_pv": F.lag(value).over(w), "_pts": F.lag("ts").over(w)})
-    last = (x.groupBy(*keys, "_w")
-            .agg(F.max_by(F.struct("ts", F.col(value).alias("v"), "_pv", "_pts"), "ts").alias("_l"))
-            .filter(F.col("_l._pv").isNotNull()))
-    delta = F.when(F.col("_l.v") < F.col("_l._pv"), F.col("_l.v")).otherwise(F.col("_l.v") - F.col("_l._pv"))
+    w = Window.partitionBy(*keys, "_w").orderBy(F.col("ts").desc(), F.col(value).desc())
+    top2 = x.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= 2)
+    pair = F.struct("ts", F.col(value).alias("v"))
+    last = (top2.groupBy(*keys, "_w")
+            .agg(F.max_by(pair, "_rn").alias("_p"), F.min_by(pair, "_rn").alias("_l"),
+                 F.count(F.lit(1)).alias("_n"))
+            .filter(F.col("_n") == 2))
+    lv, pv = F.col("_l.v"), F.col("_p.v")
+    delta = F.when(lv < pv, lv).otherwise(lv - pv)
     secs = (F.unix_micros(F.col("_l.ts").cast("timestamp"))
-            - F.unix_micros(F.col("_l._pts").cast("timestamp"))) / F.lit(1_000_000.0)
+            - F.unix_micros(F.col("_p.ts").cast("timestamp"))) / F.lit(1_000_000.0)
     rates = last.select(*keys, F.col("_w").alias("window_start"),
                         C.safe_div(delta.cast("double"), secs).alias("irate"))
     return (rates.groupBy(*by, "window_start")

@@ -61,8 +61,9 @@ def plain_islands(rows, thr):
     return sorted(out)
 
 
-@pytest.mark.parametrize("bucket", [600, 3600, 86_400])
-def test_islands_match_whole_history(spark, bucket):
+@pytest.mark.parametrize("bucket,target", [(600, None), (3600, None), (86_400, None),
+                                           (None, 7), (None, 50), (None, 10_000)])
+def test_islands_match_whole_history(spark, bucket, target):
     rnd = random.Random(7)
     rows = []
     for inst in ("hot", "b", "c"):
@@ -72,7 +73,8 @@ def test_islands_match_whole_history(spark, bucket):
                          float(rnd.choice([10, 90, 90, 95]))))
     df = readings(spark, rows)
     got = sorted((r.instance, r.start_ts, r.end_ts, r.n_samples) for r in
-                 SR.islands(df, ["instance"], "ts", F.col("value") > 80, bucket).collect())
+                 SR.islands(df, ["instance"], "ts", F.col("value") > 80, bucket,
+                            target_rows=target or SR.TARGET_ROWS).collect())
     assert got == plain_islands(rows, 80)
 
 
@@ -101,6 +103,8 @@ def test_running_total_across_buckets(spark):
     df = readings(spark, rows).withColumn("one", F.lit(1).cast("long"))
     out = SR.running_total(df, ["instance"], "ts", "one", "n", bucket_seconds=3600 * 10)
     assert [r.n for r in out.orderBy("ts").collect()] == list(range(1, len(rows) + 1))
+    ada = SR.running_total(df, ["instance"], "ts", "one", "n", target_rows=3)
+    assert [r.n for r in ada.orderBy("ts").collect()] == list(range(1, len(rows) + 1))
 
 
 def test_ratio_and_hit_rate(spark):
