@@ -32,16 +32,24 @@ def bucket_of(ts, seconds: int) -> Column:
 
 
 def with_buckets(df: DataFrame, keys, ts: str, bucket_seconds: int | None,
-                 target_rows: int = TARGET_ROWS) -> DataFrame:
+                 target_rows: int = TARGET_ROWS, repartition: bool = True) -> DataFrame:
     """Adds ``_bucket``: fixed-width time buckets, or (``bucket_seconds``
     None) a width chosen per key so a bucket holds about ``target_rows``
     samples - span * target / count - which bounds every task by rows
     whatever the key's density.  The per-key statistics are one row per key
     (partial aggregation); the planner broadcasts them when small and uses
-    a skew-split sort-merge join otherwise."""
-    if bucket_seconds is not None:
-        return df.withColumn("_bucket", bucket_of(ts, bucket_seconds))
+    a skew-split sort-merge join otherwise.
+
+    With ``repartition`` the result is explicitly hash-partitioned on
+    (keys, _bucket).  Without that, rows already partitioned by the keys
+    alone (e.g. by the statistics join) would satisfy the windows'
+    clustering requirement and Spark would run every bucket of a hot key in
+    one task.  Per-bucket summaries pass ``repartition=False`` and aggregate
+    map-side before their own shuffle."""
     keys = list(keys)
+    part = (lambda d: d.repartition(*keys, "_bucket")) if repartition else (lambda d: d)
+    if bucket_seconds is not None:
+        return part(df.withColumn("_bucket", bucket_of(ts, bucket_seconds)))
     st = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"),
                                F.min(_micros(ts)).alias("_t0"), F.max(_micros(ts)).alias("_t1"))
     width = F.greatest(F.lit(1), F.ceil((F.col("_t1") - F.col("_t0") + 1) * F.lit(target_rows)
@@ -49,7 +57,7 @@ def with_buckets(df: DataFrame, keys, ts: str, bucket_seconds: int | None,
     st = st.select(*keys, "_t0", width.alias("_width"))
     j = df.join(st, keys, "left")
     return (j.withColumn("_bucket", F.floor((_micros(ts) - F.col("_t0")) / F.col("_width")).cast("long"))
-            .drop("_t0", "_width"))
+            .drop("_t0", "_width")).transform(part)
 
 
 def running_total(df: DataFrame, keys, ts: str, value: str, out: str,
@@ -62,11 +70,11 @@ def running_total(df: DataFrame, keys, ts: str, value: str, out: str,
     (key, bucket), joined back on (key, bucket)."""
     keys = list(keys)
     kb = keys + ["_bucket"]
-    x = with_buckets(df, keys, ts, bucket_seconds, target_rows)
+    xb = with_buckets(df, keys, ts, bucket_seconds, target_rows, repartition=False)
     w_in = (Window.partitionBy(*kb).orderBy(ts, *order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    x = x.withColumn("_in", F.sum(value).over(w_in))
-    tot = x.groupBy(*kb).agg(F.sum(value).alias("_bt"))
+    x = xb.repartition(*kb).withColumn("_in", F.sum(value).over(w_in))
+    tot = xb.groupBy(*kb).agg(F.sum(value).alias("_bt"))
     w_pre = (Window.partitionBy(*keys).orderBy("_bucket")
              .rowsBetween(Window.unboundedPreceding, -1))
     pre = tot.select(*kb, F.coalesce(F.sum("_bt").over(w_pre), F.lit(0)).alias("_pre"))
@@ -89,9 +97,10 @@ def islands(df: DataFrame, keys, ts: str, cond: Column, bucket_seconds: int | No
     the key's previous non-empty bucket.  Interior runs pass through."""
     keys = list(keys)
     kb = keys + ["_bucket"]
-    x = with_buckets(df.select(*keys, F.col(ts).alias("_ts"), *[F.col(c) for c in order],
-                               F.coalesce(cond, F.lit(False)).alias("_f")),
-                     keys, "_ts", bucket_seconds, target_rows)
+    xb = with_buckets(df.select(*keys, F.col(ts).alias("_ts"), *[F.col(c) for c in order],
+                                F.coalesce(cond, F.lit(False)).alias("_f")),
+                      keys, "_ts", bucket_seconds, target_rows, repartition=False)
+    x = xb.repartition(*kb)
     is_false = F.when(F.col("_f"), F.lit(0)).otherwise(F.lit(1))
     w_run = (Window.partitionBy(*kb).orderBy("_ts", *order)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -105,7 +114,7 @@ def islands(df: DataFrame, keys, ts: str, cond: Column, bucket_seconds: int | No
     cols = [*keys, "start_ts", "end_ts", "n_samples"]
     interior = seg.filter(~(F.col("_ts0") | F.col("_ts1"))).select(*cols)
 
-    buckets = x.groupBy(*kb).agg(F.count(F.lit(1)).alias("_n"))
+    buckets = xb.groupBy(*kb).agg(F.count(F.lit(1)).alias("_n"))
     prev_b = buckets.select(*kb, F.lag("_bucket").over(
         Window.partitionBy(*keys).orderBy("_bucket")).alias("_prev_bucket"))
     # left join: no inferred filter on ``seg``, so both uses of it share one
