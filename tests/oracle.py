@@ -36,6 +36,50 @@ def _norm(v):
     return v
 
 
+def spark_family(t) -> str:
+    from pyspark.sql import types as T
+    if isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)):
+        return "int32"
+    if isinstance(t, T.LongType):
+        return "int64"
+    if isinstance(t, (T.DoubleType, T.FloatType)):
+        return "float"
+    if isinstance(t, T.DecimalType):
+        return "decimal"
+    if isinstance(t, T.StringType):
+        return "string"
+    if isinstance(t, T.BooleanType):
+        return "bool"
+    if isinstance(t, T.DateType):
+        return "date"
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        return "timestamp"
+    return t.simpleString()
+
+
+def duck_family(t: str) -> str:
+    t = t.upper()
+    if t in ("INTEGER", "SMALLINT", "TINYINT"):
+        return "int32"
+    if t in ("BIGINT",):
+        return "int64"
+    if t in ("HUGEINT",):
+        return "int128"
+    if t in ("DOUBLE", "FLOAT"):
+        return "float"
+    if t.startswith("DECIMAL"):
+        return "decimal"
+    if t == "VARCHAR":
+        return "string"
+    if t == "BOOLEAN":
+        return "bool"
+    if t == "DATE":
+        return "date"
+    if t.startswith("TIMESTAMP"):
+        return "timestamp"
+    return t
+
+
 def _key(row):
     return tuple((x is None, str(type(x)), str(x)) for x in row)
 
@@ -51,6 +95,9 @@ def compare(spark, con, sf_dir: str, entry) -> dict:
         out.update(ok=False, why=f"columns differ: spark={cols} sql={sorted(dcols)}")
         return out
     idx = [dcols.index(c) for c in cols]
+    sf = {f.name: spark_family(f.dataType) for f in sdf.schema.fields}
+    df_ = {c: duck_family(str(t)) for c, t in zip(dcols, rel.types)}
+    out["type_diff"] = {c: (sf[c], df_[c]) for c in cols if sf[c] != df_[c]}
     drows = [tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()]
     out["sql_rows"] = len(drows)
     srows.sort(key=_key)
