@@ -160,3 +160,18 @@ def g1_incremental_ingest(spark, sf):
     ingest_available(spark, f"{root}/*/*/*.csv", table, ckpt, max_files_per_trigger=200)
     ingest_available(spark, f"{root}/*/*/*.csv", table, ckpt)
     return spark.read.parquet(table)
+
+
+# --------------------------------------------------------------------------
+# Ragged-line quarantine on the landing (a reader that accepts only the
+# 12-field layout must quarantine every 13-field line)
+# --------------------------------------------------------------------------
+
+@register("s13_ragged_counts", with_cte(T.BARS_SQL, RAW_SQL) + f"""
+SELECT exchange AS path_exchange, 13 AS n_fields, count(*) AS n_lines
+FROM raw WHERE exchange = '{WIDE_EXCHANGE}' GROUP BY exchange""")
+def s13_ragged_counts(spark, sf):
+    root = write_raw_landing(spark, sf)
+    _, bad = ingest.split_ragged(spark, f"{root}/*/*/*.csv", layouts=(ingest.RAW12,))
+    b = bad.withColumn("path_exchange", F.regexp_extract("source_file", ingest.PATH_PARTS, 1))
+    return b.groupBy("path_exchange", "n_fields").agg(F.count(F.lit(1)).alias("n_lines"))

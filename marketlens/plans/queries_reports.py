@@ -226,3 +226,55 @@ def m1_cluster_symbols(spark, sf):
 @register("a4_cluster_distribution")
 def a4_cluster_distribution(spark, sf):
     return clusters.cluster_distribution(clustered(spark, sf))
+
+
+# --------------------------------------------------------------------------
+# The report in its three historical column versions, read back by name
+# --------------------------------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from marketlens.session import scratch_path  # noqa: E402
+
+# Columns of the three report versions, in file order.
+REPORT_V1 = ("exchange", "successful", "failed", "data_points", "files")
+REPORT_V2 = ("exchange", "successful_symbols", "failed_symbols", "data_points", "files",
+             "database_success", "database_failed")
+REPORT_V3 = ("exchange", "successful_symbols", "failed_symbols", "data_points",
+             "hdfs_upload_count", "files", "database_success", "database_failed")
+REPORT_STAMPS = ("20240128_060000", "20240129_060000", "20240130_060000")
+
+
+def write_report_versions(spark, sf) -> str:
+    rep = collection.report(attempts(spark, sf))
+    root = scratch_path(spark, "reports")
+    v1 = rep.select("exchange", F.col("successful_symbols").alias("successful"),
+                    F.col("failed_symbols").alias("failed"), "data_points", "files")
+    for cols, stamp, df in ((REPORT_V1, REPORT_STAMPS[0], v1),
+                            (REPORT_V2, REPORT_STAMPS[1], rep.select(*REPORT_V2)),
+                            (REPORT_V3, REPORT_STAMPS[2], rep.select(*REPORT_V3))):
+        name = "collection_report" if cols is REPORT_V1 else "collection_report_all"
+        (df.select(*cols).coalesce(1).write.option("header", True)
+         .csv(f"{root}/{name}_{stamp}"))
+    return root
+
+
+def _ts(stamp: str) -> str:
+    t = _dt.datetime.strptime(stamp, "%Y%m%d_%H%M%S")
+    return f"TIMESTAMP '{t.isoformat(sep=' ')}'"
+
+
+@register("s17_report_versions", with_cte(T.BARS_SQL, attempts_sql(), REPORT_SQL) + f"""
+SELECT exchange, successful_symbols, failed_symbols, data_points,
+       CAST(NULL AS BIGINT) AS hdfs_upload_count, files,
+       CAST(NULL AS BIGINT) AS database_success, CAST(NULL AS BIGINT) AS database_failed,
+       {_ts(REPORT_STAMPS[0])} AS report_time FROM rep
+UNION ALL
+SELECT exchange, successful_symbols, failed_symbols, data_points, CAST(NULL AS BIGINT), files,
+       database_success, database_failed, {_ts(REPORT_STAMPS[1])} FROM rep
+UNION ALL
+SELECT exchange, successful_symbols, failed_symbols, data_points, hdfs_upload_count, files,
+       database_success, database_failed, {_ts(REPORT_STAMPS[2])} FROM rep""")
+def s17_report_versions(spark, sf):
+    root = write_report_versions(spark, sf)
+    return ingest.read_reports(spark, f"{root}/*/*.csv").drop("source_file")

@@ -316,7 +316,8 @@ def directory_totals(audit: DataFrame, root: str) -> DataFrame:
 REPORT_COLUMNS = ("exchange", "successful_symbols", "failed_symbols", "data_points",
                   "hdfs_upload_count", "files", "database_success", "database_failed")
 REPORT_RENAMES = {"successful_symbols": "successful", "failed_symbols": "failed"}
-REPORT_TIME = r"(\d{8}_\d{6})\.csv$"
+# report time from the file name, or from the folder a Spark writer made
+REPORT_TIME = r"_(\d{8}_\d{6})(?:\.csv)?/(?:[^/]*)$|_(\d{8}_\d{6})\.csv$"
 
 
 def read_reports(spark: SparkSession, path) -> DataFrame:
@@ -342,6 +343,7 @@ def read_reports(spark: SparkSession, path) -> DataFrame:
 
     cols = [get("exchange").alias("exchange")] + [
         get(c).try_cast("long").alias(c) for c in REPORT_COLUMNS[1:]]
-    stamp = F.try_to_timestamp(F.regexp_extract("source_file", REPORT_TIME, 1),
-                               F.lit("yyyyMMdd_HHmmss"))
+    raw_time = F.concat(F.regexp_extract("source_file", REPORT_TIME, 1),
+                        F.regexp_extract("source_file", REPORT_TIME, 2))
+    stamp = F.try_to_timestamp(raw_time, F.lit("yyyyMMdd_HHmmss"))
     return j.select(*cols, stamp.alias("report_time"), "source_file")
