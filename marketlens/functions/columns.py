@@ -35,6 +35,17 @@ def pct_change(new, old) -> Column:
     return safe_div(col_(new) - col_(old), col_(old)) * F.lit(100)
 
 
+def epoch_micros(df, name: str) -> Column:
+    """Microseconds since 1970-01-01 of a timestamp column, independent of
+    the session time zone for ``timestamp_ntz`` (wall-clock) values, so
+    differences never gain or lose an hour across a DST change."""
+    from pyspark.sql.types import TimestampNTZType
+    if isinstance(df.schema[name].dataType, TimestampNTZType):
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.timestamp_diff("MICROSECOND", epoch, F.col(name))
+    return F.unix_micros(F.col(name).cast("timestamp"))
+
+
 def price_dec(c) -> Column:
     return col_(c).cast(PRICE_DEC)
 

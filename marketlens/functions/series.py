@@ -17,18 +17,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-TARGET_ROWS = 1_000_000      # rows per (key, bucket) in adaptive mode
+from marketlens.functions.columns import epoch_micros
 
 
-def _micros(ts) -> Column:
-    t = F.col(ts) if isinstance(ts, str) else ts
-    return F.unix_micros(t.cast("timestamp"))
+TARGET_ROWS = 1_000_000      # rows per (key, bucket) in adaptive mode
 
 
-def bucket_of(ts, seconds: int) -> Column:
+def bucket_of(micros: Column, seconds: int) -> Column:
     """Bucket number of a timestamp: floor(epoch micros / bucket size)."""
-    return F.floor(_micros(ts) / F.lit(seconds * 1_000_000)).cast("long")
+    return F.floor(micros / F.lit(seconds * 1_000_000)).cast("long")
 
 
 def with_buckets(df: DataFrame, keys, ts: str, bucket_seconds: int | None,
@@ -48,15 +45,16 @@ def with_buckets(df: DataFrame, keys, ts: str, bucket_seconds: int | None,
     map-side before their own shuffle."""
     keys = list(keys)
     part = (lambda d: d.repartition(*keys, "_bucket")) if repartition else (lambda d: d)
+    us = epoch_micros(df, ts)
     if bucket_seconds is not None:
-        return part(df.withColumn("_bucket", bucket_of(ts, bucket_seconds)))
+        return part(df.withColumn("_bucket", bucket_of(us, bucket_seconds)))
     st = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"),
-                               F.min(_micros(ts)).alias("_t0"), F.max(_micros(ts)).alias("_t1"))
+                               F.min(us).alias("_t0"), F.max(us).alias("_t1"))
     width = F.greatest(F.lit(1), F.ceil((F.col("_t1") - F.col("_t0") + 1) * F.lit(target_rows)
                                         / F.col("_cnt")).cast("long"))
     st = st.select(*keys, "_t0", width.alias("_width"))
     j = df.join(st, keys, "left")
-    return (j.withColumn("_bucket", F.floor((_micros(ts) - F.col("_t0")) / F.col("_width")).cast("long"))
+    return (j.withColumn("_bucket", F.floor((us - F.col("_t0")) / F.col("_width")).cast("long"))
             .drop("_t0", "_width")).transform(part)
 
 

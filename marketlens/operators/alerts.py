@@ -105,8 +105,7 @@ def sustained(readings: DataFrame, cond, for_seconds: int, keys=("series", "inst
     """Runs where ``cond`` held on consecutive readings, with their
     duration and whether they lasted ``for_seconds`` (the alert fired)."""
     runs = SR.islands(readings, keys, "ts", cond, bucket_seconds, target_rows=target_rows)
-    dur = (F.unix_micros(F.col("end_ts").cast("timestamp"))
-           - F.unix_micros(F.col("start_ts").cast("timestamp")))
+    dur = C.epoch_micros(runs, "end_ts") - C.epoch_micros(runs, "start_ts")
     return runs.withColumns({
         "duration_sec": dur / F.lit(1_000_000.0),
         "fired": dur >= F.lit(for_seconds * 1_000_000),
@@ -138,18 +137,17 @@ def counter_rate(cnt: DataFrame, window: str = "5 minutes", keys=("series", "ins
     before the shuffle, so a dense key sends at most two rows per group and
     map task, and the final step aggregates at most two rows per group."""
     keys = list(keys)
-    x = cnt.withColumn("_w", F.window("ts", window).start)
+    x = cnt.withColumns({"_w": F.window("ts", window).start, "_us": C.epoch_micros(cnt, "ts")})
     w = Window.partitionBy(*keys, "_w").orderBy(F.col("ts").desc(), F.col(value).desc())
     top2 = x.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= 2)
-    pair = F.struct("ts", F.col(value).alias("v"))
+    pair = F.struct(F.col("_us").alias("us"), F.col(value).alias("v"))
     last = (top2.groupBy(*keys, "_w")
             .agg(F.max_by(pair, "_rn").alias("_p"), F.min_by(pair, "_rn").alias("_l"),
                  F.count(F.lit(1)).alias("_n"))
             .filter(F.col("_n") == 2))
     lv, pv = F.col("_l.v"), F.col("_p.v")
     delta = F.when(lv < pv, lv).otherwise(lv - pv)
-    secs = (F.unix_micros(F.col("_l.ts").cast("timestamp"))
-            - F.unix_micros(F.col("_p.ts").cast("timestamp"))) / F.lit(1_000_000.0)
+    secs = (F.col("_l.us") - F.col("_p.us")) / F.lit(1_000_000.0)
     rates = last.select(*keys, F.col("_w").alias("window_start"),
                         C.safe_div(delta.cast("double"), secs).alias("irate"))
     return (rates.groupBy(*by, "window_start")

@@ -345,5 +345,6 @@ def read_reports(spark: SparkSession, path) -> DataFrame:
         get(c).try_cast("long").alias(c) for c in REPORT_COLUMNS[1:]]
     raw_time = F.concat(F.regexp_extract("source_file", REPORT_TIME, 1),
                         F.regexp_extract("source_file", REPORT_TIME, 2))
-    stamp = F.try_to_timestamp(raw_time, F.lit("yyyyMMdd_HHmmss"))
+    # naive wall-clock time (parsed and read back in the same session zone)
+    stamp = F.try_to_timestamp(raw_time, F.lit("yyyyMMdd_HHmmss")).cast("timestamp_ntz")
     return j.select(*cols, stamp.alias("report_time"), "source_file")

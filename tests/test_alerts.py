@@ -112,3 +112,19 @@ def test_ratio_and_hit_rate(spark):
     got = [(r.hr, r.ra) for r in df.select(alerts.hit_rate("h", "m").alias("hr"),
                                            alerts.ratio("h", F.col("h") + F.col("m")).alias("ra")).collect()]
     assert got == [(75.0, 75.0), (0.0, None)]
+
+
+def test_durations_ignore_session_zone_dst(spark):
+    """Wall-clock (timestamp_ntz) readings across the US DST change keep
+    their true spacing whatever the session time zone."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = [(dt.datetime(2024, 3, 10, 1, 30), "cpu", "h", 95.0),
+                (dt.datetime(2024, 3, 10, 3, 30), "cpu", "h", 96.0)]
+        df = spark.createDataFrame(rows, "ts timestamp_ntz, series string, instance string, value double")
+        r = alerts.sustained(df, F.col("value") > 90, for_seconds=7200, keys=("instance",),
+                             bucket_seconds=1800).first()
+        assert r.duration_sec == 7200.0 and r.fired
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -16,9 +16,19 @@ import oracle  # noqa: E402
 
 
 def main() -> None:
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:]
-    spark = build_session("local[8]")
+    args = [a for a in sys.argv[1:] if not a.startswith("--")]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    names = args[1:]
+    if "--bare" in sys.argv:
+        # a plain session like the driver's; --tz=Zone sets a session time zone
+        from pyspark.sql import SparkSession
+        b = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+        for a in sys.argv:
+            if a.startswith("--tz="):
+                b = b.config("spark.sql.session.timeZone", a[5:])
+        spark = b.getOrCreate()
+    else:
+        spark = build_session("local[8]")
     con = oracle.duck(sf)
     for n, e in entries().items():
         if names and not any(n.startswith(x) for x in names):
