@@ -102,8 +102,9 @@ def islands(df: DataFrame, keys, ts: str, cond: Column, bucket_seconds: int | No
     is_false = F.when(F.col("_f"), F.lit(0)).otherwise(F.lit(1))
     w_run = (Window.partitionBy(*kb).orderBy("_ts", *order)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    w_all = w_run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     x = x.withColumns({"_grp": F.sum(is_false).over(w_run),
-                       "_nfalse": F.sum(is_false).over(Window.partitionBy(*kb))})
+                       "_nfalse": F.sum(is_false).over(w_all)})
     seg = (x.filter(F.col("_f")).groupBy(*kb, "_grp")
            .agg(F.min("_ts").alias("start_ts"), F.max("_ts").alias("end_ts"),
                 F.count(F.lit(1)).alias("n_samples"), F.max("_nfalse").alias("_nfalse"))

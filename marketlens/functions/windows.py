@@ -35,6 +35,12 @@ def ordered(keys=SERIES_KEYS, order="date") -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(order)
 
 
+def whole(keys=SERIES_KEYS, order="date") -> WindowSpec:
+    """The whole series, but with the ordered spec: it shares the sort of
+    the date-ordered windows instead of needing a sort of its own."""
+    return ordered(keys, order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def trailing(n: int, keys=SERIES_KEYS, order="date") -> WindowSpec:
     """ROWS BETWEEN n-1 PRECEDING AND CURRENT ROW (partial frames allowed)."""
     return ordered(keys, order).rowsBetween(-(n - 1), 0)

@@ -17,7 +17,7 @@ from marketlens.functions import windows as W
 
 def add_anomalies(bars: DataFrame, z: float = 3.0, pct: float = 10.0, gap: float = 5.0,
                   min_score: int = 2) -> DataFrame:
-    w0 = W.series()
+    w0 = W.whole()
     w = W.ordered()
     prev_close = F.lag("close").over(w)
     step = bars.withColumns({
