@@ -21,6 +21,31 @@ BASE_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized for a large cluster: about ``partition_bytes`` per scan
+    split and per shuffle partition at the start, AQE coalescing what turns
+    out smaller and splitting skewed join partitions.  For 100 TB of input
+    and 256 MB partitions that is ~400k shuffle partitions before
+    coalescing, never fewer than 3 waves of the available cores."""
+    shuffle = max(3 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
+
+def apply_unset(spark: SparkSession, conf: dict) -> None:
+    """Set only what the cluster's launch configuration leaves unset, e.g.
+    ``apply_unset(spark, cluster_conf(input_bytes, cores))`` in a job."""
+    launched = dict(spark.sparkContext.getConf().getAll())
+    for k, v in conf.items():
+        if k not in launched:
+            spark.conf.set(k, v)
+
+
 def build_session(master: str = "local[*]", app: str = "marketlens",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     """Local session for tests and the bench; clusters pass their own conf."""

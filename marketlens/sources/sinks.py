@@ -57,7 +57,7 @@ def write_json_row(df: DataFrame, path: str) -> None:
 
 def write_landing(df: DataFrame, path: str, columns=None,
                   snapshot_col: str = "download_timestamp", exchange: str | None = None,
-                  mode: str = "overwrite") -> None:
+                  mode: str = "overwrite", max_records_per_file: int = 5_000_000) -> None:
     """Raw snapshot layout
     ``{path}/landing_exchange=X/snapshot_date=YYYYMMDD/part-*.csv``.
 
@@ -65,8 +65,10 @@ def write_landing(df: DataFrame, path: str, columns=None,
     are copies), timestamps as ``yyyy-MM-dd HH:mm:ss.SSSSSS``.  Only the
     touched partitions are replaced (dynamic partition overwrite), empty
     inputs write nothing, and ``exchange`` limits the publish to one
-    exchange.  Rows are clustered by partition first so each task writes
-    few directories."""
+    exchange.  Rows are range-partitioned by (exchange, day, symbol): each
+    task writes few directories, and a hot exchange-day is split across
+    tasks by sampled symbol bounds instead of landing in one writer;
+    ``max_records_per_file`` caps file sizes."""
     d = df if exchange is None else df.filter(F.col("exchange") == exchange)
     cols = list(columns or d.columns)
     stamp = F.col(snapshot_col)
@@ -74,9 +76,10 @@ def write_landing(df: DataFrame, path: str, columns=None,
             else F.col(c) for c in cols]
     d = d.select(*body, F.col("exchange").alias("landing_exchange"),
                  F.date_format(stamp, "yyyyMMdd").alias("snapshot_date"))
-    (d.repartition("landing_exchange", "snapshot_date")
+    (d.repartitionByRange("landing_exchange", "snapshot_date", "symbol")
      .write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
+     .option("maxRecordsPerFile", max_records_per_file)
      .option("header", True)
      .partitionBy("landing_exchange", "snapshot_date")
      .csv(path))
