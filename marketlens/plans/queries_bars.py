@@ -94,7 +94,8 @@ def p1_process_brand_bars(spark, sf):
 # Raw snapshots with overlap: every bar is downloaded the next day (first
 # snapshot) and again five days later, when bars with volume >= 5 come back
 # with a revised close.  U1 must keep exactly one row per key.
-def raw_snapshots(spark, sf):
+def snapshot_waves(spark, sf):
+    """(first downloads, re-downloads) of every bar."""
     b = T.bars(spark, sf)
     first = b.withColumn("download_timestamp",
                          F.col("date").cast("timestamp_ntz") + F.expr("INTERVAL 30 HOURS"))
@@ -102,6 +103,11 @@ def raw_snapshots(spark, sf):
                            .otherwise(F.col("close")))
               .withColumn("download_timestamp",
                           F.col("date").cast("timestamp_ntz") + F.expr("INTERVAL 126 HOURS")))
+    return first, second
+
+
+def raw_snapshots(spark, sf):
+    first, second = snapshot_waves(spark, sf)
     return first.unionByName(second)
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketlens.plans.catalog import register, with_cte
-from marketlens.plans.queries_bars import LOADED_AT, RAW_SQL, raw_snapshots
+from marketlens.plans.queries_bars import LOADED_AT, RAW_SQL, raw_snapshots, snapshot_waves
 from marketlens.session import scratch_path
 from marketlens.sources import ingest, sinks
 from marketlens.sources import tables as T
@@ -22,19 +22,23 @@ WIDE_EXCHANGE = "NATION_1"
 QUOTES_KEEP = 10
 
 
-def write_raw_landing(spark, sf) -> str:
-    """Raw snapshots as vendor CSV, two header layouts, partitioned by
-    exchange and snapshot day.  Returns the landing root."""
-    raw = raw_snapshots(spark, sf).withColumns({
+def land(raw, root: str, mode: str = "overwrite") -> str:
+    """Raw snapshot rows as vendor CSV under ``root``: two header layouts,
+    partitioned by exchange and snapshot day."""
+    raw = raw.withColumns({
         "exchangeCode": F.col("exchange"), "symbolCode": F.col("symbol"),
         "interval": F.lit("d"), "adjusted_close": F.col("close")})
-    root = scratch_path(spark, "landing")
     wide = F.col("exchange") == F.lit(WIDE_EXCHANGE)
-    sinks.write_landing(raw.filter(~wide), root, columns=ingest.RAW12)
+    sinks.write_landing(raw.filter(~wide), root, columns=ingest.RAW12, mode=mode)
     sinks.write_landing(raw.filter(wide), root, columns=ingest.RAW13, mode="append")
     return root
 
 
+def write_raw_landing(spark, sf) -> str:
+    """Both snapshots landed at once.  Returns the landing root."""
+    return land(raw_snapshots(spark, sf), scratch_path(spark, "landing"))
+
+
 def raw_landing_bars(spark, sf):
     root = write_raw_landing(spark, sf)
     return ingest.read_raw_bars(spark, f"{root}/*/*/*.csv")
@@ -151,14 +155,21 @@ FROM (SELECT exchange, symbol, date,
                      download_timestamp) AS r
       FROM raw GROUP BY exchange, symbol, date) t""")
 def g1_incremental_ingest(spark, sf):
-    """Land both snapshots, ingest them in several micro-batches, then run
-    the job again (nothing new arrives: the table must not change)."""
+    """Two collection cycles: the first downloads land and are ingested (in
+    several micro-batches), then the re-downloads land in the same day
+    folders and the job runs again, then once more with nothing new.  Insert
+    if absent keeps each bar's first download."""
     from marketlens.streaming.incremental import ingest_available
-    root = write_raw_landing(spark, sf)
+    first, second = snapshot_waves(spark, sf)
+    root = scratch_path(spark, "landing")
     table = scratch_path(spark, "bar_table")
     ckpt = scratch_path(spark, "ingest_ckpt")
-    ingest_available(spark, f"{root}/*/*/*.csv", table, ckpt, max_files_per_trigger=200)
-    ingest_available(spark, f"{root}/*/*/*.csv", table, ckpt)
+    glob = f"{root}/*/*/*.csv"
+    land(first, root)
+    ingest_available(spark, glob, table, ckpt, max_files_per_trigger=200)
+    land(second, root, mode="append")
+    ingest_available(spark, glob, table, ckpt, max_files_per_trigger=200)
+    ingest_available(spark, glob, table, ckpt)
     return spark.read.parquet(table)
 
 

@@ -39,17 +39,25 @@ def _existing_keys(spark: SparkSession, table_path: str, lo, hi) -> DataFrame |
 
 
 def insert_batch(batch: DataFrame, batch_id: int, table_path: str) -> None:
-    """foreachBatch body: dedupe, anti-join against the table, append."""
+    """foreachBatch body: dedupe, anti-join against the table, append.
+
+    The de-duplicated batch is used three times (date bounds, anti join,
+    write), so it is persisted for the duration of the call: a micro-batch
+    is bounded by ``maxFilesPerTrigger``, and a lost block is recomputed
+    from the batch's own files."""
     spark = batch.sparkSession
-    bars = dedupe_bars(batch.select(*TABLE_COLUMNS), policy="first")
-    bounds = bars.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
-    if bounds is None or bounds["lo"] is None:
-        return
-    existing = _existing_keys(spark, table_path, bounds["lo"], bounds["hi"])
-    new = bars if existing is None else bars.join(existing, list(BAR_KEYS), "left_anti")
-    (new.withColumns({"year": F.year("date"), "month": F.month("date")})
-     .repartition("year", "month")
-     .write.mode("append").partitionBy("year", "month").parquet(table_path))
+    bars = dedupe_bars(batch.select(*TABLE_COLUMNS), policy="first").persist()
+    try:
+        bounds = bars.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+        if bounds is None or bounds["lo"] is None:
+            return
+        existing = _existing_keys(spark, table_path, bounds["lo"], bounds["hi"])
+        new = bars if existing is None else bars.join(existing, list(BAR_KEYS), "left_anti")
+        (new.withColumns({"year": F.year("date"), "month": F.month("date")})
+         .repartition("year", "month")
+         .write.mode("append").partitionBy("year", "month").parquet(table_path))
+    finally:
+        bars.unpersist()
 
 
 def ingest_available(spark: SparkSession, landing_glob: str, table_path: str,

@@ -61,9 +61,12 @@ def test_clusters_labels_by_rank(spark):
 
 
 def test_incremental_ingest_idempotent(spark):
-    root = QI.write_raw_landing(spark, SMALL)
+    first, second = QB.snapshot_waves(spark, SMALL)
+    root = QI.land(first, scratch_path(spark, "land"))
     table, ckpt = scratch_path(spark, "t"), scratch_path(spark, "c")
     ingest_available(spark, f"{root}/*/*/*.csv", table, ckpt, max_files_per_trigger=100)
+    QI.land(second, root, mode="append")
+    ingest_available(spark, f"{root}/*/*/*.csv", table, ckpt, max_files_per_trigger=100)
     first = spark.read.parquet(table)
     n = first.count()
     assert n == first.select("exchange", "symbol", "date").distinct().count()
