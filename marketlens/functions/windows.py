@@ -79,6 +79,12 @@ def exact_stddev(c, w: WindowSpec | None = None, kind: str = "price") -> Column:
 
 
 def with_trailing_sums(df, cols: dict, ns, keys=SERIES_KEYS, order="date"):
+    """See module docs; ``ns`` is one list of frame lengths for every column
+    or a dict ``name -> lengths``."""
+    return _with_trailing_sums(df, cols, ns, keys, order)
+
+
+def _with_trailing_sums(df, cols: dict, ns, keys=SERIES_KEYS, order="date"):
     """Exact trailing sums and counts over the last n rows, in O(1) per row.
 
     For every ``name -> decimal column`` in ``cols`` and every n in ``ns``
@@ -99,7 +105,8 @@ def with_trailing_sums(df, cols: dict, ns, keys=SERIES_KEYS, order="date"):
     out = {}
     for name in cols:
         s, c = F.col(f"_cs_{name}"), F.col(f"_cc_{name}")
-        for n in sorted(set(ns)):
+        lengths = ns[name] if isinstance(ns, dict) else ns
+        for n in sorted(set(lengths)):
             out[f"_ts_{name}_{n}"] = s - F.coalesce(F.lag(s, n).over(w), F.lit(0))
             out[f"_tc_{name}_{n}"] = c - F.coalesce(F.lag(c, n).over(w), F.lit(0))
     return step.withColumns(out).drop(*cum)

@@ -40,11 +40,13 @@ def add_indicators(bars: DataFrame, ma=(5, 10, 20, 50), rsi: int = 14,
         "_gain": F.when(F.col("_chg") > 0, F.col("_chg")).otherwise(zero),
         "_loss": F.when(F.col("_chg") < 0, -F.col("_chg")).otherwise(zero),
     })
-    price_ns = set(ma) | {bb_n, fast, slow}
-    sums = W.with_trailing_sums(step1, {"c": close_d, "c2": close_d.cast("decimal(20,4)") * close_d.cast("decimal(20,4)")},
-                                price_ns)
-    sums = W.with_trailing_sums(sums, {"g": F.col("_gain"), "l": F.col("_loss")}, [rsi])
-    sums = W.with_trailing_sums(sums, {"v": F.col("volume").cast("decimal(20,0)")}, [vol])
+    # one running-sum pass and one lag pass for every trailing statistic
+    wide = close_d.cast("decimal(20,4)")
+    sums = W.with_trailing_sums(
+        step1,
+        {"c": close_d, "c2": wide * wide, "g": F.col("_gain"), "l": F.col("_loss"),
+         "v": F.col("volume").cast("decimal(20,0)")},
+        {"c": set(ma) | {bb_n, fast, slow}, "c2": [bb_n], "g": [rsi], "l": [rsi], "v": [vol]})
     step2 = sums.withColumns({
         **{f"ma_{n}": W.trailing_mean("c", n) for n in ma},
         "gain": F.col("_gain").cast("double"),
