@@ -1,4 +1,4 @@
-"""Job entry points for spark-submit (ship the package with --py-files)::
+r"""Job entry points for spark-submit (ship the package with --py-files)::
 
     spark-submit --py-files marketlens.zip marketlens/__main__.py \
         process --raw 's3://lake/raw/daily/*/*/*.csv' --out s3://lake
