@@ -84,6 +84,28 @@ def report_json(rep: DataFrame) -> DataFrame:
     return rep.select(F.to_json(body).alias("insights"))
 
 
+def report_schema(volume_type: str = "bigint") -> str:
+    """DDL of the JSON report written by ``report_json``."""
+    return (f"latest_date string, "
+            f"top_gainers array<struct<rank:int,symbol:string,exchange:string,"
+            f"daily_return:double,price:double,volume:{volume_type}>>, "
+            f"top_volume array<struct<rank:int,symbol:string,exchange:string,"
+            f"volume:{volume_type},price:double>>, "
+            f"anomaly_stocks array<struct<rank:int,symbol:string,exchange:string,"
+            f"date:string,anomaly_score:int>>, "
+            f"trading_signals map<string,bigint>")
+
+
+def parse_report_json(df: DataFrame, col: str = "insights", volume_type: str = "bigint") -> DataFrame:
+    """The one-row report back from its JSON text (ISO dates -> dates)."""
+    r = df.select(F.from_json(col, report_schema(volume_type)).alias("_r")).select("_r.*")
+    return r.select(
+        F.to_date("latest_date").alias("latest_date"), "top_gainers", "top_volume",
+        F.transform("anomaly_stocks",
+                    lambda x: x.withField("date", F.to_date(x["date"]))).alias("anomaly_stocks"),
+        "trading_signals")
+
+
 def flatten(rep: DataFrame) -> DataFrame:
     """The report back as rows (section, rank, ...) for value checks."""
     g = rep.select(F.lit("top_gainers").alias("section"), F.inline("top_gainers"))

@@ -7,13 +7,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketlens.operators import lookup, rankings
+from marketlens.operators import insights, lookup, rankings
 from marketlens.plans import jobs
 from marketlens.plans import queries_reports as QR
 from marketlens.plans.catalog import register, with_cte
 from marketlens.plans.queries_bars import (
     AS_OF, LOADED_AT, PROFILE_SELECT, RAW_SQL, VOL_HIGH, VOL_MEDIUM, _period_gainers_sql,
-    processed_sql,
+    anomalies_sql, indicators_sql, processed_sql, signals_sql,
 )
 from marketlens.plans.queries_ingest import write_raw_landing
 from marketlens.session import scratch_path
@@ -45,13 +45,22 @@ def q1_processing_job(spark, sf):
     return spark.read.parquet(paths["stock_aggregations"])
 
 
-@register("q2_analysis_job")
+JOB_BARS_CTES = (T.BARS_SQL.replace("bars AS (", "ev_bars AS (", 1),
+                 RAW_SQL.replace("FROM bars", "FROM ev_bars"), DEDUPED_BARS_SQL)
+
+
+@register("q2_analysis_job", QR.insights_flat_sql(
+    JOB_BARS_CTES + (processed_sql(), indicators_sql("processed"), anomalies_sql("ind"),
+                     signals_sql("flagged")),
+    volume="CAST(volume AS DOUBLE)"))
 def q2_analysis_job(spark, sf):
-    """Processing then analysis; returns the written insights JSON row
-    (its content is value-checked by q3_insights_flat)."""
+    """Raw landing -> processing -> analysis job; the insights JSON the job
+    wrote is parsed back and flattened.  The processed reader casts volume
+    to double (as the original reader does), hence the double volumes."""
     out, paths = _processing(spark, sf)
     res = jobs.analysis_job(spark, paths["daily_stocks"], out)
-    return spark.read.json(res["insights"])
+    rep = insights.parse_report_json(spark.read.json(res["insights"]), volume_type="double")
+    return insights.flatten(rep)
 
 
 @register("q4_market_summary")

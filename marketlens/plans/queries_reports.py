@@ -145,11 +145,15 @@ def q2_analysis_pipeline(spark, sf):
     return analysed(spark, sf)
 
 
-INSIGHTS_FLAT_SQL = with_cte(*ANALYSIS_CTES) + """
+def insights_flat_sql(ctes=ANALYSIS_CTES, volume: str = "volume") -> str:
+    return with_cte(*ctes) + INSIGHTS_FLAT_TAIL.format(volume=volume)
+
+
+INSIGHTS_FLAT_TAIL = """
 , today AS (SELECT * FROM sig WHERE date = (SELECT max(date) FROM sig)),
-g AS (SELECT symbol, exchange, daily_return, close AS price, volume FROM today
+g AS (SELECT symbol, exchange, daily_return, close AS price, {volume} AS volume FROM today
       WHERE daily_return > 0 ORDER BY daily_return DESC, exchange, symbol LIMIT 10),
-v AS (SELECT symbol, exchange, volume, close AS price FROM today
+v AS (SELECT symbol, exchange, {volume} AS volume, close AS price FROM today
       ORDER BY volume DESC NULLS LAST, exchange, symbol LIMIT 10),
 a AS (SELECT DISTINCT symbol, exchange, date, anomaly_score FROM sig WHERE has_anomaly
       ORDER BY anomaly_score DESC, date DESC, exchange, symbol LIMIT 20)
@@ -172,7 +176,7 @@ UNION ALL
 SELECT 'latest_date', NULL, NULL, NULL, NULL, NULL, NULL, max(date), NULL, NULL, NULL FROM sig"""
 
 
-@register("q3_insights_flat", INSIGHTS_FLAT_SQL)
+@register("q3_insights_flat", insights_flat_sql())
 def q3_insights_flat(spark, sf):
     return insights.flatten(insights.report(analysed(spark, sf)))
 
