@@ -77,6 +77,21 @@ def market_summary(bars: DataFrame) -> DataFrame:
     return one.select(F.to_json(body).alias("summary"))
 
 
+SUMMARY_SCHEMA = ("total_stocks bigint, total_records bigint, latest_update string, "
+                  "exchanges map<string,bigint>, "
+                  "date_range struct<min_date:string,max_date:string>")
+
+
+def flatten_summary(summary: DataFrame) -> DataFrame:
+    """Q4's JSON back as rows: one per exchange, summary values repeated."""
+    d = summary.select(F.from_json("summary", SUMMARY_SCHEMA).alias("_s")).select("_s.*")
+    return d.select("total_stocks", "total_records",
+                    F.to_date("latest_update").alias("latest_update"),
+                    F.to_date("date_range.min_date").alias("min_date"),
+                    F.to_date("date_range.max_date").alias("max_date"),
+                    F.explode("exchanges").alias("exchange", "n_symbols"))
+
+
 REPORT_SCHEMA = ("exchange string, successful_symbols bigint, failed_symbols bigint, "
                  "data_points bigint, hdfs_upload_count bigint, files bigint, "
                  "database_success bigint, database_failed bigint, success_rate double")

@@ -63,10 +63,14 @@ def q2_analysis_job(spark, sf):
     return insights.flatten(rep)
 
 
-@register("q4_market_summary")
+@register("q4_market_summary", with_cte(T.BARS_SQL) + """
+, s AS (SELECT count(DISTINCT symbol) AS total_stocks, count(*) AS total_records,
+               max(date) AS latest_update, min(date) AS min_date, max(date) AS max_date FROM bars),
+e AS (SELECT exchange, count(DISTINCT symbol) AS n_symbols FROM bars GROUP BY exchange)
+SELECT s.*, e.exchange, e.n_symbols FROM s, e""")
 def q4_market_summary(spark, sf):
-    """One-row JSON summary (parts value-checked by a5 and a6)."""
-    return jobs.market_summary(T.bars(spark, sf))
+    """The one-row JSON summary, parsed back: one row per exchange."""
+    return jobs.flatten_summary(jobs.market_summary(T.bars(spark, sf)))
 
 
 @register("q8_collection_job", with_cte(T.BARS_SQL, QR.attempts_sql()) + f"""
