@@ -61,3 +61,23 @@ def test_dedupe_is_partial_aggregation(spark):
     p = plan(df)
     assert "HashAggregate" in p or "ObjectHashAggregate" in p or "SortAggregate" in p
     assert "Window" not in p
+
+
+def test_series_windows_split_hot_keys_by_bucket(spark):
+    """Input already hash-partitioned by the key alone must still be
+    re-shuffled on (key, bucket) before the ordered windows, or a hot key's
+    whole history would run in one task."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from marketlens.functions import series as SR
+
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0 + dt.timedelta(minutes=i), "hot", float(i % 7)) for i in range(200)]
+    df = spark.createDataFrame(rows, "ts timestamp, instance string, value double").repartition("instance")
+    for out in (SR.islands(df, ["instance"], "ts", F.col("value") > 3, target_rows=20),
+                SR.running_total(df.withColumn("one", F.lit(1)), ["instance"], "ts", "one", "n",
+                                 target_rows=20)):
+        p = plan(out)
+        assert re.search(r"Exchange hashpartitioning\(instance#\d+, _bucket#\d+L?", p), p
