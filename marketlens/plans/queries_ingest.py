@@ -95,6 +95,22 @@ def s3_normalise_quotes(spark, sf):
                                    loaded_at=LOADED_AT)
 
 
+@register("s3_quotes_json_roundtrip", with_cte(T.BARS_SQL) + f"""
+SELECT exchange, symbol, date, open, high, low, close, close AS adjusted_close,
+       CAST(volume AS BIGINT) AS volume, 'd' AS interval,
+       TIMESTAMP '{LOADED_AT}' AS download_timestamp
+FROM (SELECT *, row_number() OVER (PARTITION BY exchange, symbol ORDER BY date DESC) AS rn
+      FROM bars) t
+WHERE rn <= {QUOTES_KEEP}""")
+def s3_quotes_json_roundtrip(spark, sf):
+    """Vendor quotes landed as JSON files, read back as text, normalised."""
+    root = scratch_path(spark, "quotes_json")
+    _vendor_quotes(spark, sf).write.json(root)
+    landed = ingest.read_quotes_json(spark, root)
+    return ingest.normalise_quotes(landed, symbol_col="ticker", exchange_col="venue",
+                                   keep_last=QUOTES_KEEP, loaded_at=LOADED_AT)
+
+
 @register("p12_clean_exchanges", """
 SELECT 'NATION_' || CAST(n.n_nationkey AS VARCHAR) AS code, coalesce(n.n_name, '') AS name,
        coalesce(r.r_name, '') AS country, '' AS currency, '' AS timeZone

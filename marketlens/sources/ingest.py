@@ -176,6 +176,21 @@ def standard_names(columns) -> dict[str, str]:
     return out
 
 
+def read_quotes_json(spark: SparkSession, path, schema=None, multi_line: bool = False,
+                     sampling_ratio: float = 1.0) -> DataFrame:
+    """S3: landed vendor quote files, one record per line (or a JSON array
+    per file with ``multi_line``), fields in any order.  Values are read as
+    text (``primitivesAsString``) and typed by ``normalise_quotes``.  Pass a
+    ``schema`` on large landings: inference is an extra pass over the data
+    (or a sample of it with ``sampling_ratio``)."""
+    r = spark.read.option("multiLine", multi_line).option("primitivesAsString", True)
+    if schema is not None:
+        r = r.schema(schema)
+    else:
+        r = r.option("samplingRatio", sampling_ratio)
+    return r.json(path)
+
+
 QUOTE_COLUMNS = ("exchange", "symbol", "date", "open", "high", "low", "close", "adjusted_close",
                  "volume", "interval", "download_timestamp")
 

@@ -135,3 +135,13 @@ def test_file_audit_and_directory_totals(spark, tmp_dir):
     assert (tot[""].file_count, tot[""].dir_count, tot[""].total_size) == (1, 1, 5)
     assert (tot["/a"].file_count, tot["/a"].dir_count, tot["/a"].total_size) == (1, 1, 10)
     assert (tot["/a/b"].file_count, tot["/a/b"].dir_count, tot["/a/b"].total_items) == (1, 0, 1)
+
+
+def test_quotes_json_array_any_order(spark, tmp_dir):
+    write(f"{tmp_dir}/q/a.json",
+          '[{"close": 2.5, "Date": "2024-01-02", "symbol": "A", "exchange": "X", "Volume": 7},\n'
+          ' {"exchange": "X", "symbol": "A", "Date": "2024-01-01", "close": "1.5", "Volume": null}]')
+    landed = ingest.read_quotes_json(spark, f"{tmp_dir}/q/*.json", multi_line=True)
+    out = sorted(ingest.normalise_quotes(landed, loaded_at="2024-02-01 00:00:00").collect(),
+                 key=lambda r: r.date)
+    assert [(r.date.day, r.close, r.volume) for r in out] == [(1, 1.5, None), (2, 2.5, 7)]
