@@ -389,8 +389,14 @@ def a12_table_row_counts(spark, sf):
     return profile.row_counts({t: T.read_table(spark, sf, t) for t in T.TABLES})
 
 
-@register("a15_period_stats", with_cte(T.BARS_SQL) + f"""
-, p AS (SELECT * FROM bars WHERE date BETWEEN {_lit_date(AS_OF - dt.timedelta(days=30))} AND {_lit_date(AS_OF)}),
+def _span_start_sql(as_of: dt.date, span: str) -> str:
+    unit, n = profile.SPANS[span]
+    return f"({_lit_date(as_of)} - INTERVAL {n} {'DAY' if unit == 'days' else 'MONTH'})"
+
+
+def period_stats_sql(bars_cte: str, as_of: dt.date, span: str) -> str:
+    return with_cte(bars_cte) + f"""
+, p AS (SELECT * FROM bars WHERE date BETWEEN CAST({_span_start_sql(as_of, span)} AS DATE) AND {_lit_date(as_of)}),
 s AS (
   SELECT exchange, symbol, arg_min(close, date) AS first_price, arg_max(close, date) AS latest_price,
          {S.div('CAST(sum(volume) AS DOUBLE)', 'count(volume)')} AS avg_volume,
@@ -400,11 +406,29 @@ SELECT *, latest_price - first_price AS price_change,
        coalesce({S.pct('latest_price', 'first_price')}, {S.d(0.0)}) AS price_change_pct,
        {S.div('latest_price', 'max_price')} * 100 AS pct_of_max,
        {S.div('latest_price', 'min_price')} * 100 AS pct_of_min
-FROM s""")
+FROM s"""
+
+
+@register("a15_period_stats", period_stats_sql(T.BARS_SQL, AS_OF, "1m"))
 def a15_period_stats(spark, sf):
     return profile.period_stats(T.bars(spark, sf), AS_OF, span="1m")
 
 
+@register("a15_period_stats_brand_3m", period_stats_sql(T.BRAND_BARS_SQL, BRAND_AS_OF, "3m"))
+def a15_period_stats_brand_3m(spark, sf):
+    return profile.period_stats(T.brand_bars(spark, sf), BRAND_AS_OF, span="3m")
+
+
+@register("a15_period_stats_brand_1y", period_stats_sql(T.BRAND_BARS_SQL, BRAND_AS_OF, "1y"))
+def a15_period_stats_brand_1y(spark, sf):
+    return profile.period_stats(T.brand_bars(spark, sf), BRAND_AS_OF, span="1y")
+
+
+@register("a15_period_stats_1w", period_stats_sql(T.BARS_SQL, AS_OF, "1w"))
+def a15_period_stats_1w(spark, sf):
+    return profile.period_stats(T.bars(spark, sf), AS_OF, span="1w")
+
+
 @register("a16_exchange_share", with_cte(T.BARS_SQL) + f"""
 SELECT exchange, n_bars, {S.div('CAST(n_bars AS DOUBLE)', 'CAST(sum(n_bars) OVER () AS DOUBLE)')} * 100 AS share_pct
 FROM (SELECT exchange, count(*) AS n_bars FROM bars GROUP BY exchange) t""")
