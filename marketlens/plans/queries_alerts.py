@@ -12,9 +12,13 @@ from marketlens.sources import tables as T
 
 # Which event series plays which resource of the band table.
 SERIES_TO_METRIC = {"view": "cpu", "click": "memory", "purchase": "disk"}
+# The rules use minutes (a scrape every few seconds); an events user has
+# about two readings a day, so the durations are scaled to that density:
+# a breach must last 12 hours, and rates use 7-day windows so most windows
+# hold the two samples irate needs.  The operators take any duration.
 SUSTAIN_ABOVE = 80.0
 SUSTAIN_FOR = 12 * 3600          # seconds
-SUSTAIN_BUCKET = 6 * 3600        # bucket of the skew-safe islands
+SUSTAIN_BUCKET = 6 * 3600        # fixed bucket here, so runs are stitched across buckets
 RATE_WINDOW = "7 days"
 
 
