@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from marketlens.functions.columns import (
     COUNT_DEC, PRICE_DEC, PRICE_SQ_SUM_DEC, PRICE_SUM_DEC, VOLUME_COUNT_DEC,
@@ -102,6 +103,15 @@ def _with_trailing_sums(df, cols: dict, ns, keys=SERIES_KEYS, order="date"):
         cum[f"_cs_{name}"] = F.sum(c).over(run)
         cum[f"_cc_{name}"] = F.count(c).over(run)
     step = df.withColumns(cum)
+    # A running sum of decimal(p, s) is decimal(min(38, p + 10), s); the
+    # difference of two decimal(38, s) needs 39 digits, and Spark would drop a
+    # decimal place to fit.  37 digits keep the difference exact (running sums
+    # up to 10^(37 - s)).
+    narrow = {}
+    for c, f in zip(step.columns, step.schema.fields):
+        if c in cum and isinstance(f.dataType, DecimalType) and f.dataType.precision > 37:
+            narrow[c] = F.col(c).cast(DecimalType(37, f.dataType.scale))
+    step = step.withColumns(narrow) if narrow else step
     out = {}
     for name in cols:
         s, c = F.col(f"_cs_{name}"), F.col(f"_cc_{name}")

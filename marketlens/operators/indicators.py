@@ -40,11 +40,12 @@ def add_indicators(bars: DataFrame, ma=(5, 10, 20, 50), rsi: int = 14,
         "_gain": F.when(F.col("_chg") > 0, F.col("_chg")).otherwise(zero),
         "_loss": F.when(F.col("_chg") < 0, -F.col("_chg")).otherwise(zero),
     })
-    # one running-sum pass and one lag pass for every trailing statistic
-    wide = close_d.cast("decimal(20,4)")
+    # one running-sum pass and one lag pass for every trailing statistic;
+    # decimal(16,4) squared is decimal(33,8): exact (a wider operand would
+    # exceed 38 digits and Spark would round the square to fewer decimals)
     sums = W.with_trailing_sums(
         step1,
-        {"c": close_d, "c2": wide * wide, "g": F.col("_gain"), "l": F.col("_loss"),
+        {"c": close_d, "c2": close_d * close_d, "g": F.col("_gain"), "l": F.col("_loss"),
          "v": F.col("volume").cast("decimal(20,0)")},
         {"c": set(ma) | {bb_n, fast, slow}, "c2": [bb_n], "g": [rsi], "l": [rsi], "v": [vol]})
     step2 = sums.withColumns({

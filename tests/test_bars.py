@@ -164,3 +164,23 @@ def test_period_stats_date_order(spark):
     assert s.first_price == 10.0 and s.latest_price == 9.0
     assert s.price_change_pct == pytest.approx(-10.0)
     assert s.trading_days == 4
+
+
+def test_std_exact_with_four_decimal_prices(spark):
+    """Bollinger sd from exact decimal moments equals the exact value for
+    prices with four decimals (the bar table's DECIMAL(10,4))."""
+    import math
+    from decimal import Decimal, getcontext
+    getcontext().prec = 60
+    closes = [Decimal("1234.5678") + Decimal(i * 7919 % 1000) / Decimal("1000.1234").quantize(Decimal("1.0000"))
+              for i in range(30)]
+    closes = [c.quantize(Decimal("1.0000")) for c in closes]
+    df = series(spark, [float(c) for c in closes])
+    rows = indicators.add_indicators(df).orderBy("date").collect()
+    for i in range(19, 30):
+        win = closes[i - 19:i + 1]
+        n = len(win)
+        s1, s2 = sum(win), sum(c * c for c in win)
+        # exact numerator, one conversion, one division (the documented formula)
+        want = math.sqrt(float(n * s2 - s1 * s1) / float(n * (n - 1)))
+        assert rows[i].std_20 == want, (i, rows[i].std_20, want)
