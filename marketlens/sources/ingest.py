@@ -35,11 +35,13 @@ PATH_PARTS = r"/(?:[^/=]+=)?([^/]+)/(?:[^/=]+=)?(\d{8})/[^/]+$"
 
 def text_lines(df: DataFrame) -> DataFrame:
     """Non-empty lines of a text-source frame (batch or streaming) with
-    their source file and field count."""
+    their source file, fields (split once per line: ``_fields``) and field
+    count."""
     v = F.col("value")
     return (df.select(v, F.col("_metadata.file_path").alias("source_file"))
             .filter(F.length(F.trim(v)) > 0)
-            .withColumn("n_fields", F.size(F.split(v, ",", -1))))
+            .withColumn("_fields", F.split(v, ",", -1))
+            .withColumn("n_fields", F.size("_fields")))
 
 
 def _lines(spark: SparkSession, path) -> DataFrame:
@@ -47,7 +49,7 @@ def _lines(spark: SparkSession, path) -> DataFrame:
 
 
 def _is_header(first_field: str) -> Column:
-    head = F.lower(F.trim(F.split(F.col("value"), ",", 2).getItem(0)))
+    head = F.lower(F.trim(F.col("_fields").getItem(0)))
     return head == F.lit(first_field.lower())
 
 
@@ -78,7 +80,7 @@ def split_ragged_lines(lines: DataFrame, layouts=(RAW12, RAW13),
     lines = lines.filter(~_is_header(header_first))
     counts = [len(x) for x in layouts]
     ok = F.col("n_fields").isin(counts)
-    return lines.filter(ok), lines.filter(~ok)
+    return lines.filter(ok), lines.filter(~ok).drop("_fields")
 
 
 def ragged_sample(bad: DataFrame, n: int = 50) -> DataFrame:
@@ -100,7 +102,7 @@ def parse_raw_lines(lines: DataFrame, layouts=(RAW12, RAW13), types=None) -> Dat
     types = types or {"date": "date", "volume": "long", "download_timestamp": "timestamp",
                       **{c: "double" for c in PRICE_COLS}}
     good, _ = split_ragged_lines(lines, layouts)
-    arr = F.split(F.col("value"), ",", -1)
+    arr = F.col("_fields")
     n = F.col("n_fields")
 
     def field(name: str) -> Column:
@@ -345,8 +347,8 @@ def read_reports(spark: SparkSession, path) -> DataFrame:
     left out; columns a version lacks are NULL."""
     lines = _lines(spark, path)
     is_head = _is_header("exchange")
-    heads = lines.filter(is_head).select("source_file", F.split("value", ",", -1).alias("_names"))
-    rows = lines.filter(~is_head).select("source_file", F.split("value", ",", -1).alias("_vals"))
+    heads = lines.filter(is_head).select("source_file", F.col("_fields").alias("_names"))
+    rows = lines.filter(~is_head).select("source_file", F.col("_fields").alias("_vals"))
     j = rows.join(heads, "source_file").filter(F.size("_names") == F.size("_vals"))
     m = F.map_from_arrays(F.transform("_names", lambda c: F.trim(c)), "_vals")
 
