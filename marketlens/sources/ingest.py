@@ -35,13 +35,18 @@ PATH_PARTS = r"/(?:[^/=]+=)?([^/]+)/(?:[^/=]+=)?(\d{8})/[^/]+$"
 
 def text_lines(df: DataFrame) -> DataFrame:
     """Non-empty lines of a text-source frame (batch or streaming) with
-    their source file, fields (split once per line: ``_fields``) and field
-    count."""
+    their source file, field count and fields (``_fields``).
+
+    Filters on lines are pushed below projections, so they use only cheap
+    string functions - the field count is the comma count plus one (equal to
+    the size of the split), the header check reads the first field with
+    ``substring_index`` - and the array is built once, by the projection."""
     v = F.col("value")
+    commas = F.length(v) - F.length(F.replace(v, F.lit(","), F.lit("")))
     return (df.select(v, F.col("_metadata.file_path").alias("source_file"))
             .filter(F.length(F.trim(v)) > 0)
-            .withColumn("_fields", F.split(v, ",", -1))
-            .withColumn("n_fields", F.size("_fields")))
+            .withColumn("n_fields", commas + F.lit(1))
+            .withColumn("_fields", F.split(v, ",", -1)))
 
 
 def _lines(spark: SparkSession, path) -> DataFrame:
@@ -49,7 +54,7 @@ def _lines(spark: SparkSession, path) -> DataFrame:
 
 
 def _is_header(first_field: str) -> Column:
-    head = F.lower(F.trim(F.col("_fields").getItem(0)))
+    head = F.lower(F.trim(F.substring_index(F.col("value"), ",", 1)))
     return head == F.lit(first_field.lower())
 
 
