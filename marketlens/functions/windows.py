@@ -79,13 +79,15 @@ def exact_stddev(c, w: WindowSpec | None = None, kind: str = "price") -> Column:
     return F.sqrt(safe_div(num.cast("double"), (n * (n - 1)).cast("double")))
 
 
-def with_trailing_sums(df, cols: dict, ns, keys=SERIES_KEYS, order="date"):
+def with_trailing_sums(df, cols: dict, ns, keys=SERIES_KEYS, order="date", prev=None):
     """See module docs; ``ns`` is one list of frame lengths for every column
-    or a dict ``name -> lengths``."""
-    return _with_trailing_sums(df, cols, ns, keys, order)
+    or a dict ``name -> lengths``.  ``prev`` (dict ``name -> lengths``) also
+    adds the same sums for the frame ending one row earlier
+    (``_tsp_{name}_{n}``, ``_tcp_{name}_{n}``), from the same lag pass."""
+    return _with_trailing_sums(df, cols, ns, keys, order, prev or {})
 
 
-def _with_trailing_sums(df, cols: dict, ns, keys=SERIES_KEYS, order="date"):
+def _with_trailing_sums(df, cols: dict, ns, keys=SERIES_KEYS, order="date", prev=None):
     """Exact trailing sums and counts over the last n rows, in O(1) per row.
 
     For every ``name -> decimal column`` in ``cols`` and every n in ``ns``
@@ -119,12 +121,18 @@ def _with_trailing_sums(df, cols: dict, ns, keys=SERIES_KEYS, order="date"):
         for n in sorted(set(lengths)):
             out[f"_ts_{name}_{n}"] = s - F.coalesce(F.lag(s, n).over(w), F.lit(0))
             out[f"_tc_{name}_{n}"] = c - F.coalesce(F.lag(c, n).over(w), F.lit(0))
+        for n in sorted(set((prev or {}).get(name, ()))):
+            # frame [i-n, i-1]: NULL on a series' first row, like lag(mean)
+            out[f"_tsp_{name}_{n}"] = F.lag(s, 1).over(w) - F.coalesce(F.lag(s, n + 1).over(w), F.lit(0))
+            out[f"_tcp_{name}_{n}"] = F.lag(c, 1).over(w) - F.coalesce(F.lag(c, n + 1).over(w), F.lit(0))
     return step.withColumns(out).drop(*cum)
 
 
-def trailing_mean(name: str, n: int) -> Column:
-    """Mean from ``with_trailing_sums`` columns (one double division)."""
-    return safe_div(F.col(f"_ts_{name}_{n}").cast("double"), F.col(f"_tc_{name}_{n}"))
+def trailing_mean(name: str, n: int, previous: bool = False) -> Column:
+    """Mean from ``with_trailing_sums`` columns (one double division); with
+    ``previous`` the mean of the frame ending one row earlier."""
+    t = "p" if previous else ""
+    return safe_div(F.col(f"_ts{t}_{name}_{n}").cast("double"), F.col(f"_tc{t}_{name}_{n}"))
 
 
 def trailing_stddev(name: str, sq_name: str, n: int, kind: str = "price") -> Column:
@@ -143,4 +151,4 @@ def trailing_stddev(name: str, sq_name: str, n: int, kind: str = "price") -> Col
 
 
 def drop_trailing(df):
-    return df.drop(*[c for c in df.columns if c.startswith(("_ts_", "_tc_"))])
+    return df.drop(*[c for c in df.columns if c.startswith(("_ts_", "_tc_", "_tsp_", "_tcp_"))])

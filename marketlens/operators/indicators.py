@@ -23,8 +23,10 @@ def add_moving_averages(bars: DataFrame, ma=(5, 10, 20, 50)) -> DataFrame:
 
 
 def add_indicators(bars: DataFrame, ma=(5, 10, 20, 50), rsi: int = 14,
-                   bb=(20, 2.0), macd=(12, 26), vol: int = 10) -> DataFrame:
+                   bb=(20, 2.0), macd=(12, 26), vol: int = 10, prev=()) -> DataFrame:
     """Moving averages, RSI, Bollinger bands, MACD, volume ratio.
+    ``prev`` lists moving-average lengths whose previous-row value is also
+    kept (``_prev_ma_n``, consumed and dropped by ``signals.add_signals``).
 
     Trailing statistics come from exact running sums (one pass per series,
     see ``windows.with_trailing_sums``); results equal sliding-frame sums
@@ -47,9 +49,12 @@ def add_indicators(bars: DataFrame, ma=(5, 10, 20, 50), rsi: int = 14,
         step1,
         {"c": close_d, "c2": close_d * close_d, "g": F.col("_gain"), "l": F.col("_loss"),
          "v": F.col("volume").cast("decimal(20,0)")},
-        {"c": set(ma) | {bb_n, fast, slow}, "c2": [bb_n], "g": [rsi], "l": [rsi], "v": [vol]})
+        {"c": set(ma) | {bb_n, fast, slow}, "c2": [bb_n], "g": [rsi], "l": [rsi], "v": [vol]},
+        prev={"c": prev})
     step2 = sums.withColumns({
         **{f"ma_{n}": W.trailing_mean("c", n) for n in ma},
+        # previous row's means (``prev``), for signals: no extra window pass
+        **{f"_prev_ma_{n}": W.trailing_mean("c", n, previous=True) for n in prev},
         "gain": F.col("_gain").cast("double"),
         "loss": F.col("_loss").cast("double"),
         # Simple trailing means of gain and loss

@@ -24,7 +24,8 @@ def analysis(processed: DataFrame) -> DataFrame:
     """Q2: indicators (W1-W8), anomaly flags (W9-W12) and signals
     (W13-W17) on processed bars.  Every window shares the (exchange, symbol)
     partitioning, so the whole pipeline plans one exchange."""
-    return signals.add_signals(anomalies.add_anomalies(indicators.add_indicators(processed)))
+    ind = indicators.add_indicators(processed, prev=(5, 20))
+    return signals.add_signals(anomalies.add_anomalies(ind))
 
 
 def _ranked(keys: list[Column], fields: list[str]) -> Column:

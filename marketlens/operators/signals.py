@@ -14,8 +14,10 @@ def add_signals(ind: DataFrame, rsi=(30.0, 70.0), vol=(0.5, 2.0),
     w = W.ordered()
     lo, hi = rsi
     vlo, vhi = vol
-    prev_fast = F.lag(fast).over(w)
-    prev_slow = F.lag(slow).over(w)
+    # previous-row averages from add_indicators(prev=...) when present (same
+    # values as lag(), computed in the indicators' lag pass), else a lag
+    prev_fast = F.col(f"_prev_{fast}") if f"_prev_{fast}" in ind.columns else F.lag(fast).over(w)
+    prev_slow = F.col(f"_prev_{slow}") if f"_prev_{slow}" in ind.columns else F.lag(slow).over(w)
     cross = (F.when((F.col(fast) > F.col(slow)) & (prev_fast <= prev_slow), F.lit("BUY"))
              .when((F.col(fast) < F.col(slow)) & (prev_fast >= prev_slow), F.lit("SELL"))
              .otherwise(F.lit("HOLD")))
@@ -37,7 +39,8 @@ def add_signals(ind: DataFrame, rsi=(30.0, 70.0), vol=(0.5, 2.0),
                 .when(x == "BUY", F.lit("BUY"))
                 .when(x == "SELL", F.lit("SELL"))
                 .otherwise(F.lit("HOLD")))
-    return step.withColumn("combined_signal", combined)
+    out = step.withColumn("combined_signal", combined)
+    return out.drop(*[c for c in out.columns if c.startswith("_prev_ma_")])
 
 
 def signal_counts(sig: DataFrame, col: str = "combined_signal") -> DataFrame:

@@ -284,7 +284,7 @@ sig AS (
 
 
 def _signals(bars_df):
-    return signals.add_signals(indicators.add_indicators(bars_df))
+    return signals.add_signals(indicators.add_indicators(bars_df, prev=(5, 20)))
 
 
 @register("w13_signals_brand", with_cte(T.BRAND_BARS_SQL, indicators_sql(), signals_sql())

@@ -184,3 +184,14 @@ def test_std_exact_with_four_decimal_prices(spark):
         # exact numerator, one conversion, one division (the documented formula)
         want = math.sqrt(float(n * s2 - s1 * s1) / float(n * (n - 1)))
         assert rows[i].std_20 == want, (i, rows[i].std_20, want)
+
+
+def test_signals_same_with_folded_previous_means(spark):
+    import math
+    closes = [20 + 5 * math.sin(i / 4) + (i % 5) * 0.37 for i in range(90)]
+    b = series(spark, closes).unionByName(series(spark, closes[::-1], symbol="B"))
+    plain = signals.add_signals(indicators.add_indicators(b))
+    folded = signals.add_signals(indicators.add_indicators(b, prev=(5, 20)))
+    assert plain.columns == folded.columns
+    assert plain.exceptAll(folded).count() == 0 and folded.exceptAll(plain).count() == 0
+    assert plain.filter("ma_crossover <> 'HOLD'").count() > 0
