@@ -87,12 +87,14 @@ def span_start(as_of, span: str):
     return F.date_sub(end, n) if unit == "days" else F.add_months(end, -n)
 
 
-def period_stats(bars: DataFrame, as_of, span: str = "1m") -> DataFrame:
+def period_stats(bars: DataFrame, as_of, span: str = "1m", symbol: str | None = None) -> DataFrame:
     """Per series over [span start, as_of] - first/latest price, change,
     change %, average volume, max/min close, latest as % of max/min, trading
     days.  Prices are taken in date order (fixes B9)."""
     end = _as_date(as_of)
     p = bars.filter(F.col("date").between(span_start(as_of, span), end))
+    if symbol is not None:  # the page's single symbol (pushed to the scan)
+        p = p.filter(F.col("symbol") == symbol)
     s = p.groupBy("exchange", "symbol").agg(
         F.min_by("close", "date").alias("first_price"),
         F.max_by("close", "date").alias("latest_price"),

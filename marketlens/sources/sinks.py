@@ -1,5 +1,5 @@
-"""Sinks: processed/analysis/insights/landing writers (S5-S9, S11, S12) and
-the join logic of idempotent inserts (S10/J6, J7).
+"""Sinks: processed/analysis/insights/landing writers (S5-S9, S11, S12),
+idempotent inserts into the bar table (S10/J6) and new metadata (J7).
 
 Writers lay files out for the readers: processed bars are range-partitioned
 on (year, month, exchange, symbol, date) before a partitioned write, so a hot
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from marketlens.operators.clean import BAR_KEYS, dedupe_bars
 
@@ -25,6 +26,44 @@ def rows_to_insert(existing: DataFrame, new: DataFrame, keys=BAR_KEYS,
     return fresh.join(existing.select(*keys), list(keys), "left_anti")
 
 
+def insert_if_absent(new: DataFrame, table_path: str, keys=BAR_KEYS,
+                     order_col: str = "download_timestamp",
+                     partition_by=("year", "month")) -> int:
+    """Append to the parquet bar table at ``table_path`` the rows of
+    ``new`` whose key it does not hold yet (first download wins; a missing
+    table is created).  Only the table's (year, month) folders within the
+    new rows' date range are read, and only their key columns.  Returns the
+    number of distinct keys in ``new`` (0: nothing was written).
+
+    ``new`` is de-duplicated and persisted for the three uses below (date
+    bounds, anti join, write); callers pass bounded batches."""
+    spark = new.sparkSession
+    fresh = dedupe_bars(new, keys=keys, policy="first", order_col=order_col).persist()
+    try:
+        b = fresh.agg(F.min("date").alias("lo"), F.max("date").alias("hi"),
+                      F.count(F.lit(1)).alias("n")).first()
+        if b is None or not b["n"]:
+            return 0
+        try:
+            t = spark.read.parquet(table_path)
+        except AnalysisException:  # first write creates the table
+            t = None
+        rows = fresh
+        if t is not None:
+            ym = F.col("year") * 100 + F.col("month")
+            lo, hi = b["lo"], b["hi"]
+            existing = (t.filter(ym.between(lo.year * 100 + lo.month, hi.year * 100 + hi.month))
+                        .filter(F.col("date").between(F.lit(lo), F.lit(hi)))
+                        .select(*keys))
+            rows = fresh.join(existing, list(keys), "left_anti")
+        (rows.withColumns({"year": F.year("date"), "month": F.month("date")})
+         .repartition(*partition_by)
+         .write.mode("append").partitionBy(*partition_by).parquet(table_path))
+        return b["n"]
+    finally:
+        fresh.unpersist()
+
+
 def new_metadata(meta: DataFrame, bars: DataFrame, keys=("symbol", "exchange")) -> DataFrame:
     """(symbol, exchange) pairs seen in bars but missing from metadata."""
     return bars.select(*keys).distinct().join(meta.select(*keys), list(keys), "left_anti")

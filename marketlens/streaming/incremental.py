@@ -16,48 +16,18 @@ touches, and only their key columns.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from marketlens.operators.clean import BAR_KEYS, dedupe_bars
-from marketlens.sources import ingest
+from marketlens.sources import ingest, sinks
 
 TABLE_COLUMNS = ("exchange", "symbol", "date", "open", "high", "low", "close", "adjusted_close",
                  "volume", "download_timestamp")
 
 
-def _existing_keys(spark: SparkSession, table_path: str, lo, hi) -> DataFrame | None:
-    try:
-        t = spark.read.parquet(table_path)
-    except Exception as e:  # missing table folder on the first run
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return None
-        raise
-    ym = F.col("year") * 100 + F.col("month")
-    return (t.filter(ym.between(lo.year * 100 + lo.month, hi.year * 100 + hi.month))
-            .filter(F.col("date").between(F.lit(lo), F.lit(hi)))
-            .select(*BAR_KEYS))
-
-
 def insert_batch(batch: DataFrame, batch_id: int, table_path: str) -> None:
-    """foreachBatch body: dedupe, anti-join against the table, append.
-
-    The de-duplicated batch is used three times (date bounds, anti join,
-    write), so it is persisted for the duration of the call: a micro-batch
-    is bounded by ``maxFilesPerTrigger``, and a lost block is recomputed
-    from the batch's own files."""
-    spark = batch.sparkSession
-    bars = dedupe_bars(batch.select(*TABLE_COLUMNS), policy="first").persist()
-    try:
-        bounds = bars.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
-        if bounds is None or bounds["lo"] is None:
-            return
-        existing = _existing_keys(spark, table_path, bounds["lo"], bounds["hi"])
-        new = bars if existing is None else bars.join(existing, list(BAR_KEYS), "left_anti")
-        (new.withColumns({"year": F.year("date"), "month": F.month("date")})
-         .repartition("year", "month")
-         .write.mode("append").partitionBy("year", "month").parquet(table_path))
-    finally:
-        bars.unpersist()
+    """foreachBatch body: insert-if-absent of the micro-batch (S10).  A
+    micro-batch is bounded by ``maxFilesPerTrigger``; a replayed batch finds
+    its keys present and adds nothing."""
+    sinks.insert_if_absent(batch.select(*TABLE_COLUMNS), table_path)
 
 
 def ingest_available(spark: SparkSession, landing_glob: str, table_path: str,

@@ -77,3 +77,21 @@ def test_incremental_ingest_idempotent(spark):
     assert spark.read.parquet(table).count() == n
     want = QB.u1_dedupe_first(spark, SMALL).select("exchange", "symbol", "date", "close")
     assert spark.read.parquet(table).select(*want.columns).exceptAll(want).count() == 0
+
+
+def test_insert_if_absent(spark, tmp_dir):
+    from marketlens.sources import sinks
+    schema = ("exchange string, symbol string, date date, close double, "
+              "download_timestamp timestamp")
+    t1, t2 = dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 5)
+    table = f"{tmp_dir}/bars"
+    first = spark.createDataFrame([("X", "A", D0, 1.0, t1), ("X", "B", D0, 2.0, t1)], schema)
+    assert sinks.insert_if_absent(first, table) == 2
+    later = spark.createDataFrame([("X", "A", D0, 9.0, t2),                     # present: kept as is
+                                   ("X", "C", D0, 3.0, t2), ("X", "C", D0, 4.0, t1),  # new: first wins
+                                   ("X", "A", D0 + dt.timedelta(days=40), 5.0, t2)], schema)
+    sinks.insert_if_absent(later, table)
+    sinks.insert_if_absent(later, table)                                          # replay: no change
+    got = {(r.symbol, r.date.month): r.close for r in spark.read.parquet(table).collect()}
+    assert got == {("A", 1): 1.0, ("B", 1): 2.0, ("C", 1): 4.0, ("A", 2): 5.0}
+    assert sinks.insert_if_absent(later.limit(0), table) == 0
