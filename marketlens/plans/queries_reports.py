@@ -1,4 +1,6 @@
-"""Catalog entries for collection reports."""
+"""Catalog entries for collection reports, the analysis
+pipeline and insights report (step 8), clustering (step 10) and the
+report reader over three versions (S17)."""
 
 from __future__ import annotations
 
@@ -6,10 +8,13 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from marketlens.operators import collection
+from marketlens.operators import clusters, collection, insights, profile
 from marketlens.plans import sqlgen as S
 from marketlens.plans.catalog import register, with_cte
-from marketlens.plans.queries_bars import AS_OF
+from marketlens.plans.queries_bars import (
+    AS_OF, anomalies_sql, indicators_sql, processed, processed_sql, signals_sql,
+)
+from marketlens.session import scratch_path
 from marketlens.sources import ingest
 from marketlens.sources import tables as T
 
@@ -127,10 +132,6 @@ def j9_exchanges_without_data(spark, sf):
 # Step 8: analysis pipeline (Q2), insights report (Q3, P26), results
 # --------------------------------------------------------------------------
 
-from marketlens.operators import insights  # noqa: E402
-from marketlens.plans.queries_bars import (  # noqa: E402
-    anomalies_sql, indicators_sql, processed, processed_sql, signals_sql,
-)
 
 ANALYSIS_CTES = (T.BARS_SQL, processed_sql(), indicators_sql("processed"),
                  anomalies_sql("ind"), signals_sql("flagged"))
@@ -215,7 +216,6 @@ def p27_result_signal(spark, sf):
 # Step 10: clustering (M1-M4, A4) - no SQL form, rows-only check
 # --------------------------------------------------------------------------
 
-from marketlens.operators import clusters, profile  # noqa: E402
 
 
 def clustered(spark, sf):
@@ -236,9 +236,6 @@ def a4_cluster_distribution(spark, sf):
 # The report in its three historical column versions, read back by name
 # --------------------------------------------------------------------------
 
-import datetime as _dt  # noqa: E402
-
-from marketlens.session import scratch_path  # noqa: E402
 
 # Columns of the three report versions, in file order.
 REPORT_V1 = ("exchange", "successful", "failed", "data_points", "files")
@@ -264,7 +261,7 @@ def write_report_versions(spark, sf) -> str:
 
 
 def _ts(stamp: str) -> str:
-    t = _dt.datetime.strptime(stamp, "%Y%m%d_%H%M%S")
+    t = dt.datetime.strptime(stamp, "%Y%m%d_%H%M%S")
     return f"TIMESTAMP '{t.isoformat(sep=' ')}'"
 
 
