@@ -195,3 +195,13 @@ def test_signals_same_with_folded_previous_means(spark):
     assert plain.columns == folded.columns
     assert plain.exceptAll(folded).count() == 0 and folded.exceptAll(plain).count() == 0
     assert plain.filter("ma_crossover <> 'HOLD'").count() > 0
+
+
+def test_anomaly_score_invariants(spark):
+    """SURVEY 5 invariants: score in 0..3; has_anomaly <=> score >= 2."""
+    from marketlens.sources import tables as T
+    from conftest import SMALL
+    an = anomalies.add_anomalies(T.brand_bars(spark, SMALL))
+    bad = an.filter(~F.col("anomaly_score").between(0, 3)
+                    | (F.col("has_anomaly") != (F.col("anomaly_score") >= 2)))
+    assert bad.count() == 0 and an.count() > 0
