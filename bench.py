@@ -1,7 +1,7 @@
 """Benchmark: headline catalog queries on $BENCH_SF_DIR (default sf0.1) with
-local[$BENCH_CPUS].  Each query runs three times through the ``noop`` sink
+local[$BENCH_CPUS].  Each query runs four times through the ``noop`` sink
 (the whole plan executes, nothing is collected); the first run warms up and
-the faster of the two warm runs is recorded (the host's timing noise is
+the fastest of the three warm runs is recorded (the host's timing noise is
 large next to these sub-second queries).  Prints one JSON line."""
 
 from __future__ import annotations
@@ -53,7 +53,7 @@ def main() -> None:
     for name in HEADLINE:
         fn = cat[name].fn
         runs = []
-        for _ in range(3):
+        for _ in range(4):
             t = time.perf_counter()
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - t)
