@@ -107,15 +107,39 @@ def parse_report_json(df: DataFrame, col: str = "insights", volume_type: str = "
         "trading_signals")
 
 
+FLAT_FIELDS = ("rank", "symbol", "exchange", "daily_return", "price", "volume", "date",
+               "anomaly_score", "signal", "n_rows")
+
+
 def flatten(rep: DataFrame) -> DataFrame:
-    """The report back as rows (section, rank, ...) for value checks."""
-    g = rep.select(F.lit("top_gainers").alias("section"), F.inline("top_gainers"))
-    v = rep.select(F.lit("top_volume").alias("section"), F.inline("top_volume"))
-    a = rep.select(F.lit("anomaly_stocks").alias("section"), F.inline("anomaly_stocks"))
-    s = rep.select(F.lit("trading_signals").alias("section"),
-                   F.explode("trading_signals").alias("signal", "n_rows"))
-    d = rep.select(F.lit("latest_date").alias("section"), F.col("latest_date").alias("date"))
-    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [g, v, a, s, d])
+    """The report back as rows (section, rank, ...) for value checks.
+
+    One pass over the one-row report: every section becomes an array of
+    structs of one shape, the arrays are concatenated and inlined once (a
+    union of five selects would evaluate the report plan five times)."""
+    types = {f.name: f.dataType for f in rep.schema["top_gainers"].dataType.elementType.fields}
+    types.update({f.name: f.dataType for f in rep.schema["anomaly_stocks"].dataType.elementType.fields})
+    types.update({"signal": "string", "n_rows": "bigint"})
+    date_type = rep.schema["latest_date"].dataType
+
+    def row(section: str, **vals) -> Column:
+        cols = [F.lit(section).alias("section")]
+        for f in FLAT_FIELDS:
+            t = date_type if f == "date" else types[f]
+            cols.append((vals[f] if f in vals else F.lit(None)).cast(t).alias(f))
+        return F.struct(*cols)
+
+    def section(col: str, fields) -> Column:
+        return F.transform(col, lambda x: row(col, **{f: x[f] for f in ("rank", *fields)}))
+
+    entries = F.concat(
+        section("top_gainers", GAINER_FIELDS),
+        section("top_volume", VOLUME_FIELDS),
+        section("anomaly_stocks", ANOMALY_FIELDS),
+        F.transform(F.map_entries("trading_signals"),
+                    lambda e: row("trading_signals", signal=e["key"], n_rows=e["value"])),
+        F.array(row("latest_date", date=F.col("latest_date"))))
+    return rep.select(F.inline(entries))
 
 
 # --- analysis results (P27) ------------------------------------------------
