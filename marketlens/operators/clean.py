@@ -7,6 +7,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from marketlens.functions import columns as C
 from marketlens.functions import windows as W
@@ -66,7 +67,10 @@ def dedupe_bars(df: DataFrame, keys=BAR_KEYS, policy: str = "first",
     rest = [c for c in df.columns if c not in keys and c != order_col]
     packed = F.struct(F.col(order_col), *[F.col(c) for c in rest])
     agg = F.min(packed) if policy == "first" else F.max(packed)
-    return (df.groupBy(*keys).agg(agg.alias("_row"))
+    # struct buffers make this a sort-based aggregate: fixed-width keys (the
+    # date) first let the sort settle most comparisons on its prefix
+    by = sorted(keys, key=lambda k: isinstance(df.schema[k].dataType, StringType))
+    return (df.groupBy(*by).agg(agg.alias("_row"))
             .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in [order_col] + rest])
             .select(*df.columns))
 
