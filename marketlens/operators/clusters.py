@@ -25,10 +25,10 @@ DESCRIPTIONS = ("Blue Chip, Stable", "Low Risk, Low Return", "Stable, Moderate R
                 "High Risk, High Return", "Volatile, Speculative")
 
 
-def cluster_symbols(profile: DataFrame, k: int = 5, seed: int = 42,
-                    descriptions=DESCRIPTIONS) -> DataFrame:
-    """M1-M4: (symbol, exchange, features..., cluster, cluster_rank,
-    cluster_description)."""
+def fit_clusters(profile: DataFrame, k: int = 5, seed: int = 42, descriptions=DESCRIPTIONS):
+    """M1-M3 fit and M4 labels: (pipeline model, features frame, label
+    table with one row per cluster ranked by centroid volatility, then
+    return)."""
     feats = profile.select("symbol", "exchange", *FEATURES).dropna()
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="skip"),
@@ -41,8 +41,16 @@ def cluster_symbols(profile: DataFrame, k: int = 5, seed: int = 42,
     ranked = sorted(centers, key=lambda t: (t[1], t[2], t[0]))
     labels = [(cid, r, descriptions[min(r, len(descriptions) - 1)])
               for r, (cid, _, _) in enumerate(ranked)]
-    spark = profile.sparkSession
-    lab = spark.createDataFrame(labels, "cluster int, cluster_rank int, cluster_description string")
+    lab = profile.sparkSession.createDataFrame(
+        labels, "cluster int, cluster_rank int, cluster_description string")
+    return model, feats, lab
+
+
+def cluster_symbols(profile: DataFrame, k: int = 5, seed: int = 42,
+                    descriptions=DESCRIPTIONS) -> DataFrame:
+    """M1-M4: (symbol, exchange, features..., cluster, cluster_rank,
+    cluster_description)."""
+    model, feats, lab = fit_clusters(profile, k, seed, descriptions)
     out = model.transform(feats).select("symbol", "exchange", *FEATURES, "cluster")
     return out.join(F.broadcast(lab), "cluster")
 

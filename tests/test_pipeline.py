@@ -95,3 +95,22 @@ def test_insert_if_absent(spark, tmp_dir):
     got = {(r.symbol, r.date.month): r.close for r in spark.read.parquet(table).collect()}
     assert got == {("A", 1): 1.0, ("B", 1): 2.0, ("C", 1): 4.0, ("A", 2): 5.0}
     assert sinks.insert_if_absent(later.limit(0), table) == 0
+
+
+def test_clusters_against_brute_force(spark):
+    """Standardisation and assignment recomputed with numpy on the small
+    fixture: every symbol sits in its nearest centroid, ranks follow the
+    centroids' volatility."""
+    import numpy as np
+    prof = profile.symbol_profile(QB.processed(spark, SMALL))
+    model, feats, lab = clusters.fit_clusters(prof, k=5, seed=42)
+    rows = model.transform(feats).select(*clusters.FEATURES, "cluster").collect()
+    x = np.array([[r[f] for f in clusters.FEATURES] for r in rows], dtype=float)
+    z = (x - x.mean(axis=0)) / x.std(axis=0, ddof=1)
+    centers = np.array(model.stages[-1].clusterCenters())
+    nearest = ((z[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2).argmin(axis=1)
+    assert list(nearest) == [r.cluster for r in rows]
+    ranks = {r.cluster: r.cluster_rank for r in lab.collect()}
+    by_rank = sorted(ranks, key=ranks.get)
+    vols = [centers[c][1] for c in by_rank]
+    assert vols == sorted(vols)
