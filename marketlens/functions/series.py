@@ -3,9 +3,11 @@
 A plain window ``partitionBy(key).orderBy(ts)`` puts every sample of a key
 in one task; a key holding a third of all samples would then be sorted and
 scanned by a single task.  These helpers cut each key's history into time
-buckets, run the ordered part inside each (key, bucket) partition, and
-stitch buckets together with small per-bucket summaries (one row per key
-and bucket), so no task ever holds more than one bucket of one key.
+buckets - of a fixed width, or of a width chosen per key so that a bucket
+holds about ``target_rows`` samples - shuffle explicitly on (key, bucket),
+run the ordered part inside each (key, bucket) partition, and stitch
+buckets together with small per-bucket summaries (one row per key and
+bucket), so no task holds more than a bucket's worth of one key.
 
 * ``running_total`` - cumulative sum per key in time order.
 * ``islands``       - maximal runs of consecutive samples where a condition
