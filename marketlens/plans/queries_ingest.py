@@ -115,11 +115,18 @@ def s3_quotes_json_roundtrip(spark, sf):
 @register("p12_clean_exchanges", """
 SELECT 'NATION_' || CAST(n.n_nationkey AS VARCHAR) AS code, coalesce(n.n_name, '') AS name,
        coalesce(r.r_name, '') AS country, '' AS currency, '' AS timeZone
-FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
+FROM (SELECT DISTINCT c_nationkey FROM customer) c
+JOIN nation n ON c.c_nationkey = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
 def p12_clean_exchanges(spark, sf):
+    """The vendor's exchange list: every exchange that lists symbols (the
+    customers' nations, one aggregation over the growing customer table),
+    with name and country from the nation and region dimensions."""
+    listed = T.read_table(spark, sf, "customer").select("c_nationkey").distinct()
     n = T.read_table(spark, sf, "nation")
     r = T.read_table(spark, sf, "region")
-    j = n.join(r, n.n_regionkey == r.r_regionkey, "left")
+    j = (listed.join(n, listed.c_nationkey == n.n_nationkey)
+         .join(r, n.n_regionkey == r.r_regionkey, "left"))
     return ingest.clean_exchanges(j.select(T.exchange_of(F.col("n_nationkey")).alias("code"),
                                            F.col("n_name").alias("name"),
                                            F.col("r_name").alias("country")))
