@@ -26,28 +26,33 @@ def _d(x: dt.date) -> str:
     return f"DATE '{x.isoformat()}'"
 
 
-def listed_symbols(spark, sf):
-    """The cycle's symbol list: first PER_EXCHANGE customers of each nation."""
+def listed_symbols(spark, sf, by_balance: bool = False):
+    """The cycle's symbol list: first PER_EXCHANGE customers of each nation
+    in customer-key order (or by account balance, largest first)."""
     c = T.read_table(spark, sf, "customer")
+    pos = -F.col("c_acctbal") if by_balance else F.col("c_custkey")
     listed = c.select(F.col("c_custkey").cast("string").alias("code"),
                       F.col("c_name").alias("name"),
                       T.exchange_of(F.col("c_nationkey")).alias("exchange"),
-                      F.col("c_custkey").alias("list_pos"))
+                      pos.alias("list_pos"))
     return (ingest.clean_symbols(listed, per_exchange=PER_EXCHANGE, order_col="list_pos")
             .select("exchange", F.col("code").alias("symbol")))
 
 
-def attempts(spark, sf, days=CYCLE_DAYS):
-    return collection.attempts(listed_symbols(spark, sf), T.bars(spark, sf), AS_OF, days)
+def attempts(spark, sf, days=CYCLE_DAYS, by_balance: bool = False):
+    return collection.attempts(listed_symbols(spark, sf, by_balance), T.bars(spark, sf),
+                               AS_OF, days)
 
 
-def attempts_sql(days=CYCLE_DAYS) -> str:
+def attempts_sql(days=CYCLE_DAYS, by_balance: bool = False) -> str:
+    order = ("c_acctbal DESC, CAST(c_custkey AS VARCHAR)" if by_balance
+             else "c_custkey, CAST(c_custkey AS VARCHAR)")
     return f"""
 listed AS (
   SELECT exchange, code AS symbol FROM (
     SELECT CAST(c_custkey AS VARCHAR) AS code,
            'NATION_' || CAST(c_nationkey AS VARCHAR) AS exchange,
-           row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS rn
+           row_number() OVER (PARTITION BY c_nationkey ORDER BY {order}) AS rn
     FROM customer WHERE c_name <> '') t WHERE rn <= {PER_EXCHANGE}),
 per AS (
   SELECT exchange, symbol, count(*) AS _n,
@@ -128,6 +133,21 @@ def j9_exchanges_without_data(spark, sf):
     return collection.without_data(rep, ex)
 
 
+@register("j9_exchanges_without_data_by_balance",
+          with_cte(T.BARS_SQL, attempts_sql(0, by_balance=True), REPORT_SQL) + """
+SELECT DISTINCT exchange FROM (
+  SELECT exchange FROM rep WHERE data_points = 0
+  UNION ALL
+  SELECT 'NATION_' || CAST(n_nationkey AS VARCHAR) AS exchange FROM nation
+  WHERE 'NATION_' || CAST(n_nationkey AS VARCHAR) NOT IN (SELECT exchange FROM rep)) t""")
+def j9_exchanges_without_data_by_balance(spark, sf):
+    """J9 for a cycle whose list puts the largest account balances first:
+    here several exchanges get no data on the as-of day."""
+    rep = collection.report(attempts(spark, sf, days=0, by_balance=True))
+    ex = T.read_table(spark, sf, "nation").select(T.exchange_of(F.col("n_nationkey")).alias("exchange"))
+    return collection.without_data(rep, ex)
+
+
 # --------------------------------------------------------------------------
 # Step 8: analysis pipeline (Q2), insights report (Q3, P26), results
 # --------------------------------------------------------------------------
