@@ -15,7 +15,7 @@ from marketlens.sources import sinks
 from marketlens.sources import tables as T
 
 SEARCH_TERM = "mach"
-PAGE_TERM = "an"
+PAGE_TERM = "hold"   # matches the HOUSEHOLD segment: page 2 is a full page
 MONTH_START = dt.date(2024, 1, 1)
 HIST_START, HIST_END = dt.date(2024, 1, 10), dt.date(2024, 1, 20)
 EXISTING_UNTIL = dt.date(2024, 1, 20)
