@@ -130,3 +130,21 @@ def test_incremental_ingest_skips_ragged_lines(spark, tmp_dir):
     ingest_available(spark, f"{tmp_dir}/land/*/*/*.csv", table, f"{tmp_dir}/ck")
     got = sorted((r.date.day, r.close) for r in spark.read.parquet(table).collect())
     assert got == [(1, 1.5), (3, 1.7)]
+
+
+def test_job_entry_points(spark, tmp_dir, capsys):
+    import marketlens.__main__ as cli
+    root = QI.write_raw_landing(spark, SMALL)
+    glob = f"{root}/*/*/*.csv"
+    cli.main(["process", "--raw", glob, "--out", f"{tmp_dir}/lake", "--csv-copy"])
+    cli.main(["analyze", "--processed", f"{tmp_dir}/lake/processed/daily_stocks",
+              "--out", f"{tmp_dir}/lake", "--start", "2024-01-10"])
+    cli.main(["ingest", "--landing", glob, "--table", f"{tmp_dir}/lake/tables/bars",
+              "--checkpoint", f"{tmp_dir}/lake/_ck", "--max-files-per-trigger", "300"])
+    out = [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
+    assert {"daily_stocks", "stock_aggregations"} <= set(out[0]) and "insights" in out[1]
+    daily = spark.read.parquet(f"{tmp_dir}/lake/processed/daily_stocks")
+    assert daily.count() == spark.read.parquet(f"{tmp_dir}/lake/tables/bars").count()
+    assert spark.read.json(f"{tmp_dir}/lake/analytics/insights").count() == 1
+    assert spark.read.option("header", True).csv(f"{tmp_dir}/lake/processed/daily_stocks_csv").count() \
+        == daily.count()
