@@ -69,3 +69,19 @@ def test_dedupe_first_is_earliest_and_idempotent(spark, rows):
             want[d] = (t, c)
     assert got == want
     assert clean.dedupe_bars(once, policy="first").exceptAll(once).count() == 0
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.integers(0, 60)), min_size=1, max_size=80),
+       st.integers(min_value=1, max_value=12))
+def test_normalise_quotes_keeps_newest_n(spark, rows, n):
+    from marketlens.sources import ingest
+    uniq = sorted(set(rows))
+    data = [(s, "X", (D0 + dt.timedelta(days=d)).isoformat(), str(d)) for s, d in uniq]
+    df = spark.createDataFrame(data, "symbol string, exchange string, Date string, Close string")
+    got = {(r.symbol, r.date) for r in ingest.normalise_quotes(df, keep_last=n).collect()}
+    want = set()
+    for s in {s for s, _ in uniq}:
+        days = sorted((d for t, d in uniq if t == s), reverse=True)[:n]
+        want |= {(s, D0 + dt.timedelta(days=d)) for d in days}
+    assert got == want

@@ -61,3 +61,20 @@ def test_landing_one_exchange_keeps_others(spark, tmp_dir):
     x = after.filter("exchange = 'X'").agg(F.sum("close")).first()[0]
     want = df.filter("exchange = 'X'").agg(F.sum("close")).first()[0] + 30
     assert x == want
+
+
+def test_cluster_conf_and_apply_unset(spark):
+    from marketlens.session import apply_unset, cluster_conf
+    c = cluster_conf(100 * (1 << 40), 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (256 << 20)
+    assert int(cluster_conf(1 << 20, 64)["spark.sql.shuffle.partitions"]) == 3 * 64
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    try:
+        apply_unset(spark, {key: "123456"})           # not set at launch: applied
+        assert spark.conf.get(key) == "123456"
+        master = spark.sparkContext.master
+        apply_unset(spark, {"spark.master": "yarn"})  # set at launch: left alone
+        assert spark.sparkContext.master == master
+    finally:
+        spark.conf.set(key, old)
