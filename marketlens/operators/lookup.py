@@ -82,11 +82,16 @@ def newest_per_series(bars: DataFrame, n: int = 30) -> DataFrame:
 def recent_changes(bars: DataFrame, n: int = 10) -> DataFrame:
     """Last n bars of each series with the change against the previous
     close (0 when there is no previous bar).  lag is taken over the whole
-    series first, so the first kept row still sees its predecessor."""
+    series first, so the first kept row still sees its predecessor.  A
+    series holds one bar per day, so the pass over it is bounded by the
+    calendar."""
     w = W.ordered()
-    wd = Window.partitionBy(*SERIES).orderBy(F.col("date").desc())
-    prev = F.lag("close").over(w)
-    x = bars.withColumns({"_prev": prev, "rank_desc": F.row_number().over(wd)})
+    # rank from the end on the same ascending order (one sort instead of a
+    # second, descending one): series length - position + 1
+    x = bars.withColumns({
+        "_prev": F.lag("close").over(w),
+        "rank_desc": (F.count(F.lit(1)).over(W.whole()) - F.row_number().over(w) + 1).cast("int"),
+    })
     return (x.filter(F.col("rank_desc") <= n)
             .select(*SERIES, "date", "open", "close", "volume", "rank_desc",
                     F.coalesce(F.col("close") - F.col("_prev"), F.lit(0.0)).alias("change"),
