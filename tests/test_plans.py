@@ -80,3 +80,14 @@ def test_series_windows_split_hot_keys_by_bucket(spark):
                                  target_rows=20)):
         p = plan(out)
         assert re.search(r"Exchange hashpartitioning\(instance#\d+, _bucket#\d+L?", p), p
+
+
+def test_bar_derivations_combine_map_side(spark):
+    """Ticks of a hot user or brand are combined before the shuffle: the
+    first exchange of each bar derivation sits on top of a partial aggregate."""
+    for df in (T.bars(spark, SMALL), T.brand_bars(spark, SMALL)):
+        p = plan(df)
+        lines = p.split("\n")
+        i = next(k for k, line in enumerate(lines) if "Exchange hashpartitioning" in line)
+        below = "\n".join(lines[i + 1:i + 4])
+        assert re.search(r"(Hash|Sort)Aggregate\(keys?=.*functions=\[partial_", below), p
