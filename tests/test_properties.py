@@ -85,3 +85,33 @@ def test_normalise_quotes_keeps_newest_n(spark, rows, n):
         days = sorted((d for t, d in uniq if t == s), reverse=True)[:n]
         want |= {(s, D0 + dt.timedelta(days=d)) for d in days}
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["A", "B", "C", "D"]), st.sampled_from(["X", "Y"]),
+                          st.integers(0, 20), st.integers(1, 50)), min_size=1, max_size=60),
+       st.integers(1, 5))
+def test_period_gainers_vs_brute_force(spark, rows, n):
+    from marketlens.operators import rankings
+    seen, data = set(), []
+    for s, e, d, c in rows:                      # one bar per (exchange, symbol, date)
+        if (e, s, d) not in seen:
+            seen.add((e, s, d))
+            data.append((e, s, D0 + dt.timedelta(days=d), float(c), float(c), float(c), float(c), d))
+    df = spark.createDataFrame(data, "exchange string, symbol string, date date, open double, "
+                               "high double, low double, close double, volume bigint")
+    as_of, days = D0 + dt.timedelta(days=15), 7
+    got = [(r.exchange, r.symbol, r.start_price, r.end_price, r.volume)
+           for r in rankings.period_gainers(df, as_of, days=days, n=n).collect()]
+    lo = as_of - dt.timedelta(days=days)
+    series = {}
+    for e, s, d, _, _, _, c, v in data:
+        if lo <= d <= as_of:
+            series.setdefault((e, s), []).append((d, c, v))
+    want = []
+    for (e, s), xs in series.items():
+        xs.sort()
+        first, last = xs[0][1], xs[-1][1]
+        want.append(((last - first) / first * 100, e, s, first, last, xs[-1][2]))
+    want.sort(key=lambda t: (-t[0], t[1], t[2]))
+    assert got == [(e, s, f, l_, v) for _, e, s, f, l_, v in want[:n]]
