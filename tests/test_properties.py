@@ -115,3 +115,27 @@ def test_period_gainers_vs_brute_force(spark, rows, n):
         want.append(((last - first) / first * 100, e, s, first, last, xs[-1][2]))
     want.sort(key=lambda t: (-t[0], t[1], t[2]))
     assert got == [(e, s, f, l_, v) for _, e, s, f, l_, v in want[:n]]
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["A", "B"]), st.integers(0, 30), st.integers(1, 99)),
+                min_size=1, max_size=50),
+       st.integers(1, 6))
+def test_recent_changes_vs_brute_force(spark, rows, n):
+    from marketlens.operators import lookup
+    seen, data = set(), []
+    for s, d, c in rows:
+        if (s, d) not in seen:
+            seen.add((s, d))
+            data.append(("X", s, D0 + dt.timedelta(days=d), float(c), float(c), 1))
+    df = spark.createDataFrame(data, "exchange string, symbol string, date date, open double, "
+                               "close double, volume bigint")
+    got = {(r.symbol, r.date): (r.rank_desc, r.change) for r in lookup.recent_changes(df, n).collect()}
+    want = {}
+    for s in {x[1] for x in data}:
+        xs = sorted((x[2], x[4]) for x in data if x[1] == s)
+        for i, (d, c) in enumerate(xs):
+            rank = len(xs) - i
+            if rank <= n:
+                want[(s, d)] = (rank, c - xs[i - 1][1] if i else 0.0)
+    assert got == want
