@@ -139,3 +139,29 @@ def test_recent_changes_vs_brute_force(spark, rows, n):
             if rank <= n:
                 want[(s, d)] = (rank, c - xs[i - 1][1] if i else 0.0)
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(1, 200), st.integers(1, 200), st.integers(0, 1000)),
+                min_size=1, max_size=40))
+def test_anomalies_vs_brute_force(spark, rows):
+    import math
+    from marketlens.operators import anomalies
+    data = [("X", "A", D0 + dt.timedelta(days=i), float(o), float(c), v) for i, (o, c, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "exchange string, symbol string, date date, open double, "
+                               "close double, volume bigint")
+    got = {r.date: (r.is_volume_anomaly, r.is_price_anomaly, r.is_gap_anomaly, r.anomaly_score)
+           for r in anomalies.add_anomalies(df).collect()}
+    vols = [v for *_, v in data]
+    n = len(vols)
+    mean = sum(vols) / n
+    sd = math.sqrt(float(n * sum(v * v for v in vols) - sum(vols) ** 2) / float(n * (n - 1))) if n > 1 else None
+    for i, (_, _, d, o, c, v) in enumerate(data):
+        z = (v - mean) / sd if sd else None
+        prev = data[i - 1][4] if i else None
+        pct = (c - prev) / prev * 100 if prev else None
+        gap = (o - prev) / prev * 100 if prev else None
+        flags = (None if z is None else abs(z) > 3, None if pct is None else abs(pct) > 10,
+                 None if gap is None else abs(gap) > 5)
+        want = (*flags, sum(1 for f in flags if f))
+        assert got[d] == want, (d, got[d], want)
