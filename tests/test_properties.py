@@ -165,3 +165,31 @@ def test_anomalies_vs_brute_force(spark, rows):
                  None if gap is None else abs(gap) > 5)
         want = (*flags, sum(1 for f in flags if f))
         assert got[d] == want, (d, got[d], want)
+
+
+@SETTINGS
+@given(st.lists(st.integers(1, 60), min_size=1, max_size=45))
+def test_ma_crossover_vs_brute_force(spark, closes):
+    from decimal import Decimal
+    from marketlens.operators import indicators, signals
+    data = [("X", "A", D0 + dt.timedelta(days=i), float(c), float(c), float(c), float(c), 1)
+            for i, c in enumerate(closes)]
+    df = spark.createDataFrame(data, "exchange string, symbol string, date date, open double, "
+                               "high double, low double, close double, volume bigint")
+    sig = signals.add_signals(indicators.add_indicators(df, prev=(5, 20)))
+    got = [r.ma_crossover for r in sig.orderBy("date").collect()]
+
+    def ma(i, n):
+        w = closes[max(0, i - n + 1):i + 1]
+        return float(Decimal(sum(w))) / len(w)
+
+    want = []
+    for i in range(len(closes)):
+        f, s = ma(i, 5), ma(i, 20)
+        if i and f > s and ma(i - 1, 5) <= ma(i - 1, 20):
+            want.append("BUY")
+        elif i and f < s and ma(i - 1, 5) >= ma(i - 1, 20):
+            want.append("SELL")
+        else:
+            want.append("HOLD")
+    assert got == want
