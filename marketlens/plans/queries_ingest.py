@@ -189,9 +189,9 @@ def g1_incremental_ingest(spark, sf):
     ckpt = scratch_path(spark, "ingest_ckpt")
     glob = f"{root}/*/*/*.csv"
     land(first, root)
-    ingest_available(spark, glob, table, ckpt, max_files_per_trigger=200)
+    ingest_available(spark, glob, table, ckpt, max_files_per_trigger=400)
     land(second, root, mode="append")
-    ingest_available(spark, glob, table, ckpt, max_files_per_trigger=200)
+    ingest_available(spark, glob, table, ckpt, max_files_per_trigger=400)
     ingest_available(spark, glob, table, ckpt)
     return spark.read.parquet(table)
 
