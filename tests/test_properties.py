@@ -193,3 +193,33 @@ def test_ma_crossover_vs_brute_force(spark, closes):
         else:
             want.append("HOLD")
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["A", "B"]), st.integers(0, 40), st.integers(1, 500),
+                          st.integers(1, 90)), min_size=1, max_size=50))
+def test_symbol_profile_vs_brute_force(spark, rows):
+    import math
+    from decimal import Decimal
+    from marketlens.operators import profile
+    seen, data = set(), []
+    for s, d, c, v in rows:
+        if (s, d) not in seen:
+            seen.add((s, d))
+            close = float(Decimal(c) / 4)                   # quarter steps: exact in both
+            data.append((s, "X", D0 + dt.timedelta(days=d), close, v, 0.0))
+    df = spark.createDataFrame(data, "symbol string, exchange string, date date, close double, "
+                               "volume bigint, daily_return double")
+    got = {r.symbol: r for r in profile.symbol_profile(df).collect()}
+    for s in {x[0] for x in data}:
+        xs = [x for x in data if x[0] == s]
+        cs = [Decimal(repr(x[3])) for x in xs]
+        n = len(cs)
+        mean = float(sum(cs)) / n
+        sd = (math.sqrt(float(n * sum(c * c for c in cs) - sum(cs) ** 2) / float(n * (n - 1)))
+              if n > 1 else None)
+        r = got[s]
+        assert r.record_count == n and r.avg_price == mean and r.price_volatility == sd
+        assert (r.max_volume, r.min_volume) == (max(x[4] for x in xs), min(x[4] for x in xs))
+        assert r.data_span_days == (max(x[2] for x in xs) - min(x[2] for x in xs)).days
+        assert r.price_range_ratio == (sd / mean * 100 if sd is not None else None)
