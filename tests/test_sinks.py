@@ -4,6 +4,7 @@ import datetime as dt
 import glob
 import json
 import os
+import re
 
 from pyspark.sql import functions as F
 
@@ -78,3 +79,15 @@ def test_cluster_conf_and_apply_unset(spark):
         assert spark.sparkContext.master == master
     finally:
         spark.conf.set(key, old)
+
+
+def test_read_bars_prunes_both_ends(spark, tmp_dir):
+    rows = [("X", "A", dt.date(2024, m, 15), float(m), m) for m in range(1, 13)]
+    df = spark.createDataFrame(rows, "exchange string, symbol string, date date, close double, volume bigint")
+    df = df.withColumns({"year": F.year("date"), "month": F.month("date")})
+    sinks.write_processed(df, f"{tmp_dir}/p")
+    b = ingest.read_bars(spark, f"{tmp_dir}/p", start=dt.date(2024, 3, 20), end=dt.date(2024, 6, 10))
+    assert sorted(r.close for r in b.collect()) == [4.0, 5.0]
+    assert dict(b.dtypes)["volume"] == "double"          # the reader casts numerics to double
+    p = b._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*year", p), p         # month folders pruned
