@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketlens.llm import secrets, sharding, simhash, urlfilter
+from marketlens.llm import langid, mixing, secrets, sharding, simhash, tokens, urlfilter
+from marketlens.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +22,16 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), simhash.hex_fp("fp").alias("fingerprint"), "component_id")
 
 
+def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    tokens.write_tokens(_table(spark, sf_dir, "documents"), path)
+    return tokens.read_documents(spark, path)
+
+
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 def op8_rendezvous_shards(spark: SparkSession, sf_dir: str, shards: int = 16) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     rows = sharding.assign(docs, [1.0] * shards).withColumn(
@@ -33,5 +44,16 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(_table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_simhash_dedup, op8_rendezvous_shards, op9_url_filter)}
-ORACLE_SQL = {"op9_url_filter": urlfilter.oracle_sql()}
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_secret_scan, op3_simhash_dedup, op4_token_ids, op5_mix_sources, op8_rendezvous_shards, op9_url_filter,
+    op10_language_id)}
+ORACLE_SQL = {
+    "op5_mix_sources": mixing.oracle_sql(),
+    "op9_url_filter": urlfilter.oracle_sql(),
+}
