@@ -3,6 +3,8 @@ tables and connected components."""
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -44,6 +46,13 @@ def map_rows(df: DataFrame, schema: str | T.StructType,
     return df.mapInArrow(run, out)
 
 
+def worker_cache() -> dict:
+    """A dictionary of this Python worker process that outlives its tasks.
+    (Shipped functions get fresh module globals with every task.)"""
+    name = "marketlens_worker_cache"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+
+
 def checksum(df: DataFrame) -> tuple:
     """Row count and an order-free hash sum: equal for equal tables."""
     r = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()

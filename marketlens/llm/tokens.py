@@ -36,8 +36,10 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from marketlens.llm.common import worker_cache
+
 SHARD_TOKENS = 4_000_000
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 1_200_000
 END_ID = 0
 _MAGIC = b"WVM1"
 
@@ -82,7 +84,7 @@ class Encoder:
         self.cut = bool(plain) and conf.get("normalizer") is None and pre.get("type") == "ByteLevel" and bool(
             pre.get("use_regex", True)) and not pre.get("add_prefix_space")
         self.mark, self.mark_id = (plain[0]["content"], plain[0]["id"]) if plain else ("", -1)
-        self.limit, self.cache = cache_pieces, {}
+        self.limit, self.cache, self.old = cache_pieces // 2, {}, {}
 
     def _pack(self, ids) -> bytes:
         return np.array(ids, f"<u{self.width}").tobytes()
@@ -97,8 +99,6 @@ class Encoder:
 
     def _learn(self, keys: list[str]) -> None:
         """Encode pieces: a key is a piece after a space, or "\\0" + a text's start."""
-        if len(self.cache) + len(keys) > self.limit:
-            self.cache = {}
         for s in range(0, len(keys), 512):
             part = keys[s:s + 512]
             text = self.mark.join(k[1:] if k[:1] == "\0" else " " + k for k in part)
@@ -110,6 +110,8 @@ class Encoder:
                 at = end + 1
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.cache) > self.limit:  # pieces of the older half that are met again come back
+            self.old, self.cache = self.cache, {}
         out: list[bytes | None] = [None] * len(texts)
         whole, waiting, unknown = [], [], set()
         for i, t in enumerate(texts):
@@ -127,10 +129,9 @@ class Encoder:
                 else:
                     out[i] = b"".join(got)
         if unknown:
-            kept = self.cache
-            self._learn(list(unknown))
-            if self.cache is not kept:  # the cache was emptied: learn this call's other pieces again
-                self._learn(list({p for _, ps in waiting for p in ps} - self.cache.keys()))
+            for p in unknown & self.old.keys():
+                self.cache[p] = self.old[p]
+            self._learn(list(unknown - self.old.keys()))
         for i, pieces in waiting:
             out[i] = b"".join(map(self.cache.__getitem__, pieces))
         for i, ids in zip(whole, self._whole([texts[i] for i in whole]) if whole else []):
@@ -273,7 +274,8 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str | None = None, id_col:
     vocabulary = tokenizer or public_vocabulary()
 
     def run(batches):
-        enc = Encoder(vocabulary)
+        enc = worker_cache().setdefault(("encoder", vocabulary), None) or Encoder(vocabulary)
+        worker_cache()[("encoder", vocabulary)] = enc
         end = np.array([END_ID], f"<u{enc.width}").tobytes()
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         data, docs, starts, n = [], [], [], 0
@@ -329,7 +331,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                     [pa.array(docs, pa.int64()), pa.array(starts[:-1] + first), pa.array(np.diff(starts)),
                      pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    base = shards.join(offset, "part").select((F.col("offset") + F.col("before")).alias("base"), "blob")
+    # one row per range, as many as the write had partitions: a bounded broadcast
+    base = shards.join(F.broadcast(offset), "part").select((F.col("offset") + F.col("before")).alias("base"), "blob")
     return base.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
