@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketlens.llm import covertree, langid, mixing, secrets, sharding, simhash, tokens, urlfilter
+from marketlens.llm import covertree, decontam, langid, mixing, secrets, sharding, simhash, tokens, urlfilter
 from marketlens.session import scratch_path
 
 
@@ -32,6 +32,13 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item found in it."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.find_leaks(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 def op7_cover_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = covertree.near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.93)
     return found.withColumnRenamed("id", "vec_id")
@@ -57,7 +64,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op3_simhash_dedup, op4_token_ids, op5_mix_sources,
-    op7_cover_tree_dedup, op8_rendezvous_shards, op9_url_filter,
+    op6_decontaminate, op7_cover_tree_dedup, op8_rendezvous_shards, op9_url_filter,
     op10_language_id)}
 ORACLE_SQL = {
     "op5_mix_sources": mixing.oracle_sql(),

@@ -39,9 +39,10 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from marketlens.llm.common import worker_cache
 
 SHARD_TOKENS = 4_000_000
-CACHE_PIECES = 1_200_000
+CACHE_PIECES = 600_000
 END_ID = 0
 _MAGIC = b"WVM1"
+_MARK = "\x0b"
 
 
 def public_vocabulary() -> str:
@@ -60,9 +61,9 @@ class Encoder:
     space that follows a non-space, so such a text is cut there, each
     different piece is encoded once by the tokenizers library and kept, and
     the ids of the pieces are joined.  Pieces are encoded many at a time,
-    with the end-of-text token between them, which the library always takes
-    as a token of its own.  Other texts (and vocabularies) are encoded
-    whole."""
+    with a vertical tab between them: before a space it is a token of its
+    own, and texts that hold one are not cut.  Other texts (and
+    vocabularies) are encoded whole."""
 
     _ASCII_SPACE = tuple(c + " " for c in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f")
     _OTHER_SPACE = tuple(chr(c) + " " for c in (
@@ -80,10 +81,10 @@ class Encoder:
         self.width = 2 if self.tok.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.planes = max(1, (self.tok.get_vocab_size(with_added_tokens=True) - 1).bit_length())
         self.added = tuple(a["content"] for a in added)
-        plain = [a for a in added if a["special"] and not (a["lstrip"] or a["rstrip"] or a["single_word"])]
-        self.cut = bool(plain) and conf.get("normalizer") is None and pre.get("type") == "ByteLevel" and bool(
+        mark = self.tok.encode(_MARK, add_special_tokens=False).ids
+        self.cut = len(mark) == 1 and conf.get("normalizer") is None and pre.get("type") == "ByteLevel" and bool(
             pre.get("use_regex", True)) and not pre.get("add_prefix_space")
-        self.mark, self.mark_id = (plain[0]["content"], plain[0]["id"]) if plain else ("", -1)
+        self.mark = mark[0] if mark else -1
         self.limit, self.cache, self.old = cache_pieces // 2, {}, {}
 
     def _pack(self, ids) -> bytes:
@@ -93,21 +94,29 @@ class Encoder:
         return [self._pack(e.ids) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _cuttable(self, text: str) -> bool:
-        return (self.cut and "\0" not in text and not any(a in text for a in self.added)
+        return (self.cut and "\0" not in text and _MARK not in text and not any(a in text for a in self.added)
                 and not any(s in text for s in self._ASCII_SPACE)
                 and (text.isascii() or not any(s in text for s in self._OTHER_SPACE)))
 
     def _learn(self, keys: list[str]) -> None:
-        """Encode pieces: a key is a piece after a space, or "\\0" + a text's start."""
-        for s in range(0, len(keys), 512):
-            part = keys[s:s + 512]
-            text = self.mark.join(k[1:] if k[:1] == "\0" else " " + k for k in part)
-            ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, f"<u{self.width}")
-            ends = np.r_[np.flatnonzero(ids == self.mark_id), len(ids)]
-            data, at, w = ids.tobytes(), 0, self.width
-            for key, end in zip(part, ends.tolist()):
-                self.cache[key] = data[at * w:end * w]
-                at = end + 1
+        """Encode pieces: a key is a piece after a space, or "\0" + a text's start."""
+        plain = [k for k in keys if k and k[0] != "\0" and not k[-1].isspace()]
+        w = self.width
+        for s in range(0, len(plain), 512):
+            part = plain[s:s + 512]
+            # a vertical tab before a space is a token of its own
+            ids = np.array(self.tok.encode_batch_fast([" " + f"{_MARK} ".join(part)], add_special_tokens=False)[0].ids,
+                           f"<u{w}")
+            ends = np.r_[np.flatnonzero(ids == self.mark), len(ids)]
+            starts = np.r_[0, ends[:-1] + 1]
+            if len(ends) != len(part):
+                raise ValueError("the vocabulary joins pieces across a vertical tab")
+            data = ids.tobytes()
+            self.cache.update(zip(part, [data[i:j] for i, j in zip((starts * w).tolist(), (ends * w).tolist())]))
+        if len(plain) < len(keys):
+            others = list(set(keys).difference(plain))
+            texts = [k[1:] if k[:1] == "\0" else " " + k for k in others]
+            self.cache.update(zip(others, self._whole(texts)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > self.limit:  # pieces of the older half that are met again come back
