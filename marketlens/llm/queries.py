@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketlens.llm import covertree, decontam, langid, mixing, secrets, sharding, simhash, tokens, urlfilter
+from marketlens.llm import covertree, decontam, langid, mixing, secrets, sharding, simhash, surrogates, tokens, urlfilter
 from marketlens.session import scratch_path
 
 
@@ -17,6 +17,11 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(_table(spark, sf_dir, "documents")))
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = surrogates.replace_pii(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "text", *[f"n_{k}" for k in surrogates.KINDS])
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(_table(spark, sf_dir, "documents"), k=3, max_bits=3)
     return found.select(F.col("id").alias("doc_id"), simhash.hex_fp("fp").alias("fingerprint"), "component_id")
@@ -63,8 +68,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_secret_scan, op3_simhash_dedup, op4_token_ids, op5_mix_sources,
-    op6_decontaminate, op7_cover_tree_dedup, op8_rendezvous_shards, op9_url_filter,
+    op1_secret_scan, op2_pii_surrogates, op3_simhash_dedup, op4_token_ids, op5_mix_sources, op6_decontaminate,
+    op7_cover_tree_dedup, op8_rendezvous_shards, op9_url_filter,
     op10_language_id)}
 ORACLE_SQL = {
     "op5_mix_sources": mixing.oracle_sql(),
