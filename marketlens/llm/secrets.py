@@ -253,9 +253,13 @@ def digest(found: DataFrame) -> DataFrame:
     text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     own = F.filter("spans", lambda s: s["kind"].isin(base))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
     return found.select(
         F.col("id").alias("doc_id"),
-        *[F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base],
+        *[count(k).alias(f"n_{k}") for k in base],
         F.sha2(text(own).cast("binary"), 256).alias("base_sha256"),
         text(F.col("spans")).alias("spans"))
 
