@@ -49,6 +49,13 @@ def process_bars(df: DataFrame, min_volume: int = 0, high: int = 1_000_000,
     return out
 
 
+def valid_bars(df: DataFrame, min_volume: int = 0) -> DataFrame:
+    """Rows with a date, a numeric close and a volume above the bound."""
+    return df.filter(F.col("date").try_cast("date").isNotNull()
+                     & F.col("close").try_cast("double").isNotNull()
+                     & (F.col("volume").try_cast("long") > F.lit(min_volume)))
+
+
 def dedupe_bars(df: DataFrame, keys=BAR_KEYS, policy: str = "first",
                 order_col: str = "download_timestamp") -> DataFrame:
     """One row per key.  ``first`` keeps the earliest ``order_col`` (first
@@ -65,7 +72,9 @@ def dedupe_bars(df: DataFrame, keys=BAR_KEYS, policy: str = "first",
         raise ValueError(f"unknown dedupe policy {policy!r}")
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys and c != order_col]
-    packed = F.struct(F.col(order_col), *[F.col(c) for c in rest])
+    # "first": an unknown stamp loses against any known one (NULLs sort first in a struct)
+    unknown = F.col(order_col).isNull() if policy == "first" else F.lit(False)
+    packed = F.struct(unknown.alias("_unknown"), F.col(order_col), *[F.col(c) for c in rest])
     agg = F.min(packed) if policy == "first" else F.max(packed)
     # struct buffers make this a sort-based aggregate: fixed-width keys (the
     # date) first let the sort settle most comparisons on its prefix
@@ -93,23 +102,36 @@ def calendar_spine(symbols: DataFrame, start, end, keys=("exchange", "symbol"))
 
 
 def missing_days(bars: DataFrame, start=None, end=None,
-                 keys=("exchange", "symbol")) -> DataFrame:
-    """Days without a bar inside each series' span (or inside [start, end]).
-
-    The gaps come from consecutive bars: the days strictly between the
-    previous and the current date.  One window (shared series exchange) and a
-    generator - no spine is materialised and no join is needed.
-    """
+                 keys=("exchange", "symbol"), listing: DataFrame | None = None) -> DataFrame:
+    """Days without a bar inside each series' span, or inside [start, end].
+
+    Only bars inside the bounds count, so nothing outside them is returned.
+    With both bounds, the series are those of ``listing`` (default: every
+    series with a bar at any date); one without a bar inside is reported in
+    full.  The gaps come from consecutive bars: the days strictly between
+    one and the next.  One window on the series key and a generator - no
+    spine is materialised; the listing adds a join of keys only."""
+    keys = list(keys)
+    inside = bars.select(*keys, "date")
+    if start is not None:
+        inside = inside.filter(F.col("date") >= _as_date(start))
+    if end is not None:
+        inside = inside.filter(F.col("date") <= _as_date(end))
     w = W.ordered(keys)
-    prev = F.lag("date").over(w)
-    nxt = F.lead("date").over(w)
+    prev, nxt = F.lag("date").over(w), F.lead("date").over(w)
+    none = F.array().cast("array<date>")
     lo = F.date_add(prev, 1) if start is None else F.coalesce(F.date_add(prev, 1), _as_date(start))
-    gaps = F.when(F.date_sub(F.col("date"), 1) >= lo,
-                  F.sequence(lo, F.date_sub(F.col("date"), 1)))
+    gaps = F.coalesce(F.when(F.date_sub(F.col("date"), 1) >= lo,
+                             F.sequence(lo, F.date_sub(F.col("date"), 1))), none)
     if end is not None:
         tail = F.when(nxt.isNull() & (F.col("date") < _as_date(end)),
                       F.sequence(F.date_add(F.col("date"), 1), _as_date(end)))
-        gaps = F.concat(F.coalesce(gaps, F.array().cast("array<date>")),
-                        F.coalesce(tail, F.array().cast("array<date>")))
-    return (bars.select(*keys, "date", gaps.alias("_gaps"))
-            .select(*keys, F.explode("_gaps").alias("date")))
+        gaps = F.concat(gaps, F.coalesce(tail, none))
+    out = inside.select(*keys, "date", gaps.alias("_gaps")).select(*keys, F.explode("_gaps").alias("date"))
+    if start is None or end is None:
+        return out
+    series = (bars if listing is None else listing).select(*keys).distinct()
+    if listing is not None:
+        out = out.join(series, keys, "left_semi")
+    empty = series.join(inside.select(*keys).distinct(), keys, "left_anti")
+    return out.unionByName(calendar_spine(empty, start, end, keys))

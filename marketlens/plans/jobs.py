@@ -28,7 +28,9 @@ def processing_job(spark: SparkSession, raw_glob: str, out_base: str, dedupe: st
     raw = ingest.read_raw_bars(spark, raw_glob)
     if profile.is_empty(raw):
         return None
-    bars = clean.dedupe_bars(raw.select(*BAR_COLUMNS), policy=dedupe)
+    # validity first: an invalid first download must not hide a later valid one
+    valid = clean.valid_bars(raw.select(*BAR_COLUMNS), min_volume)
+    bars = clean.dedupe_bars(valid, policy=dedupe)
     processed = clean.process_bars(bars, min_volume=min_volume, high=high, medium=medium,
                                    loaded_at=loaded_at)
     base = out_base.rstrip("/")

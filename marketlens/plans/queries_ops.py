@@ -145,6 +145,27 @@ def u3_missing_days(spark, sf):
     return clean.missing_days(T.bars(spark, sf), start=MONTH_START, end=AS_OF)
 
 
+# a window with bars on both sides of it
+GAP_FROM, GAP_TO = AS_OF - dt.timedelta(days=20), AS_OF - dt.timedelta(days=12)
+_WINDOW_GAPS = f"""
+SELECT s.exchange, s.symbol, s.date FROM (
+  SELECT exchange, symbol, CAST(unnest(generate_series({_d(GAP_FROM)}, {_d(GAP_TO)}, INTERVAL 1 DAY)) AS DATE) AS date
+  FROM (SELECT DISTINCT exchange, symbol FROM {{series}}) x) s
+WHERE NOT EXISTS (SELECT 1 FROM bars b WHERE b.exchange = s.exchange AND b.symbol = s.symbol AND b.date = s.date)"""
+
+
+@register("u3_missing_days_window", with_cte(T.BARS_SQL) + _WINDOW_GAPS.format(series="bars"))
+def u3_missing_days_window(spark, sf):
+    return clean.missing_days(T.bars(spark, sf), start=GAP_FROM, end=GAP_TO)
+
+
+@register("u3_missing_days_listed", with_cte(T.BARS_SQL, T.META_SQL) + _WINDOW_GAPS.format(series="meta"))
+def u3_missing_days_listed(spark, sf):
+    """Every listed symbol, also those that never traded."""
+    return clean.missing_days(T.bars(spark, sf), start=GAP_FROM, end=GAP_TO,
+                              listing=T.symbol_meta(spark, sf))
+
+
 @register("u3_missing_days_brand", with_cte(T.BRAND_BARS_SQL) + """
 , spine AS (
   SELECT exchange, symbol, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date

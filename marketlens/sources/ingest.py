@@ -139,7 +139,9 @@ def read_bars(spark: SparkSession, path: str, start=None, end=None,
     only the touched month folders are listed and read."""
     try:
         df = spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         df = spark.read.option("header", True).csv(f"{path}_csv")
     df = df.withColumns({c: F.col(c).try_cast("double") for c in numeric if c in df.columns})
     ym = (F.col("year") * 100 + F.col("month")) if {"year", "month"} <= set(df.columns) else None
@@ -203,7 +205,7 @@ QUOTE_COLUMNS = ("exchange", "symbol", "date", "open", "high", "low", "close", "
 
 
 def normalise_quotes(df: DataFrame, symbol_col: str = "symbol", exchange_col: str = "exchange",
-                     interval: str = "d", keep_last: int = 30, loaded_at=None) -> DataFrame:
+                     interval: str = "d", keep_last: int | None = 30, loaded_at=None) -> DataFrame:
     """S3 + P9-P11 + W19 over landed quote rows of many series.
 
     Dates are parsed per row; a series with any unparseable date is dropped
@@ -239,6 +241,8 @@ def normalise_quotes(df: DataFrame, symbol_col: str = "symbol", exchange_col: st
            .agg(F.count_if(F.col("date").isNull() & F.col("_has_raw_date")).alias("_bad"))
            .filter(F.col("_bad") > 0))
     ok = rows.join(bad.select("exchange", "symbol"), ["exchange", "symbol"], "left_anti")
+    if keep_last is None:  # every bar
+        return ok.select(*QUOTE_COLUMNS)
     w = Window.partitionBy("exchange", "symbol").orderBy(F.col("date").desc())
     return (ok.withColumn("_rn", F.row_number().over(w))
             .filter(F.col("_rn") <= keep_last)

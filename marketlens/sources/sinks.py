@@ -46,7 +46,9 @@ def insert_if_absent(new: DataFrame, table_path: str, keys=BAR_KEYS,
             return 0
         try:
             t = spark.read.parquet(table_path)
-        except AnalysisException:  # first write creates the table
+        except AnalysisException as missing:  # first write creates the table
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
             t = None
         rows = fresh
         if t is not None:
@@ -57,7 +59,7 @@ def insert_if_absent(new: DataFrame, table_path: str, keys=BAR_KEYS,
                         .select(*keys))
             rows = fresh.join(existing, list(keys), "left_anti")
         (rows.withColumns({"year": F.year("date"), "month": F.month("date")})
-         .repartition(*partition_by)
+         .repartitionByRange(*partition_by, *keys)  # a month is split over many tasks
          .write.mode("append").partitionBy(*partition_by).parquet(table_path))
         return b["n"]
     finally:
@@ -78,8 +80,9 @@ def write_processed(df: DataFrame, path: str, partition_by=("year", "month"),
     laid = df.repartitionByRange(*order) if order else df
     w = laid.write.mode(mode)
     (w.partitionBy(*parts) if parts else w).parquet(path)
-    if csv_copy:
-        laid.write.mode(mode).option("header", True).csv(f"{path}_csv")
+    if csv_copy:  # from the files just written: one computation, equal stamps
+        (df.sparkSession.read.parquet(path).select(*df.columns)
+         .write.mode(mode).option("header", True).csv(f"{path}_csv"))
 
 
 def write_analysis(df: DataFrame, base: str, analysis_type: str) -> str:

@@ -53,6 +53,20 @@ def test_missing_days_equal_spine_difference(spark, days):
     assert inside == {d for d in spine - {r[2] for r in data} if first < d < last}
 
 
+@SETTINGS
+@given(st.sets(st.integers(min_value=0, max_value=40), min_size=1, max_size=25),
+       st.integers(0, 40), st.integers(0, 12))
+def test_missing_days_stay_inside_any_window(spark, days, first, length):
+    data = [("X", "A", D0 + dt.timedelta(days=d)) for d in sorted(days)]
+    df = spark.createDataFrame(data, "exchange string, symbol string, date date")
+    lo, hi = D0 + dt.timedelta(days=first), D0 + dt.timedelta(days=first + length)
+    window = {lo + dt.timedelta(days=i) for i in range(length + 1)}
+    assert {r.date for r in clean.missing_days(df, lo, hi).collect()} == window - {r[2] for r in data}
+    listing = spark.createDataFrame([("X", "A"), ("X", "B")], "exchange string, symbol string")
+    listed = clean.missing_days(df, lo, hi, listing=listing).collect()
+    assert {r.date for r in listed if r.symbol == "B"} == window
+
+
 @SETTINGS
 @given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 3), st.integers(0, 9)),
                 min_size=1, max_size=40))

@@ -91,3 +91,35 @@ def test_read_bars_prunes_both_ends(spark, tmp_dir):
     assert dict(b.dtypes)["volume"] == "double"          # the reader casts numerics to double
     p = b._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[.*year", p), p         # month folders pruned
+
+
+def test_valid_row_survives_an_invalid_or_unstamped_first_download(spark):
+    import datetime as dt
+
+    from marketlens.operators import clean
+    t = [None, dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 2)]
+    df = spark.createDataFrame(
+        [("X", "A", "2024-01-02", None, 5, t[1]), ("X", "A", "2024-01-02", "2.0", 5, t[2]),
+         ("X", "B", "2024-01-02", "9.0", 5, t[0]), ("X", "B", "2024-01-02", "3.0", 5, t[1])],
+        "exchange string, symbol string, date string, close string, volume bigint, download_timestamp timestamp_ntz")
+    got = clean.dedupe_bars(clean.valid_bars(df)).collect()
+    assert {(r.symbol, r.close) for r in got} == {("A", "2.0"), ("B", "3.0")}
+
+
+def test_one_hot_month_has_many_writers(spark, tmp_dir):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from marketlens.sources import sinks
+    new = spark.range(20_000).select(
+        F.lit("X").alias("exchange"), F.col("id").cast("string").alias("symbol"),
+        F.lit("2024-01-05").cast("date").alias("date"), F.lit(1.0).alias("close"),
+        F.lit("2024-02-01").cast("timestamp_ntz").alias("download_timestamp"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert sinks.insert_if_absent(new, f"{tmp_dir}/t") == 20_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = [f for _, _, fs in os.walk(f"{tmp_dir}/t") for f in fs if f.endswith(".parquet")]
+    assert len(files) > 1 and spark.read.parquet(f"{tmp_dir}/t").count() == 20_000
