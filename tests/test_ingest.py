@@ -20,24 +20,24 @@ def write(path, text):
 
 def test_layouts_by_name_ragged_and_bad_values(spark, tmp_dir):
     write(f"{tmp_dir}/raw/AMEX/20260114/AAA.csv",
-          H12 + "\nAMEX,AAA,d,2025-12-15,24.95,25.03,24.95,25.03,10500,AAA,AMEX,2026-01-14 08:45:50.278544\n"
-          "AMEX,AAA,d,2025-12-16,x,25.1,24.9,25.0,10500.0,AAA,AMEX,2026-01-14 08:45:50.278544\n"
+          H12 + "\nAMEX,AAA,d,2025-12-15,11.5,12.25,11.0,12.0,7300,AAA,AMEX,2026-01-14 06:30:15.250000\n"
+          "AMEX,AAA,d,2025-12-16,x,12.5,11.75,12.25,7300.0,AAA,AMEX,2026-01-14 06:30:15.250000\n"
           "AMEX,AAA,d,2025-12-17,1,2\n\n")
-    write(f"{tmp_dir}/raw/CC/20260104/0xBTC-USD.csv",
-          H13 + "\nCC,0xBTC-USD,d,2025-12-03,0.0912,0.0968,0.091,0.0968,0.0967,0,0xBTC-USD,CC,"
-          "2026-01-04 15:25:51.528706\n")
+    write(f"{tmp_dir}/raw/CC/20260104/QQQ-USD.csv",
+          H13 + "\nCC,QQQ-USD,d,2025-12-03,3.25,3.75,3.0,3.5,3.375,0,QQQ-USD,CC,"
+          "2026-01-04 11:05:07.125000\n")
     write(f"{tmp_dir}/raw/CC/20260104/EMPTY.csv", "")
     glob = f"{tmp_dir}/raw/*/*/*.csv"
     rows = {(r.symbol, r.date): r for r in ingest.read_raw_bars(spark, glob).collect()}
     assert len(rows) == 3
     aaa = rows[("AAA", dt.date(2025, 12, 15))]
-    assert aaa.exchange == "AMEX" and aaa.volume == 10500 and aaa.adjusted_close is None
+    assert aaa.exchange == "AMEX" and aaa.volume == 7300 and aaa.adjusted_close is None
     assert aaa.path_exchange == "AMEX" and aaa.snapshot_date == dt.date(2026, 1, 14)
     bad = rows[("AAA", dt.date(2025, 12, 16))]
-    assert bad.open is None and bad.volume == 10500          # "x" -> NULL, "10500.0" -> 10500
-    btc = rows[("0xBTC-USD", dt.date(2025, 12, 3))]
-    assert btc.exchange == "CC" and btc.adjusted_close == 0.0967 and btc.volume == 0
-    assert btc.download_timestamp == dt.datetime(2026, 1, 4, 15, 25, 51, 528706)
+    assert bad.open is None and bad.volume == 7300          # "x" -> NULL, "7300.0" -> 7300
+    btc = rows[("QQQ-USD", dt.date(2025, 12, 3))]
+    assert btc.exchange == "CC" and btc.adjusted_close == 3.375 and btc.volume == 0
+    assert btc.download_timestamp == dt.datetime(2026, 1, 4, 11, 5, 7, 125000)
     good, ragged = ingest.split_ragged(spark, glob)
     assert good.count() == 3
     r = ragged.collect()
@@ -62,19 +62,19 @@ def test_landing_round_trip(spark, tmp_dir):
 
 
 def test_reports_of_three_versions(spark, tmp_dir):
-    write(f"{tmp_dir}/rep/collection_report_20260102_095107.csv",
-          "exchange,successful,failed,data_points,files\nNASDAQ,8,2,130,8\n")
-    write(f"{tmp_dir}/rep/collection_report_all_20260103_061408.csv",
+    write(f"{tmp_dir}/rep/collection_report_20260102_101500.csv",
+          "exchange,successful,failed,data_points,files\nALPHA,7,3,91,7\n")
+    write(f"{tmp_dir}/rep/collection_report_all_20260103_102000.csv",
           "exchange,successful_symbols,failed_symbols,data_points,files,database_success,"
-          "database_failed\nAMEX,20,0,420,20,10,10\n")
-    write(f"{tmp_dir}/rep/collection_report_all_20260104_113737.csv",
+          "database_failed\nALPHA,12,1,156,12,9,3\n")
+    write(f"{tmp_dir}/rep/collection_report_all_20260104_103000.csv",
           "exchange,successful_symbols,failed_symbols,data_points,hdfs_upload_count,files,"
-          "database_success,database_failed\nAMEX,20,0,420,20,20,20,0\nBAD,1\n")
+          "database_success,database_failed\nALPHA,15,2,195,14,15,13,2\nBAD,1\n")
     rows = {r.report_time.day: r for r in ingest.read_reports(spark, f"{tmp_dir}/rep/*.csv").collect()}
     assert len(rows) == 3
-    assert rows[2].successful_symbols == 8 and rows[2].database_success is None
-    assert rows[3].database_failed == 10 and rows[3].hdfs_upload_count is None
-    assert rows[4].hdfs_upload_count == 20 and rows[4].files == 20
+    assert rows[2].successful_symbols == 7 and rows[2].database_success is None
+    assert rows[3].database_failed == 3 and rows[3].hdfs_upload_count is None
+    assert rows[4].hdfs_upload_count == 14 and rows[4].files == 15
 
 
 def test_read_bars_csv_fallback_and_pruning(spark, tmp_dir):
