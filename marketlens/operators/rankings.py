@@ -8,7 +8,7 @@ merge.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions import columns as C
@@ -70,26 +70,29 @@ def latest_date(bars: DataFrame) -> DataFrame:
     return bars.agg(F.max("date").alias("latest_date"))
 
 
-def on_latest_date(bars: DataFrame) -> DataFrame:
-    """Bars of the latest date: a left-semi join against the one-row A2 frame
-    (broadcast of a single row - size is bounded by construction)."""
-    ld = latest_date(bars)
-    return bars.join(F.broadcast(ld), bars.date == ld.latest_date, "left_semi")
+def top_of_latest_date(bars: DataFrame, order: list, n: int) -> DataFrame:
+    """The first n rows of the latest date in ``order``, in one pass: the n
+    newest rows in that order hold them, and the newest date is among these.
+    The window sees n rows at most."""
+    newest = bars.orderBy(F.col("date").desc_nulls_last(), *order).limit(n)
+    last = F.max("date").over(Window.partitionBy(F.lit(0)))
+    return newest.withColumn("_last", last).filter(F.col("date") == F.col("_last")).drop("_last")
 
 
 def day_gainers(bars: DataFrame, n: int = 10) -> DataFrame:
     """Top n positive daily_return on the latest date."""
-    today = on_latest_date(bars)
-    return (today.filter(F.col("daily_return") > 0)
+    order = [F.col("daily_return").desc_nulls_last(), "exchange", "symbol"]
+    return (top_of_latest_date(bars, order, n).filter(F.col("daily_return") > 0)
             .select("symbol", "exchange", "daily_return", F.col("close").alias("price"), "volume")
-            .orderBy(F.col("daily_return").desc(), "exchange", "symbol").limit(n))
+            .orderBy(*order).limit(n))
 
 
 def day_volume(bars: DataFrame, n: int = 10) -> DataFrame:
     """Top n by volume on the latest date."""
-    today = on_latest_date(bars)
-    return (today.select("symbol", "exchange", "volume", F.col("close").alias("price"))
-            .orderBy(F.col("volume").desc_nulls_last(), "exchange", "symbol").limit(n))
+    order = [F.col("volume").desc_nulls_last(), "exchange", "symbol"]
+    return (top_of_latest_date(bars, order, n)
+            .select("symbol", "exchange", "volume", F.col("close").alias("price"))
+            .orderBy(*order).limit(n))
 
 
 def anomaly_list(flagged: DataFrame, n: int = 20) -> DataFrame:

@@ -105,12 +105,12 @@ def collection_job(attempts: DataFrame, out_base: str, exchanges: DataFrame | No
     summary, top exchanges and exchanges without data."""
     base = out_base.rstrip("/")
     rep_path = f"{base}/reports/collection_report"
-    collection.report_with_totals(attempts).coalesce(1).write.mode("overwrite").json(rep_path)
+    collection.report_with_totals(attempts).repartition(1).write.mode("overwrite").json(rep_path)
     spark = attempts.sparkSession
     full = spark.read.schema(REPORT_SCHEMA).json(rep_path)
     per = full.filter(F.col("exchange") != "ALL").drop("success_rate")
     csv = f"{base}/reports/collection_report_csv"
-    per.coalesce(1).write.mode("overwrite").option("header", True).csv(csv)
+    per.repartition(1).write.mode("overwrite").option("header", True).csv(csv)
     top = f"{base}/reports/top_exchanges"
     sinks.write_json_row(collection.top(per, top_n), top)
     none = f"{base}/reports/exchanges_without_data"

@@ -21,7 +21,6 @@ from marketlens.streaming.incremental import ingest_available
 # Exchange whose snapshots use the 13-column layout (like the crypto
 # exchange in the original data).
 WIDE_EXCHANGE = "NATION_1"
-QUOTES_KEEP = 10
 
 
 def land(raw, root: str, mode: str = "overwrite") -> str:
@@ -87,12 +86,10 @@ def _vendor_quotes(spark, sf):
 SELECT exchange, symbol, date, open, high, low, close, close AS adjusted_close,
        CAST(volume AS BIGINT) AS volume, 'd' AS interval,
        TIMESTAMP '{LOADED_AT}' AS download_timestamp
-FROM (SELECT *, row_number() OVER (PARTITION BY exchange, symbol ORDER BY date DESC) AS rn
-      FROM bars) t
-WHERE rn <= {QUOTES_KEEP}""")
+FROM bars""")
 def s3_normalise_quotes(spark, sf):
     return ingest.normalise_quotes(_vendor_quotes(spark, sf), symbol_col="ticker",
-                                   exchange_col="venue", keep_last=QUOTES_KEEP,
+                                   exchange_col="venue", keep_last=None,
                                    loaded_at=LOADED_AT)
 
 
@@ -100,16 +97,14 @@ def s3_normalise_quotes(spark, sf):
 SELECT exchange, symbol, date, open, high, low, close, close AS adjusted_close,
        CAST(volume AS BIGINT) AS volume, 'd' AS interval,
        TIMESTAMP '{LOADED_AT}' AS download_timestamp
-FROM (SELECT *, row_number() OVER (PARTITION BY exchange, symbol ORDER BY date DESC) AS rn
-      FROM bars) t
-WHERE rn <= {QUOTES_KEEP}""")
+FROM bars""")
 def s3_quotes_json_roundtrip(spark, sf):
     """Vendor quotes landed as JSON files, read back as text, normalised."""
     root = scratch_path(spark, "quotes_json")
     _vendor_quotes(spark, sf).write.json(root)
-    landed = ingest.read_quotes_json(spark, root)
+    landed = ingest.read_quotes_json(spark, root, file_col="source_file")
     return ingest.normalise_quotes(landed, symbol_col="ticker", exchange_col="venue",
-                                   keep_last=QUOTES_KEEP, loaded_at=LOADED_AT)
+                                   keep_last=None, loaded_at=LOADED_AT, file_col="source_file")
 
 
 @register("p12_clean_exchanges", """

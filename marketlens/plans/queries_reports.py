@@ -18,46 +18,43 @@ from marketlens.session import scratch_path
 from marketlens.sources import ingest
 from marketlens.sources import tables as T
 
-PER_EXCHANGE = 10       # symbols listed per exchange and cycle
 CYCLE_DAYS = 30
+BUSY = 5                # ticks a day from which a bar counts as busy
 
 
 def _d(x: dt.date) -> str:
     return f"DATE '{x.isoformat()}'"
 
 
-def listed_symbols(spark, sf, by_balance: bool = False):
-    """The cycle's symbol list: first PER_EXCHANGE customers of each nation
-    in customer-key order (or by account balance, largest first)."""
+def listed_symbols(spark, sf, in_debit: bool = False):
+    """The cycle's symbol list: every named customer (or every one whose
+    account balance is negative)."""
     c = T.read_table(spark, sf, "customer")
-    pos = -F.col("c_acctbal") if by_balance else F.col("c_custkey")
+    if in_debit:
+        c = c.filter(F.col("c_acctbal") < 0)
     listed = c.select(F.col("c_custkey").cast("string").alias("code"),
                       F.col("c_name").alias("name"),
-                      T.exchange_of(F.col("c_nationkey")).alias("exchange"),
-                      pos.alias("list_pos"))
-    return (ingest.clean_symbols(listed, per_exchange=PER_EXCHANGE, order_col="list_pos")
+                      T.exchange_of(F.col("c_nationkey")).alias("exchange"))
+    return (ingest.clean_symbols(listed, per_exchange=None)
             .select("exchange", F.col("code").alias("symbol")))
 
 
-def attempts(spark, sf, days=CYCLE_DAYS, by_balance: bool = False):
-    return collection.attempts(listed_symbols(spark, sf, by_balance), T.bars(spark, sf),
-                               AS_OF, days)
+def attempts(spark, sf, days=CYCLE_DAYS, in_debit: bool = False, min_volume: int = 0):
+    bars = T.bars(spark, sf)
+    if min_volume:
+        bars = bars.filter(F.col("volume") >= min_volume)
+    return collection.attempts(listed_symbols(spark, sf, in_debit), bars, AS_OF, days)
 
 
-def attempts_sql(days=CYCLE_DAYS, by_balance: bool = False) -> str:
-    order = ("c_acctbal DESC, CAST(c_custkey AS VARCHAR)" if by_balance
-             else "c_custkey, CAST(c_custkey AS VARCHAR)")
+def attempts_sql(days=CYCLE_DAYS, in_debit: bool = False, min_volume: int = 0) -> str:
     return f"""
 listed AS (
-  SELECT exchange, code AS symbol FROM (
-    SELECT CAST(c_custkey AS VARCHAR) AS code,
-           'NATION_' || CAST(c_nationkey AS VARCHAR) AS exchange,
-           row_number() OVER (PARTITION BY c_nationkey ORDER BY {order}) AS rn
-    FROM customer WHERE c_name <> '') t WHERE rn <= {PER_EXCHANGE}),
+  SELECT CAST(c_custkey AS VARCHAR) AS symbol, 'NATION_' || CAST(c_nationkey AS VARCHAR) AS exchange
+  FROM customer WHERE c_name <> ''{" AND c_acctbal < 0" if in_debit else ""}),
 per AS (
   SELECT exchange, symbol, count(*) AS _n,
          count(*) FILTER (WHERE NOT coalesce(close IS NOT NULL AND date IS NOT NULL AND volume > 0, false)) AS _bad
-  FROM bars WHERE date BETWEEN {_d(AS_OF - dt.timedelta(days=days))} AND {_d(AS_OF)}
+  FROM bars WHERE date BETWEEN {_d(AS_OF - dt.timedelta(days=days))} AND {_d(AS_OF)}{f" AND volume >= {min_volume}" if min_volume else ""}
   GROUP BY exchange, symbol),
 att AS (
   SELECT s.exchange, s.symbol, coalesce(p._n, 0) AS data_points,
@@ -121,29 +118,30 @@ def t8_top_exchanges(spark, sf):
     return collection.top(collection.report(attempts(spark, sf)), n=10)
 
 
-@register("j9_exchanges_without_data", with_cte(T.BARS_SQL, attempts_sql(0), REPORT_SQL) + """
+@register("j9_exchanges_without_data", with_cte(T.BARS_SQL, attempts_sql(0, min_volume=BUSY), REPORT_SQL) + """
 SELECT DISTINCT exchange FROM (
   SELECT exchange FROM rep WHERE data_points = 0
   UNION ALL
   SELECT 'NATION_' || CAST(n_nationkey AS VARCHAR) AS exchange FROM nation
   WHERE 'NATION_' || CAST(n_nationkey AS VARCHAR) NOT IN (SELECT exchange FROM rep)) t""")
 def j9_exchanges_without_data(spark, sf):
-    rep = collection.report(attempts(spark, sf, days=0))
+    """J9 for a cycle of one day that collects busy bars."""
+    rep = collection.report(attempts(spark, sf, days=0, min_volume=BUSY))
     ex = T.read_table(spark, sf, "nation").select(T.exchange_of(F.col("n_nationkey")).alias("exchange"))
     return collection.without_data(rep, ex)
 
 
 @register("j9_exchanges_without_data_by_balance",
-          with_cte(T.BARS_SQL, attempts_sql(0, by_balance=True), REPORT_SQL) + """
+          with_cte(T.BARS_SQL, attempts_sql(0, in_debit=True), REPORT_SQL) + """
 SELECT DISTINCT exchange FROM (
   SELECT exchange FROM rep WHERE data_points = 0
   UNION ALL
   SELECT 'NATION_' || CAST(n_nationkey AS VARCHAR) AS exchange FROM nation
   WHERE 'NATION_' || CAST(n_nationkey AS VARCHAR) NOT IN (SELECT exchange FROM rep)) t""")
 def j9_exchanges_without_data_by_balance(spark, sf):
-    """J9 for a cycle whose list puts the largest account balances first:
-    here several exchanges get no data on the as-of day."""
-    rep = collection.report(attempts(spark, sf, days=0, by_balance=True))
+    """J9 for a cycle that lists the accounts in debit: here several
+    exchanges get no data on the as-of day."""
+    rep = collection.report(attempts(spark, sf, days=0, in_debit=True))
     ex = T.read_table(spark, sf, "nation").select(T.exchange_of(F.col("n_nationkey")).alias("exchange"))
     return collection.without_data(rep, ex)
 
@@ -275,7 +273,7 @@ def write_report_versions(spark, sf) -> str:
                             (REPORT_V2, REPORT_STAMPS[1], rep.select(*REPORT_V2)),
                             (REPORT_V3, REPORT_STAMPS[2], rep.select(*REPORT_V3))):
         name = "collection_report" if cols is REPORT_V1 else "collection_report_all"
-        (df.select(*cols).coalesce(1).write.option("header", True)
+        (df.select(*cols).repartition(1).write.option("header", True)
          .csv(f"{root}/{name}_{stamp}"))
     return root
 

@@ -186,18 +186,20 @@ def standard_names(columns) -> dict[str, str]:
 
 
 def read_quotes_json(spark: SparkSession, path, schema=None, multi_line: bool = False,
-                     sampling_ratio: float = 1.0) -> DataFrame:
+                     sampling_ratio: float = 1.0, file_col: str | None = None) -> DataFrame:
     """S3: landed vendor quote files, one record per line (or a JSON array
     per file with ``multi_line``), fields in any order.  Values are read as
     text (``primitivesAsString``) and typed by ``normalise_quotes``.  Pass a
     ``schema`` on large landings: inference is an extra pass over the data
-    (or a sample of it with ``sampling_ratio``)."""
+    (or a sample of it with ``sampling_ratio``).  ``file_col`` names a column
+    to add for the source file of each row."""
     r = spark.read.option("multiLine", multi_line).option("primitivesAsString", True)
     if schema is not None:
         r = r.schema(schema)
     else:
         r = r.option("samplingRatio", sampling_ratio)
-    return r.json(path)
+    df = r.json(path)
+    return df if file_col is None else df.select("*", F.col("_metadata.file_path").alias(file_col))
 
 
 QUOTE_COLUMNS = ("exchange", "symbol", "date", "open", "high", "low", "close", "adjusted_close",
@@ -205,21 +207,26 @@ QUOTE_COLUMNS = ("exchange", "symbol", "date", "open", "high", "low", "close", "
 
 
 def normalise_quotes(df: DataFrame, symbol_col: str = "symbol", exchange_col: str = "exchange",
-                     interval: str = "d", keep_last: int | None = 30, loaded_at=None) -> DataFrame:
+                     interval: str = "d", keep_last: int | None = 30, loaded_at=None,
+                     file_col: str | None = None) -> DataFrame:
     """S3 + P9-P11 + W19 over landed quote rows of many series.
 
-    Dates are parsed per row; a series with any unparseable date is dropped
-    whole (the reference returns an empty frame for that symbol), found by an
-    aggregation + anti join.  Prices are coerced (bad -> NULL).  Only the
+    Dates are parsed per row; a series' response with any unparseable date is
+    dropped whole, found by an aggregation + anti join.  With ``file_col`` a
+    response is a series within a file, without it the series.  Prices are coerced (bad -> NULL).  Only the
     newest ``keep_last`` bars of each series are kept: ``row_number <= n``
     plans a partial WindowGroupLimit before the shuffle, so each map task
     sends at most n rows per series however long the history."""
-    names = standard_names([c for c in df.columns if c not in (symbol_col, exchange_col)])
+    names = standard_names([c for c in df.columns if c not in (symbol_col, exchange_col, file_col)])
     if "date" not in names.values():
         return df.sparkSession.createDataFrame([], _quote_schema())
     renamed = df.withColumnsRenamed(names)
     keys = [F.col(exchange_col).cast("string").alias("exchange"),
             F.col(symbol_col).cast("string").alias("symbol")]
+    response = ["exchange", "symbol"]
+    if file_col is not None:
+        keys.append(F.col(file_col).alias("_file"))
+        response.append("_file")
     raw_date = F.col("date").cast("string")
     parsed = F.coalesce(F.to_date(F.try_to_timestamp(raw_date)), raw_date.try_cast("date"))
     stamp = (F.localtimestamp() if loaded_at is None
@@ -237,10 +244,10 @@ def normalise_quotes(df: DataFrame, symbol_col: str = "symbol", exchange_col: st
         num("close").alias("close"), num("adjusted_close").alias("adjusted_close"),
         num("volume", "long").alias("volume"),
         F.lit(interval).alias("interval"), stamp.alias("download_timestamp"))
-    bad = (rows.groupBy("exchange", "symbol")
+    bad = (rows.groupBy(*response)
            .agg(F.count_if(F.col("date").isNull() & F.col("_has_raw_date")).alias("_bad"))
            .filter(F.col("_bad") > 0))
-    ok = rows.join(bad.select("exchange", "symbol"), ["exchange", "symbol"], "left_anti")
+    ok = rows.join(bad.select(*response), response, "left_anti")
     if keep_last is None:  # every bar
         return ok.select(*QUOTE_COLUMNS)
     w = Window.partitionBy("exchange", "symbol").orderBy(F.col("date").desc())
@@ -268,23 +275,24 @@ def clean_exchanges(df: DataFrame) -> DataFrame:
     return df.select(*cols).filter(F.col("code") != "")
 
 
-def clean_symbols(df: DataFrame, per_exchange: int = 20, order_col: str = "list_pos") -> DataFrame:
+def clean_symbols(df: DataFrame, per_exchange: int | None = 20,
+                  order_col: str = "list_pos") -> DataFrame:
     """P13 + W20: symbols with a code and a name, the first ``per_exchange``
-    of each exchange in list order (``order_col``).  The row_number filter
-    is planned with a partial WindowGroupLimit: a huge exchange is cut to n
-    rows per map task before the shuffle."""
+    of each exchange in list order (``order_col``; None keeps all).  The
+    row_number filter is planned with a partial WindowGroupLimit: a huge
+    exchange is cut to n rows per map task before the shuffle."""
     ok = df.filter(F.coalesce(F.col("code") != "", F.lit(False))
                    & F.coalesce(F.col("name") != "", F.lit(False)))
-    w = Window.partitionBy("exchange").orderBy(order_col, "code")
+    if per_exchange is not None:
+        w = Window.partitionBy("exchange").orderBy(order_col, "code")
+        ok = ok.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= per_exchange)
     opt = lambda c, t="string": (F.col(c).cast(t) if c in df.columns
                                  else F.lit(None).cast(t))
-    return (ok.withColumn("_rn", F.row_number().over(w))
-            .filter(F.col("_rn") <= per_exchange)
-            .select("code", "name", "exchange",
-                    F.coalesce(opt("type"), F.lit("")).alias("type"),
-                    F.coalesce(opt("currency"), F.lit("")).alias("currency"),
-                    opt("open", "double").alias("open"), opt("close", "double").alias("close"),
-                    opt("volume", "double").alias("volume")))
+    return ok.select("code", "name", "exchange",
+                     F.coalesce(opt("type"), F.lit("")).alias("type"),
+                     F.coalesce(opt("currency"), F.lit("")).alias("currency"),
+                     opt("open", "double").alias("open"), opt("close", "double").alias("close"),
+                     opt("volume", "double").alias("volume"))
 
 
 # --- lake file audit (S14, A13) -------------------------------------------

@@ -205,3 +205,14 @@ def test_anomaly_score_invariants(spark):
     bad = an.filter(~F.col("anomaly_score").between(0, 3)
                     | (F.col("has_anomaly") != (F.col("anomaly_score") >= 2)))
     assert bad.count() == 0 and an.count() > 0
+
+
+def test_latest_day_rankings_without_gainers(spark):
+    import datetime as dt
+    from marketlens.operators import rankings
+    rows = [("E", f"S{i}", dt.date(2024, 1, 1), 9.0, 1.0, 5 + i) for i in range(30)]
+    rows += [("E", f"S{i}", dt.date(2024, 1, 2), -1.0, 1.0, i) for i in range(3)]
+    df = spark.createDataFrame(rows, "exchange string, symbol string, date date, daily_return double, close double, volume long")
+    assert rankings.day_gainers(df, n=10).count() == 0
+    assert [r.symbol for r in rankings.day_volume(df, n=10).collect()] == ["S2", "S1", "S0"]
+    assert rankings.day_volume(df.limit(0)).count() == 0

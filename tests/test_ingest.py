@@ -145,3 +145,18 @@ def test_quotes_json_array_any_order(spark, tmp_dir):
     out = sorted(ingest.normalise_quotes(landed, loaded_at="2024-02-01 00:00:00").collect(),
                  key=lambda r: r.date)
     assert [(r.date.day, r.close, r.volume) for r in out] == [(1, 1.5, None), (2, 2.5, 7)]
+
+
+def test_bad_date_drops_only_its_file(spark):
+    rows = [("X", "S", "2024-01-02", "1", "a"), ("X", "S", "never", "2", "b"),
+            ("X", "S", "2024-01-03", "3", "b"), ("X", "T", "2024-01-03", "4", "b")]
+    df = spark.createDataFrame(rows, "exchange string, symbol string, date string, close string, src string")
+    got = ingest.normalise_quotes(df, keep_last=None, file_col="src")
+    assert sorted((r.symbol, r.close) for r in got.collect()) == [("S", 1.0), ("T", 4.0)]
+    whole = ingest.normalise_quotes(df.drop("src"), keep_last=None)
+    assert [(r.symbol, r.close) for r in whole.collect()] == [("T", 4.0)]
+
+
+def test_symbol_list_without_a_cap(spark):
+    sy = spark.createDataFrame([(str(i), "n", "E", i) for i in range(50)], "code string, name string, exchange string, list_pos int")
+    assert ingest.clean_symbols(sy, per_exchange=None).count() == 50
