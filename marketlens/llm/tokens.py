@@ -32,6 +32,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -40,9 +41,10 @@ from marketlens.llm.common import worker_cache
 
 SHARD_TOKENS = 4_000_000
 CACHE_PIECES = 600_000
+GROUP_CHARS = 4 << 20    # texts encoded together: each different piece is looked up once
 END_ID = 0
 _MAGIC = b"WVM1"
-_MARK = "\x0b"
+_GATHER = 1 << 19
 
 
 def public_vocabulary() -> str:
@@ -60,9 +62,9 @@ class Encoder:
     A byte-level BPE vocabulary without normalizer never merges across a
     space that follows a non-space, so such a text is cut there, each
     different piece is encoded once by the tokenizers library and kept, and
-    the ids of the pieces are joined.  Pieces are encoded many at a time,
-    with a vertical tab between them: before a space it is a token of its
-    own, and texts that hold one are not cut.  Other texts (and
+    the ids of the pieces are joined.  Pieces are encoded many at a time, one
+    after the other: each starts with its only space, so the tokens that
+    start with a space tell where pieces begin.  Other texts (and
     vocabularies) are encoded whole."""
 
     _ASCII_SPACE = tuple(c + " " for c in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f")
@@ -81,10 +83,11 @@ class Encoder:
         self.width = 2 if self.tok.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.planes = max(1, (self.tok.get_vocab_size(with_added_tokens=True) - 1).bit_length())
         self.added = tuple(a["content"] for a in added)
-        mark = self.tok.encode(_MARK, add_special_tokens=False).ids
-        self.cut = len(mark) == 1 and conf.get("normalizer") is None and pre.get("type") == "ByteLevel" and bool(
+        self.cut = conf.get("normalizer") is None and pre.get("type") == "ByteLevel" and bool(
             pre.get("use_regex", True)) and not pre.get("add_prefix_space")
-        self.mark = mark[0] if mark else -1
+        # byte-level vocabularies write the space byte as U+0120
+        self.opens = np.zeros(1 << 8 * self.width if self.width == 2 else self.tok.get_vocab_size(True), bool)
+        self.opens[[i for t, i in self.tok.get_vocab(True).items() if t.startswith("\u0120")]] = True
         self.limit, self.cache, self.old = cache_pieces // 2, {}, {}
 
     def _pack(self, ids) -> bytes:
@@ -94,7 +97,7 @@ class Encoder:
         return [self._pack(e.ids) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _cuttable(self, text: str) -> bool:
-        return (self.cut and "\0" not in text and _MARK not in text and not any(a in text for a in self.added)
+        return (self.cut and "\0" not in text and not any(a in text for a in self.added)
                 and not any(s in text for s in self._ASCII_SPACE)
                 and (text.isascii() or not any(s in text for s in self._OTHER_SPACE)))
 
@@ -104,15 +107,12 @@ class Encoder:
         w = self.width
         for s in range(0, len(plain), 512):
             part = plain[s:s + 512]
-            # a vertical tab before a space is a token of its own
-            ids = np.array(self.tok.encode_batch_fast([" " + f"{_MARK} ".join(part)], add_special_tokens=False)[0].ids,
-                           f"<u{w}")
-            ends = np.r_[np.flatnonzero(ids == self.mark), len(ids)]
-            starts = np.r_[0, ends[:-1] + 1]
-            if len(ends) != len(part):
-                raise ValueError("the vocabulary joins pieces across a vertical tab")
-            data = ids.tobytes()
-            self.cache.update(zip(part, [data[i:j] for i, j in zip((starts * w).tolist(), (ends * w).tolist())]))
+            ids = np.array(self.tok.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, f"<u{w}")
+            at = np.r_[np.flatnonzero(self.opens[ids]), len(ids)]
+            if len(at) != len(part) + 1 or at[0]:
+                raise ValueError("a space stands inside a token of the vocabulary")
+            data, at = ids.tobytes(), (at * w).tolist()
+            self.cache.update(zip(part, [data[i:j] for i, j in zip(at, at[1:])]))
         if len(plain) < len(keys):
             others = list(set(keys).difference(plain))
             texts = [k[1:] if k[:1] == "\0" else " " + k for k in others]
@@ -121,32 +121,48 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > self.limit:  # pieces of the older half that are met again come back
             self.old, self.cache = self.cache, {}
-        out: list[bytes | None] = [None] * len(texts)
-        whole, waiting, unknown = [], [], set()
+        out: list[bytes] = [b""] * len(texts)
+        cut, whole = [], []
         for i, t in enumerate(texts):
-            if not t:
-                out[i] = b""
-            elif not self._cuttable(t):
-                whole.append(i)
-            else:
-                pieces = t.split(" ")
-                pieces[0] = "\0" + pieces[0]
-                got = [*map(self.cache.get, pieces)]
-                if None in got:
-                    waiting.append((i, pieces))
-                    unknown.update(p for p, g in zip(pieces, got) if g is None)
-                else:
-                    out[i] = b"".join(got)
-        if unknown:
-            for p in unknown & self.old.keys():
-                self.cache[p] = self.old[p]
-            self._learn(list(unknown - self.old.keys()))
-        for i, pieces in waiting:
-            out[i] = b"".join(map(self.cache.__getitem__, pieces))
+            if t:
+                (cut if self._cuttable(t) else whole).append(i)
+        if cut:
+            lists = pc.split_pattern(pa.array(["\0" + texts[i] for i in cut], pa.large_string()), " ")
+            pieces = lists.values.dictionary_encode()
+            keys = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+            for i, ids in zip(cut, self._joined(keys, pieces.indices.to_numpy(), lists.offsets.to_numpy())):
+                out[i] = ids
         for i, ids in zip(whole, self._whole([texts[i] for i in whole]) if whole else []):
             out[i] = ids
         return out
 
+    def _joined(self, keys: list[str], pieces: np.ndarray, bounds: np.ndarray):
+        """Ids of texts made of ``pieces`` (numbers of ``keys``); text k has
+        those from bounds[k] to bounds[k + 1]."""
+        got = [*map(self.cache.get, keys)]
+        unknown = [k for k, g in zip(keys, got) if g is None]
+        if unknown:
+            new = []
+            for k in unknown:
+                if (g := self.old.get(k)) is None:
+                    new.append(k)
+                else:
+                    self.cache[k] = g
+            self._learn(new)
+            got = [*map(self.cache.__getitem__, keys)]
+        ids = np.frombuffer(b"".join(got), f"<u{self.width}")
+        sizes = np.fromiter(map(len, got), np.int64, len(got)) // self.width
+        starts = np.cumsum(sizes) - sizes
+        parts = []
+        for s in range(0, len(pieces), _GATHER):  # bounds the index arrays of a long text
+            piece = pieces[s:s + _GATHER]
+            size = sizes[piece]
+            ends = np.cumsum(size)
+            parts.append(ids[np.arange(ends[-1]) + np.repeat(starts[piece] - ends + size, size)])
+        joined = np.concatenate(parts)
+        at = (np.r_[0, np.cumsum(sizes[pieces])][bounds]).tolist()
+        return [joined[i:j].tobytes() for i, j in zip(at[:-1], at[1:])]
+
 
 # --- wavelet matrix ---------------------------------------------------------
 
@@ -296,19 +312,29 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str | None = None, id_col:
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)],
                                               names=["part", "seq", "before", "n_tokens", "n_docs", "blob"])
 
-        for b in batches:
-            for s in range(0, b.num_rows, 64):
-                piece = b.slice(s, 64)
-                texts = [t or "" for t in piece.column(1).to_pylist()]
-                for doc, ids in zip(piece.column(0).to_pylist(), enc.encode(texts)):
-                    docs.append(doc)
-                    starts.append(n)
-                    data.append(ids + end)
-                    n += len(data[-1]) // enc.width
-                    if n >= shard_tokens:
-                        yield shard()
-                        seq, before = seq + 1, before + n
-                        data, docs, starts, n = [], [], [], 0
+        def groups():
+            ids, texts, size = [], [], 0
+            for b in batches:
+                for s in range(0, b.num_rows, 64):
+                    piece = b.slice(s, 64)
+                    ids += piece.column(0).to_pylist()
+                    texts += [t or "" for t in piece.column(1).to_pylist()]
+                    size += sum(map(len, texts[-piece.num_rows:]))
+                    if size >= GROUP_CHARS:
+                        yield ids, texts
+                        ids, texts, size = [], [], 0
+            yield ids, texts
+
+        for group, texts in groups():
+            for doc, ids in zip(group, enc.encode(texts)):
+                docs.append(doc)
+                starts.append(n)
+                data.append(ids + end)
+                n += len(data[-1]) // enc.width
+                if n >= shard_tokens:
+                    yield shard()
+                    seq, before = seq + 1, before + n
+                    data, docs, starts, n = [], [], [], 0
         if docs:
             yield shard()
 

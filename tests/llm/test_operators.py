@@ -525,3 +525,13 @@ def test_query_columns(spark):
     }
     for name, columns in want.items():
         assert columns <= set(queries.QUERIES[name](spark, SF).columns)
+
+
+def test_pieces_encode_like_whole_texts():
+    enc = tokens.Encoder(tokens.public_vocabulary(), cache_pieces=40)
+    ends = "\t\n\x0b a\xa0　\x1c.'9é"
+    odd = ["", "a", " ", "  a", "a ", "x\0y z", "\x0b", "naïve 日本 語", "<|endoftext|> a"]
+    odd += [f"{a} {b}q{c} z {a}{b}" for a in ends for b in ends for c in ends]
+    for s in range(0, len(odd), 300):
+        part = odd[s:s + 300]
+        assert enc.encode(part) == enc._whole(part)
