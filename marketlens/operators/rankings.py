@@ -47,18 +47,17 @@ def high_volume(bars: DataFrame, meta: DataFrame, as_of, days: int = 7, n: int =
     """T5 / Q6 (A10 + J4): top n by average volume in the period, with the
     company name (``Unknown`` when no metadata row matches).
 
-    The lookup joins *after* the top-k, so only n rows probe the metadata;
-    metadata is de-duplicated per key first (first match = smallest name).
+    The lookup joins once, *after* the top-k, so the bars are derived once
+    and n rows probe the metadata; of several names of a key the smallest
+    counts.
     """
     p = in_period(bars, as_of, days)
     top = (p.groupBy(*SERIES)
            .agg(C.safe_div(F.sum("volume"), F.count("volume")).alias("avg_volume"))
            .orderBy(F.col("avg_volume").desc_nulls_last(), "exchange", "symbol").limit(n))
-    # n rows at most: the broadcast side is bounded by the limit.
-    keys = F.broadcast(top.select(*SERIES))
-    names = (meta.join(keys, list(SERIES), "left_semi")
-             .groupBy(*SERIES).agg(F.min("company_name").alias("company_name")))
-    j = top.join(names, list(SERIES), "left")
+    j = (top.join(meta.select(*SERIES, "company_name"), list(SERIES), "left")
+         .groupBy(*SERIES).agg(F.min("company_name").alias("company_name"),
+                               F.max("avg_volume").alias("avg_volume")))
     return j.select(*SERIES,
                     F.coalesce(F.col("company_name"), F.lit("Unknown")).alias("company_name"),
                     "avg_volume",
