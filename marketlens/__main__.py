@@ -24,7 +24,7 @@ from pyspark.sql import SparkSession
 
 from marketlens.plans import jobs
 from marketlens.session import apply_unset, cluster_conf, ensure_checkpoint_dir
-from marketlens.streaming.incremental import ingest_available
+from marketlens.streaming.incremental import MAX_FILES, ingest_available
 
 
 def main(argv=None) -> None:
@@ -47,7 +47,7 @@ def main(argv=None) -> None:
     ing.add_argument("--landing", required=True)
     ing.add_argument("--table", required=True)
     ing.add_argument("--checkpoint", required=True)
-    ing.add_argument("--max-files-per-trigger", type=int)
+    ing.add_argument("--max-files-per-trigger", type=int, default=MAX_FILES)
     a = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"marketlens-{a.cmd}").getOrCreate()

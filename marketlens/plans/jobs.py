@@ -21,11 +21,16 @@ BAR_COLUMNS = ("exchange", "symbol", "date", "open", "high", "low", "close", "vo
 
 def processing_job(spark: SparkSession, raw_glob: str, out_base: str, dedupe: str = "first",
                    min_volume: int = 0, high: int = 1_000_000, medium: int = 100_000,
-                   csv_copy: bool = False, loaded_at=None) -> dict[str, str] | None:
+                   csv_copy: bool = False, loaded_at=None) -> dict[str, str | int] | None:
     """Q1: raw CSV (both layouts) -> de-duplicated, typed, derived bars
     (``daily_stocks``, partitioned by year/month) -> symbol profiles
-    (``stock_aggregations``).  Returns the written paths, None without data."""
-    raw = ingest.read_raw_bars(spark, raw_glob)
+    (``stock_aggregations``).  Lines that do not fit their file's header are
+    written to ``quarantine/raw_lines``.  Returns the written paths and the
+    number of quarantined lines (``bad_lines``), None without good lines."""
+    good, bad = ingest.split_ragged(spark, raw_glob)
+    quarantine = f"{out_base.rstrip('/')}/quarantine/raw_lines"
+    bad.write.mode("overwrite").parquet(quarantine)
+    raw = ingest.parse_good_lines(good)
     if profile.is_empty(raw):
         return None
     # validity first: an invalid first download must not hide a later valid one
@@ -39,7 +44,8 @@ def processing_job(spark: SparkSession, raw_glob: str, out_base: str, dedupe: st
     aggs = f"{base}/processed/stock_aggregations"
     sinks.write_processed(profile.symbol_profile(spark.read.parquet(daily)), aggs,
                           csv_copy=csv_copy)
-    return {"daily_stocks": daily, "stock_aggregations": aggs}
+    return {"daily_stocks": daily, "stock_aggregations": aggs, "quarantine": quarantine,
+            "bad_lines": spark.read.parquet(quarantine).count()}
 
 
 def analysis_job(spark: SparkSession, processed_path: str, out_base: str,

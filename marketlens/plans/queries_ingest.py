@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketlens.operators.clean import dedupe_bars
+from marketlens.plans import jobs
 from marketlens.plans.catalog import register, with_cte
 from marketlens.plans.queries_bars import LOADED_AT, RAW_SQL, raw_snapshots, snapshot_waves
 from marketlens.session import scratch_path
@@ -204,3 +205,86 @@ def s13_ragged_counts(spark, sf):
     _, bad = ingest.split_ragged(spark, f"{root}/*/*/*.csv", layouts=(ingest.RAW12,))
     b = bad.withColumn("path_exchange", F.regexp_extract("source_file", ingest.PATH_PARTS, 1))
     return b.groupBy("path_exchange", "n_fields").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+# --------------------------------------------------------------------------
+# S13 + Q1 on a landing with faults.  In the first downloads every third
+# symbol's lines lost their last field (a 13-field line then has the width of
+# the other layout), every fifth symbol's close is empty and every seventh
+# symbol's download time is not a time; the re-downloads are whole.
+# --------------------------------------------------------------------------
+
+CUT, NO_CLOSE, NO_STAMP = 3, 5, 7
+
+
+def write_faulty_landing(spark, sf) -> str:
+    first, second = snapshot_waves(spark, sf)
+    root = scratch_path(spark, "faulty")
+    no = F.col("symbol").cast("long")
+    raw = first.withColumn("_first", F.lit(True)).unionByName(second.withColumn("_first", F.lit(False)))
+    stamp = F.date_format("download_timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    text = raw.withColumns({
+        "exchangeCode": F.col("exchange"), "symbolCode": F.col("symbol"), "interval": F.lit("d"),
+        "adjusted_close": F.col("close").cast("string"),
+        "close": F.when(F.col("_first") & (no % NO_CLOSE == 0), F.lit(""))
+                  .otherwise(F.col("close").cast("string")),
+        "snapshot_date": F.date_format("download_timestamp", "yyyyMMdd"),
+        "download_timestamp": F.when(F.col("_first") & (no % NO_STAMP == 0), F.lit("soon")).otherwise(stamp)})
+    wide = F.col("exchange") == F.lit(WIDE_EXCHANGE)
+    for part, layout, mode in ((text.filter(~wide), ingest.RAW12, "overwrite"),
+                               (text.filter(wide), ingest.RAW13, "append")):
+        value = lambda cols: F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit(""))
+                                                for c in cols])
+        line = F.when(F.col("_first") & (no % CUT == 0), value(layout[:-1])).otherwise(value(layout))
+        # one column named like the header line: every file starts with it
+        (part.select(line.alias(",".join(layout)), F.col("exchange").alias("landing_exchange"),
+                     "snapshot_date", "symbol")
+         .repartitionByRange("landing_exchange", "snapshot_date", "symbol").drop("symbol")
+         .write.mode(mode).option("header", True).option("sep", "\u0001").option("quote", "")
+         .partitionBy("landing_exchange", "snapshot_date").csv(root))
+    return root
+
+
+@register("s13_quarantine", with_cte(T.BARS_SQL, RAW_SQL) + f"""
+, l AS (SELECT exchange, CASE WHEN exchange = '{WIDE_EXCHANGE}' THEN 13 ELSE 12 END AS width,
+               row_number() OVER (PARTITION BY exchange, symbol, date ORDER BY download_timestamp) = 1
+               AND CAST(symbol AS BIGINT) % {CUT} = 0 AS cut FROM raw)
+SELECT exchange AS path_exchange, CAST(width - CASE WHEN cut THEN 1 ELSE 0 END AS INTEGER) AS n_fields,
+       CAST(width AS INTEGER) AS expected_fields, cut AS quarantined, count(*) AS n_lines
+FROM l GROUP BY ALL""")
+def s13_quarantine(spark, sf):
+    """Good and quarantined lines per exchange and width: together all data
+    lines landed."""
+    root = write_faulty_landing(spark, sf)
+    good, bad = ingest.split_ragged(spark, f"{root}/*/*/*.csv")
+    cols = ["source_file", "n_fields", "expected_fields"]
+    lines = (good.select(*cols, F.lit(False).alias("quarantined"))
+             .unionByName(bad.select(*cols, F.lit(True).alias("quarantined"))))
+    return (lines.groupBy(F.regexp_extract("source_file", ingest.PATH_PARTS, 1).alias("path_exchange"),
+                          "n_fields", "expected_fields", "quarantined")
+            .agg(F.count(F.lit(1)).alias("n_lines")))
+
+
+# what is left of the faulty landing, one row per bar: known stamps first
+FAULTY_BARS_SQL = f"""
+SELECT exchange, symbol, date, r.open, r.high, r.low, r.close, r.volume
+FROM (SELECT exchange, symbol, date,
+             arg_min({{'open': open, 'high': high, 'low': low, 'close': close, 'volume': volume}},
+                     row(bad_stamp, download_timestamp)) AS r
+      FROM (SELECT *, first AND CAST(symbol AS BIGINT) % {NO_STAMP} = 0 AS bad_stamp
+            FROM (SELECT *, row_number() OVER (PARTITION BY exchange, symbol, date
+                                               ORDER BY download_timestamp) = 1 AS first FROM raw) f
+            WHERE NOT (first AND (CAST(symbol AS BIGINT) % {CUT} = 0
+                                  OR CAST(symbol AS BIGINT) % {NO_CLOSE} = 0))) k
+      GROUP BY exchange, symbol, date) t"""
+
+
+@register("q1_faulty_landing", with_cte(T.BARS_SQL, RAW_SQL) + FAULTY_BARS_SQL)
+def q1_faulty_landing(spark, sf):
+    """The processing job on the faulty landing: a cut or invalid first
+    download does not hide the good re-download, an unknown download time
+    loses against a known one."""
+    root = write_faulty_landing(spark, sf)
+    paths = jobs.processing_job(spark, f"{root}/*/*/*.csv", scratch_path(spark, "jobs"))
+    return (spark.read.parquet(paths["daily_stocks"])
+            .select("exchange", "symbol", "date", "open", "high", "low", "close", "volume"))

@@ -5,11 +5,13 @@ collection reports of several schema versions (S17).
 
 Raw CSV snapshots come in two layouts (12 fields; 13 with ``adjusted_close``
 before ``volume``).  A headered glob read maps columns by position and
-shifts one group (B5).  Here every line is classified by its own field
-count, so the scan stays row-local: no per-file header listing on the
-driver, no join of lines against headers, and a line of any other shape is
-quarantined instead of silently mis-mapped.  The vendor format has no quoted
-fields; a quoted comma changes the count and lands the line in quarantine.
+shifts one group (B5).  Here every line is judged by the header of its own
+file: one header row per file, joined to the file's lines on the path (the
+planner picks the join).  Columns are mapped by that header's names; a line
+whose field count differs from it, or whose file has no known header, is
+quarantined instead of silently mis-mapped or dropped.  The vendor format
+has no quoted fields; a quoted comma changes the count and lands the line in
+quarantine.
 """
 
 from __future__ import annotations
@@ -73,19 +75,33 @@ def _typed(raw: Column, kind: str) -> Column:
 
 def split_ragged(spark: SparkSession, path, layouts=(RAW12, RAW13),
                  header_first: str = "exchangeCode") -> tuple[DataFrame, DataFrame]:
-    """(good, bad) lines.  Good lines have the field count of one of the
-    ``layouts``; header lines and empty lines are dropped.  ``bad`` keeps the
-    source file, the line and its field count for inspection."""
+    """(good, bad) lines.  Good lines have the field count of their own
+    file's header, and that header holds the names of one of the ``layouts``
+    (in any order).  Header lines and empty lines are in neither.  ``bad``
+    keeps the source file, the line, its field count and the expected one
+    (NULL: the file has no known header)."""
     return split_ragged_lines(_lines(spark, path), layouts, header_first)
 
 
 def split_ragged_lines(lines: DataFrame, layouts=(RAW12, RAW13),
                        header_first: str = "exchangeCode") -> tuple[DataFrame, DataFrame]:
-    """``split_ragged`` on a frame of ``text_lines``."""
-    lines = lines.filter(~_is_header(header_first))
-    counts = [len(x) for x in layouts]
-    ok = F.col("n_fields").isin(counts)
-    return lines.filter(ok), lines.filter(~ok).drop("_fields")
+    """``split_ragged`` on a batch frame of ``text_lines``.  Of several
+    header lines in a file the smallest text counts."""
+    is_head = _is_header(header_first)
+    names = F.transform(F.split("_header", ","), lambda c: F.lower(F.trim(c)))
+    known = F.lit(False)
+    for layout in layouts:
+        known = known | (F.sort_array("_names") == F.array(*[F.lit(c) for c in sorted(map(str.lower, layout))]))
+    wanted = sorted({c for layout in layouts for c in layout})
+    heads = (lines.filter(is_head).groupBy("source_file").agg(F.min("value").alias("_header"))
+             .withColumn("_names", names).filter(known)
+             # 0-based position of every column, -1 where the layout lacks it
+             .select("source_file", F.size("_names").alias("expected_fields"),
+                     F.struct(*[(F.array_position("_names", F.lit(c.lower())) - 1).cast("int").alias(c)
+                                for c in wanted]).alias("_at")))
+    judged = lines.filter(~is_head).join(heads, "source_file", "left")
+    ok = F.coalesce(F.col("n_fields") == F.col("expected_fields"), F.lit(False))
+    return judged.filter(ok), judged.filter(~ok).drop("_fields", "_at")
 
 
 def ragged_sample(bad: DataFrame, n: int = 50) -> DataFrame:
@@ -103,24 +119,20 @@ def read_raw_bars(spark: SparkSession, path, layouts=(RAW12, RAW13),
 
 
 def parse_raw_lines(lines: DataFrame, layouts=(RAW12, RAW13), types=None) -> DataFrame:
-    """``read_raw_bars`` on a frame of ``text_lines`` (batch or streaming)."""
+    """``read_raw_bars`` on a batch frame of ``text_lines``."""
+    return parse_good_lines(split_ragged_lines(lines, layouts)[0], types)
+
+
+def parse_good_lines(good: DataFrame, types=None) -> DataFrame:
+    """Bars of the good lines of ``split_ragged``."""
     types = types or {"date": "date", "volume": "long", "download_timestamp": "timestamp",
                       **{c: "double" for c in PRICE_COLS}}
-    good, _ = split_ragged_lines(lines, layouts)
-    arr = F.col("_fields")
-    n = F.col("n_fields")
+    at = good.schema["_at"].dataType.fieldNames()
 
     def field(name: str) -> Column:
-        expr = None
-        for layout in layouts:
-            if name not in layout:
-                continue
-            pick = arr.getItem(layout.index(name))
-            expr = (F.when(n == len(layout), pick) if expr is None
-                    else expr.when(n == len(layout), pick))
-        if expr is None:
+        if name not in at:
             return F.lit(None).cast("string")
-        return F.nullif(F.trim(expr), F.lit(""))
+        return F.nullif(F.trim(F.get("_fields", F.col(f"_at.{name}"))), F.lit(""))
 
     cols = [_typed(field(c), types.get(c, "string")).alias(c) for c in RAW_COLUMNS]
     return good.select(
@@ -354,19 +366,26 @@ REPORT_RENAMES = {"successful_symbols": "successful", "failed_symbols": "failed"
 REPORT_TIME = r"_(\d{8}_\d{6})(?:\.csv)?/(?:[^/]*)$|_(\d{8}_\d{6})\.csv$"
 
 
+def split_reports(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) data lines of report CSVs, judged by the header row of
+    their own file (a small join: one header row per report file)."""
+    lines = _lines(spark, path)
+    is_head = _is_header("exchange")
+    heads = (lines.filter(is_head).groupBy("source_file")
+             .agg(F.min_by("_fields", "value").alias("_names")))
+    j = lines.filter(~is_head).withColumnRenamed("_fields", "_vals").join(heads, "source_file", "left")
+    ok = F.coalesce(F.size("_names") == F.size("_vals"), F.lit(False))
+    return j.filter(ok), j.filter(~ok).select("source_file", "value", "n_fields")
+
+
 def read_reports(spark: SparkSession, path) -> DataFrame:
     """Report CSVs of any version, columns matched by *name*.
 
-    Each file's header row is paired with its data rows by file path (a
-    small join: one header row per report file), fields are zipped into a
-    name -> value map and the current columns are read from it, falling back
-    to the old names.  Rows whose field count differs from their header are
-    left out; columns a version lacks are NULL."""
-    lines = _lines(spark, path)
-    is_head = _is_header("exchange")
-    heads = lines.filter(is_head).select("source_file", F.col("_fields").alias("_names"))
-    rows = lines.filter(~is_head).select("source_file", F.col("_fields").alias("_vals"))
-    j = rows.join(heads, "source_file").filter(F.size("_names") == F.size("_vals"))
+    The fields of each good line (``split_reports``, which also returns the
+    others) are zipped into a name -> value map and the current columns are
+    read from it, falling back to the old names.  Columns a version lacks
+    are NULL."""
+    j, _ = split_reports(spark, path)
     m = F.map_from_arrays(F.transform("_names", lambda c: F.trim(c)), "_vals")
 
     def get(name: str) -> Column:

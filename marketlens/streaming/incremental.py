@@ -15,34 +15,45 @@ touches, and only their key columns.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.sources import ingest, sinks
 
 TABLE_COLUMNS = ("exchange", "symbol", "date", "open", "high", "low", "close", "adjusted_close",
                  "volume", "download_timestamp")
+MAX_FILES = 10_000      # files per micro-batch unless the caller sets another bound
 
 
-def insert_batch(batch: DataFrame, batch_id: int, table_path: str) -> None:
-    """foreachBatch body: insert-if-absent of the micro-batch (S10).  A
-    micro-batch is bounded by ``maxFilesPerTrigger``; a replayed batch finds
-    its keys present and adds nothing."""
-    sinks.insert_if_absent(batch.select(*TABLE_COLUMNS), table_path)
+def insert_batch(lines: DataFrame, batch_id: int, table_path: str, quarantine: str) -> None:
+    """foreachBatch body: the micro-batch's bad lines go to
+    ``{quarantine}/batch={batch_id}``, its bars are inserted where absent
+    (S10).  A micro-batch holds whole files, so every line meets its own
+    header, and is bounded by ``maxFilesPerTrigger``; a replayed batch
+    overwrites its bad lines and finds its keys present."""
+    good, bad = ingest.split_ragged_lines(lines)
+    bad.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+    sinks.insert_if_absent(ingest.parse_good_lines(good).select(*TABLE_COLUMNS), table_path)
 
 
 def ingest_available(spark: SparkSession, landing_glob: str, table_path: str,
-                     checkpoint: str, max_files_per_trigger: int | None = None):
+                     checkpoint: str, max_files_per_trigger: int = MAX_FILES,
+                     quarantine_path: str | None = None):
     """G1: process every landed raw file not seen before, then stop.
 
     ``landing_glob`` is a glob of raw CSV files (for example
-    ``{root}/*/*/*.csv``).  Returns the finished StreamingQuery."""
-    r = spark.readStream.format("text")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = ingest.text_lines(r.load(landing_glob))
-    bars = ingest.parse_raw_lines(lines)
-    q = (bars.writeStream
-         .foreachBatch(lambda df, i: insert_batch(df, i, table_path))
+    ``{root}/*/*/*.csv``).  Lines that do not fit their file's header are
+    kept under ``quarantine_path`` (default ``{table_path}_quarantine``),
+    one folder per checkpoint and micro-batch.  Returns the finished
+    StreamingQuery."""
+    if not max_files_per_trigger or max_files_per_trigger < 1:
+        raise ValueError("max_files_per_trigger must be a positive number of files")
+    quarantine = (f"{quarantine_path or table_path.rstrip('/') + '_quarantine'}"
+                  f"/run={zlib.crc32(checkpoint.encode())}")
+    r = spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)
+    q = (ingest.text_lines(r.load(landing_glob)).writeStream
+         .foreachBatch(lambda df, i: insert_batch(df, i, table_path, quarantine))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())

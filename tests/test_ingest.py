@@ -45,6 +45,23 @@ def test_layouts_by_name_ragged_and_bad_values(spark, tmp_dir):
     assert ingest.ragged_sample(ragged, 50).count() == 1
 
 
+def test_lines_are_judged_by_their_own_header(spark, tmp_dir):
+    swapped = list(ingest.RAW12)
+    swapped[4], swapped[7] = swapped[7], swapped[4]         # close before high, open last
+    write(f"{tmp_dir}/raw/X/20240102/CUT.csv",
+          H13 + "\nX,A,d,2024-01-01,1,2,0.5,1.5,1.4,10,A,X\n"   # 12 of 13 fields: bad, not RAW12
+          "X,A,d,2024-01-02,1,2,0.5,1.5,1.4,10,A,X,2024-01-03 06:00:00\n")
+    write(f"{tmp_dir}/raw/X/20240102/ORDER.csv",
+          ",".join(swapped) + "\nX,B,d,2024-01-01,1.5,2,0.5,1,10,B,X,2024-01-02 06:00:00\n")
+    write(f"{tmp_dir}/raw/X/20240102/NOHEAD.csv",
+          "X,C,d,2024-01-01,1,2,0.5,1.5,10,C,X,2024-01-02 06:00:00\n")
+    glob = f"{tmp_dir}/raw/*/*/*.csv"
+    good, bad = ingest.split_ragged(spark, glob)
+    got = {r.symbol: (r.open, r.close, r.adjusted_close) for r in ingest.parse_good_lines(good).collect()}
+    assert got == {"A": (1.0, 1.5, 1.4), "B": (1.0, 1.5, None)}
+    assert sorted((r.n_fields, r.expected_fields or 0) for r in bad.collect()) == [(12, 0), (12, 13)]
+
+
 def test_landing_round_trip(spark, tmp_dir):
     df = spark.createDataFrame(
         [("X", "A", dt.date(2024, 1, 1), 1.0, 2.0, 0.5, 1.5, 10, dt.datetime(2024, 1, 2, 6))],
@@ -75,6 +92,8 @@ def test_reports_of_three_versions(spark, tmp_dir):
     assert rows[2].successful_symbols == 7 and rows[2].database_success is None
     assert rows[3].database_failed == 3 and rows[3].hdfs_upload_count is None
     assert rows[4].hdfs_upload_count == 14 and rows[4].files == 15
+    _, bad = ingest.split_reports(spark, f"{tmp_dir}/rep/*.csv")
+    assert [r.value for r in bad.collect()] == ["BAD,1"]
 
 
 def test_read_bars_csv_fallback_and_pruning(spark, tmp_dir):

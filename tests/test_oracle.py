@@ -29,5 +29,6 @@ def test_query_matches_sql(spark, con, name):
 def test_driver_contract():
     import __spark_entry__ as E
     q, s = E.queries(), E.oracle_sql()
-    assert set(q) == set(ENTRIES)
-    assert set(s) == {n for n, e in ENTRIES.items() if e.sql is not None}
+    # training-data queries join the catalog where their package is installed
+    assert set(ENTRIES) <= set(q) and set(s) <= set(q)
+    assert {n for n in s if n in ENTRIES} == {n for n, e in ENTRIES.items() if e.sql is not None}

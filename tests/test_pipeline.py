@@ -116,7 +116,7 @@ def test_clusters_against_brute_force(spark):
     assert vols == sorted(vols)
 
 
-def test_incremental_ingest_skips_ragged_lines(spark, tmp_dir):
+def test_incremental_ingest_quarantines_ragged_lines(spark, tmp_dir):
     import os
     from marketlens.sources import ingest
     d = f"{tmp_dir}/land/X/20240102"
@@ -124,12 +124,14 @@ def test_incremental_ingest_skips_ragged_lines(spark, tmp_dir):
     with open(f"{d}/A.csv", "w") as f:
         f.write(",".join(ingest.RAW12) + "\n"
                 "X,A,d,2024-01-01,1,2,0.5,1.5,10,A,X,2024-01-02 06:00:00\n"
-                "X,A,d,2024-01-02,1,2\n"                                   # ragged: skipped
+                "X,A,d,2024-01-02,1,2\n"                                   # ragged: quarantined
                 "X,A,d,2024-01-03,1,2,0.5,1.7,12,A,X,2024-01-04 06:00:00\n")
     table = f"{tmp_dir}/bars"
     ingest_available(spark, f"{tmp_dir}/land/*/*/*.csv", table, f"{tmp_dir}/ck")
     got = sorted((r.date.day, r.close) for r in spark.read.parquet(table).collect())
     assert got == [(1, 1.5), (3, 1.7)]
+    bad = spark.read.parquet(f"{table}_quarantine").collect()
+    assert [(r.value, r.n_fields, r.expected_fields) for r in bad] == [("X,A,d,2024-01-02,1,2", 6, 12)]
 
 
 def test_job_entry_points(spark, tmp_dir, capsys):
