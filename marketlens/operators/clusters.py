@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,14 +26,31 @@ DESCRIPTIONS = ("Blue Chip, Stable", "Low Risk, Low Return", "Stable, Moderate R
                 "High Risk, High Return", "Volatile, Speculative")
 
 
+def features(profile: DataFrame) -> DataFrame:
+    """P25: the clustering features, rows with any of them missing dropped."""
+    return profile.select("symbol", "exchange", *FEATURES).dropna()
+
+
+def _prepare() -> list:
+    """M1 + M2 stages: assemble, then standardise."""
+    return [VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="skip"),
+            StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)]
+
+
+def scaled_features(profile: DataFrame) -> DataFrame:
+    """(symbol, exchange, ``_z`` array of standardised features)."""
+    feats = features(profile)
+    out = Pipeline(stages=_prepare()).fit(feats).transform(feats)
+    return out.select("symbol", "exchange", vector_to_array("scaled").alias("_z"))
+
+
 def fit_clusters(profile: DataFrame, k: int = 5, seed: int = 42, descriptions=DESCRIPTIONS):
     """M1-M3 fit and M4 labels: (pipeline model, features frame, label
     table with one row per cluster ranked by centroid volatility, then
     return)."""
-    feats = profile.select("symbol", "exchange", *FEATURES).dropna()
+    feats = features(profile)
     pipe = Pipeline(stages=[
-        VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="skip"),
-        StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
+        *_prepare(),
         KMeans(k=k, seed=seed, featuresCol="scaled", predictionCol="cluster"),
     ])
     model = pipe.fit(feats)

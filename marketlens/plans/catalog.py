@@ -38,7 +38,8 @@ def register(name: str, sql: str | None = None, bench: bool = False):
 def entries() -> dict[str, Entry]:
     # Importing the modules registers their queries.
     from marketlens.plans import (  # noqa: F401
-        queries_alerts, queries_bars, queries_ingest, queries_jobs, queries_ops, queries_reports,
+        queries_alerts, queries_bars, queries_checks, queries_ingest, queries_jobs, queries_ops,
+        queries_reports,
     )
     return dict(_REGISTRY)
 
