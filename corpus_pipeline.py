@@ -38,7 +38,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "pipeline-tokens")
-    tokens.write_tokens(docs, path)
+    # the workers also hold what the earlier stages left: a smaller cache than op4's
+    tokens.write_tokens(docs, path, cache_pieces=300_000, group_chars=2 << 20)
     return tokens.read_documents(spark, path)
 
 

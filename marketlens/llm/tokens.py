@@ -44,7 +44,7 @@ CACHE_PIECES = 600_000
 GROUP_CHARS = 4 << 20    # texts encoded together: each different piece is looked up once
 END_ID = 0
 _MAGIC = b"WVM1"
-_GATHER = 1 << 19
+_GATHER = 1 << 15
 
 
 def public_vocabulary() -> str:
@@ -294,13 +294,18 @@ _SHARD = "part int, seq int, before long, n_tokens long, n_docs long, blob binar
 
 
 def write_tokens(df: DataFrame, path: str, tokenizer: str | None = None, id_col: str = "doc_id",
-                 text_col: str = "text", shard_tokens: int = SHARD_TOKENS) -> None:
-    """Encode every text (plus the end id) and write shard files to ``path``."""
+                 text_col: str = "text", shard_tokens: int = SHARD_TOKENS,
+                 cache_pieces: int = CACHE_PIECES, group_chars: int = GROUP_CHARS) -> None:
+    """Encode every text (plus the end id) and write shard files to ``path``.
+    A worker keeps at most about ``cache_pieces`` encoded pieces and encodes
+    texts of ``group_chars`` together: smaller values save memory and cost
+    time, the ids are the same."""
     vocabulary = tokenizer or public_vocabulary()
 
     def run(batches):
-        enc = worker_cache().setdefault(("encoder", vocabulary), None) or Encoder(vocabulary)
-        worker_cache()[("encoder", vocabulary)] = enc
+        key = ("encoder", vocabulary, cache_pieces)
+        enc = worker_cache().get(key) or Encoder(vocabulary, cache_pieces)
+        worker_cache()[key] = enc
         end = np.array([END_ID], f"<u{enc.width}").tobytes()
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         data, docs, starts, n = [], [], [], 0
@@ -320,7 +325,7 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str | None = None, id_col:
                     ids += piece.column(0).to_pylist()
                     texts += [t or "" for t in piece.column(1).to_pylist()]
                     size += sum(map(len, texts[-piece.num_rows:]))
-                    if size >= GROUP_CHARS:
+                    if size >= group_chars:
                         yield ids, texts
                         ids, texts, size = [], [], 0
             yield ids, texts

@@ -527,7 +527,7 @@ def test_query_columns(spark):
         assert columns <= set(queries.QUERIES[name](spark, SF).columns)
 
 
-def test_pieces_encode_like_whole_texts():
+def test_odd_text_ends_encode_like_whole_texts():
     enc = tokens.Encoder(tokens.public_vocabulary(), cache_pieces=40)
     ends = "\t\n\x0b a\xa0　\x1c.'9é"
     odd = ["", "a", " ", "  a", "a ", "x\0y z", "\x0b", "naïve 日本 語", "<|endoftext|> a"]
