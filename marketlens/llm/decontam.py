@@ -9,7 +9,12 @@
 3. Every document is covered with half-overlapping windows of 16, 32, 64 words;
    a window's latent vector is the sum of its words' positions.  Windows with
    a cosine of at least ``COSINE`` to a passage of their size class are its
-   candidates.
+   candidates.  The latent space is an approximation of fixed rank, so a word
+   search stands beside it: every stretch of one and a half passage lengths
+   with as many of the passage's words as step 4 asks for is a candidate too,
+   whatever its cosine (a passage of fewer than ``SHORT`` words: if it stands
+   there verbatim).  Both skip passages of whose rarer words too few occur
+   nearby for step 4 to hold, found by an inverted index; this loses nothing.
 4. A candidate is confirmed in the text around it by the longest common
    subsequence of words (at least ``LCS`` of the passage) and an answer check:
    the item's answer, if the benchmark has one, must occur in order; without
@@ -40,8 +45,9 @@ PASSAGE = 64
 SIZES = (16, 32, 64)     # window lengths; a passage uses the first that holds it
 RANK, OVERSAMPLE, POWER = 64, 8, 1
 COSINE, LCS, ANSWER = 0.5, 0.6, 0.4
+STRETCH, SHORT = 3, 8    # the word search takes stretches of STRETCH/2 passage lengths; verbatim below SHORT words
 BLOCK = 5000
-_CHUNK = 8192            # words of a document folded in at once
+_CHUNK = 512             # words of a document looked at together
 _KEEP = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
               for c in range(256))
 
@@ -184,70 +190,131 @@ class Searcher:
         # items: (item_id, words, answer or None)
         self.vocabulary, self.items = vocabulary, items
         self.folded = (positions * idf[:, None]).astype(np.float32)
-        self.by_size = []
         vectors = np.array([self._fold(w) for _, w, _ in items], np.float32).reshape(len(items), -1)
-        sizes = np.array([next(s for s in SIZES if len(w) <= s) for _, w, _ in items])
-        for s in SIZES:
-            rows = np.flatnonzero((sizes == s) & (np.abs(vectors).sum(axis=1) > 0))
-            if len(rows):
-                v = vectors[rows]
-                self.by_size.append((s, rows, (v / np.linalg.norm(v, axis=1, keepdims=True)).T.copy()))
+        norms = np.linalg.norm(vectors, axis=1, keepdims=True)
+        self.unit = np.divide(vectors, norms, out=np.zeros_like(vectors), where=norms > 0)
+        self.size = np.array([next(s for s in SIZES if len(w) <= s) for _, w, _ in items], np.int64)
         self.rare = [frozenset(sorted(set(w), key=lambda x: (-idf[vocabulary[x]], x))[:-(-len(set(w)) // 2)])
                      for _, w, _ in items]
+        self.least = [next(k for k in range(len(w) + 1) if k / len(w) >= LCS) for _, w, _ in items]
+        self.coded = [np.array([vocabulary[x] for x in w], np.int64) for _, w, _ in items]
+        # rare words that any confirmed text has: those of the answer check, and
+        # those that a subsequence of ``least`` words cannot leave out
+        self.need = np.array([max(0 if answer else next(k for k in range(len(r) + 1) if k / len(r) >= ANSWER),
+                                  len(r) - (len(w) - least))
+                              for (_, w, answer), r, least in zip(items, self.rare, self.least)], np.int64)
+        self.postings: list = [[] for _ in vocabulary]
+        for row, r in enumerate(self.rare):
+            for x in r:
+                self.postings[vocabulary[x]].append(row)
+        self.postings = [np.array(rows, np.int32) for rows in self.postings]
 
     def _fold(self, w):
         return self.folded[[self.vocabulary[x] for x in w]].sum(axis=0)
 
-    def _candidates(self, w: list[bytes]) -> dict[int, dict[int, float]]:
-        """item row -> {window start: cosine}"""
-        get, out = self.vocabulary.get, {}
-        ids = np.array([get(x, -1) for x in w], np.int64)
-        for base in range(0, max(1, len(ids) - SIZES[-1]), _CHUNK):
-            part = ids[base:base + _CHUNK + SIZES[-1]]
-            e = self.folded[part]
-            e[part < 0] = 0
-            sums = np.zeros((len(part) + 1, e.shape[1]), np.float32)
-            np.cumsum(e, axis=0, out=sums[1:])
-            for size, rows, passages_t in self.by_size:
-                starts = np.arange(0, max(1, len(part) - size + size // 2), size // 2)
-                windows = sums[np.minimum(starts + size, len(part))] - sums[starts]
-                norms = np.linalg.norm(windows, axis=1)
-                live = np.flatnonzero(norms > 1e-6)
-                cos = windows[live] @ passages_t / norms[live, None]
-                for i, j in zip(*np.nonzero(cos >= COSINE)):
-                    out.setdefault(int(rows[j]), {})[base + int(starts[live[i]])] = float(cos[i, j])
-        return out
+    def _alive(self, ids: np.ndarray) -> np.ndarray:
+        """Rows of the passages with enough rare words among ``ids``; no other
+        passage can be confirmed within them."""
+        rows = [self.postings[i] for i in np.unique(ids[ids >= 0])]
+        found = np.bincount(np.concatenate(rows) if rows else np.zeros(0, np.int32), minlength=len(self.items))
+        return np.flatnonzero(found >= self.need)
+
+    def _latent(self, part: np.ndarray, base: int, alive: np.ndarray, out: dict[int, dict[int, float]]) -> None:
+        """Adds windows near a passage in latent space: item row -> {window start: cosine}"""
+        e = self.folded[part]
+        e[part < 0] = 0
+        sums = np.zeros((len(part) + 1, e.shape[1]), np.float32)
+        np.cumsum(e, axis=0, out=sums[1:])
+        for size in SIZES:
+            rows = alive[self.size[alive] == size]
+            if not len(rows):
+                continue
+            starts = np.arange(0, max(1, len(part) - size + size // 2), size // 2)
+            windows = sums[np.minimum(starts + size, len(part))] - sums[starts]
+            norms = np.linalg.norm(windows, axis=1)
+            live = np.flatnonzero(norms > 1e-6)
+            cos = windows[live] @ self.unit[rows].T / norms[live, None]
+            for i, j in zip(*np.nonzero(cos >= COSINE)):
+                out.setdefault(int(rows[j]), {})[base + int(starts[live[i]])] = float(cos[i, j])
+
+    def _lexical(self, row: int, part: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, int]:
+        """Starts (on a word of the passage) and length of the stretches with
+        at least as many words of the passage as a confirmed one has."""
+        n = len(self.coded[row])
+        length, least = (-(-STRETCH * n // 2), self.least[row]) if n >= SHORT else (n, n)
+        flags[self.coded[row]] = True
+        at = np.flatnonzero(flags[part])
+        flags[self.coded[row]] = False
+        inside = np.searchsorted(at, at + length) - np.arange(len(at))
+        return at[inside >= least], length
+
+    def _confirm(self, row: int, region: list, around: list) -> tuple[float, float]:
+        """(LCS share or 0, answer share); the cheaper check first, both must hold."""
+        _, passage, answer = self.items[row]
+        if answer:
+            found = lcs(answer, around) / len(answer)
+            ok = found == 1
+        else:
+            found = len(self.rare[row].intersection(region)) / len(self.rare[row])
+            ok = found >= ANSWER
+        return (lcs(passage, region) / len(passage) if ok else 0.0), found
 
     def hits(self, text: str | None) -> list[dict]:
         """Confirmed items of one whole text, each with its best passage."""
         w = words(text)
-        if not w or not self.by_size:
+        if not w or not self.items:
             return []
+        get = self.vocabulary.get
+        ids = np.array([get(x, -1) for x in w], np.int64)
+        flags = np.zeros(len(self.vocabulary) + 1, bool)  # the last is that of unknown words (-1)
+        near: dict = {}
+        stretches: dict = {}
+        for base in range(0, len(ids), _CHUNK):
+            # as far as regions around windows of this part reach
+            alive = self._alive(ids[max(0, base - 2 * SIZES[-1]):base + _CHUNK + 4 * SIZES[-1]])
+            if not len(alive):
+                continue
+            self._latent(ids[base:base + _CHUNK + SIZES[-1]], base, alive, near)
+            part = ids[base:base + _CHUNK + 2 * SIZES[-1]]
+            for row in alive.tolist():
+                starts, length = self._lexical(row, part, flags)
+                if len(starts):
+                    stretches.setdefault(row, (length, set()))[1].update((starts + base).tolist())
         best: dict = {}
-        for row, at in self._candidates(w).items():
-            item, passage, answer = self.items[row]
-            size = next(s for s in SIZES if len(passage) <= s)
+
+        def keep(row, share, cosine, found):
+            item = self.items[row][0]
+            if item not in best or share > best[item]["lcs"]:
+                best[item] = {"item_id": item, "cosine": cosine, "lcs": share, "answer": found}
+
+        for row, at in near.items():
+            size = int(self.size[row])
             starts = sorted(at)
-            i = 0
-            while i < len(starts):
+            j = 0
+            for i, start in enumerate(starts):
                 # windows that overlap are looked at together, two sizes at a time
-                j = i
-                while j + 1 < len(starts) and starts[j + 1] - starts[i] <= size:
+                while j + 1 < len(starts) and starts[j + 1] - start <= size:
                     j += 1
-                region = w[max(0, starts[i] - size // 2):starts[j] + size + size // 2]
-                # the cheaper check first; both must hold
-                if answer:
-                    found = lcs(answer, region) / len(answer)
-                    ok = found == 1
-                else:
-                    found = len(self.rare[row].intersection(region)) / len(self.rare[row])
-                    ok = found >= ANSWER
-                share = lcs(passage, region) / len(passage) if ok else 0.0
+                region = w[max(0, start - size // 2):starts[j] + size + size // 2]
+                share, found = self._confirm(row, region, region)
                 if share >= LCS:
-                    cosine = max(at[s] for s in starts[i:j + 1])
-                    if item not in best or share > best[item]["lcs"]:
-                        best[item] = {"item_id": item, "cosine": cosine, "lcs": share, "answer": found}
-                i = j + 1
+                    keep(row, share, max(at[s] for s in starts[i:j + 1]), found)
+                    if share == 1:
+                        break
+        for row, (length, starts) in stretches.items():
+            half = int(self.size[row]) // 2
+            limit = LCS if len(self.coded[row]) >= SHORT else 1
+            for start in sorted(starts):
+                known = best.get(self.items[row][0])
+                if known and known["lcs"] == 1:
+                    break
+                region = w[start:start + length]
+                share, found = self._confirm(row, region, w[max(0, start - half):start + length + half])
+                if share >= limit and (not known or share > known["lcs"]):
+                    inner = ids[start:start + length]
+                    vector = self.folded[inner[inner >= 0]].sum(axis=0)
+                    norm = float(np.linalg.norm(vector))
+                    keep(row, share, float(vector @ self.unit[row]) / norm if norm > 1e-6 else 0.0, found)
         return [best[k] for k in sorted(best, key=str)]
 
 

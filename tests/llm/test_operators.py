@@ -349,6 +349,53 @@ def test_answer_column_must_occur(spark):
     assert decontam.find_leaks(docs, bench.limit(0)).where(F.size("leaks") > 0).count() == 0
 
 
+def weak_space_searcher(items):
+    """A searcher whose latent space has one dimension for all passages."""
+    vocabulary = {x: i for i, x in enumerate(sorted({x for _, w, _ in items for x in w}))}
+    rng = np.random.default_rng(2)
+    return decontam.Searcher(vocabulary, rng.normal(size=(len(vocabulary), 1)) * 1e-3, np.ones(len(vocabulary)), items)
+
+
+def test_copies_are_found_whatever_the_latent_space(spark):
+    rng = np.random.default_rng(4)
+    pool = np.array([f"w{i}".encode() for i in range(6000)], object)
+    items = [(i, list(rng.choice(pool, n)), None) for i, n in enumerate(rng.integers(8, 60, 3000).tolist())]
+    items += [(3000 + i, list(rng.choice(pool, 3, replace=False)), None) for i in range(50)]
+    searcher = weak_space_searcher(items)
+    for k in [*range(0, 3000, 10), *range(3000, 3050)]:
+        w, offset = items[k][1], int(rng.integers(0, 1200))
+        copies = [w]
+        if k < 3000:
+            copies.append([x for i, x in enumerate(w) if i % 6 != 3])
+            copies.append([b"other" if i % 4 == 1 else x for i, x in enumerate(w)])
+        for copy in copies:
+            rest = list(rng.choice(pool, 1200))
+            text = b" ".join(rest[:offset] + copy + rest[offset:]).decode()
+            assert k in {h["item_id"] for h in searcher.hits(text)}
+    folded_to_zero = decontam.Searcher({b"gold": 0, b"price": 1, b"today": 2}, np.zeros((3, 1)), np.ones(3),
+                                       [(1, [b"gold", b"price", b"today"], None)])
+    assert [h["item_id"] for h in folded_to_zero.hits("the Gold price today is")] == [1]
+    assert folded_to_zero.hits("the price of gold today") == []
+
+
+def test_every_stretch_that_can_be_confirmed_is_looked_at():
+    rng = np.random.default_rng(6)
+    pool = np.array([f"w{i}".encode() for i in range(40)], object)
+    items = [(i, list(rng.choice(pool, n)), None) for i, n in enumerate(rng.integers(8, 30, 40).tolist())]
+    searcher = weak_space_searcher(items)
+    for _ in range(15):
+        text = list(rng.choice(pool, 700))
+        got = {h["item_id"] for h in searcher.hits(b" ".join(text).decode())}
+        for row, (item, w, _) in enumerate(items):
+            n = -(-3 * len(w) // 2)
+            for s in range(len(text)):
+                part = text[s:s + n]
+                rare = searcher.rare[row]
+                if len(rare.intersection(part)) >= decontam.ANSWER * len(rare) and decontam.lcs(w, part) >= decontam.LCS * len(w):
+                    assert item in got
+                    break
+
+
 # --- op7 ----------------------------------------------------------------------
 
 def brute_vectors(data, cosine):
