@@ -396,6 +396,17 @@ def test_every_stretch_that_can_be_confirmed_is_looked_at():
                     break
 
 
+def test_windows_start_every_quarter_of_their_length():
+    # a copy spread over 22 words between heavy words: only a window that
+    # starts 4 after a multiple of 8 lies inside it
+    passage = [f"p{i}".encode() for i in range(8)]
+    vocabulary = {x: i for i, x in enumerate([*passage, b"heavy"])}
+    searcher = decontam.Searcher(vocabulary, np.eye(9), np.array([1.0] * 8 + [100.0]), [(1, passage, None), (2, [b"heavy"], None)])
+    spread = b" x y ".join(passage).split()
+    text = [b"heavy"] * 17 + spread + [b"heavy"] * 20
+    assert 1 in {h["item_id"] for h in searcher.hits(b" ".join(text).decode())}
+
+
 # --- op7 ----------------------------------------------------------------------
 
 def brute_vectors(data, cosine):
