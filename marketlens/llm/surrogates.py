@@ -63,14 +63,19 @@ _HON = "|".join(h for hs in HONORIFICS.values() for h in hs)
 _GIV = "|".join(g for gs in GIVEN.values() for g in gs)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _IP = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
+_WORD = r"\p{L}\p{M}\p{N}_"  # \w knows ASCII only
+_LABEL = r"\p{L}\p{M}\p{N}-"
 PATTERN = "|".join((
-    r"(?<![\w.%+-])\w[\w.%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,5}\.[A-Za-z]{2,24}",
+    rf"(?<![{_WORD}.%+-])[{_WORD}][{_WORD}.%+-]{{0,63}}@[{_LABEL}]{{1,63}}(?:\.[{_LABEL}]{{1,63}}){{0,5}}\.[A-Za-z]{{2,24}}",
     rf"(?<![\w.]){_IP}(?!\w)(?!\.\d)",
     r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     r"(?<![\w.-])(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7})(?![\w-])",
     r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)",
     r"(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)",
-    r"(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])",
+    r"(?<![\w.-])(?:1[ .-])?\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])",
+    # national numbers in spaces or none, and with a trunk prefix
+    r"(?<![\w.+-])(?:1[ .-]?)?[2-9]\d{2}(?: \d{3}[ .-]|\d{3})\d{4}(?![\w-])(?!\.\d)",
+    r"(?<![\w.+-])0[1-9](?:\d{1,2}[ /-]\d{3,4}[ -]?\d{3,4}|\d{3}[ /-]\d{3}[ -]?\d{3,4}|(?:[ .-]\d{2}){4}|\d{8,10})(?![\w-])(?!\.\d)",
     rf"{_EDGE}(?:{_HON})\.? (?:{_NAME} )?{_NAME}",
     rf"{_EDGE}(?:{_GIV}) {_NAME}",
 ))

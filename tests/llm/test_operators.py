@@ -94,6 +94,31 @@ def test_surrogates(spark):
     assert (got[1].n_phone, got[1].n_email, got[2].n_person, got[3].n_card) == (2, 2, 5, 1)
 
 
+@pytest.mark.parametrize("kind, forms, left", [
+    ("email", ["josé.lopez@mail.com", "lopez.josé@mail.com", "ana.núñez@mail.com", "rené12@mail.fr", "élodie@mail.fr",
+               "jörg@bücher.de", "jose\u0301@mail.com", "plain_1+x@mail.co.uk"], ["a @ b.com", "núñez@", "@mail.fr"]),
+    ("phone", ["555 123 4567", "1-555-123-4567", "1 555 123 4567", "5551234567", "15551234567", "555-123-4567", "555 123-4567",
+               "0171 2345678", "0171-2345678", "01712345678", "030 1234 5678", "020 7946 0958", "01632 960123", "06 12 34 56 78",
+               "0612345678", "089/1234567"],
+     ["1700000000", "2024-01-02", "01-02-2024", "0000012345", "5551234567.25", "12 345 678", "1234567", "4111 1111 1111 1112"]),
+])
+def test_surrogates_find_common_forms_whole(spark, kind, forms, left):
+    texts = [f"write to {x}, or later" for x in forms + left]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in surrogates.replace_pii(df).collect()}
+    for i, text in enumerate(texts):
+        if i >= len(forms):
+            assert got[i].text == text
+            continue
+        assert got[i][f"n_{kind}"] == 1
+        entity = got[i].text.removeprefix("write to ").removesuffix(", or later")
+        assert entity != forms[i] and got[i].text == f"write to {entity}, or later"
+        if kind == "email":
+            assert re.fullmatch(r"[a-z.0-9]+@[a-z]+\.example\.[a-z]+", entity)
+        else:
+            assert re.sub(r"\d", "0", entity) == re.sub(r"\d", "0", forms[i])
+
+
 def test_surrogates_stay_distinct_under_collisions(spark):
     """Two-letter surnames crowd a small space: the map stays one to one,
     avoids originals, and does not depend on partitioning."""
