@@ -6,9 +6,9 @@
 2. A distributed randomised SVD of the passages' TF-IDF matrix gives every
    word a position in a latent space of ``RANK`` dimensions.  Only matrices
    of RANK x RANK reach the driver.
-3. Every document is covered with windows of 16, 32, 64 words, each a
-   quarter of its length after the one before; a window's latent vector is the sum of its words' positions.  Windows with
-   a cosine of at least ``COSINE`` to a passage of their size class are its
+3. Every document is covered with windows of 16, 32, 64 words, each a quarter
+   of its length after the one before; a window's latent vector is the sum of
+   its words' positions.  Windows with a cosine of at least ``COSINE`` to a passage of their size class are its
    candidates.  The latent space is an approximation of fixed rank, so a word
    search stands beside it: every stretch of one and a half passage lengths
    with as many of the passage's words as step 4 asks for is a candidate too,
