@@ -41,9 +41,9 @@ from pyspark.sql import DataFrame, functions as F
 from marketlens.llm.common import worker_cache
 from marketlens.session import scratch_path
 
-SEGMENT_CHARS = 6 << 20
+SEGMENT_CHARS = 3 << 20
 LEARN_UNITS = 256        # units encoded in one call
-EXPAND_ROWS = 2_000_000  # (document, pair) rows counted at once
+EXPAND_ROWS = 1_000_000  # (document, pair) rows counted at once
 
 _SPACES = tuple(c + " " for c in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f")
 _MARK = chr(0x2581)     # B's space

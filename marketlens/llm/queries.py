@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marketlens.llm import (
-    alignment, covertree, decontam, langid, lexical, mixing, secrets, sharding, simhash, surrogates, tokens, urlfilter)
+    alignment, covertree, decontam, langid, lexical, mixing, secrets, sharding, simhash, substrings, surrogates,
+    tokens, urlfilter)
 from marketlens.session import scratch_path
 
 
@@ -72,6 +73,11 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op12_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(_table(spark, sf_dir, "documents"), keep_text=False)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(_table(spark, sf_dir, "documents"))
 
@@ -79,7 +85,8 @@ def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_pii_surrogates, op3_simhash_dedup, op4_token_ids, op5_mix_sources, op6_decontaminate,
     op7_cover_tree_dedup, op8_rendezvous_shards, op9_url_filter,
-    op10_language_id, op11_ranked_search, op13_cross_tokenizer)}
+    op10_language_id, op11_ranked_search, op12_repeated_substrings,
+    op13_cross_tokenizer)}
 ORACLE_SQL = {
     "op5_mix_sources": mixing.oracle_sql(),
     "op9_url_filter": urlfilter.oracle_sql(),
