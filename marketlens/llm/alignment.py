@@ -43,6 +43,7 @@ from marketlens.session import scratch_path
 
 SEGMENT_CHARS = 3 << 20
 LEARN_UNITS = 256        # units encoded in one call
+KNOWN_UNITS = 400_000    # words whose ids a worker keeps from segment to segment
 EXPAND_ROWS = 1_000_000  # (document, pair) rows counted at once
 
 _SPACES = tuple(c + " " for c in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f")
@@ -85,6 +86,8 @@ class Tokenizers:
                         for i, p in enumerate(names)]
         self.a_size = np.array([*map(len, self.a_bytes)], np.int64)
         self.b_size = np.array([*map(len, self.b_bytes)], np.int64)
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.older: dict[str, tuple[bytes, bytes] | None] = {}
 
     def encode(self, texts: list[str]) -> tuple[list, list]:
         return ([e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)],
@@ -96,39 +99,55 @@ class Tokenizers:
                 and b"".join(map(self.b_bytes.__getitem__, b)) == want)
 
 
-def _encode_units(tok: Tokenizers, words: list[str], wholes: list[str]):
-    """Flat A ids, their units, flat B ids, their units, and which units the
-    tokens do not spell.  Words go through the tokenizers many at a time,
-    joined by spaces: token ends tell where a word's tokens end."""
-    n = len(words) + len(wholes)
-    bad = np.zeros(n, bool)
-    out: tuple[list, list, list, list] = ([], [], [], [])
-
-    def single(first: int, texts: list[str]) -> None:
-        for u, (t, a, b) in enumerate(zip(texts, *tok.encode(texts)), first):
-            if tok.spells(a, b, t):
-                for ids, k in ((a, 0), (b, 2)):
-                    out[k].append(np.array(ids, np.int64))
-                    out[k + 1].append(np.full(len(ids), u))
-            else:
-                bad[u] = True
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
 
+
+def _learn(tok: Tokenizers, words: list[str]) -> None:
+    """Keep the packed A and B ids of ``words``, None where the tokens do not
+    spell the word.  Words go through the tokenizers many at a time, joined by
+    spaces: token ends tell where a word's tokens end."""
     for s in range(0, len(words), LEARN_UNITS):
         part = words[s:s + LEARN_UNITS]
         joined = " ".join(part)
         (a,), (b,) = tok.encode([joined])
         if not tok.spells(a, b, joined):
-            single(s, part)
+            for w, a, b in zip(part, *tok.encode(part)):
+                tok.known[w] = (_packed(a), _packed(b)) if tok.spells(a, b, w) else None
             continue
-        unit_ends = np.cumsum([1 + len(w.encode()) for w in part])
-        for ids, size, k in ((a, tok.a_size, 0), (b, tok.b_size, 2)):
-            ids = np.array(ids, np.int64)
-            out[k].append(ids)
-            out[k + 1].append(s + np.searchsorted(unit_ends, np.cumsum(size[ids])))
+        word_ends = np.cumsum([1 + len(w.encode()) for w in part])
+        sides = []
+        for ids, size in ((a, tok.a_size), (b, tok.b_size)):
+            at = (4 * np.searchsorted(np.cumsum(size[ids]), word_ends, side="right")).tolist()
+            data = _packed(ids)
+            sides.append([data[i:j] for i, j in zip([0, *at], at)])
+        tok.known.update(zip(part, zip(*sides)))
+
+
+def _encode_units(tok: Tokenizers, words: list[str], wholes: list[str]):
+    """Flat A ids, their units, flat B ids, their units, and which units the
+    tokens do not spell.  The ids of words stay known to the worker (in two
+    halves: words of the older half that are met again come back)."""
+    if len(tok.known) > KNOWN_UNITS // 2:
+        tok.older, tok.known = tok.known, {}
+    new = []
+    for w in words:
+        if w not in tok.known:
+            if w in tok.older:
+                tok.known[w] = tok.older[w]
+            else:
+                new.append(w)
+    _learn(tok, new)
+    units = [*map(tok.known.__getitem__, words)]
     for s in range(0, len(wholes), 16):
-        single(len(words) + s, wholes[s:s + 16])
-    flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
-    return *flat, bad
+        part = wholes[s:s + 16]
+        units += [(_packed(a), _packed(b)) if tok.spells(a, b, t) else None for t, a, b in zip(part, *tok.encode(part))]
+    flat = []
+    for side in (0, 1):
+        data = [u[side] if u else b"" for u in units]
+        flat.append(np.frombuffer(b"".join(data), "<u4").astype(np.int64))
+        flat.append(np.repeat(np.arange(len(data)), np.fromiter(map(len, data), np.int64, len(data)) // 4))
+    return *flat, np.array([u is None for u in units], bool)
 
 
 def _segmented_cumsum(values: np.ndarray, parents: np.ndarray) -> np.ndarray:
