@@ -1,8 +1,9 @@
 """Scalar column expressions (JVM-side, codegen friendly).
 
-Numeric policy: prices are summed as exact decimals and converted to double
-once, so results do not depend on the order in which partial sums are merged
-(bit-identical across partitionings and against the SQL oracle).  Every
+Numeric policy: prices stay doubles at full precision and are summed exactly
+(functions/exact.py), volumes as exact decimals, so results do not depend on
+the order in which partial sums are merged (bit-identical across partitionings
+and against the SQL oracle).  Every
 division goes through ``try_divide``: a zero or NULL denominator gives NULL
 under ANSI mode instead of an error.
 """
@@ -12,10 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PRICE_DEC = "decimal(16,4)"     # DECIMAL(10,4) in the bar table, headroom for sums
-PRICE_SUM_DEC = "decimal(17,4)"
-PRICE_SQ_SUM_DEC = "decimal(26,8)"
-COUNT_DEC = "decimal(9,0)"
 VOLUME_DEC = "decimal(18,0)"
 VOLUME_SQ_SUM_DEC = "decimal(31,0)"
 VOLUME_COUNT_DEC = "decimal(6,0)"
@@ -46,8 +43,10 @@ def epoch_micros(df, name: str) -> Column:
     return F.unix_micros(F.col(name).cast("timestamp"))
 
 
-def price_dec(c) -> Column:
-    return col_(c).cast(PRICE_DEC)
+def significant(c, digits: int = 10) -> Column:
+    """A double at so many significant digits."""
+    c = col_(c)
+    return F.when(c.isNotNull(), F.format_string(f"%.{digits - 1}e", c).cast("double"))
 
 
 # --- bar-level scalars (P3-P8, P14, P17, P18, P20) -------------------------

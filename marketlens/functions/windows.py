@@ -1,4 +1,4 @@
-"""Window specifications and exact moving statistics.
+"""Window specifications and exact statistics of whole-number columns.
 
 All per-series windows use one partitioning, ``(exchange, symbol)``, ordered
 by ``date``.  Catalyst then plans a single hash exchange and a single sort
@@ -16,12 +16,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
-from marketlens.functions.columns import (
-    COUNT_DEC, PRICE_DEC, PRICE_SQ_SUM_DEC, PRICE_SUM_DEC, VOLUME_COUNT_DEC,
-    VOLUME_DEC, VOLUME_SQ_SUM_DEC, col_, safe_div,
-)
+from marketlens.functions.columns import VOLUME_COUNT_DEC, VOLUME_DEC, VOLUME_SQ_SUM_DEC, col_, safe_div
 
 SERIES_KEYS = ("exchange", "symbol")
 
@@ -51,104 +47,24 @@ def _over(e: Column, w: WindowSpec | None) -> Column:
     return e if w is None else e.over(w)
 
 
-def exact_mean(c, w: WindowSpec | None = None, dec: str = PRICE_DEC) -> Column:
-    """Mean over a frame (or as an aggregate when ``w`` is None): exact
-    decimal sum, one conversion to double, one division."""
+def exact_mean(c, w: WindowSpec | None = None, dec: str = VOLUME_DEC) -> Column:
+    """Mean of a whole-number column over a frame (or as an aggregate when
+    ``w`` is None): exact decimal sum, one conversion, one division.  Prices
+    go through functions/exact.py."""
     x = col_(c).cast(dec)
     return safe_div(_over(F.sum(x), w).cast("double"), _over(F.count(x), w))
 
 
-def exact_stddev(c, w: WindowSpec | None = None, kind: str = "price") -> Column:
-    """Sample standard deviation over a frame from exact decimal moments.
+def exact_stddev(c, w: WindowSpec | None = None) -> Column:
+    """Sample standard deviation of a whole-number column over a frame from
+    exact decimal moments.
 
     var = (n*S2 - S1^2) / (n*(n-1)); NULL for fewer than two values, exact 0
     for a flat series (no negative round-off, no NaN).
     """
-    if kind == "price":
-        x = col_(c).cast(PRICE_DEC)
-        s1 = _over(F.sum(x), w).cast(PRICE_SUM_DEC)
-        s2 = _over(F.sum(x * x), w).cast(PRICE_SQ_SUM_DEC)
-        n_dec = COUNT_DEC
-    else:  # integral quantities such as volume
-        x = col_(c).cast(VOLUME_DEC)
-        s1 = _over(F.sum(x), w).cast(VOLUME_DEC)
-        s2 = _over(F.sum(x * x), w).cast(VOLUME_SQ_SUM_DEC)
-        n_dec = VOLUME_COUNT_DEC
+    x = col_(c).cast(VOLUME_DEC)
+    s1 = _over(F.sum(x), w).cast(VOLUME_DEC)
+    s2 = _over(F.sum(x * x), w).cast(VOLUME_SQ_SUM_DEC)
     n = _over(F.count(x), w)
-    num = n.cast(n_dec) * s2 - s1 * s1
+    num = n.cast(VOLUME_COUNT_DEC) * s2 - s1 * s1
     return F.sqrt(safe_div(num.cast("double"), (n * (n - 1)).cast("double")))
-
-
-def with_trailing_sums(df, cols: dict, ns, keys=SERIES_KEYS, order="date", prev=None):
-    """See module docs; ``ns`` is one list of frame lengths for every column
-    or a dict ``name -> lengths``.  ``prev`` (dict ``name -> lengths``) also
-    adds the same sums for the frame ending one row earlier
-    (``_tsp_{name}_{n}``, ``_tcp_{name}_{n}``), from the same lag pass."""
-    return _with_trailing_sums(df, cols, ns, keys, order, prev or {})
-
-
-def _with_trailing_sums(df, cols: dict, ns, keys=SERIES_KEYS, order="date", prev=None):
-    """Exact trailing sums and counts over the last n rows, in O(1) per row.
-
-    For every ``name -> decimal column`` in ``cols`` and every n in ``ns``
-    adds ``_ts_{name}_{n}`` (sum) and ``_tc_{name}_{n}`` (count of non-NULL
-    values): a running sum over the ordered series minus its value n rows
-    earlier.  Decimal sums are exact, so the difference equals the sum over
-    the sliding frame bit for bit, but Spark's sliding frames re-add the
-    whole frame for every row (O(rows x n)), while running frames and lag
-    are incremental - one pass whatever the frame lengths.  All columns
-    share one window spec: one exchange, one sort."""
-    w = ordered(keys, order)
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = {}
-    for name, c in cols.items():
-        cum[f"_cs_{name}"] = F.sum(c).over(run)
-        cum[f"_cc_{name}"] = F.count(c).over(run)
-    step = df.withColumns(cum)
-    # A running sum of decimal(p, s) is decimal(min(38, p + 10), s); the
-    # difference of two decimal(38, s) needs 39 digits, and Spark would drop a
-    # decimal place to fit.  37 digits keep the difference exact (running sums
-    # up to 10^(37 - s)).
-    narrow = {}
-    for c, f in zip(step.columns, step.schema.fields):
-        if c in cum and isinstance(f.dataType, DecimalType) and f.dataType.precision > 37:
-            narrow[c] = F.col(c).cast(DecimalType(37, f.dataType.scale))
-    step = step.withColumns(narrow) if narrow else step
-    out = {}
-    for name in cols:
-        s, c = F.col(f"_cs_{name}"), F.col(f"_cc_{name}")
-        lengths = ns[name] if isinstance(ns, dict) else ns
-        for n in sorted(set(lengths)):
-            out[f"_ts_{name}_{n}"] = s - F.coalesce(F.lag(s, n).over(w), F.lit(0))
-            out[f"_tc_{name}_{n}"] = c - F.coalesce(F.lag(c, n).over(w), F.lit(0))
-        for n in sorted(set((prev or {}).get(name, ()))):
-            # frame [i-n, i-1]: NULL on a series' first row, like lag(mean)
-            out[f"_tsp_{name}_{n}"] = F.lag(s, 1).over(w) - F.coalesce(F.lag(s, n + 1).over(w), F.lit(0))
-            out[f"_tcp_{name}_{n}"] = F.lag(c, 1).over(w) - F.coalesce(F.lag(c, n + 1).over(w), F.lit(0))
-    return step.withColumns(out).drop(*cum)
-
-
-def trailing_mean(name: str, n: int, previous: bool = False) -> Column:
-    """Mean from ``with_trailing_sums`` columns (one double division); with
-    ``previous`` the mean of the frame ending one row earlier."""
-    t = "p" if previous else ""
-    return safe_div(F.col(f"_ts{t}_{name}_{n}").cast("double"), F.col(f"_tc{t}_{name}_{n}"))
-
-
-def trailing_stddev(name: str, sq_name: str, n: int, kind: str = "price") -> Column:
-    """Sample stddev from trailing sums of x and x*x (see ``exact_stddev``)."""
-    if kind == "price":
-        s1 = F.col(f"_ts_{name}_{n}").cast(PRICE_SUM_DEC)
-        s2 = F.col(f"_ts_{sq_name}_{n}").cast(PRICE_SQ_SUM_DEC)
-        n_dec = COUNT_DEC
-    else:
-        s1 = F.col(f"_ts_{name}_{n}").cast(VOLUME_DEC)
-        s2 = F.col(f"_ts_{sq_name}_{n}").cast(VOLUME_SQ_SUM_DEC)
-        n_dec = VOLUME_COUNT_DEC
-    cnt = F.col(f"_tc_{name}_{n}")
-    num = cnt.cast(n_dec) * s2 - s1 * s1
-    return F.sqrt(safe_div(num.cast("double"), (cnt * (cnt - 1)).cast("double")))
-
-
-def drop_trailing(df):
-    return df.drop(*[c for c in df.columns if c.startswith(("_ts_", "_tc_", "_tsp_", "_tcp_"))])

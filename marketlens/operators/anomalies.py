@@ -22,7 +22,7 @@ def add_anomalies(bars: DataFrame, z: float = 3.0, pct: float = 10.0, gap: float
     prev_close = F.lag("close").over(w)
     step = bars.withColumns({
         "volume_mean": W.exact_mean("volume", w0, dec="decimal(20,0)"),
-        "volume_std": W.exact_stddev("volume", w0, kind="volume"),
+        "volume_std": W.exact_stddev("volume", w0),
         "prev_close": prev_close,
     }).withColumns({
         "volume_zscore": C.safe_div(F.col("volume") - F.col("volume_mean"), F.col("volume_std")),

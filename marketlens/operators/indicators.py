@@ -2,7 +2,8 @@
 
 All columns come from windows over one spec family - partition by
 (exchange, symbol), order by date - so the stage has one exchange and one
-sort.  Moving means use exact decimal sums (see functions/windows.py).
+sort.  Moving means are exactly summed doubles (see functions/exact.py), at
+the full precision of the prices.
 The reference's "EMA" is a simple trailing mean and RSI averages use a
 simple 14-row mean; both are kept as the default semantics.
 """
@@ -13,13 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions import columns as C
+from marketlens.functions import exact as X
 from marketlens.functions import windows as W
 
 
 def add_moving_averages(bars: DataFrame, ma=(5, 10, 20, 50)) -> DataFrame:
     """ma_n = mean close over the trailing n rows (partial frames)."""
-    x = W.with_trailing_sums(bars, {"c": C.price_dec("close")}, ma)
-    return W.drop_trailing(x.withColumns({f"ma_{n}": W.trailing_mean("c", n) for n in ma}))
+    x = X.with_trailing_means(bars, {"c": F.col("close")}, ma)
+    return X.drop_trailing(x.withColumns({f"ma_{n}": X.trailing_mean("c", n) for n in ma}))
 
 
 def add_indicators(bars: DataFrame, ma=(5, 10, 20, 50), rsi: int = 14,
@@ -28,46 +30,36 @@ def add_indicators(bars: DataFrame, ma=(5, 10, 20, 50), rsi: int = 14,
     ``prev`` lists moving-average lengths whose previous-row value is also
     kept (``_prev_ma_n``, consumed and dropped by ``signals.add_signals``).
 
-    Trailing statistics come from exact running sums (one pass per series,
-    see ``windows.with_trailing_sums``); results equal sliding-frame sums
-    exactly."""
+    Trailing means come from exact running sums (one pass per series), the
+    Bollinger deviation from Spark's own sliding sample deviation, which is
+    exactly 0 over a flat frame."""
     w = W.ordered()
-    close_d = C.price_dec("close")
     bb_n, bb_k = bb
     fast, slow = macd
-    zero = F.lit(0).cast("decimal(17,4)")
-    # W2/W3 as exact decimals: the first row has no change -> gain = loss = 0
-    step1 = bars.withColumn("_chg", close_d - F.lag(close_d).over(w)).withColumns({
-        "price_change": F.col("_chg").cast("double"),
-        "_gain": F.when(F.col("_chg") > 0, F.col("_chg")).otherwise(zero),
-        "_loss": F.when(F.col("_chg") < 0, -F.col("_chg")).otherwise(zero),
+    chg, zero = F.col("price_change"), F.lit(0.0)
+    # The first row has no change -> gain = loss = 0
+    step1 = bars.withColumn("price_change", F.col("close").cast("double") - F.lag("close").over(w)).withColumns({
+        "gain": F.when(chg > 0, chg).otherwise(zero),
+        "loss": F.when(chg < 0, -chg).otherwise(zero),
     })
-    # one running-sum pass and one lag pass for every trailing statistic;
-    # decimal(16,4) squared is decimal(33,8): exact (a wider operand would
-    # exceed 38 digits and Spark would round the square to fewer decimals)
-    sums = W.with_trailing_sums(
-        step1,
-        {"c": close_d, "c2": close_d * close_d, "g": F.col("_gain"), "l": F.col("_loss"),
-         "v": F.col("volume").cast("decimal(20,0)")},
-        {"c": set(ma) | {bb_n, fast, slow}, "c2": [bb_n], "g": [rsi], "l": [rsi], "v": [vol]},
-        prev={"c": prev})
+    sums = X.with_trailing_means(
+        step1, {"c": F.col("close"), "g": F.col("gain"), "l": F.col("loss"), "v": F.col("volume")},
+        {"c": set(ma) | {bb_n, fast, slow}, "g": [rsi], "l": [rsi], "v": [vol]}, prev={"c": prev})
     step2 = sums.withColumns({
-        **{f"ma_{n}": W.trailing_mean("c", n) for n in ma},
+        **{f"ma_{n}": X.trailing_mean("c", n) for n in ma},
         # previous row's means (``prev``), for signals: no extra window pass
-        **{f"_prev_ma_{n}": W.trailing_mean("c", n, previous=True) for n in prev},
-        "gain": F.col("_gain").cast("double"),
-        "loss": F.col("_loss").cast("double"),
+        **{f"_prev_ma_{n}": X.trailing_mean("c", n, previous=True) for n in prev},
         # Simple trailing means of gain and loss
-        "avg_gain": W.trailing_mean("g", rsi),
-        "avg_loss": W.trailing_mean("l", rsi),
+        "avg_gain": X.trailing_mean("g", rsi),
+        "avg_loss": X.trailing_mean("l", rsi),
         # W6
-        f"std_{bb_n}": W.trailing_stddev("c", "c2", bb_n),
-        "_ma_bb": W.trailing_mean("c", bb_n),
+        f"std_{bb_n}": F.stddev_samp("close").over(W.trailing(bb_n)),
+        "_ma_bb": X.trailing_mean("c", bb_n),
         # W7
-        f"ema_{fast}": W.trailing_mean("c", fast),
-        f"ema_{slow}": W.trailing_mean("c", slow),
+        f"ema_{fast}": X.trailing_mean("c", fast),
+        f"ema_{slow}": X.trailing_mean("c", slow),
         # W8
-        f"volume_ma_{vol}": W.trailing_mean("v", vol),
+        f"volume_ma_{vol}": X.trailing_mean("v", vol),
     })
     std = F.col(f"std_{bb_n}")
     out = step2.withColumns({
@@ -83,16 +75,15 @@ def add_indicators(bars: DataFrame, ma=(5, 10, 20, 50), rsi: int = 14,
         "bb_position": C.safe_div(F.col("close") - F.col("bb_lower"),
                                   F.col("bb_upper") - F.col("bb_lower")),
     })
-    return W.drop_trailing(out).drop("_chg", "_gain", "_loss", "_ma_bb")
+    return X.drop_trailing(out).drop("_ma_bb")
 
 
 def add_returns(bars: DataFrame) -> DataFrame:
     """prev_close, daily_return_pct from the previous close, ma_5, ma_20."""
     w = W.ordered()
-    x = W.with_trailing_sums(bars.withColumn("prev_close", F.lag("close").over(w)),
-                             {"c": C.price_dec("close")}, (5, 20))
-    return W.drop_trailing(x.withColumns({
+    x = X.with_trailing_means(bars.withColumn("prev_close", F.lag("close").over(w)), {"c": F.col("close")}, (5, 20))
+    return X.drop_trailing(x.withColumns({
         "daily_return_pct": C.pct_change("close", "prev_close"),
-        "ma_5": W.trailing_mean("c", 5),
-        "ma_20": W.trailing_mean("c", 20),
+        "ma_5": X.trailing_mean("c", 5),
+        "ma_20": X.trailing_mean("c", 20),
     }))

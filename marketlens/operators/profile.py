@@ -13,26 +13,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions import columns as C
+from marketlens.functions import exact as X
 from marketlens.functions import windows as W
 from marketlens.operators.clean import _as_date
 
 
 def symbol_profile(processed: DataFrame) -> DataFrame:
-    """A1 + P17 + P18 per (symbol, exchange).
-
-    ``avg_daily_return`` averages a derived double; its sum depends on merge
-    order, so it is rounded to 9 decimals to be reproducible across plans.
-    """
+    """A1 + P17 + P18 per (symbol, exchange), at the full precision of the
+    prices.  Means are exactly summed, so they do not depend on partitions;
+    the deviation is Spark's own, whose last digits follow the merge order."""
     agg = processed.groupBy("symbol", "exchange").agg(
         F.count(F.lit(1)).alias("record_count"),
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
-        W.exact_mean("close").alias("avg_price"),
-        W.exact_stddev("close").alias("price_volatility"),
+        X.mean("close").alias("avg_price"),
+        F.stddev_samp("close").alias("price_volatility"),
         W.exact_mean("volume", dec="decimal(20,0)").alias("avg_volume"),
         F.max("volume").alias("max_volume"),
         F.min("volume").alias("min_volume"),
-        F.round(F.avg("daily_return"), 9).alias("avg_daily_return"))
+        X.mean("daily_return").alias("avg_daily_return"))
     return agg.withColumns({
         "data_span_days": F.datediff("last_date", "first_date"),
         "price_range_ratio": C.safe_div("price_volatility", "avg_price") * F.lit(100),

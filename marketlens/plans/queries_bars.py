@@ -7,6 +7,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from marketlens.functions import columns as C
 from marketlens.operators import anomalies, clean, indicators, profile, rankings, signals
 from marketlens.plans import sqlgen as S
 from marketlens.plans.catalog import register, with_cte
@@ -146,28 +147,23 @@ def u1_dedupe_last(spark, sf):
 # Step 3: indicators W1-W8, W18
 # --------------------------------------------------------------------------
 
-IND_COLS_DROP = "_chg, _gain, _loss, _ma_bb"
-
-
 def indicators_sql(src: str = "bars") -> str:
     w = S.win()
-    cd = f"CAST(close AS {S.PRICE_DEC})"
     mas = ",\n         ".join(f"{S.mean('close', S.win(n))} AS ma_{n}" for n in (5, 10, 20, 50))
+    # deviations one by one from the frame's values (_frame)
     return f"""
 ind1 AS (
   SELECT *, {mas},
-         {cd} - lag({cd}) OVER {w} AS _chg
+         close - lag(close) OVER {w} AS price_change, list(close) OVER {S.win(20)} AS _frame
   FROM {src}),
 ind2 AS (
-  SELECT *, CAST(_chg AS DOUBLE) AS price_change,
-         CASE WHEN _chg > 0 THEN _chg ELSE CAST(0 AS DECIMAL(17,4)) END AS _gain,
-         CASE WHEN _chg < 0 THEN -_chg ELSE CAST(0 AS DECIMAL(17,4)) END AS _loss
+  SELECT * EXCLUDE (_frame), {S.list_stddev('_frame')} AS std_20,
+         CASE WHEN price_change > 0 THEN price_change ELSE {S.d(0.0)} END AS gain,
+         CASE WHEN price_change < 0 THEN -price_change ELSE {S.d(0.0)} END AS loss
   FROM ind1),
 ind3 AS (
-  SELECT *, CAST(_gain AS DOUBLE) AS gain, CAST(_loss AS DOUBLE) AS loss,
-         {S.div(f"CAST(sum(_gain) OVER {S.win(14)} AS DOUBLE)", f"count(_gain) OVER {S.win(14)}")} AS avg_gain,
-         {S.div(f"CAST(sum(_loss) OVER {S.win(14)} AS DOUBLE)", f"count(_loss) OVER {S.win(14)}")} AS avg_loss,
-         {S.stddev('close', S.win(20))} AS std_20,
+  SELECT *, {S.mean('gain', S.win(14))} AS avg_gain,
+         {S.mean('loss', S.win(14))} AS avg_loss,
          {S.mean('close', S.win(20))} AS _ma_bb,
          {S.mean('close', S.win(12))} AS ema_12,
          {S.mean('close', S.win(26))} AS ema_26,
@@ -181,7 +177,7 @@ ind4 AS (
          {S.div('CAST(volume AS DOUBLE)', 'volume_ma_10')} AS volume_ratio
   FROM ind3),
 ind AS (
-  SELECT * EXCLUDE ({IND_COLS_DROP}),
+  SELECT * EXCLUDE (_ma_bb),
          {S.d(100.0)} - {S.div(S.d(100.0), f"{S.d(1.0)} + rs")} AS rsi,
          {S.div('close - bb_lower', 'bb_upper - bb_lower')} AS bb_position
   FROM ind4)"""
@@ -228,7 +224,7 @@ def anomalies_sql(src: str = "bars") -> str:
     return f"""
 an1 AS (
   SELECT *, {S.mean('volume', w0, 'DECIMAL(20,0)')} AS volume_mean,
-         {S.stddev('volume', w0, 'volume')} AS volume_std,
+         {S.volume_stddev('volume', w0)} AS volume_std,
          lag(close) OVER {S.win()} AS prev_close
   FROM {src}),
 an2 AS (
@@ -333,21 +329,52 @@ def t3_anomaly_list_brand(spark, sf):
 # Step 2: profiles and summaries
 # --------------------------------------------------------------------------
 
+# the sample deviation's last digits follow the merge order of partial results
 PROFILE_SELECT = f"""
-SELECT *, CAST(datediff('day', first_date, last_date) AS INTEGER) AS data_span_days,
-       {S.div('price_volatility', 'avg_price')} * 100 AS price_range_ratio
+SELECT * EXCLUDE (price_volatility), CAST(datediff('day', first_date, last_date) AS INTEGER) AS data_span_days,
+       {S.significant('price_volatility')} AS price_volatility,
+       {S.significant(f"{S.div('price_volatility', 'avg_price')} * 100")} AS price_range_ratio
 FROM (SELECT symbol, exchange, count(*) AS record_count, min(date) AS first_date,
              max(date) AS last_date, {S.mean('close')} AS avg_price,
-             {S.stddev('close')} AS price_volatility,
+             stddev_samp(close) AS price_volatility,
              {S.mean('volume', None, 'DECIMAL(20,0)')} AS avg_volume,
              max(volume) AS max_volume, min(volume) AS min_volume,
-             round(avg(daily_return), 9) AS avg_daily_return
+             {S.mean('daily_return')} AS avg_daily_return
       FROM processed GROUP BY symbol, exchange) t"""
 
 
+def shown_profile(df):
+    """A profile with its deviation columns at ten significant digits."""
+    return df.withColumns({c: C.significant(c) for c in ("price_volatility", "price_range_ratio")})
+
+
 @register("a1_symbol_profile", with_cte(T.BARS_SQL, processed_sql()) + PROFILE_SELECT)
 def a1_symbol_profile(spark, sf):
-    return profile.symbol_profile(processed(spark, sf))
+    return shown_profile(profile.symbol_profile(processed(spark, sf)))
+
+
+# Prices of 1e-5 to 1e-3: nothing is left of them at four decimals.
+FINE = 100_000.0
+FINE_SQL = f"""
+fine AS (SELECT * REPLACE (open / {S.d(FINE)} AS open, high / {S.d(FINE)} AS high, low / {S.d(FINE)} AS low,
+                           close / {S.d(FINE)} AS close) FROM bars)"""
+
+
+def fine(bars_df):
+    return bars_df.withColumns({c: F.col(c) / F.lit(FINE) for c in ("open", "high", "low", "close")})
+
+
+@register("a1_profile_fine", with_cte(T.BARS_SQL, FINE_SQL, processed_sql().replace("FROM bars", "FROM fine"))
+          + PROFILE_SELECT)
+def a1_profile_fine(spark, sf):
+    bars_df = fine(T.bars(spark, sf))
+    return shown_profile(profile.symbol_profile(clean.process_bars(
+        bars_df, min_volume=0, high=VOL_HIGH, medium=VOL_MEDIUM, loaded_at=LOADED_AT)))
+
+
+@register("w1_indicators_fine", with_cte(T.BARS_SQL, FINE_SQL, indicators_sql("fine")) + "SELECT * FROM ind")
+def w1_indicators_fine(spark, sf):
+    return indicators.add_indicators(fine(T.bars(spark, sf)))
 
 
 @register("a5_market_summary", with_cte(T.BARS_SQL) + """

@@ -13,7 +13,7 @@ from marketlens.plans import queries_reports as QR
 from marketlens.plans.catalog import register, with_cte
 from marketlens.plans.queries_bars import (
     AS_OF, LOADED_AT, PROFILE_SELECT, RAW_SQL, VOL_HIGH, VOL_MEDIUM, _period_gainers_sql,
-    anomalies_sql, indicators_sql, processed_sql, signals_sql,
+    anomalies_sql, indicators_sql, processed_sql, shown_profile, signals_sql,
 )
 from marketlens.plans.queries_ingest import write_raw_landing
 from marketlens.session import scratch_path
@@ -42,7 +42,7 @@ def _processing(spark, sf):
 def q1_processing_job(spark, sf):
     """Raw landing -> daily_stocks -> stock_aggregations (read back)."""
     _, paths = _processing(spark, sf)
-    return spark.read.parquet(paths["stock_aggregations"])
+    return shown_profile(spark.read.parquet(paths["stock_aggregations"]))
 
 
 JOB_BARS_CTES = (T.BARS_SQL.replace("bars AS (", "ev_bars AS (", 1),

@@ -166,24 +166,27 @@ def test_period_stats_date_order(spark):
     assert s.trading_days == 4
 
 
-def test_std_exact_with_four_decimal_prices(spark):
-    """Bollinger sd from exact decimal moments equals the exact value for
-    prices with four decimals (the bar table's DECIMAL(10,4))."""
-    import math
-    from decimal import Decimal, getcontext
-    getcontext().prec = 60
-    closes = [Decimal("1234.5678") + Decimal(i * 7919 % 1000) / Decimal("1000.1234").quantize(Decimal("1.0000"))
-              for i in range(30)]
-    closes = [c.quantize(Decimal("1.0000")) for c in closes]
-    df = series(spark, [float(c) for c in closes])
-    rows = indicators.add_indicators(df).orderBy("date").collect()
-    for i in range(19, 30):
-        win = closes[i - 19:i + 1]
-        n = len(win)
-        s1, s2 = sum(win), sum(c * c for c in win)
-        # exact numerator, one conversion, one division (the documented formula)
-        want = math.sqrt(float(n * s2 - s1 * s1) / float(n * (n - 1)))
-        assert rows[i].std_20 == want, (i, rows[i].std_20, want)
+@pytest.mark.parametrize("scale", [1.0, 1e-8, 2e12])
+def test_indicators_at_full_precision(spark, scale):
+    """Means and Bollinger deviation against exact fractions of the doubles,
+    for prices of any magnitude; flat frames deviate by exactly 0."""
+    from fractions import Fraction
+    closes = [(1234.5678 + i * 7919 % 1000 / 999.7) * scale for i in range(30)] + [7.1 * scale] * 25
+    rows = indicators.add_indicators(series(spark, closes)).orderBy("date").collect()
+    for i, r in enumerate(rows):
+        for n in (5, 10, 20, 50):
+            win = [Fraction(c) for c in closes[max(0, i - n + 1):i + 1]]
+            assert r[f"ma_{n}"] == pytest.approx(float(sum(win) / len(win)), rel=5e-16)
+        win = [Fraction(c) for c in closes[max(0, i - 19):i + 1]]
+        m = sum(win) / len(win)
+        if len(win) > 1:
+            assert r.std_20 == pytest.approx(float(sum((c - m) ** 2 for c in win) / (len(win) - 1)) ** 0.5, rel=1e-11)
+    assert rows[-1].std_20 == 0 and rows[-1].bb_position is None
+
+
+def test_smallest_prices_keep_their_means(spark):
+    rows = indicators.add_moving_averages(series(spark, [0.00001, 0.00003, 0.00005])).orderBy("date").collect()
+    assert [r.ma_5 for r in rows] == pytest.approx([1e-5, 2e-5, 3e-5], rel=1e-15)
 
 
 def test_signals_same_with_folded_previous_means(spark):

@@ -1,42 +1,71 @@
 """Property checks against brute force on random series (hypothesis):
-trailing sums vs Spark's sliding frames, missing days vs a calendar spine,
+trailing means vs exact fractions, missing days vs a calendar spine,
 dedupe idempotence, islands vs whole-history runs."""
 
 import datetime as dt
+from fractions import Fraction
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from marketlens.functions import windows as W
+from marketlens.functions import exact as X
 from marketlens.operators import clean
 
 D0 = dt.date(2024, 1, 1)
 SETTINGS = settings(max_examples=12, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
 
-prices = st.one_of(st.none(), st.decimals(min_value=0, max_value=99999, places=2,
-                                          allow_nan=False, allow_infinity=False))
+prices = st.one_of(st.none(), st.floats(1e-11, 1e15), st.floats(1e-11, 1e-3), st.just(0.0),
+                   st.floats(1, 1e5).map(lambda x: round(x, 2)))
+
+
+def exact_mean(values):
+    """Correctly rounded mean and the count of the values that are there."""
+    there = [Fraction(v) for v in values if v is not None]
+    return sum(there) / len(there) if there else None
 
 
 @SETTINGS
 @given(st.lists(st.tuples(st.sampled_from(["A", "B"]), prices), min_size=1, max_size=60),
        st.lists(st.integers(min_value=1, max_value=30), min_size=1, max_size=3))
-def test_trailing_sums_equal_sliding_frames(spark, rows, ns):
-    data = [("X", s, D0 + dt.timedelta(days=i), None if p is None else float(p))
-            for i, (s, p) in enumerate(rows)]
+def test_trailing_means_equal_exact_fractions(spark, rows, ns):
+    """Also after values of any other magnitude in the same series."""
+    data = [("X", s, D0 + dt.timedelta(days=i), p) for i, (s, p) in enumerate(rows)]
     df = spark.createDataFrame(data, "exchange string, symbol string, date date, close double")
-    x = F.col("close").cast("decimal(16,4)")
-    fast = W.with_trailing_sums(df, {"c": x}, ns)
-    for n in ns:
-        fast = fast.withColumn(f"slow_s{n}", F.sum(x).over(W.trailing(n)))
-        fast = fast.withColumn(f"slow_c{n}", F.count(x).over(W.trailing(n)))
-    for r in fast.collect():
-        for n in ns:
-            s_fast, c_fast = r[f"_ts_c_{n}"], r[f"_tc_c_{n}"]
-            assert c_fast == r[f"slow_c{n}"]
-            if c_fast:
-                assert s_fast == r[f"slow_s{n}"]
+    got = X.with_trailing_means(df, {"c": F.col("close")}, ns, prev={"c": ns}).orderBy("date").collect()
+    for s in ("A", "B"):
+        mine = [r for r in got if r.symbol == s]
+        closes = [r.close for r in mine]
+        for i, r in enumerate(mine):
+            for n in ns:
+                for col, end in ((f"_tm_c_{n}", i + 1), (f"_tmp_c_{n}", i)):
+                    want = exact_mean(closes[max(0, end - n):end])
+                    if want is None:
+                        assert r[col] is None
+                    else:
+                        assert abs(Fraction(r[col]) - want) <= want * Fraction(1, 2**51)
+
+
+@SETTINGS
+@given(st.lists(st.floats(-1e9, 1e9), min_size=1, max_size=50), st.integers(1, 12))
+def test_group_means_do_not_depend_on_partitions(spark, values, parts):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    one = df.coalesce(1).agg(X.mean("x")).first()[0]
+    assert df.repartition(parts).agg(X.mean("x")).first()[0] == one
+    scale = sum(abs(Fraction(v)) for v in values) / len(values)
+    assert abs(Fraction(one) - exact_mean(values)) <= max(scale * Fraction(1, 2**50), Fraction(1, 2**89))
+
+
+def test_values_out_of_range_make_the_frame_nan(spark):
+    nan, inf = float("nan"), float("inf")
+    closes = [1.0, nan, 2.0, 3.0, inf, 1e300, 4.0, None, 5.0]
+    df = spark.createDataFrame([("X", "A", D0 + dt.timedelta(days=i), c) for i, c in enumerate(closes)],
+                               "exchange string, symbol string, date date, close double")
+    got = [r["_tm_c_2"] for r in X.with_trailing_means(df, {"c": F.col("close")}, [2]).orderBy("date").collect()]
+    want = [1.0, nan, nan, 2.5, nan, nan, nan, 4.0, 5.0]
+    assert [x if x == x else "nan" for x in got] == [x if x == x else "nan" for x in want]
+    assert spark.createDataFrame([(None,)], "x double").agg(X.mean("x")).first()[0] is None
 
 
 @SETTINGS
