@@ -8,6 +8,7 @@ other step is an aggregation or a skew-safe ordered computation from
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -117,6 +118,70 @@ def ratio(num, den):
     return C.safe_div(C.col_(num).cast("double"), C.col_(den).cast("double")) * F.lit(100.0)
 
 
+@dataclass(frozen=True)
+class Rule:
+    """Alert when ``part / whole * 100`` of an instance is above ``above`` (or
+    below ``below``) for ``for_seconds``.  A reading counts until the next one
+    of its series, ``lookback_seconds`` at most; without a fresh reading of
+    both series there is no value and no alert."""
+
+    part: str
+    whole: str
+    for_seconds: int
+    above: float | None = None
+    below: float | None = None
+    lookback_seconds: int = 300
+
+    def breached(self, value):
+        """Works on columns and on plain numbers."""
+        return value > self.above if self.above is not None else value < self.below
+
+
+def rule_runs(readings: DataFrame, rule: Rule, keys=("instance",), as_of_micros: int | None = None,
+              target_rows: int = SR.TARGET_ROWS) -> DataFrame:
+    """R6 ratio of two series, R5 duration: the alert's runs, one row each.
+
+    The series are aligned as of every reading of either.  The value is a step
+    function of time, so a run lasts from the reading that breaches to the
+    first moment that does not: a later reading, or the moment at which one
+    side is no longer fresh.  From ``pending_at`` the run is pending, from
+    ``firing_at`` (NULL if it did not last) firing, at ``resolved_at`` over
+    (NULL: still going at the last reading, or ``as_of_micros``).  Readings of
+    one series at one moment count as the greatest of them; this also folds
+    bursts before the shuffle."""
+    keys = list(keys)
+    both = (readings.filter(F.col("series").isin(rule.part, rule.whole))
+            .groupBy(*keys, "ts").agg(F.max(F.when(F.col("series") == rule.part, F.col("value"))).alias("part"),
+                                      F.max(F.when(F.col("series") == rule.whole, F.col("value"))).alias("whole")))
+    if as_of_micros is None:
+        as_of_micros = both.agg(F.max(C.epoch_micros(both, "ts"))).first()[0]
+    as_of = F.lit(as_of_micros if as_of_micros is not None else 0)
+    known = SR.last_known(both.filter(C.epoch_micros(both, "ts") <= as_of), keys, "ts", ["part", "whole"],
+                          target_rows=target_rows)
+    fresh = F.expr(f"INTERVAL '{rule.lookback_seconds}' SECOND")
+    aligned = known.withColumns({
+        "value": ratio("part_last", "whole_last"),
+        "stale": F.least(F.col("part_ts") + fresh, F.col("whole_ts") + fresh)})
+    aligned = aligned.select(
+        *keys, "ts", "next_ts", "stale", "value", F.least("next_ts", "stale").alias("until"),
+        F.coalesce((F.col("ts") < F.col("stale")) & rule.breached(F.col("value")), F.lit(False)).alias("on"))
+    # a run also ends where a side goes stale before the next reading
+    stale = aligned.filter(F.col("on") & (F.col("next_ts").isNull() | (F.col("stale") < F.col("next_ts"))))
+    moments = aligned.select(*keys, "ts", "on", "until", "value").unionByName(
+        stale.select(*keys, F.col("stale").alias("ts"), F.lit(False).alias("on")), allowMissingColumns=True)
+    runs = SR.islands(moments, keys, "ts", F.col("on"), target_rows=target_rows,
+                      largest={"until": F.col("until"), "peak": F.col("value")})
+    start, until = C.epoch_micros(runs, "start_ts"), C.epoch_micros(runs, "until")
+    due = start + F.lit(rule.for_seconds * 1_000_000)
+    over = until <= as_of
+    fired = F.when(over, due < until).otherwise(due <= as_of)
+    return runs.select(
+        *keys, F.col("start_ts").alias("pending_at"),
+        F.when(fired, F.col("start_ts") + F.expr(f"INTERVAL '{rule.for_seconds}' SECOND")).alias("firing_at"),
+        F.when(over, F.col("until")).alias("resolved_at"), "n_samples", "peak",
+        F.when(over, F.lit("resolved")).when(fired, F.lit("firing")).otherwise(F.lit("pending")).alias("state"))
+
+
 def counters(readings: DataFrame, keys=("series", "instance"), bucket_seconds: int | None = None,
              out: str = "counter", target_rows: int = SR.TARGET_ROWS) -> DataFrame:
     """Monotone counters from readings: running count of samples per key

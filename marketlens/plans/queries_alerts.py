@@ -5,10 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from marketlens.functions import columns as C
 from marketlens.operators import alerts
 from marketlens.plans import sqlgen as S
 from marketlens.plans.catalog import register, with_cte
+from marketlens.session import scratch_path
 from marketlens.sources import tables as T
+from marketlens.streaming import alerting
 
 # Which event series plays which resource of the band table.
 SERIES_TO_METRIC = {"view": "cpu", "click": "memory", "purchase": "disk"}
@@ -109,7 +112,7 @@ def r4_status_rollup(spark, sf):
 , x AS (
   SELECT instance, ts, value > {S.d(SUSTAIN_ABOVE)} AS f,
          sum(CASE WHEN value > {S.d(SUSTAIN_ABOVE)} THEN 0 ELSE 1 END)
-           OVER (PARTITION BY instance ORDER BY ts ROWS UNBOUNDED PRECEDING) AS g
+           OVER (PARTITION BY instance ORDER BY ts, value > {S.d(SUSTAIN_ABOVE)} ROWS UNBOUNDED PRECEDING) AS g
   FROM metrics)
 SELECT instance, min(ts) AS start_ts, max(ts) AS end_ts, count(*) AS n_samples,
        CAST(epoch_us(max(ts)) - epoch_us(min(ts)) AS DOUBLE) / {S.d(1e6)} AS duration_sec,
@@ -168,3 +171,69 @@ def r8_hit_rate(spark, sf):
     agg = m.groupBy("instance").agg(F.count_if(F.col("series") == "purchase").alias("hits"),
                                     F.count_if(F.col("series") == "view").alias("misses"))
     return agg.withColumn("hit_rate", alerts.hit_rate("hits", "misses"))
+
+
+# A whole rule: a used/total ratio above a limit for five minutes.  Readings
+# of a user are hours apart, so they stay fresh for two days.
+RULE = alerts.Rule(part="click", whole="view", above=80.0, for_seconds=300, lookback_seconds=2 * 86_400)
+STREAM_DELAY = 6 * 3600          # seconds that readings may arrive late
+
+_UNTIL = f"INTERVAL {RULE.lookback_seconds} SECOND"
+_RULE_SQL = f"""
+both_sides AS (
+  SELECT instance, ts, max(value) FILTER (series = '{RULE.part}') AS part, max(value) FILTER (series = '{RULE.whole}') AS whole
+  FROM metrics WHERE series IN ('{RULE.part}', '{RULE.whole}') GROUP BY instance, ts),
+now AS (SELECT %s AS as_of FROM both_sides),
+known AS (
+  SELECT *, last_value(part IGNORE NULLS) OVER w AS part_last, last_value(whole IGNORE NULLS) OVER w AS whole_last,
+         last_value(CASE WHEN part IS NOT NULL THEN ts END IGNORE NULLS) OVER w + {_UNTIL} AS part_until,
+         last_value(CASE WHEN whole IS NOT NULL THEN ts END IGNORE NULLS) OVER w + {_UNTIL} AS whole_until,
+         lead(ts) OVER (PARTITION BY instance ORDER BY ts) AS next_ts
+  FROM both_sides WINDOW w AS (PARTITION BY instance ORDER BY ts ROWS UNBOUNDED PRECEDING)),
+aligned AS (
+  SELECT *, value > {S.d(RULE.above)} AND ts < stale AS breach FROM (
+    SELECT *, {S.div('part_last', 'whole_last')} * {S.d(100.0)} AS value, least(part_until, whole_until) AS stale
+    FROM known) t),
+moments AS (
+  SELECT instance, ts, coalesce(breach, false) AS breach, least(next_ts, stale) AS until, value FROM aligned
+  UNION ALL
+  SELECT instance, stale, false, NULL, NULL FROM aligned WHERE breach AND (next_ts IS NULL OR stale < next_ts)),
+runs AS (
+  SELECT instance, min(ts) AS pending_at, max(until) AS until, count(*) AS n_samples, max(value) AS peak
+  FROM (SELECT *, sum(CASE WHEN breach THEN 0 ELSE 1 END) OVER (PARTITION BY instance ORDER BY ts, breach
+                                                             ROWS UNBOUNDED PRECEDING) AS g FROM moments) t
+  WHERE breach GROUP BY instance, g),
+ended AS (
+  SELECT runs.*, as_of, until <= as_of AS done, pending_at + INTERVAL {RULE.for_seconds} SECOND AS due,
+         CASE WHEN until <= as_of THEN due < until ELSE due <= as_of END AS fired FROM runs, now)"""
+
+
+@register("r9_alert_rule", with_cte(T.METRICS_SQL, _RULE_SQL % "max(ts)") + """
+SELECT instance, pending_at, CASE WHEN fired THEN due END AS firing_at, CASE WHEN done THEN until END AS resolved_at,
+       n_samples, peak, CASE WHEN done THEN 'resolved' WHEN fired THEN 'firing' ELSE 'pending' END AS state
+FROM ended""")
+def r9_alert_rule(spark, sf):
+    return alerts.rule_runs(T.metrics(spark, sf), RULE)
+
+
+def _changes(name: str, at: str, when: str) -> str:
+    return f"SELECT instance, '{name}' AS state, {at} AS at FROM ended WHERE {when} AND {at} < as_of"
+
+
+@register("r9_alert_transitions", with_cte(T.METRICS_SQL, _RULE_SQL % (
+    f"CAST(epoch_ms(epoch_ms(max(ts)) - {STREAM_DELAY * 1000}) AS TIMESTAMP)")) + " UNION ALL ".join([
+        _changes("pending", "pending_at", "true"), _changes("firing", "due", "due < until"),
+        _changes("resolved", "until", "true")]))
+def r9_alert_transitions(spark, sf):
+    """The rule as a stream over readings in six files, two per micro-batch.
+    What the last watermark has not passed is still open."""
+    m = T.metrics(spark, sf)
+    landed, out, progress = (scratch_path(spark, f"rule-{x}") for x in ("readings", "transitions", "progress"))
+    day = F.date_trunc("day", "ts")
+    m.repartitionByRange(6, day, "ts").sortWithinPartitions("ts").write.parquet(landed)
+    stream = spark.readStream.schema(m.schema).option("maxFilesPerTrigger", 2).parquet(landed)
+    found = alerting.rule_transitions(stream, RULE, delay=f"{STREAM_DELAY} seconds")
+    (found.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress)
+     .trigger(availableNow=True).start().awaitTermination())
+    rows = spark.read.schema(found.schema).parquet(out)
+    return rows.select("instance", "state", F.timestamp_micros(C.epoch_micros(rows, "at")).cast(m.schema["ts"].dataType).alias("at"))

@@ -100,3 +100,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def materialize_bucketed(df: DataFrame, name: str, buckets: int, *columns: str) -> DataFrame:
+    """``materialize`` with the files dealt into ``buckets`` by a hash of
+    ``columns``: windows, aggregations and joins on them read the files as
+    they are, without an exchange.  The files lie under the shared checkpoint
+    folder; the table that records the layout has a name of its own."""
+    spark = df.sparkSession
+    table = f"marketlens_{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
+    df.write.bucketBy(buckets, *columns).option("path", scratch_path(spark, name)).saveAsTable(table)
+    return spark.table(table)
