@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from marketlens.functions import columns as C
 from marketlens.operators import clusters, lookup, profile
 from marketlens.plans import jobs
 from marketlens.plans import queries_jobs as QJ
@@ -118,12 +119,32 @@ def a13_exchange_directories(spark, sf):
             .select("path_exchange", "dir_count", "file_count"))
 
 
+_LANDED = "CAST(exchange AS VARCHAR) AS x, strftime(date, '%Y%m%d') AS y, octet_length(encode(symbol || ',' || CAST(volume AS VARCHAR))) + 1 AS n"
+
+
+@register("a13_directory_sizes", with_cte(T.BARS_SQL, f"l AS (SELECT {_LANDED} FROM bars)") + """
+SELECT '' AS below, CAST(0 AS BIGINT) AS file_count, count(DISTINCT x) AS dir_count, CAST(0 AS BIGINT) AS total_size FROM l
+UNION ALL SELECT '/x=' || x, 0, count(DISTINCT y), 0 FROM l GROUP BY x
+UNION ALL SELECT '/x=' || x || '/y=' || y, 1, 0, CAST(sum(n) AS BIGINT) FROM l GROUP BY x, y""")
+def a13_directory_sizes(spark, sf):
+    """Sizes and counts of a landing of known files: a line per bar, one file
+    per exchange and day."""
+    root = scratch_path(spark, "lines")
+    (T.bars(spark, sf).select(F.concat_ws(",", "symbol", F.col("volume").cast("string")).alias("value"),
+                              F.col("exchange").alias("x"), F.date_format("date", "yyyyMMdd").alias("y"))
+     .repartition("x").write.partitionBy("x", "y").text(root))
+    totals = ingest.directory_totals(ingest.file_audit(spark, root, glob="*.txt"), root)
+    return totals.select(F.substring_index("directory", root.split("://")[-1], -1).alias("below"),
+                         "file_count", "dir_count", "total_size")
+
+
 @register("p25_cluster_features", with_cte(T.BARS_SQL, processed_sql()) + f"""
 SELECT symbol, exchange, avg_daily_return, price_volatility, avg_volume FROM ({PROFILE_SELECT}) p
 WHERE avg_daily_return IS NOT NULL AND price_volatility IS NOT NULL AND avg_volume IS NOT NULL""")
 def p25_cluster_features(spark, sf):
     """Profiles that enter clustering: rows with any missing feature go."""
-    return clusters.features(profile.symbol_profile(processed(spark, sf)))
+    found = clusters.features(profile.symbol_profile(processed(spark, sf)))
+    return found.withColumn("price_volatility", C.significant("price_volatility"))
 
 
 _Z = ", ".join(f"round(({c} - avg({c}) OVER ()) / nullif(stddev_samp({c}) OVER (), 0), 6) AS z_{c}"

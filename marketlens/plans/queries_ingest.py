@@ -288,3 +288,25 @@ def q1_faulty_landing(spark, sf):
     paths = jobs.processing_job(spark, f"{root}/*/*/*.csv", scratch_path(spark, "jobs"))
     return (spark.read.parquet(paths["daily_stocks"])
             .select("exchange", "symbol", "date", "open", "high", "low", "close", "volume"))
+
+
+# Names with commas, quotes and line breaks: nothing of them is ragged.
+_ODD_NAME = ("symbol || CASE CAST(symbol AS BIGINT) % 4 WHEN 0 THEN ', Inc' WHEN 1 THEN ', \"the\" firm' "
+             "WHEN 2 THEN chr(10) || 'second line, of it' ELSE '' END")
+
+
+@register("s1_quoted_landing", with_cte(T.BARS_SQL, RAW_SQL) + f"""
+SELECT exchange, {_ODD_NAME} AS symbol, date, open, high, low, close, volume, download_timestamp,
+       CAST(0 AS BIGINT) AS n_bad_lines
+FROM raw""")
+def s1_quoted_landing(spark, sf):
+    """Raw snapshots whose symbols need quotes, landed and read back, with
+    the number of quarantined lines."""
+    no = F.col("symbol").cast("long") % 4
+    name = (F.when(no == 0, F.concat("symbol", F.lit(", Inc"))).when(no == 1, F.concat("symbol", F.lit(', "the" firm')))
+            .when(no == 2, F.concat("symbol", F.lit("\nsecond line, of it"))).otherwise(F.col("symbol")))
+    root = land(raw_snapshots(spark, sf).withColumn("symbol", name), scratch_path(spark, "quoted"))
+    good, bad = ingest.split_ragged(spark, f"{root}/*/*/*.csv")
+    bars = ingest.parse_good_lines(good).select("exchange", "symbol", "date", "open", "high", "low", "close", "volume",
+                                                "download_timestamp")
+    return bars.withColumn("n_bad_lines", F.lit(bad.count()).cast("long"))

@@ -287,13 +287,13 @@ def _ts(stamp: str) -> str:
 SELECT exchange, successful_symbols, failed_symbols, data_points,
        CAST(NULL AS BIGINT) AS hdfs_upload_count, files,
        CAST(NULL AS BIGINT) AS database_success, CAST(NULL AS BIGINT) AS database_failed,
-       {_ts(REPORT_STAMPS[0])} AS report_time FROM rep
+       {_ts(REPORT_STAMPS[0])} AS report_time, CAST(0 AS BIGINT) AS n_bad_lines FROM rep
 UNION ALL
 SELECT exchange, successful_symbols, failed_symbols, data_points, CAST(NULL AS BIGINT), files,
-       database_success, database_failed, {_ts(REPORT_STAMPS[1])} FROM rep
+       database_success, database_failed, {_ts(REPORT_STAMPS[1])}, 0 FROM rep
 UNION ALL
 SELECT exchange, successful_symbols, failed_symbols, data_points, hdfs_upload_count, files,
-       database_success, database_failed, {_ts(REPORT_STAMPS[2])} FROM rep""")
+       database_success, database_failed, {_ts(REPORT_STAMPS[2])}, 0 FROM rep""")
 def s17_report_versions(spark, sf):
     root = write_report_versions(spark, sf)
     return ingest.read_reports(spark, f"{root}/*/*.csv").drop("source_file")

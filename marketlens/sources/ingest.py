@@ -9,17 +9,22 @@ shifts one group (B5).  Here every line is judged by the header of its own
 file: one header row per file, joined to the file's lines on the path (the
 planner picks the join).  Columns are mapped by that header's names; a line
 whose field count differs from it, or whose file has no known header, is
-quarantined instead of silently mis-mapped or dropped.  The vendor format
-has no quoted fields; a quoted comma changes the count and lands the line in
-quarantine.
+quarantined instead of silently mis-mapped or dropped.  Fields may be quoted
+(commas, doubled quotes and line breaks inside); a line whose quote never
+closes is quarantined on its own.
 """
 
 from __future__ import annotations
 
+import fnmatch
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from marketlens.session import materialize
+
 # Raw vendor CSV headers, in file order.
 RAW12 = ("exchangeCode", "symbolCode", "interval", "date", "open", "high", "low", "close",
          "volume", "symbol", "exchange", "download_timestamp")
@@ -35,20 +40,118 @@ PRICE_COLS = ("open", "high", "low", "close", "adjusted_close")
 PATH_PARTS = r"/(?:[^/=]+=)?([^/]+)/(?:[^/=]+=)?(\d{8})/[^/]+$"
 
 
-def text_lines(df: DataFrame) -> DataFrame:
-    """Non-empty lines of a text-source frame (batch or streaming) with
-    their source file, field count and fields (``_fields``).
+# Quote-aware fields, on a line with a comma put before it, so that every
+# field starts with one.  A quote opens a field only at its start; within it a
+# doubled quote is a quote.
+_CLOSED = r'"[^"]*+(?:""[^"]*+)*+"(?=,|\z)'
+_FIELD = rf",({_CLOSED}|[^,]*+)"
+_OPENS = rf'^(?:,(?:{_CLOSED}|[^",][^,]*+|(?=,|\z)))*+,"[^"]*+(?:""[^"]*+)*+\z'
+
+
+def _quoted(line: Column) -> Column:
+    return F.contains(line, F.lit('"'))
+
+
+def _opens(line: Column) -> Column:
+    """Whether a line ends inside a quoted field."""
+    return _quoted(line) & F.concat(F.lit(","), line).rlike(_OPENS)
+
+
+def _split(line: Column) -> Column:
+    """Fields of a line, without their quotes."""
+    def plain(f: Column) -> Column:
+        inner = F.replace(f.substr(F.lit(2), F.length(f) - F.lit(2)), F.lit('""'), F.lit('"'))
+        return F.when(f.startswith('"') & f.endswith('"') & (F.length(f) > 1), inner).otherwise(f)
+
+    quoted = F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(1)), plain)
+    return F.when(_quoted(line), quoted).otherwise(F.split(line, ",", -1))
 
-    Filters on lines are pushed below projections, so they use only cheap
-    string functions - the field count is the comma count plus one (equal to
-    the size of the split), the header check reads the first field with
-    ``substring_index`` - and the array is built once, by the projection."""
-    v = F.col("value")
-    commas = F.length(v) - F.length(F.replace(v, F.lit(","), F.lit("")))
-    return (df.select(v, F.col("_metadata.file_path").alias("source_file"))
-            .filter(F.length(F.trim(v)) > 0)
-            .withColumn("n_fields", commas + F.lit(1))
-            .withColumn("_fields", F.split(v, ",", -1)))
+
+def _n_fields(line: Column) -> Column:
+    commas = F.length(line) - F.length(F.replace(line, F.lit(","), F.lit("")))
+    quoted = F.regexp_count(F.concat(F.lit(","), line), F.lit(_FIELD))
+    return F.when(_quoted(line), quoted).otherwise(commas + F.lit(1))
+
+
+def text_lines(df: DataFrame) -> DataFrame:
+    """Lines of a text-source frame (batch or streaming) with their source
+    file and the block of it that they were read with."""
+    return df.select("value", F.col("_metadata.file_path").alias("source_file"),
+                     F.col("_metadata.file_block_start").alias("_block"))
+
+
+def whole_records(lines: DataFrame) -> tuple[DataFrame, bool]:
+    """Non-empty lines of one record each (batch): a record whose quoted
+    field holds line breaks is put together again, with ``\\n`` between.
+
+    A line maps the state before it (outside or inside quotes) to the state
+    after it; maps compose, so the state before a line is the last line that
+    sets it whatever came before, turned over by the lines since that swap it.
+    They are composed within each block of a file (lines of a block are read
+    in order) and across blocks by one row per block, so a large file is many
+    tasks.  Only files with a line that opens a quote take this path; the flag
+    tells whether there are any.  A quote that no later line closes joins
+    nothing."""
+    lines = lines.withColumn("_line", F.monotonically_increasing_id())  # in order within a block
+    opening = lines.filter(_opens(F.col("value")))
+    written = lines.filter(F.length(F.trim("value")) > 0)
+    if opening.isEmpty():
+        return written.select("value", "source_file"), False
+    files = opening.select("source_file").distinct()
+    plain = written.join(files, "source_file", "left_anti").select("value", "source_file")
+    after = F.struct(_opens(F.col("value")).cast("int").alias("out"),
+                     _opens(F.concat(F.lit('"'), F.col("value"))).cast("int").alias("inside"))
+    x = lines.join(files, "source_file").withColumn("_to", after).withColumns({
+        "_set": F.when(F.col("_to.out") == F.col("_to.inside"), F.col("_to.out")),
+        "_swap": (F.col("_to.out") > F.col("_to.inside")).cast("int")})
+    block = Window.partitionBy("source_file", "_block").orderBy("_line")
+    upto = block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = x.withColumn("_swaps", F.sum("_swap").over(upto))
+    last = F.last(F.when(F.col("_set").isNotNull(), F.struct("_set", "_swaps")), ignorenulls=True)
+    x = x.withColumn("_last", last.over(upto))
+
+    def state(start: Column) -> Column:
+        """After a line, of the state before its block."""
+        return F.when(F.col("_last").isNull(), (start + F.col("_swaps")) % 2).otherwise(
+            (F.col("_last._set") + F.col("_swaps") - F.col("_last._swaps")) % 2)
+
+    ends = x.groupBy("source_file", "_block").agg(F.max_by(F.struct(state(F.lit(0)).alias("out"),
+                                                                    state(F.lit(1)).alias("inside")), "_line").alias("_to"))
+    blocks = Window.partitionBy("source_file").orderBy("_block")
+    ends = ends.withColumns({
+        "_set": F.when(F.col("_to.out") == F.col("_to.inside"), F.col("_to.out")),
+        "_swaps": F.sum((F.col("_to.out") > F.col("_to.inside")).cast("int")).over(blocks)})
+    ends = ends.withColumn("_last", last.over(blocks)).select(
+        "source_file", "_block", state(F.lit(0)).alias("_after"))
+    ends = ends.withColumn("_start", F.coalesce(F.lag("_after").over(blocks), F.lit(0)))
+    ends = ends.withColumn("_open_end", F.last("_after").over(
+        blocks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) == 1)
+    x = x.join(ends.select("source_file", "_block", "_start", "_open_end"), ["source_file", "_block"])
+    x = x.withColumn("_after", state(F.col("_start")))
+    x = x.withColumn("_first", F.coalesce(F.lag("_after").over(block), F.col("_start")) == 0)
+    # records are named by their first line: the last first line at or before
+    # each line, in its block or an earlier one
+    here = F.when(F.col("_first"), F.struct("_block", "_line"))
+    x = x.withColumn("_record", F.last(here, ignorenulls=True).over(upto))
+    firsts = x.groupBy("source_file", "_block").agg(F.max(here).alias("_in"))
+    firsts = firsts.select("source_file", "_block", F.last("_in", ignorenulls=True).over(
+        blocks.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        F.last("_in", ignorenulls=True).over(
+            blocks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_final"))
+    x = x.join(firsts, ["source_file", "_block"]).withColumn("_record", F.coalesce("_record", "_before"))
+    alone = F.col("_open_end") & (F.col("_record") == F.col("_final"))  # never closed
+    x = x.withColumn("_record", F.when(alone, F.struct("_block", "_line")).otherwise(F.col("_record")))
+    parts = F.sort_array(F.collect_list(F.struct("_block", "_line", "value")))
+    joined = x.groupBy("source_file", "_record").agg(parts.alias("_parts"))
+    joined = joined.select(F.array_join(F.col("_parts.value"), "\n").alias("value"), "source_file")
+    return plain.unionByName(joined.filter(F.length(F.trim("value")) > 0)), True
+
+
+def with_fields(records: DataFrame) -> DataFrame:
+    """Field count and fields (``_fields``) of every record.  Filters are
+    pushed below projections, so counts use cheap string functions where no
+    quote occurs and the array is built once."""
+    return records.withColumns({"n_fields": _n_fields(F.col("value")), "_fields": _split(F.col("value"))})
 
 
 def _lines(spark: SparkSession, path) -> DataFrame:
@@ -56,7 +159,7 @@ def _lines(spark: SparkSession, path) -> DataFrame:
 
 
 def _is_header(first_field: str) -> Column:
-    head = F.lower(F.trim(F.substring_index(F.col("value"), ",", 1)))
+    head = F.lower(F.trim(F.translate(F.substring_index(F.col("value"), ",", 1), '"', "")))
     return head == F.lit(first_field.lower())
 
 
@@ -86,24 +189,36 @@ def split_ragged(spark: SparkSession, path, layouts=(RAW12, RAW13),
 def split_ragged_lines(lines: DataFrame, layouts=(RAW12, RAW13),
                        header_first: str = "exchangeCode") -> tuple[DataFrame, DataFrame]:
     """``split_ragged`` on a batch frame of ``text_lines``.  Of several
-    header lines in a file the smallest text counts."""
+    header lines in a file the smallest text counts.  A record of several
+    lines that does not fit comes apart, and its lines are judged one by one:
+    a stray quote spoils its own line only."""
+    records, joined = whole_records(lines)
+    records = with_fields(records)
     is_head = _is_header(header_first)
-    names = F.transform(F.split("_header", ","), lambda c: F.lower(F.trim(c)))
+    names = F.transform("_header", lambda c: F.lower(F.trim(c)))
     known = F.lit(False)
     for layout in layouts:
         known = known | (F.sort_array("_names") == F.array(*[F.lit(c) for c in sorted(map(str.lower, layout))]))
     wanted = sorted({c for layout in layouts for c in layout})
-    heads = (lines.filter(is_head).groupBy("source_file").agg(F.min("value").alias("_header"))
+    heads = (records.filter(is_head).groupBy("source_file").agg(F.min_by("_fields", "value").alias("_header"))
              .withColumn("_names", names).filter(known)
              # 0-based position of every column, -1 where the layout lacks it
              .select("source_file", F.size("_names").alias("expected_fields"),
                      F.struct(*[(F.array_position("_names", F.lit(c.lower())) - 1).cast("int").alias(c)
                                 for c in wanted]).alias("_at")))
-    judged = lines.filter(~is_head).join(heads, "source_file", "left")
-    ok = F.coalesce(F.col("n_fields") == F.col("expected_fields"), F.lit(False))
+    judged = records.filter(~is_head).join(heads, "source_file", "left")
+    ok = F.coalesce((F.col("n_fields") == F.col("expected_fields")) & ~_opens(F.col("value")), F.lit(False))
+    if joined:
+        apart = F.explode(F.when(ok, F.array("value")).otherwise(F.split("value", "\n")))
+        judged = with_fields(judged.withColumn("value", apart).filter(F.length(F.trim("value")) > 0))
     return judged.filter(ok), judged.filter(~ok).drop("_fields", "_at")
 
 
+def faults(bad: DataFrame) -> DataFrame:
+    """Quarantined lines per file."""
+    return bad.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_bad_lines"))
+
+
 def ragged_sample(bad: DataFrame, n: int = 50) -> DataFrame:
     """First n quarantined lines in a stable order (a sample, by design)."""
     return bad.orderBy("source_file", "value").limit(n)
@@ -309,16 +424,74 @@ def clean_symbols(df: DataFrame, per_exchange: int | None = 20,
 
 # --- lake file audit (S14, A13) -------------------------------------------
 
+_LISTED = "path string, is_file boolean, length long, micros long"
+
+
+def _list_directories(frontier: DataFrame) -> DataFrame:
+    """Children of each directory (column ``path``), listed in tasks."""
+    def run(batches):
+        from pyarrow import fs
+
+        for b in batches:
+            for path in b.column(0).to_pylist():
+                store, inner = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1)
+                                                      if path.startswith("file:/") and path[6:7] != "/" else path)
+                prefix = path[:len(path) - len(inner)]
+                found = [f for f in store.get_file_info(fs.FileSelector(inner))
+                         if not f.base_name.startswith(".") and ("=" in f.base_name or not f.base_name.startswith("_"))]
+                for s in range(0, len(found), 10_000):
+                    part = found[s:s + 10_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([prefix + f.path for f in part], pa.string()),
+                         pa.array([f.is_file for f in part], pa.bool_()),
+                         pa.array([f.size if f.is_file else None for f in part], pa.int64()),
+                         pa.array([f.mtime_ns // 1000 if f.mtime_ns else None for f in part], pa.int64())],
+                        names=["path", "is_file", "length", "micros"])
+
+    return frontier.select("path").mapInArrow(run, _LISTED)
+
+
+def list_files(spark: SparkSession, root: str, tasks: int | None = None) -> DataFrame:
+    """(path, length, modificationTime) of every file under ``root``: the
+    directories of one level are listed by as many tasks as there are cores,
+    the level is written, and its directories are the next frontier.  Nothing
+    but the root's name passes through the driver.  Names that start with
+    ``_`` or ``.`` are skipped, as Spark's readers do."""
+    root = root if ":/" in root else f"file:{root}"
+    frontier = spark.createDataFrame([(root.rstrip("/"),)], "path string")
+    levels = []
+    while True:
+        level = materialize(_list_directories(
+            frontier.repartition(tasks or spark.sparkContext.defaultParallelism)), "listing")
+        levels.append(level.where("is_file"))
+        frontier = level.where("not is_file")
+        if frontier.isEmpty():
+            break
+    files = levels[0]
+    for level in levels[1:]:
+        files = files.unionByName(level)
+    return files.select("path", "length", F.timestamp_micros("micros").alias("modificationTime"))
+
+
+def _pyarrow_lists(path: str) -> bool:
+    """Whether tasks can list this store; others leave it to Spark's index."""
+    return ":/" not in path or path.split(":", 1)[0] in ("file", "s3", "s3a", "gs", "gcs")
+
+
 def file_audit(spark: SparkSession, path: str, glob: str | None = None,
                small_bytes: int = 1 << 20, stale_before=None) -> DataFrame:
     """One row per file under ``path`` (recursive): path, name, parent
-    directory, size, modification time, small/stale flags.  The binaryFile
-    source lists files without reading their content when ``content`` is not
-    selected; listing runs in parallel on executors for large trees."""
-    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    files = r.load(path).select("path", "length", "modificationTime")
+    directory, size, modification time, small/stale flags.  Directories are
+    listed level by level in tasks (``list_files``); where the tasks' library
+    has no client for the store, by the binaryFile source, whose index is on
+    the driver."""
+    if _pyarrow_lists(path):
+        files = list_files(spark, path)
+        if glob:
+            files = files.where(F.element_at(F.split("path", "/"), -1).rlike(fnmatch.translate(glob)))
+    else:
+        r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        files = (r.option("pathGlobFilter", glob) if glob else r).load(path).select("path", "length", "modificationTime")
     stale = (F.lit(False) if stale_before is None
              else F.col("modificationTime") < F.lit(stale_before).cast("timestamp"))
     return files.select(
@@ -369,12 +542,12 @@ REPORT_TIME = r"_(\d{8}_\d{6})(?:\.csv)?/(?:[^/]*)$|_(\d{8}_\d{6})\.csv$"
 def split_reports(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
     """(good, bad) data lines of report CSVs, judged by the header row of
     their own file (a small join: one header row per report file)."""
-    lines = _lines(spark, path)
+    lines = with_fields(whole_records(_lines(spark, path))[0])
     is_head = _is_header("exchange")
     heads = (lines.filter(is_head).groupBy("source_file")
              .agg(F.min_by("_fields", "value").alias("_names")))
     j = lines.filter(~is_head).withColumnRenamed("_fields", "_vals").join(heads, "source_file", "left")
-    ok = F.coalesce(F.size("_names") == F.size("_vals"), F.lit(False))
+    ok = F.coalesce((F.size("_names") == F.size("_vals")) & ~_opens(F.col("value")), F.lit(False))
     return j.filter(ok), j.filter(~ok).select("source_file", "value", "n_fields")
 
 
@@ -384,8 +557,10 @@ def read_reports(spark: SparkSession, path) -> DataFrame:
     The fields of each good line (``split_reports``, which also returns the
     others) are zipped into a name -> value map and the current columns are
     read from it, falling back to the old names.  Columns a version lacks
-    are NULL."""
-    j, _ = split_reports(spark, path)
+    are NULL.  ``n_bad_lines`` is the number of lines of the file that do not
+    fit its header (``faults`` also has files without a good line)."""
+    j, bad = split_reports(spark, path)
+    j = j.join(faults(bad), "source_file", "left")
     m = F.map_from_arrays(F.transform("_names", lambda c: F.trim(c)), "_vals")
 
     def get(name: str) -> Column:
@@ -400,4 +575,5 @@ def read_reports(spark: SparkSession, path) -> DataFrame:
                         F.regexp_extract("source_file", REPORT_TIME, 2))
     # naive wall-clock time (parsed and read back in the same session zone)
     stamp = F.try_to_timestamp(raw_time, F.lit("yyyyMMdd_HHmmss")).cast("timestamp_ntz")
-    return j.select(*cols, stamp.alias("report_time"), "source_file")
+    return j.select(*cols, stamp.alias("report_time"), "source_file",
+                    F.coalesce("n_bad_lines", F.lit(0)).alias("n_bad_lines"))

@@ -122,6 +122,6 @@ def write_landing(df: DataFrame, path: str, columns=None,
      .write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", max_records_per_file)
-     .option("header", True)
+     .option("header", True).option("escape", '"')  # a quote in a field is doubled
      .partitionBy("landing_exchange", "snapshot_date")
      .csv(path))
