@@ -3,15 +3,19 @@ tables and connected components."""
 
 from __future__ import annotations
 
+import pickle
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from marketlens.session import materialize
+from marketlens.session import materialize, materialize_bucketed
 
 
 def map_rows(df: DataFrame, schema: str | T.StructType,
@@ -53,6 +57,73 @@ def worker_cache() -> dict:
     return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
 
 
+def share(spark: SparkSession, value):
+    """Broadcast a (bounded) object of this package by value: the executors
+    need no copy of the repository.  Tasks get it with ``shared``."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shared(broadcast):
+    return pickle.loads(broadcast.value)
+
+
+def fresh_names(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` does not have, made of ``names``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        out.append(name)
+        taken.add(name)
+    return out
+
+
+@dataclass
+class Rows:
+    """A written copy of a table whose rows have numbers.
+
+    Each task writes one file, bucketed by the task's number, so decisions on
+    rows (small tables with a row number) join the copy without moving its
+    texts, whatever the sizes: only the decisions are shuffled."""
+
+    table: DataFrame
+    part: str
+    row: str
+    columns: list[str]
+
+    def select(self, *columns) -> DataFrame:
+        """Columns of the rows, with their number."""
+        return self.table.select(F.col(self.row).alias("row"), *columns)
+
+    def join(self, decided: DataFrame, how: str = "inner") -> DataFrame:
+        """The table's columns with those of ``decided`` (by its column
+        ``row``).  Write the result inside ``joins_on_task``."""
+        # row numbers are made of the task's number and a count
+        decided = decided.withColumnRenamed("row", self.row).withColumn(
+            self.part, F.shiftright(self.row, 33).cast("int"))
+        return self.table.join(decided.hint("shuffle_hash"), [self.part, self.row], how).drop(self.part, self.row)
+
+
+def numbered(df: DataFrame, name: str) -> Rows:
+    part, row = fresh_names(df, "part", "row")
+    copy = df.withColumns({part: F.spark_partition_id(), row: F.monotonically_increasing_id()})
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return Rows(materialize_bucketed(copy, name, buckets, part), part, row, df.columns)
+
+
+@contextmanager
+def joins_on_task(spark: SparkSession):
+    """Joins on (task, row) may use a bucketing on the task alone."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def checksum(df: DataFrame) -> tuple:
     """Row count and an order-free hash sum: equal for equal tables."""
     r = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()

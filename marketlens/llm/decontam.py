@@ -39,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from marketlens.llm.common import fresh_names, share, shared
 from marketlens.session import materialize
 
 PASSAGE = 64
@@ -322,12 +323,11 @@ def _blocks(docs: DataFrame, benchmark: DataFrame, text_col: str, rank: int, **n
     """Broadcast searchers, one per block of the benchmark."""
     spark = docs.sparkSession
     parts = materialize(passages(benchmark, **names), "passages")
-    total = parts.count()
-    if not total:
+    total, n_docs = parts.count(), docs.count()
+    if not total or not n_docs:
         return []
     n = -(-total // BLOCK)
     parts = parts.withColumn("block", F.pmod("pid", F.lit(n)))
-    n_docs = docs.count()
     collected, frequencies = [], []
     for k in range(n):  # a block is bounded: BLOCK passages of PASSAGE words
         block = parts.where(F.col("block") == k).select("pid", "item_id", "words", "answer").collect()
@@ -344,7 +344,7 @@ def _blocks(docs: DataFrame, benchmark: DataFrame, text_col: str, rank: int, **n
         F.col("pid").alias("row"), F.xxhash64("word").alias("col"),
         (F.col("tf") * idf(F.coalesce("df", F.lit(0)))).alias("val"))
     norms = weighted.groupBy("row").agg(F.sqrt(F.sum(F.col("val") ** 2)).alias("norm"))
-    entries = materialize(weighted.join(norms, "row").select("row", "col", (F.col("val") / F.col("norm")).alias("val")), "tfidf")
+    entries = materialize(weighted.join(norms, "row").select("row", "col", F.try_divide("val", F.col("norm")).alias("val")), "tfidf")
     space = materialize(randomised_svd(entries, rank), "latent")
     searchers = []
     for block, freq in zip(collected, frequencies):
@@ -358,16 +358,17 @@ def _blocks(docs: DataFrame, benchmark: DataFrame, text_col: str, rank: int, **n
         weights = np.log1p(n_docs / (1 + np.array([df.get(w, 0) for w in vocabulary], float)))
         items = [(r["item_id"], [bytes(x) for x in r["words"]], r["answer"] and [bytes(x) for x in r["answer"]])
                  for r in sorted(block, key=lambda r: r["pid"])]
-        searchers.append(spark.sparkContext.broadcast(
-            Searcher({w: i for i, w in enumerate(vocabulary)}, positions, weights, items)))
+        searchers.append(share(spark, Searcher({w: i for i, w in enumerate(vocabulary)}, positions, weights, items)))
     return searchers
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", rank: int = RANK, **names) -> DataFrame:
-    """``docs`` plus ``leaks`` (replaced if present): confirmed items with
-    cosine, LCS share and answer share, per whole text."""
+def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", rank: int = RANK,
+               out_col: str = "leaks", **names) -> DataFrame:
+    """``docs`` plus ``out_col`` (replaced if present): confirmed items with
+    cosine, LCS share and answer share, per whole text.  Without documents, or
+    without passages, nothing is found."""
     searchers = _blocks(docs, benchmark, text_col, rank, **names)
-    out = docs.drop("leaks")
+    out = docs.drop(out_col)
     columns, at = out.columns, out.columns.index(text_col)
     item = benchmark.schema[names.get("id_col", "item_id")].dataType
     kind = f"array<struct<item_id:{item.simpleString()},cosine:double,lcs:double,answer:double>>"
@@ -375,14 +376,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", ra
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_type
         leak = pa.list_(pa.struct([("item_id", to_arrow_type(item)), *((c, pa.float64()) for c in ("cosine", "lcs", "answer"))]))
+        found = [shared(s) for s in searchers]
         for b in batches:
-            hits = [[h for s in searchers for h in s.value.hits(t)] for t in b.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hits, leak)], names=[*columns, "leaks"])
+            hits = [[h for s in found for h in s.hits(t)] for t in b.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hits, leak)], names=[*columns, out_col])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema), f"leaks {kind}"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema), f"`{out_col}` {kind}"])
     return out.mapInArrow(run, schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without a confirmed benchmark item."""
-    return find_leaks(docs, benchmark).where(F.size("leaks") == 0).select(*docs.columns)
+    """The documents without a confirmed benchmark item, with all their
+    columns, whatever their names."""
+    (leaks,) = fresh_names(docs, "leaks")
+    return find_leaks(docs, benchmark, out_col=leaks).where(F.size(leaks) == 0).select(*docs.columns)

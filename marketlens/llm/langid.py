@@ -32,6 +32,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from marketlens.llm.common import fresh_names, share, shared
+
 TRAIN_DOCS = 2000        # bound on the training texts per language
 BUCKETS = 1 << 16        # hashed n-grams
 AMBIGUOUS = 0.6
@@ -186,29 +188,32 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     return model
 
 
-def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` plus lang_pred, score and ambiguous (columns of these names in
-    ``df`` are replaced)."""
-    spark = df.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # BUCKETS x bits floats, whatever the input
-    out = df.drop("lang_pred", "score", "ambiguous")
-    names, at = out.columns, out.columns.index(text_col)
+def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
+             names=("lang_pred", "score", "ambiguous")) -> DataFrame:
+    """``df`` plus language, score and ambiguity, in columns of these
+    ``names`` (such columns of ``df`` are replaced)."""
+    model_bytes = share(df.sparkSession, model)  # BUCKETS x bits floats, whatever the input
+    out = df.drop(*names)
+    columns, at = out.columns, out.columns.index(text_col)
 
     def run(batches):
-        m = shared.value
+        m = shared(model_bytes)
         for b in batches:
             got = [m.predict(t) for t in b.column(at).to_pylist()]
             lang, score, unsure = zip(*got) if got else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(unsure, pa.bool_())],
-                names=[*names, "lang_pred", "score", "ambiguous"])
+                names=[*columns, *names])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema),
-                        "lang_pred string", "score double", "ambiguous boolean"])
+                        *(f"`{n}` {k}" for n, k in zip(names, ("string", "double", "boolean")))])
     return out.mapInArrow(run, schema)
 
 
 def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
     """Drop the documents that language ID rejects: no letters (``und``), or
-    the two cheapest languages cost the same."""
-    return identify(docs, model).where((F.col("lang_pred") != UND) & (F.col("score") > 0.5)).select(*docs.columns)
+    the two cheapest languages cost the same.  All columns are kept, whatever
+    their names."""
+    names = fresh_names(docs, "lang_pred", "score", "ambiguous")
+    found = identify(docs, model, names=names)
+    return found.where((F.col(names[0]) != UND) & (F.col(names[1]) > 0.5)).select(*docs.columns)

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from marketlens.llm.common import fresh_names, joins_on_task, numbered
 from marketlens.session import materialize
 
 WEIGHTS = (5, 2, 1)      # by source in code-point order, repeating
@@ -66,9 +67,16 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, max_epochs: in
         seed: str = SEED, rows_per_bin: int = ROWS_PER_BIN) -> DataFrame:
     """(doc_id, size, source_size, target, taken) per document; taken counts
     the words of all its copies in the mix."""
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.lit(None).cast("long").alias("row"),
                         F.md5(F.concat_ws("|", F.lit(seed), F.col("doc_id").cast("string")).cast("binary")).alias("h"))
-    sized = materialize(sized, "mix-sizes")
+    return _taken(materialize(sized, "mix-sizes"), weights, budget, max_epochs, rows_per_bin).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+def _taken(sized: DataFrame, weights, budget: float, max_epochs: int, rows_per_bin: int,
+           split: bool = False) -> DataFrame:
+    """(row, doc_id, size, source_size, target, taken) of written (row,
+    doc_id, source, size, hash) rows."""
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     planned = targets(sources.select("source", "source_size"), weights, budget, max_epochs)
     planned = (planned.join(sources.select(F.col("source").alias("s"), "rows"), F.col("source").eqNullSafe(F.col("s")))
@@ -82,42 +90,44 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, max_epochs: in
     lead = F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
     placed = (sized.join(plan, F.col("source").eqNullSafe(F.col("s"))).drop("s")
               .withColumn("bin", F.floor(lead * F.col("bins"))))
-    bins = placed.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"))
-    running = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = bins.select(F.col("source").alias("s"), F.col("bin").alias("b"),
+    if split:  # rows of one doc_id share a hash: over-full bins are cut by row number
+        full = placed.groupBy(F.col("source").alias("s"), F.col("bin").alias("b")).agg(
+            F.ceil(F.count(F.lit(1)) / (4 * rows_per_bin)).cast("long").alias("parts"))
+        placed = (placed.join(full, F.col("source").eqNullSafe(F.col("s")) & (F.col("bin") == F.col("b"))).drop("s", "b")
+                  .withColumn("sub", F.pmod(F.xxhash64("row"), F.col("parts"))))
+    else:
+        placed = placed.withColumn("sub", F.lit(0).cast("long"))
+    bins = placed.groupBy("source", "bin", "sub").agg(F.sum("size").alias("bin_size"))
+    running = Window.partitionBy("source").orderBy("bin", "sub").rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.select(F.col("source").alias("s"), F.col("bin").alias("b"), F.col("sub").alias("u"),
                        F.coalesce(F.sum("bin_size").over(running), F.lit(0)).alias("before"))
-    inside = (Window.partitionBy("source", "bin").orderBy("h", "size")
+    inside = (Window.partitionBy("source", "bin", "sub").orderBy("h", "size")
               .rowsBetween(Window.unboundedPreceding, -1))
     taken = (placed.withColumn("in_bin", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-             .join(bins, F.col("source").eqNullSafe(F.col("s")) & (F.col("bin") == F.col("b"))))
+             .join(bins, F.col("source").eqNullSafe(F.col("s")) & (F.col("bin") == F.col("b"))
+                   & (F.col("sub") == F.col("u"))))
     extra = (F.col("before") + F.col("in_bin") + F.col("size") / 2 <= F.col("quota")).cast("long")
-    return taken.select("doc_id", "size", "source_size", "target",
+    return taken.select("row", "doc_id", "size", "source_size", "target",
                         (F.col("size") * (F.col("whole") + F.when(F.col("size") > 0, extra).otherwise(0))).alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, **kw) -> DataFrame:
+def mixed_documents(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, max_epochs: int = MAX_EPOCHS,
+                    seed: str = SEED, rows_per_bin: int = ROWS_PER_BIN) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them; rows without
-    words, which weigh nothing, once.  Rows that repeat a doc_id and size are
-    interchangeable: their copies are dealt to them in turn."""
-    got = mix(docs, **kw).select(
-        "doc_id", "size", F.when(F.col("size") > 0, F.expr("taken div greatest(size, 1)")).otherwise(F.lit(1)).alias("times"))
-    keys = got.groupBy(F.col("doc_id").alias("k"), F.col("size").alias("z")).agg(
-        F.sum("times").alias("times"), F.count(F.lit(1)).alias("rows"))
-    keys = materialize(keys.where("times > 0"), "mix-times")
-    sized = docs.withColumn("_size", word_count(F.col("text")))
-    on = F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("_size") == F.col("z"))
-
-    def copies(times: Column, df: DataFrame) -> DataFrame:
-        many = F.when(times > 0, F.sequence(F.lit(1).cast("long"), times)).otherwise(F.array().cast("array<bigint>"))
-        return df.withColumn("_n", F.explode(many)).select(*docs.columns)
-
-    out = copies(F.col("times"), sized.join(keys.where("rows = 1"), on))
-    if keys.where("rows > 1").isEmpty():
-        return out
-    again = sized.join(keys.where("rows > 1"), on)
-    rank = F.row_number().over(Window.partitionBy("k", "z").orderBy(F.xxhash64(*docs.columns)))
-    return out.union(copies(F.expr("times div rows") + (F.col("_r") <= F.expr("times % rows")).cast("long"),
-                            again.withColumn("_r", rank)))
+    words, which weigh nothing, once.  A bin that rows of one doc_id fill is
+    cut by row number.  All columns are kept, whatever their names; texts are
+    not shuffled."""
+    spark = docs.sparkSession
+    rows = numbered(docs, "mix")
+    sized = rows.select("doc_id", "source", word_count(F.col("text")).alias("size"),
+                        F.md5(F.concat_ws("|", F.lit(seed), F.col("doc_id").cast("string")).cast("binary")).alias("h"))
+    taken = _taken(materialize(sized, "mix-sizes"), weights, budget, max_epochs, rows_per_bin, split=True)
+    times, copy = fresh_names(docs, "times", "copy")
+    times_of = F.when(F.col("size") > 0, F.expr("taken div greatest(size, 1)")).otherwise(F.lit(1))
+    found = taken.select("row", times_of.cast("int").alias(times)).where(F.col(times) > 0)
+    with joins_on_task(spark):
+        out = rows.join(found).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
+        return materialize(out.select(*docs.columns), "mixed")
 
 
 def oracle_sql() -> str:

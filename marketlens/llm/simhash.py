@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from marketlens.llm.common import with_roots
+from marketlens.llm.common import joins_on_task, numbered, with_roots
 from marketlens.session import materialize
 
 SEED = 42
@@ -183,15 +183,17 @@ def hex_fp(fp) -> F.Column:
 
 
 def near_dedup(docs: DataFrame, k: int = 3, max_bits: int = 3) -> DataFrame:
-    """One document of each group stays: the one with the smallest doc_id
-    (of rows that repeat this doc_id, one).  Rows without a doc_id cannot be
-    named and stay.  All columns are kept."""
-    found = components(docs.select("doc_id", "text"), k=k, max_bits=max_bits).where("id = component_id")
-    keep = materialize(found.groupBy("id").count().withColumnRenamed("id", "doc_id"), "simhash-keep")
-    again = keep.where(F.col("count") > 1)
-    nameless = docs.where(F.col("doc_id").isNull())
-    if again.isEmpty():
-        return docs.join(keep, "doc_id", "left_semi").union(nameless)
-    once = docs.join(keep.where(F.col("count") == 1), "doc_id", "left_semi")
-    repeated = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.union(repeated).union(nameless)
+    """One document of each group stays: a row with the smallest doc_id (null
+    last).  Rows are told apart by their place, not by doc_id: rows that
+    repeat a doc_id with other texts are documents of their own.  All columns
+    are kept, whatever their names; texts are not shuffled."""
+    spark = docs.sparkSession
+    rows = numbered(docs, "near-dedup")
+    fp = materialize(fingerprints(rows.select(F.col("doc_id"), F.col("text")), "row", "text", k), "simhash-fp")
+    named = fp.withColumnRenamed("id", "row").join(rows.select(F.col("doc_id").alias("doc")), "row")
+    first = F.min(F.struct(F.col("doc").isNull().alias("null"), "doc", "row")).alias("first")
+    classes = materialize(named.groupBy("fp").agg(first), "simhash-classes")
+    rooted = with_roots(classes, "fp", links(classes.select("fp"), max_bits))
+    keep = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.row")
+    with joins_on_task(spark):
+        return materialize(rows.join(keep).select(*docs.columns), "near-dedup-kept")
