@@ -3,11 +3,11 @@ tables and connected components."""
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -97,8 +97,7 @@ class Rows:
         return self.table.select(F.col(self.row).alias("row"), *columns)
 
     def join(self, decided: DataFrame, how: str = "inner") -> DataFrame:
-        """The table's columns with those of ``decided`` (by its column
-        ``row``).  Write the result inside ``joins_on_task``."""
+        """The table's columns with those of ``decided`` (by its column ``row``)."""
         # row numbers are made of the task's number and a count
         decided = decided.withColumnRenamed("row", self.row).withColumn(
             self.part, F.shiftright(self.row, 33).cast("int"))
@@ -109,19 +108,24 @@ def numbered(df: DataFrame, name: str) -> Rows:
     part, row = fresh_names(df, "part", "row")
     copy = df.withColumns({part: F.spark_partition_id(), row: F.monotonically_increasing_id()})
     buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # joins on (part, row) may use the bucketing, which is on part alone; the
+    # setting only chooses between plans, so it stays for the lazy result
+    df.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     return Rows(materialize_bucketed(copy, name, buckets, part), part, row, df.columns)
 
 
-@contextmanager
-def joins_on_task(spark: SparkSession):
-    """Joins on (task, row) may use a bucketing on the task alone."""
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+def slices(batches, rows: int = 512):
+    """Pieces of Arrow batches, so that few texts are Python objects at once.
+    Workers live on from stage to stage: what another operator keeps in this
+    one is dropped first, and freed memory goes back to the system at the end."""
+    worker_cache().clear()
+    for b in batches:
+        for s in range(0, b.num_rows, rows):
+            yield b.slice(s, rows)
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
 
 
 def checksum(df: DataFrame) -> tuple:

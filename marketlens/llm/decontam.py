@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from marketlens.llm.common import fresh_names, share, shared
+from marketlens.llm.common import fresh_names, share, shared, slices
 from marketlens.session import materialize
 
 PASSAGE = 64
@@ -87,7 +87,7 @@ def document_frequencies(docs: DataFrame, text_col: str, vocabulary) -> DataFram
     task sends one row per word at most."""
     def run(batches):
         known, got = vocabulary.value, {}
-        for b in batches:
+        for b in slices(batches):
             for t in b.column(0).to_pylist():
                 for w in known.intersection(words(t)):
                     got[w] = got.get(w, 0) + 1
@@ -377,7 +377,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", ra
         from pyspark.sql.pandas.types import to_arrow_type
         leak = pa.list_(pa.struct([("item_id", to_arrow_type(item)), *((c, pa.float64()) for c in ("cosine", "lcs", "answer"))]))
         found = [shared(s) for s in searchers]
-        for b in batches:
+        for b in slices(batches):
             hits = [[h for s in found for h in s.hits(t)] for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hits, leak)], names=[*columns, out_col])
 

@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from marketlens.llm.common import fresh_names, share, shared
+from marketlens.llm.common import fresh_names, share, shared, slices
 
 TRAIN_DOCS = 2000        # bound on the training texts per language
 BUCKETS = 1 << 16        # hashed n-grams
@@ -149,7 +149,7 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
 
     def count(batches):
         got: dict[str, np.ndarray] = {}
-        for b in batches:
+        for b in slices(batches):
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 got[lang] = got.get(lang, 0) + counts(text)
         for lang, c in got.items():
@@ -173,7 +173,7 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
 
     def errors(batches):
         wrong, n = np.zeros(code.shape[1], np.int64), 0
-        for b in batches:
+        for b in slices(batches):
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 wrong += model.margins(text) * code[number[lang]] <= 0
                 n += 1
@@ -198,7 +198,7 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def run(batches):
         m = shared(model_bytes)
-        for b in batches:
+        for b in slices(batches):
             got = [m.predict(t) for t in b.column(at).to_pylist()]
             lang, score, unsure = zip(*got) if got else ((), (), ())
             yield pa.RecordBatch.from_arrays(

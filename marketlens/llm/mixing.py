@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from marketlens.llm.common import fresh_names, joins_on_task, numbered
+from marketlens.llm.common import fresh_names, numbered
 from marketlens.session import materialize
 
 WEIGHTS = (5, 2, 1)      # by source in code-point order, repeating
@@ -117,7 +117,6 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, ma
     words, which weigh nothing, once.  A bin that rows of one doc_id fill is
     cut by row number.  All columns are kept, whatever their names; texts are
     not shuffled."""
-    spark = docs.sparkSession
     rows = numbered(docs, "mix")
     sized = rows.select("doc_id", "source", word_count(F.col("text")).alias("size"),
                         F.md5(F.concat_ws("|", F.lit(seed), F.col("doc_id").cast("string")).cast("binary")).alias("h"))
@@ -125,9 +124,8 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, ma
     times, copy = fresh_names(docs, "times", "copy")
     times_of = F.when(F.col("size") > 0, F.expr("taken div greatest(size, 1)")).otherwise(F.lit(1))
     found = taken.select("row", times_of.cast("int").alias(times)).where(F.col(times) > 0)
-    with joins_on_task(spark):
-        out = rows.join(found).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
-        return materialize(out.select(*docs.columns), "mixed")
+    out = rows.join(found).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
+    return out.select(*docs.columns)
 
 
 def oracle_sql() -> str:

@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from marketlens.llm.common import joins_on_task, numbered, with_roots
+from marketlens.llm.common import numbered, slices, with_roots
 from marketlens.session import materialize
 
 SEED = 42
@@ -59,7 +59,7 @@ def fingerprint(text: str | None, k: int = 3) -> int:
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3) -> DataFrame:
     """(id, fp long) per row; ``fp`` is the fingerprint as a signed long."""
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             fp = np.array([fingerprint(t, k) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], names=["id", "fp"])
 
@@ -187,7 +187,6 @@ def near_dedup(docs: DataFrame, k: int = 3, max_bits: int = 3) -> DataFrame:
     last).  Rows are told apart by their place, not by doc_id: rows that
     repeat a doc_id with other texts are documents of their own.  All columns
     are kept, whatever their names; texts are not shuffled."""
-    spark = docs.sparkSession
     rows = numbered(docs, "near-dedup")
     fp = materialize(fingerprints(rows.select(F.col("doc_id"), F.col("text")), "row", "text", k), "simhash-fp")
     named = fp.withColumnRenamed("id", "row").join(rows.select(F.col("doc_id").alias("doc")), "row")
@@ -195,5 +194,4 @@ def near_dedup(docs: DataFrame, k: int = 3, max_bits: int = 3) -> DataFrame:
     classes = materialize(named.groupBy("fp").agg(first), "simhash-classes")
     rooted = with_roots(classes, "fp", links(classes.select("fp"), max_bits))
     keep = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.row")
-    with joins_on_task(spark):
-        return materialize(rows.join(keep).select(*docs.columns), "near-dedup-kept")
+    return rows.join(keep).select(*docs.columns)
