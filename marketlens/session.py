@@ -109,5 +109,13 @@ def materialize_bucketed(df: DataFrame, name: str, buckets: int, *columns: str)
     folder; the table that records the layout has a name of its own."""
     spark = df.sparkSession
     table = f"marketlens_{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
-    df.write.bucketBy(buckets, *columns).option("path", scratch_path(spark, name)).saveAsTable(table)
+    # a task with few buckets keeps their files open instead of sorting its rows
+    open_files = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(open_files)
+    spark.conf.set(open_files, "4")
+    try:
+        (df.write.bucketBy(buckets, *columns).option("compression", "zstd")
+         .option("path", scratch_path(spark, name)).saveAsTable(table))
+    finally:
+        spark.conf.set(open_files, before)
     return spark.table(table)
