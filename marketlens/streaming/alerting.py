@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import TimestampNTZType
 
 from marketlens.functions.columns import epoch_micros
 from marketlens.operators.alerts import Rule
@@ -134,4 +135,7 @@ def rule_transitions(readings: DataFrame, rule: Rule, delay: str = "10 minutes",
     out = (rows.withWatermark("ts", delay).groupBy(*keys)
            .applyInPandasWithState(step, f"{kinds}, state string, us long, value double", _STATE, "append",
                                    GroupStateTimeout.EventTimeTimeout))
-    return out.select(*keys, "state", F.timestamp_micros("us").alias("at"), "value")
+    at = F.timestamp_micros("us")
+    if isinstance(readings.schema["ts"].dataType, TimestampNTZType):  # wall-clock times come back as such
+        at = F.expr("timestampadd(MICROSECOND, us, timestamp_ntz'1970-01-01 00:00:00')")
+    return out.select(*keys, "state", at.alias("at"), "value")
