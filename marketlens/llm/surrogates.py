@@ -21,8 +21,8 @@ forms after a few attempts, so that the rounds end).  So the mapping is one to
 one per type (distinctness) and a function of the entity (coreference); it
 depends on the key and the set of entities alone.
 
-Rows meet by the hash of their text, so equal texts are handled once; texts
-without entities are not shuffled.  Null and empty texts and texts without
+Rows meet their surrogates by their number in a written copy: no text is
+shuffled, and equal lists of entities are handled once.  Null and empty texts and texts without
 entities come back unchanged; null ids pass through; repeated rows repeat;
 other columns are kept (``n_<kind>`` and the text are replaced).
 """
@@ -31,6 +31,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from marketlens.llm.common import fresh_names, numbered
 from marketlens.session import materialize
 
 KEY = "surrogate-key-1"  # callers pass their own secret
@@ -219,15 +220,21 @@ def _laid_out(kind: Column, raw: Column, sur: Column) -> Column:
 
 def replace_pii(df: DataFrame, key: str = KEY, text_col: str = "text") -> DataFrame:
     """``df`` with surrogates in its texts and counts n_email, n_phone,
-    n_card, n_ip, n_ssn, n_person."""
+    n_card, n_ip, n_ssn, n_person (columns of these names are replaced, all
+    others come back whatever their names).  Null and empty texts stay as
+    they are.
+
+    The pattern runs over every text once, into a numbered copy of the table;
+    rows with entities meet their surrogates there, so no text is shuffled
+    and only texts with entities are cut at the pattern."""
     df = df.drop(*[f"n_{k}" for k in KINDS])
-    text = F.col(text_col)
-    matched = text.rlike(PATTERN)
-    found = (df.where(matched)
-             .select(F.md5(text.cast("binary")).alias("_key"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)).alias("ents"))
-             .groupBy("_key").agg(F.min("ents").alias("ents")))
-    found = materialize(found, "pii-texts")
-    parts = (found.select("_key", F.posexplode("ents").alias("k", "e"))
+    ents, outs = fresh_names(df, "ents", "outs")
+    copy = numbered(df.withColumn(ents, F.regexp_extract_all(text_col, F.lit(PATTERN), F.lit(0))), "pii-rows")
+    # equal lists of entities (copies of a text) are treated once; no entity holds a control character
+    found = (copy.select(F.md5(F.array_join(ents, "\x01").cast("binary")).alias("_key"), F.col(ents).alias("ents"))
+             .where(F.size("ents") > 0))
+    lists = materialize(found.groupBy("_key").agg(F.min("ents").alias("ents")), "pii-texts")
+    parts = (lists.select("_key", F.posexplode("ents").alias("k", "e"))
              .select("_key", "k", kind_of(F.col("e")).alias("entity"), F.posexplode(_parts(F.col("e"))).alias("i", "p"))
              .select("_key", "k", "entity", "i", "p.*"))
     parts = materialize(parts, "pii-parts")
@@ -237,16 +244,14 @@ def replace_pii(df: DataFrame, key: str = KEY, text_col: str = "text") -> DataFr
     laid = laid.union(parts.where("kind is null").select("_key", "k", "entity", "i", F.col("raw").alias("out")))
     whole = laid.groupBy("_key", "k", "entity").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "out"))), lambda s: s["out"]), "").alias("out"))
-    rows = whole.groupBy("_key").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("k", "out"))), lambda s: s["out"]).alias("_outs"),
+    made = whole.groupBy("_key").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("k", "out"))), lambda s: s["out"]).alias(outs),
         *[F.sum((F.col("entity") == k).cast("long")).alias(f"n_{k}") for k in KINDS])
-    rows = materialize(rows, "pii-rows")
-    others = [c for c in df.columns if c != text_col]
-    joined = df.where(matched).withColumn("_key", F.md5(text.cast("binary"))).join(rows, "_key")
-    gaps = F.split(text, PATTERN, -1)
-    rebuilt = F.array_join(F.zip_with(gaps, F.concat("_outs", F.array(F.lit(""))), lambda g, o: F.concat(g, o)), "")
-    counts = [F.coalesce(f"n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in KINDS]
-    with_pii = joined.select(*others, rebuilt.alias(text_col), *counts)
-    without = df.where(F.coalesce(~matched, F.lit(True))).select(
-        *others, text, *[F.lit(0).cast("long").alias(f"n_{k}") for k in KINDS])
-    return with_pii.unionByName(without)
+    made = materialize(made, "pii-made")
+    decided = found.select("row", "_key").join(made, "_key").drop("_key")
+    gaps = F.split(F.col(text_col), PATTERN, -1)
+    rebuilt = F.array_join(F.zip_with(gaps, F.concat(F.col(outs), F.array(F.lit(""))), lambda g, o: F.concat(g, o)), "")
+    text = F.when(F.col(outs).isNull(), F.col(text_col)).otherwise(rebuilt)
+    return copy.join(decided, "left").select(
+        *[c for c in df.columns if c != text_col], text.alias(text_col),
+        *[F.coalesce(f"n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in KINDS])

@@ -131,6 +131,22 @@ def test_surrogates_stay_distinct_under_collisions(spark):
     assert got != rows(surrogates.surrogate_map(df, key="another"))
 
 
+def test_surrogates_keep_clashing_columns_and_long_texts(spark):
+    long = "word " * 50_000 + "call (212) 555-0188 now"
+    rows = [(1, long, "e", "o", "k", 7, 8), (2, None, "e", None, "k", 7, 8), (2, "", "e", "o", None, 7, 8),
+            (3, "nothing here", "e", "o", "k", None, 8), (3, "nothing here", "e", "o", "k", None, 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ents string, outs string, _key string, part int, row int")
+    got = surrogates.replace_pii(df)
+    assert got.columns[:7] == ["doc_id", "ents", "outs", "_key", "part", "row", "text"]
+    rest = sorted(df.drop("text").collect(), key=str)
+    assert sorted(got.select(*df.drop("text").columns).collect(), key=str) == rest
+    texts = {(r.doc_id, r.text) for r in got.collect()}
+    assert {(2, None), (2, ""), (3, "nothing here")} < texts
+    changed = next(t for d, t in texts if d == 1)
+    assert len(changed) == len(long) and changed != long and changed[:250_000] == long[:250_000]
+    assert surrogates.replace_pii(df.limit(0)).count() == 0
+
+
 def test_surrogates_use_no_python(spark, small):
     plan = surrogates.replace_pii(small("documents").select("doc_id", "text"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
