@@ -192,6 +192,22 @@ def g1_incremental_ingest(spark, sf):
     return spark.read.parquet(table)
 
 
+@register("g1_new_metadata", with_cte(T.BARS_SQL, RAW_SQL) + """
+SELECT symbol, exchange, CAST(1 AS BIGINT) AS n_rows FROM raw GROUP BY symbol, exchange""")
+def g1_new_metadata(spark, sf):
+    """Metadata written by the ingest (J7): two cycles, the first one started
+    again from nothing as after a lost checkpoint; every pair stands once."""
+    first, second = snapshot_waves(spark, sf)
+    root, table, meta = (scratch_path(spark, n) for n in ("landing", "bar_table", "metadata"))
+    glob = f"{root}/*/*/*.csv"
+    land(first, root)
+    for ckpt in ("ingest_ckpt", "ingest_ckpt_again"):
+        ingest_available(spark, glob, table, scratch_path(spark, ckpt), metadata_path=meta)
+    land(second, root, mode="append")
+    ingest_available(spark, glob, table, scratch_path(spark, "ingest_ckpt"), metadata_path=meta)
+    return spark.read.parquet(meta).groupBy("symbol", "exchange").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 # --------------------------------------------------------------------------
 # Ragged-line quarantine on the landing (a reader that accepts only the
 # 12-field layout must quarantine every 13-field line)

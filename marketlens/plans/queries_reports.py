@@ -8,53 +8,62 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from marketlens.functions import columns as C
 from marketlens.operators import clusters, collection, insights, profile
 from marketlens.plans import sqlgen as S
 from marketlens.plans.catalog import register, with_cte
 from marketlens.plans.queries_bars import (
-    AS_OF, anomalies_sql, indicators_sql, processed, processed_sql, signals_sql,
+    AS_OF, PROFILE_SELECT, anomalies_sql, indicators_sql, processed, processed_sql, signals_sql,
 )
 from marketlens.session import scratch_path
-from marketlens.sources import ingest
+from marketlens.sources import ingest, sinks
 from marketlens.sources import tables as T
 
 CYCLE_DAYS = 30
-BUSY = 5                # ticks a day from which a bar counts as busy
 
 
 def _d(x: dt.date) -> str:
     return f"DATE '{x.isoformat()}'"
 
 
-def listed_symbols(spark, sf, in_debit: bool = False):
-    """The cycle's symbol list: every named customer (or every one whose
-    account balance is negative)."""
-    c = T.read_table(spark, sf, "customer")
-    if in_debit:
-        c = c.filter(F.col("c_acctbal") < 0)
-    listed = c.select(F.col("c_custkey").cast("string").alias("code"),
-                      F.col("c_name").alias("name"),
-                      T.exchange_of(F.col("c_nationkey")).alias("exchange"))
+# Exchanges as boards of a nation: by market segment, or by the sign of the
+# account balance.  kinds, then the kind of a customer in Spark and in SQL.
+BOARDS = {
+    "segment": (("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"), "c_mktsegment"),
+    "balance": (("CREDIT", "DEBIT"), "CASE WHEN c_acctbal < 0 THEN 'DEBIT' ELSE 'CREDIT' END"),
+}
+
+
+def listed_symbols(spark, sf, board: str | None = None):
+    """The cycle's symbol list: every named customer, on the exchange of its
+    nation or on a board of it."""
+    exchange = T.exchange_of(F.col("c_nationkey"))
+    if board:
+        exchange = F.concat_ws("_", exchange, F.expr(BOARDS[board][1]))
+    listed = T.read_table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("code"), F.col("c_name").alias("name"), exchange.alias("exchange"))
     return (ingest.clean_symbols(listed, per_exchange=None)
             .select("exchange", F.col("code").alias("symbol")))
 
 
-def attempts(spark, sf, days=CYCLE_DAYS, in_debit: bool = False, min_volume: int = 0):
-    bars = T.bars(spark, sf)
-    if min_volume:
-        bars = bars.filter(F.col("volume") >= min_volume)
-    return collection.attempts(listed_symbols(spark, sf, in_debit), bars, AS_OF, days)
+def attempts(spark, sf, days=CYCLE_DAYS, board: str | None = None):
+    listed, bars = listed_symbols(spark, sf, board), T.bars(spark, sf)
+    if board:
+        bars = bars.drop("exchange").join(listed, "symbol")
+    return collection.attempts(listed, bars, AS_OF, days)
 
 
-def attempts_sql(days=CYCLE_DAYS, in_debit: bool = False, min_volume: int = 0) -> str:
+def attempts_sql(days=CYCLE_DAYS, board: str | None = None) -> str:
+    exchange = "'NATION_' || CAST(c_nationkey AS VARCHAR)" + (f" || '_' || {BOARDS[board][1]}" if board else "")
+    bars = ("(SELECT b.* REPLACE (l.exchange AS exchange) FROM bars b JOIN listed l ON l.symbol = b.symbol)"
+            if board else "bars")
     return f"""
 listed AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS symbol, 'NATION_' || CAST(c_nationkey AS VARCHAR) AS exchange
-  FROM customer WHERE c_name <> ''{" AND c_acctbal < 0" if in_debit else ""}),
+  SELECT CAST(c_custkey AS VARCHAR) AS symbol, {exchange} AS exchange FROM customer WHERE c_name <> ''),
 per AS (
   SELECT exchange, symbol, count(*) AS _n,
          count(*) FILTER (WHERE NOT coalesce(close IS NOT NULL AND date IS NOT NULL AND volume > 0, false)) AS _bad
-  FROM bars WHERE date BETWEEN {_d(AS_OF - dt.timedelta(days=days))} AND {_d(AS_OF)}{f" AND volume >= {min_volume}" if min_volume else ""}
+  FROM {bars} t WHERE date BETWEEN {_d(AS_OF - dt.timedelta(days=days))} AND {_d(AS_OF)}
   GROUP BY exchange, symbol),
 att AS (
   SELECT s.exchange, s.symbol, coalesce(p._n, 0) AS data_points,
@@ -118,32 +127,64 @@ def t8_top_exchanges(spark, sf):
     return collection.top(collection.report(attempts(spark, sf)), n=10)
 
 
-@register("j9_exchanges_without_data", with_cte(T.BARS_SQL, attempts_sql(0, min_volume=BUSY), REPORT_SQL) + """
-SELECT DISTINCT exchange FROM (
-  SELECT exchange FROM rep WHERE data_points = 0
-  UNION ALL
-  SELECT 'NATION_' || CAST(n_nationkey AS VARCHAR) AS exchange FROM nation
-  WHERE 'NATION_' || CAST(n_nationkey AS VARCHAR) NOT IN (SELECT exchange FROM rep)) t""")
+def _without_data_sql(board: str) -> str:
+    kinds = ", ".join(f"'{k}'" for k in BOARDS[board][0])
+    return with_cte(T.BARS_SQL, attempts_sql(0, board), REPORT_SQL, f"""
+boards AS (SELECT 'NATION_' || CAST(n_nationkey AS VARCHAR) || '_' || kind AS exchange
+           FROM nation, (SELECT unnest([{kinds}]) AS kind))""") + """
+SELECT exchange FROM rep WHERE data_points = 0
+UNION
+SELECT exchange FROM boards WHERE exchange NOT IN (SELECT exchange FROM rep)"""
+
+
+def _without_data(spark, sf, board: str):
+    kinds = F.explode(F.array(*map(F.lit, BOARDS[board][0])))
+    boards = (T.read_table(spark, sf, "nation").select("n_nationkey", kinds.alias("kind"))
+              .select(F.concat_ws("_", T.exchange_of(F.col("n_nationkey")), "kind").alias("exchange")))
+    return collection.without_data(collection.report(attempts(spark, sf, days=0, board=board)), boards)
+
+
+@register("j9_exchanges_without_data", _without_data_sql("segment"))
 def j9_exchanges_without_data(spark, sf):
-    """J9 for a cycle of one day that collects busy bars."""
-    rep = collection.report(attempts(spark, sf, days=0, min_volume=BUSY))
-    ex = T.read_table(spark, sf, "nation").select(T.exchange_of(F.col("n_nationkey")).alias("exchange"))
-    return collection.without_data(rep, ex)
-
-
-@register("j9_exchanges_without_data_by_balance",
-          with_cte(T.BARS_SQL, attempts_sql(0, in_debit=True), REPORT_SQL) + """
-SELECT DISTINCT exchange FROM (
-  SELECT exchange FROM rep WHERE data_points = 0
-  UNION ALL
-  SELECT 'NATION_' || CAST(n_nationkey AS VARCHAR) AS exchange FROM nation
-  WHERE 'NATION_' || CAST(n_nationkey AS VARCHAR) NOT IN (SELECT exchange FROM rep)) t""")
+    """J9 for a cycle of one day over all listed symbols and all bars, a
+    board per nation and market segment."""
+    return _without_data(spark, sf, "segment")
+
+
+@register("j9_exchanges_without_data_by_balance", _without_data_sql("balance"))
 def j9_exchanges_without_data_by_balance(spark, sf):
-    """J9 for a cycle that lists the accounts in debit: here several
-    exchanges get no data on the as-of day."""
-    rep = collection.report(attempts(spark, sf, days=0, in_debit=True))
-    ex = T.read_table(spark, sf, "nation").select(T.exchange_of(F.col("n_nationkey")).alias("exchange"))
-    return collection.without_data(rep, ex)
+    """J9 over all listed symbols and all bars, a board per nation and sign of
+    the account balance."""
+    return _without_data(spark, sf, "balance")
+
+
+# --------------------------------------------------------------------------
+# Reports of two cycles published, read back from JSON and CSV
+# --------------------------------------------------------------------------
+
+PUBLISHED_SCHEMA = ("exchange string, successful_symbols bigint, failed_symbols bigint, data_points bigint, "
+                    "hdfs_upload_count bigint, files bigint, database_success bigint, database_failed bigint")
+
+
+@register("s12_published_reports", "\nUNION ALL\n".join(
+    f"SELECT * FROM ({with_cte(T.BARS_SQL, attempts_sql(days), REPORT_SQL)} "
+    f"SELECT 'cycle_{name}' AS report, f.format, rep.* FROM rep, (VALUES ('json'), ('csv')) f(format)) c{name}"
+    for name, days in (("a", CYCLE_DAYS), ("b", 7))))
+def s12_published_reports(spark, sf):
+    """Two cycles publish their reports; the first is published early and
+    then again, an empty report and a staged one without a manifest entry
+    stay unseen."""
+    path = scratch_path(spark, "published")
+    early = collection.report(attempts(spark, sf, days=0))
+    whole = collection.report(attempts(spark, sf, days=CYCLE_DAYS))
+    sinks.publish_report(early, path, "cycle_a")
+    sinks.publish_report(collection.report(attempts(spark, sf, days=7)), path, "cycle_b")
+    sinks.publish_report(early.where("false"), path, "cycle_c")
+    sinks.publish_report(whole, path, "cycle_a")
+    early.write.json(f"{path}/json/cycle_d-unfinished")
+    parts = [sinks.read_published(spark, path, f, PUBLISHED_SCHEMA).withColumn("format", F.lit(f))
+             for f in sinks.REPORT_FORMATS]
+    return parts[0].unionByName(parts[1])
 
 
 # --------------------------------------------------------------------------
@@ -231,21 +272,71 @@ def p27_result_signal(spark, sf):
 
 
 # --------------------------------------------------------------------------
-# Step 10: clustering (M1-M4, A4) - no SQL form, rows-only check
+# Step 10: clustering (M1-M4, A4): draws, moves and labels recomputed in SQL
 # --------------------------------------------------------------------------
 
+K, SEED = 5, 42
+_D2 = "power(p.z0 - c.z0, 2) + power(p.z1 - c.z1, 2) + power(p.z2 - c.z2, 2)"
+
+
+def cluster_ctes() -> tuple[str, ...]:
+    """CTEs up to ``clustered``: one per drawn centre and one pair per move."""
+    z = ", ".join(f"coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_samp({c}) OVER (), 0), 0) AS z{i}"
+                  for i, c in enumerate(clusters.FEATURES))
+    out = [f"""
+pts AS MATERIALIZED (
+  SELECT symbol, exchange, {', '.join(clusters.FEATURES)}, {z},
+         md5('{SEED}|' || exchange || '|' || symbol) AS h
+  FROM ({PROFILE_SELECT}) f
+  WHERE {' AND '.join(f'{c} IS NOT NULL' for c in clusters.FEATURES)})""", """
+draw0 AS MATERIALIZED (SELECT 0 AS i, z0, z1, z2 FROM pts ORDER BY h, exchange, symbol LIMIT 1)"""]
+    for j in range(1, K):
+        out.append(f"""
+draw{j} AS MATERIALIZED (
+  SELECT * FROM draw{j - 1} UNION ALL
+  (SELECT {j}, z0, z1, z2 FROM (
+     SELECT p.exchange, p.symbol, p.z0, p.z1, p.z2, min({_D2}) AS d2,
+            (CAST('0x' || substr(p.h, 1, {clusters.HASH_DIGITS}) AS BIGINT) + 1) / {float(16 ** clusters.HASH_DIGITS)} AS u
+     FROM pts p, draw{j - 1} c GROUP BY p.exchange, p.symbol, p.z0, p.z1, p.z2, p.h) t
+   WHERE d2 > 0 ORDER BY -ln(u) / d2, exchange, symbol LIMIT 1))""")
+    centres = f"draw{K - 1}"
+    near = lambda n, centres: f"""
+near{n} AS MATERIALIZED (
+  SELECT p.*, c.i FROM pts p, {centres} c
+  QUALIFY row_number() OVER (PARTITION BY p.exchange, p.symbol ORDER BY {_D2}, c.i) = 1)"""
+    for n in range(clusters.ROUNDS):
+        out += [near(n, centres), f"""
+move{n} AS MATERIALIZED (
+  SELECT c.i, coalesce(m.z0, c.z0) AS z0, coalesce(m.z1, c.z1) AS z1, coalesce(m.z2, c.z2) AS z2
+  FROM {centres} c LEFT JOIN (SELECT i, avg(z0) AS z0, avg(z1) AS z1, avg(z2) AS z2 FROM near{n} GROUP BY i) m
+  ON m.i = c.i)"""]
+        centres = f"move{n}"
+    texts = ", ".join(f"'{t}'" for t in clusters.DESCRIPTIONS)
+    out += [near(clusters.ROUNDS, centres), f"""
+clustered AS (
+  SELECT n.i AS cluster, symbol, exchange, {', '.join(clusters.FEATURES)}, r.cluster_rank,
+         ([{texts}])[r.cluster_rank + 1] AS cluster_description
+  FROM near{clusters.ROUNDS} n
+  JOIN (SELECT i, CAST(row_number() OVER (ORDER BY z1, z0, i) - 1 AS INTEGER) AS cluster_rank FROM {centres}) r
+  ON r.i = n.i)"""]
+    return tuple(out)
+
+
+CLUSTER_SQL = with_cte(T.BARS_SQL, processed_sql(), *cluster_ctes())
 
 
 def clustered(spark, sf):
-    return clusters.cluster_symbols(profile.symbol_profile(processed(spark, sf)), k=5, seed=42)
+    return clusters.cluster_symbols(profile.symbol_profile(processed(spark, sf)), k=K, seed=SEED)
 
 
-@register("m1_cluster_symbols")
+@register("m1_cluster_symbols", CLUSTER_SQL + "SELECT * FROM clustered")
 def m1_cluster_symbols(spark, sf):
-    return clustered(spark, sf)
+    return clustered(spark, sf).withColumn("price_volatility", C.significant("price_volatility"))
 
 
-@register("a4_cluster_distribution")
+@register("a4_cluster_distribution", CLUSTER_SQL + """
+SELECT cluster, cluster_rank, cluster_description, count(*) AS n_rows FROM clustered
+GROUP BY cluster, cluster_rank, cluster_description""")
 def a4_cluster_distribution(spark, sf):
     return clusters.cluster_distribution(clustered(spark, sf))
 

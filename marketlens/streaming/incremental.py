@@ -26,26 +26,32 @@ TABLE_COLUMNS = ("exchange", "symbol", "date", "open", "high", "low", "close", "
 MAX_FILES = 10_000      # files per micro-batch unless the caller sets another bound
 
 
-def insert_batch(lines: DataFrame, batch_id: int, table_path: str, quarantine: str) -> None:
+def insert_batch(lines: DataFrame, batch_id: int, table_path: str, quarantine: str,
+                 metadata_path: str | None = None) -> None:
     """foreachBatch body: the micro-batch's bad lines go to
     ``{quarantine}/batch={batch_id}``, its bars are inserted where absent
-    (S10).  A micro-batch holds whole files, so every line meets its own
+    (S10), and the symbols they bring enter the metadata table (J7).  A
+    micro-batch holds whole files, so every line meets its own
     header, and is bounded by ``maxFilesPerTrigger``; a replayed batch
     overwrites its bad lines and finds its keys present."""
     good, bad = ingest.split_ragged_lines(lines)
     bad.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
-    sinks.insert_if_absent(ingest.parse_good_lines(good).select(*TABLE_COLUMNS), table_path)
+    bars = ingest.parse_good_lines(good).select(*TABLE_COLUMNS)
+    sinks.insert_if_absent(bars, table_path)
+    if metadata_path:
+        sinks.insert_metadata(bars, metadata_path)
 
 
 def ingest_available(spark: SparkSession, landing_glob: str, table_path: str,
                      checkpoint: str, max_files_per_trigger: int = MAX_FILES,
-                     quarantine_path: str | None = None):
+                     quarantine_path: str | None = None, metadata_path: str | None = None):
     """G1: process every landed raw file not seen before, then stop.
 
     ``landing_glob`` is a glob of raw CSV files (for example
     ``{root}/*/*/*.csv``).  Lines that do not fit their file's header are
     kept under ``quarantine_path`` (default ``{table_path}_quarantine``),
-    one folder per checkpoint and micro-batch.  Returns the finished
+    one folder per checkpoint and micro-batch.  With ``metadata_path``, pairs
+    (symbol, exchange) seen for the first time are added there.  Returns the finished
     StreamingQuery."""
     if not max_files_per_trigger or max_files_per_trigger < 1:
         raise ValueError("max_files_per_trigger must be a positive number of files")
@@ -53,7 +59,7 @@ def ingest_available(spark: SparkSession, landing_glob: str, table_path: str,
                   f"/run={zlib.crc32(checkpoint.encode())}")
     r = spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)
     q = (ingest.text_lines(r.load(landing_glob)).writeStream
-         .foreachBatch(lambda df, i: insert_batch(df, i, table_path, quarantine))
+         .foreachBatch(lambda df, i: insert_batch(df, i, table_path, quarantine, metadata_path))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())

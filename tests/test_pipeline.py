@@ -98,24 +98,45 @@ def test_insert_if_absent(spark, tmp_dir):
 
 
 def test_clusters_against_brute_force(spark):
-    """Standardisation and assignment recomputed with numpy on the small
-    fixture: every symbol sits in its nearest centroid, ranks follow the
-    centroids' volatility."""
+    """Standardisation, assignment and centres recomputed with numpy on the
+    small fixture: every symbol sits in its nearest centre, centres are the
+    means of their rows, ranks follow the centres' volatility."""
     import numpy as np
     prof = profile.symbol_profile(QB.processed(spark, SMALL))
-    model, feats, lab = clusters.fit_clusters(prof, k=5, seed=42)
-    rows = model.transform(feats).select(*clusters.FEATURES, "cluster").collect()
+    model = clusters.fit_clusters(prof, k=5, seed=42, rounds=100)
+    rows = model.assigned().collect()
     x = np.array([[r[f] for f in clusters.FEATURES] for r in rows], dtype=float)
     z = (x - x.mean(axis=0)) / x.std(axis=0, ddof=1)
-    centers = np.array(model.stages[-1].clusterCenters())
-    nearest = ((z[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2).argmin(axis=1)
-    assert list(nearest) == [r.cluster for r in rows]
-    ranks = {r.cluster: r.cluster_rank for r in lab.collect()}
-    by_rank = sorted(ranks, key=ranks.get)
-    vols = [centers[c][1] for c in by_rank]
+    assert np.allclose(z, [[r._z0, r._z1, r._z2] for r in rows])
+    centres = np.array(model.centres)
+    ids = np.array([r.cluster for r in rows])
+    assert list(((z[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2).argmin(axis=1)) == list(ids)
+    assert np.allclose(centres, [z[ids == i].mean(axis=0) for i in range(5)])
+    vols = [centres[i][1] for i in sorted(range(5), key=model.ranks().__getitem__)]
     assert vols == sorted(vols)
 
 
+def test_clusters_do_not_depend_on_partitions(spark):
+    prof = spark.createDataFrame(profile.symbol_profile(QB.processed(spark, SMALL)).toPandas())
+    got = [clusters.fit_clusters(prof.repartition(n), k=5, seed=42) for n in (1, 16)]
+    assert got[0].centres == got[1].centres
+    a, b = (sorted(m.assigned().collect(), key=lambda r: (r.exchange, r.symbol)) for m in got)
+    assert a == b
+    assert clusters.fit_clusters(prof, k=5, seed=7).centres != got[0].centres
+
+
+def test_clusters_of_few_equal_and_invalid_rows(spark):
+    schema = "symbol string, exchange string, avg_daily_return double, price_volatility double, avg_volume double"
+    make = lambda rows: spark.createDataFrame(rows, schema)
+    same = clusters.cluster_symbols(make([("A", "X", 1.0, 2.0, 3.0), ("B", "X", 1.0, 2.0, 3.0), ("C", "X", None, 2.0, 3.0),
+                                          ("D", "X", float("nan"), 2.0, 3.0), ("E", "X", float("inf"), 2.0, 3.0)]))
+    assert sorted((r.symbol, r.cluster, r.cluster_rank) for r in same.collect()) == [("A", 0, 0), ("B", 0, 0)]
+    two = clusters.cluster_symbols(make([("A", "X", 1.0, 9.0, 3.0), ("B", "", 1.0, 2.0, 3.0),
+                                         ("C", None, 1.0, 5.0, 3.0)]))  # P25: missing keys go as well
+    assert {r.symbol: r.cluster_rank for r in two.collect()} == {"A": 1, "B": 0}
+    assert clusters.cluster_symbols(make([])).count() == 0
+
+
 def test_incremental_ingest_quarantines_ragged_lines(spark, tmp_dir):
     import os
     from marketlens.sources import ingest

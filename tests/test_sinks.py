@@ -123,3 +123,56 @@ def test_one_hot_month_has_many_writers(spark, tmp_dir):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     files = [f for _, _, fs in os.walk(f"{tmp_dir}/t") for f in fs if f.endswith(".parquet")]
     assert len(files) > 1 and spark.read.parquet(f"{tmp_dir}/t").count() == 20_000
+
+
+def test_published_reports_are_whole_or_unseen(spark, tmp_dir):
+    schema = "exchange string, n bigint"
+    make = lambda rows: spark.createDataFrame(rows, schema)
+    path = f"{tmp_dir}/published"
+    assert sinks.read_published(spark, path, "json", schema) is None
+    assert sinks.publish_report(make([]), path, "a") == 0 and not os.path.exists(path)
+    assert sinks.publish_report(make([("X", 1), ('Y, "z"', None)]), path, "a") == 2
+    assert sinks.publish_report(make([("W", 5)]), path, "b", formats=("csv",)) == 1
+    make([("lost", 0)]).write.json(f"{path}/json/c-0")    # a writer that died before its entry
+    read = lambda f: sorted((r.report, r.exchange, r.n) for r in sinks.read_published(spark, path, f, schema).collect())
+    assert read("json") == [("a", "X", 1), ("a", 'Y, "z"', None)]
+    assert read("csv") == [("a", "X", 1), ("a", 'Y, "z"', None), ("b", "W", 5)]
+    assert sinks.publish_report(make([("X", 2)]), path, "a") == 1
+    assert read("json") == [("a", "X", 2)] and read("csv") == [("a", "X", 2), ("b", "W", 5)]
+
+
+def test_report_files_are_published_as_they_are(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/reports/old")
+    for name, text in (("r1.json", '{"a": 1}\n'), ("old/r2.csv", "x,y\n1,2\n"), ("r3.csv", ""), ("note.txt", "no")):
+        with open(f"{tmp_dir}/reports/{name}", "w") as f:
+            f.write(text)
+    path = f"{tmp_dir}/published"
+    read = lambda: {r.report: r.content for r in sinks.read_published(
+        spark, path, "files", "name string, content string").collect()}
+    assert sinks.publish_report_files(spark, f"{tmp_dir}/reports", path) == 2
+    assert read() == {"r1.json": '{"a": 1}\n', "r2.csv": "x,y\n1,2\n"}
+    with open(f"{tmp_dir}/reports/r1.json", "w") as f:
+        f.write('{"a": 2}')
+    os.makedirs(f"{tmp_dir}/next")
+    with open(f"{tmp_dir}/next/r1.json", "w") as f:
+        f.write('{"a": 2}')
+    assert sinks.publish_report_files(spark, f"{tmp_dir}/next", path) == 1
+    assert read() == {"r1.json": '{"a": 2}', "r2.csv": "x,y\n1,2\n"}
+
+
+def test_insert_reads_only_what_may_hold_a_key(spark, tmp_dir):
+    """The batch's key bounds reach the table scan; metadata stays unique."""
+    schema = "symbol string, exchange string, date date, close double, download_timestamp timestamp"
+    at = dt.datetime(2024, 1, 5)
+    batch = lambda rows: spark.createDataFrame([(*r, at) for r in rows], schema)
+    day = dt.date(2024, 1, 2)
+    first = batch([("A", "X", day, 1.0), ("B", "X", day, 2.0), ("A", "X", day, 3.0), ("N", None, day, 4.0)])
+    table, meta = f"{tmp_dir}/bars", f"{tmp_dir}/meta"
+    for _ in range(2):
+        sinks.insert_if_absent(first.where("exchange is not null"), table)
+        sinks.insert_metadata(first.where("exchange is not null"), meta)
+    sinks.insert_if_absent(batch([("B", "X", day, 9.0), ("C", "Y", dt.date(2024, 2, 1), 5.0)]), table)
+    sinks.insert_metadata(batch([("C", "Y", day, 5.0), ("B", "X", day, 5.0)]), meta)
+    got = sorted((r.symbol, r.exchange, r.date.month) for r in spark.read.parquet(table).collect())
+    assert got == [("A", "X", 1), ("B", "X", 1), ("C", "Y", 2)]
+    assert sorted(map(tuple, spark.read.parquet(meta).collect())) == [("A", "X"), ("B", "X"), ("C", "Y")]
