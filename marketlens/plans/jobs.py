@@ -106,9 +106,11 @@ REPORT_SCHEMA = ("exchange string, successful_symbols bigint, failed_symbols big
 
 
 def collection_job(attempts: DataFrame, out_base: str, exchanges: DataFrame | None = None,
-                   top_n: int = 10) -> dict[str, str]:
+                   top_n: int = 10, cycle: str | None = None) -> dict[str, str]:
     """Q8 + S11: per-exchange report with grand total (JSON detail), CSV
-    summary, top exchanges and exchanges without data."""
+    summary, top exchanges and exchanges without data.  With ``cycle``, the
+    per-exchange report is also published under that cycle's name (S12), next
+    to those of the cycles before."""
     base = out_base.rstrip("/")
     rep_path = f"{base}/reports/collection_report"
     collection.report_with_totals(attempts).repartition(1).write.mode("overwrite").json(rep_path)
@@ -121,5 +123,9 @@ def collection_job(attempts: DataFrame, out_base: str, exchanges: DataFrame | No
     sinks.write_json_row(collection.top(per, top_n), top)
     none = f"{base}/reports/exchanges_without_data"
     sinks.write_json_row(collection.without_data(per, exchanges), none)
-    return {"report": rep_path, "summary_csv": csv, "top": top, "without_data": none}
+    out = {"report": rep_path, "summary_csv": csv, "top": top, "without_data": none}
+    if cycle is not None:
+        out["published"] = f"{base}/published"
+        sinks.publish_report(per, out["published"], f"collection_report_{cycle}")
+    return out
 

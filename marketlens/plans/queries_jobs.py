@@ -17,6 +17,7 @@ from marketlens.plans.queries_bars import (
 )
 from marketlens.plans.queries_ingest import write_raw_landing
 from marketlens.session import scratch_path
+from marketlens.sources import sinks
 from marketlens.sources import tables as T
 
 DEDUPED_BARS_SQL = """
@@ -87,6 +88,21 @@ def q8_collection_job(spark, sf):
     return spark.read.schema(jobs.REPORT_SCHEMA).json(paths["report"])
 
 
+@register("s11_collection_csv", "\nUNION ALL\n".join(
+    f"SELECT * FROM ({with_cte(T.BARS_SQL, QR.attempts_sql(days), QR.REPORT_SQL)} SELECT '{source}' AS source, rep.* FROM rep) {a}"
+    for a, source, days in (("x", "summary", 7), ("y", "collection_report_1", QR.CYCLE_DAYS),
+                            ("z", "collection_report_2", 7))))
+def s11_collection_csv(spark, sf):
+    """Two cycles of the collection job: the CSV summary of the last and the
+    published CSV reports of both, read back."""
+    out = scratch_path(spark, "collection")
+    for cycle, days in (("1", QR.CYCLE_DAYS), ("2", 7)):
+        paths = jobs.collection_job(QR.attempts(spark, sf, days), out, cycle=cycle)
+    summary = spark.read.schema(QR.PUBLISHED_SCHEMA).option("header", True).csv(paths["summary_csv"])
+    reports = sinks.read_published(spark, paths["published"], "csv", QR.PUBLISHED_SCHEMA)
+    return summary.withColumn("source", F.lit("summary")).unionByName(reports.withColumnRenamed("report", "source"))
+
+
 GAINERS_SQL = _period_gainers_sql(T.BARS_SQL, AS_OF, 7, 10)
 
 
