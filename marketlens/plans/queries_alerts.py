@@ -177,6 +177,7 @@ def r8_hit_rate(spark, sf):
 # of a user are hours apart, so they stay fresh for two days.
 RULE = alerts.Rule(part="click", whole="view", above=80.0, for_seconds=300, lookback_seconds=2 * 86_400)
 STREAM_DELAY = 6 * 3600          # seconds that readings may arrive late
+KEYS_PER_SLOT = 256              # keys that share a row of the stream's state
 
 _UNTIL = f"INTERVAL {RULE.lookback_seconds} SECOND"
 _RULE_SQL = f"""
@@ -231,13 +232,14 @@ def r9_alert_transitions(spark, sf):
     m = T.metrics(spark, sf)
     landed, out, progress = (scratch_path(spark, f"rule-{x}") for x in ("readings", "transitions", "progress"))
     us = C.epoch_micros(m, "ts")
-    lo, hi = m.agg(F.min(us), F.max(us)).first()
+    lo, hi, n_keys = m.agg(F.min(us), F.max(us), F.approx_count_distinct("instance")).first()
+    slots = max(256, n_keys // KEYS_PER_SLOT)
     step = (hi - lo) // 3 + 1
     for k in range(3):
         (m.filter(us.between(lo + k * step, lo + (k + 1) * step - 1))
          .repartitionByRange("ts").write.mode("append").parquet(landed))
         stream = spark.readStream.schema(m.schema).parquet(landed)
-        found = alerting.rule_transitions(stream, RULE, delay=f"{STREAM_DELAY} seconds")
+        found = alerting.rule_transitions(stream, RULE, delay=f"{STREAM_DELAY} seconds", slots=slots)
         (found.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress)
          .trigger(availableNow=True).start().awaitTermination())
     rows = spark.read.schema(found.schema).parquet(out)

@@ -8,7 +8,9 @@ so the transitions equal those of the batch operator (``alerts.rule_runs``).
 A change that no reading announces (firing, a side gone stale) is emitted when
 the watermark passes it, by an event-time timeout.
 
-State per key is a few numbers and the readings of one delay.
+State per key is a few numbers and the readings of one delay.  A call of the
+step costs milliseconds however few its rows, so keys are dealt by a hash into
+slots: a call serves one slot, whose state row holds all its keys.
 """
 
 from __future__ import annotations
@@ -19,13 +21,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import TimestampNTZType
+from pyspark.sql.types import StructField, StructType, TimestampNTZType
 
 from marketlens.functions.columns import epoch_micros
 from marketlens.operators.alerts import Rule
 
-_STATE = ("part_at long, part double, whole_at long, whole double, since long, fired boolean, "
-          "times array<long>, parts array<double>, wholes array<double>")
+SLOTS = 1024
+# per key, then per reading that waits (``of``: the number of its key)
+_STATE = ("keys array<string>, part_at array<long>, part array<double>, whole_at array<long>, whole array<double>, "
+          "since array<long>, fired array<boolean>, "
+          "of array<int>, times array<long>, parts array<double>, wholes array<double>")
+_EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 class Alert:
@@ -96,46 +102,69 @@ def _moments(times, parts, wholes) -> dict[int, list]:
     return out
 
 
-def rule_transitions(readings: DataFrame, rule: Rule, delay: str = "10 minutes", keys=("instance",)) -> DataFrame:
+def rule_transitions(readings: DataFrame, rule: Rule, delay: str = "10 minutes", keys=("instance",),
+                     slots: int = SLOTS) -> DataFrame:
     """(keys, state, at, value): one row per change to pending, firing or
-    resolved, from a stream of readings (ts, series, instance, value)."""
+    resolved, from a stream of readings (ts, series, instance, value).
+
+    ``slots`` is the number of state rows, fixed for the life of a checkpoint:
+    some hundred keys a slot keep the calls few and the rows small."""
     keys = list(keys)
     rows = readings.filter(F.col("series").isin(rule.part, rule.whole) & F.col("value").isNotNull())
     us = epoch_micros(rows, "ts")
     rows = rows.select(
-        *keys, us.alias("us"), F.timestamp_micros(us).alias("ts"),
+        F.pmod(F.xxhash64(*keys), F.lit(slots)).alias("slot"), F.to_json(F.struct(*keys), _EXACT).alias("key"),
+        us.alias("us"), F.timestamp_micros(us).alias("ts"),
         F.when(F.col("series") == rule.part, F.col("value")).alias("part"),
         F.when(F.col("series") == rule.whole, F.col("value")).alias("whole"))
 
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = state.get if state.exists else (None, None, None, None, None, False, [], [], [])
-        alert = Alert(rule, *held[:6])
-        times, parts, wholes = (list(x) for x in held[6:])
+    def step(slot: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = state.get if state.exists else ([],) * 11
+        names = list(held[0])
+        alerts = [Alert(rule, *x) for x in zip(*held[1:7])]
+        number = {k: n for n, k in enumerate(names)}
+        readings_of = [([], [], []) for _ in names]
+        for n, *reading in zip(*held[7:]):
+            for column, x in zip(readings_of[n], reading):
+                column.append(x)
         for f in frames:
-            times += f["us"].tolist()
-            parts += f["part"].tolist()
-            wholes += f["whole"].tolist()
+            for k, *reading in zip(*(f[c].tolist() for c in ("key", "us", "part", "whole"))):
+                n = number.setdefault(k, len(names))
+                if n == len(names):
+                    names.append(k)
+                    alerts.append(Alert(rule))
+                    readings_of.append(([], [], []))
+                for column, x in zip(readings_of[n], reading):
+                    column.append(x)
         passed = state.getCurrentWatermarkMs() * 1000
-        moments = _moments(times, parts, wholes)
-        for at in sorted(t for t in moments if t < passed):
-            alert.take(at, *moments.pop(at))
-        alert.pass_to(passed)
-        waiting = sorted(moments)
-        state.update((alert.part_at, alert.part, alert.whole_at, alert.whole, alert.since, alert.fired, waiting,
-                      [moments[t][0] for t in waiting], [moments[t][1] for t in waiting]))
-        wake = waiting[:1] + ([alert.stale, *([] if alert.fired else [alert.due])] if alert.since is not None else [])
-        if wake:  # a millisecond later: the watermark must have passed it
-            state.setTimeoutTimestamp(max(min(wake) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        if alert.out:
-            yield pd.DataFrame({**{k: [v] * len(alert.out) for k, v in zip(keys, key)},
-                                "state": [s for s, _, _ in alert.out], "us": [a for _, a, _ in alert.out],
-                                "value": [v for _, _, v in alert.out]})
-
-    kinds = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
-    out = (rows.withWatermark("ts", delay).groupBy(*keys)
-           .applyInPandasWithState(step, f"{kinds}, state string, us long, value double", _STATE, "append",
+        waiting, found, wake = ([], [], [], []), [], None
+        for n, alert in enumerate(alerts):
+            moments = _moments(*readings_of[n])
+            for at in sorted(moments):
+                if at < passed:
+                    alert.take(at, *moments[at])
+                else:
+                    for column, x in zip(waiting, (n, at, *moments[at])):
+                        column.append(x)
+            alert.pass_to(passed)
+            found += [(names[n], *change) for change in alert.out]
+            if alert.since is not None:
+                soon = alert.stale if alert.fired else min(alert.stale, alert.due)
+                wake = soon if wake is None else min(wake, soon)
+        of_keys = [[getattr(a, x) for a in alerts] for x in ("part_at", "part", "whole_at", "whole", "since", "fired")]
+        state.update((names, *of_keys, *waiting))
+        wake = min([*waiting[1], *([] if wake is None else [wake])], default=None)
+        if wake is not None:  # calls come once the watermark has passed the millisecond
+            state.setTimeoutTimestamp(max(wake // 1000, state.getCurrentWatermarkMs()))
+        if found:
+            yield pd.DataFrame(found, columns=["key", "state", "us", "value"])
+
+    out = (rows.withWatermark("ts", delay).groupBy("slot")
+           .applyInPandasWithState(step, "key string, state string, us long, value double", _STATE, "append",
                                    GroupStateTimeout.EventTimeTimeout))
     at = F.timestamp_micros("us")
     if isinstance(readings.schema["ts"].dataType, TimestampNTZType):  # wall-clock times come back as such
         at = F.expr("timestampadd(MICROSECOND, us, timestamp_ntz'1970-01-01 00:00:00')")
-    return out.select(*keys, "state", at.alias("at"), "value")
+    kinds = StructType([StructField(k, readings.schema[k].dataType) for k in keys])
+    named = out.withColumn("key", F.from_json("key", kinds, _EXACT))
+    return named.select(*[F.col("key").getField(k).alias(k) for k in keys], "state", at.alias("at"), "value")

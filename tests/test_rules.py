@@ -183,3 +183,32 @@ def test_state_machine_equals_batch(spark):
         want += [(inst, s, x) for s, x in (("pending", pending), ("firing", firing), ("resolved", resolved)) if x]
     last = {i: max(r[0] for r in rows if r[2] == i) for i in "abc"}
     assert sorted(got) == sorted(w for w in want if w[2] <= last[w[0]] and (w[1] != "firing" or w[2] < last[w[0]]))
+
+
+def test_stream_state_is_one_row_a_slot(spark, tmp_dir):
+    """Many keys (of two columns, some null) share the calls and state rows."""
+    rng = random.Random(8)
+    rows = [(at(rng.randrange(4000)), rng.choice(["used", "used", "total"]), rng.choice([None, "a", 'b "c"', "d"]),
+             rng.choice([None, *range(40)]), float(rng.choice([50, 85, 90, 100]))) for _ in range(3000)]
+    schema = "ts timestamp, series string, instance string, port long, value double"
+    df = spark.createDataFrame(rows, schema)
+    df.write.parquet(f"{tmp_dir}/in")
+    keys = ("instance", "port")
+    found = alerting.rule_transitions(spark.readStream.schema(schema).parquet(f"{tmp_dir}/in"), RULE, delay="600 seconds",
+                                      keys=keys, slots=8)
+    run = (found.writeStream.format("parquet").option("path", f"{tmp_dir}/out")
+           .option("checkpointLocation", f"{tmp_dir}/progress").trigger(availableNow=True).start())
+    run.awaitTermination()
+    assert 0 < run.lastProgress["stateOperators"][0]["numRowsTotal"] <= 8
+    got = spark.read.schema(found.schema).parquet(f"{tmp_dir}/out").collect()
+    passed = int((max(r[0] for r in rows) - T0).total_seconds() * 1e6) - 600_000_000
+    want = []
+    for key in {r[2:4] for r in rows}:
+        alert = alerting.Alert(RULE)
+        moments = alerting._moments(*zip(*[(int((r[0] - T0).total_seconds() * 1e6), r[4] if r[1] == "used" else None,
+                                            r[4] if r[1] == "total" else None) for r in rows if r[2:4] == key]))
+        for t in sorted(t for t in moments if t < passed):
+            alert.take(t, *moments[t])
+        alert.pass_to(passed)
+        want += [(*key, s, T0 + dt.timedelta(microseconds=x)) for s, x, _ in alert.out]
+    assert sorted([(r.instance, r.port, r.state, r.at) for r in got], key=str) == sorted(want, key=str) and len(want) > 300
