@@ -88,23 +88,26 @@ def whole_records(lines: DataFrame) -> tuple[DataFrame, bool]:
     after it; maps compose, so the state before a line is the last line that
     sets it whatever came before, turned over by the lines since that swap it.
     They are composed within each block of a file (lines of a block are read
-    in order) and across blocks by one row per block, so a large file is many
-    tasks.  Only files with a line that opens a quote take this path; the flag
-    tells whether there are any.  A quote that no later line closes joins
-    nothing."""
-    lines = lines.withColumn("_line", F.monotonically_increasing_id())  # in order within a block
+    in order), for either state before the block, and across blocks by one row
+    per block, so a large file is many tasks.  The lines are sorted once and
+    the records written once: readers of the result repeat none of it.  Only
+    files with a line that opens a quote take this path; the flag tells
+    whether there are any.  A quote that no later line closes joins nothing."""
     opening = lines.filter(_opens(F.col("value")))
     written = lines.filter(F.length(F.trim("value")) > 0)
     if opening.isEmpty():
         return written.select("value", "source_file"), False
-    files = opening.select("source_file").distinct()
+    files = materialize(opening.select("source_file").distinct().withColumn("_file", F.monotonically_increasing_id()), "files")
     plain = written.join(files, "source_file", "left_anti").select("value", "source_file")
     after = F.struct(_opens(F.col("value")).cast("int").alias("out"),
-                     _opens(F.concat(F.lit('"'), F.col("value"))).cast("int").alias("inside"))
-    x = lines.join(files, "source_file").withColumn("_to", after).withColumns({
-        "_set": F.when(F.col("_to.out") == F.col("_to.inside"), F.col("_to.out")),
-        "_swap": (F.col("_to.out") > F.col("_to.inside")).cast("int")})
-    block = Window.partitionBy("source_file", "_block").orderBy("_line")
+                     F.when(_quoted(F.col("value")), _opens(F.concat(F.lit('"'), F.col("value"))).cast("int"))
+                     .otherwise(1).alias("inside"))
+    x = lines.withColumn("_line", F.monotonically_increasing_id())  # in order within a block
+    x = x.join(files, "source_file").drop("source_file").withColumn("_to", after).select(
+        "_file", "_block", "_line", "value",
+        F.when(F.col("_to.out") == F.col("_to.inside"), F.col("_to.out")).alias("_set"),
+        (F.col("_to.out") > F.col("_to.inside")).cast("int").alias("_swap"))
+    block = Window.partitionBy("_file", "_block").orderBy("_line")
     upto = block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     x = x.withColumn("_swaps", F.sum("_swap").over(upto))
     last = F.last(F.when(F.col("_set").isNotNull(), F.struct("_set", "_swaps")), ignorenulls=True)
@@ -115,36 +118,45 @@ def whole_records(lines: DataFrame) -> tuple[DataFrame, bool]:
         return F.when(F.col("_last").isNull(), (start + F.col("_swaps")) % 2).otherwise(
             (F.col("_last._set") + F.col("_swaps") - F.col("_last._swaps")) % 2)
 
-    ends = x.groupBy("source_file", "_block").agg(F.max_by(F.struct(state(F.lit(0)).alias("out"),
-                                                                    state(F.lit(1)).alias("inside")), "_line").alias("_to"))
-    blocks = Window.partitionBy("source_file").orderBy("_block")
+    # for a block that starts outside (0) and inside (1) quotes: the state
+    # after each line, whether it starts a record, which line starts its
+    # record (none: one of an earlier block), whether it is a whole record
+    both = (0, 1)
+    x = x.withColumns({f"_after{s}": state(F.lit(s)) for s in both})
+    x = x.withColumns({f"_first{s}": F.coalesce(F.lag(f"_after{s}").over(block), F.lit(s)) == 0 for s in both})
+    x = x.withColumns({f"_record{s}": F.last(F.when(F.col(f"_first{s}"), F.col("_line")), ignorenulls=True).over(upto)
+                       for s in both} | {f"_whole{s}": F.col(f"_first{s}") & F.lead(f"_first{s}").over(block) for s in both})
+    x = materialize(x.select("_file", "_block", "_line", "value", *[f"_{c}{s}" for c in ("after", "record", "whole")
+                                                                     for s in both]), "quoted-lines")
+    ends = x.groupBy("_file", "_block").agg(
+        F.max_by(F.struct(F.col("_after0").alias("out"), F.col("_after1").alias("inside")), "_line").alias("_to"),
+        F.max("_record0").alias("_in0"), F.max("_record1").alias("_in1"))
+    blocks = Window.partitionBy("_file").orderBy("_block")
+    earlier = blocks.rowsBetween(Window.unboundedPreceding, -1)
+    of_file = blocks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ends = ends.withColumns({
         "_set": F.when(F.col("_to.out") == F.col("_to.inside"), F.col("_to.out")),
         "_swaps": F.sum((F.col("_to.out") > F.col("_to.inside")).cast("int")).over(blocks)})
-    ends = ends.withColumn("_last", last.over(blocks)).select(
-        "source_file", "_block", state(F.lit(0)).alias("_after"))
+    ends = ends.withColumn("_last", last.over(blocks)).withColumn("_after", state(F.lit(0)))
     ends = ends.withColumn("_start", F.coalesce(F.lag("_after").over(blocks), F.lit(0)))
-    ends = ends.withColumn("_open_end", F.last("_after").over(
-        blocks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) == 1)
-    x = x.join(ends.select("source_file", "_block", "_start", "_open_end"), ["source_file", "_block"])
-    x = x.withColumn("_after", state(F.col("_start")))
-    x = x.withColumn("_first", F.coalesce(F.lag("_after").over(block), F.col("_start")) == 0)
-    # records are named by their first line: the last first line at or before
-    # each line, in its block or an earlier one
-    here = F.when(F.col("_first"), F.struct("_block", "_line"))
-    x = x.withColumn("_record", F.last(here, ignorenulls=True).over(upto))
-    firsts = x.groupBy("source_file", "_block").agg(F.max(here).alias("_in"))
-    firsts = firsts.select("source_file", "_block", F.last("_in", ignorenulls=True).over(
-        blocks.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
-        F.last("_in", ignorenulls=True).over(
-            blocks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_final"))
-    x = x.join(firsts, ["source_file", "_block"]).withColumn("_record", F.coalesce("_record", "_before"))
-    alone = F.col("_open_end") & (F.col("_record") == F.col("_final"))  # never closed
-    x = x.withColumn("_record", F.when(alone, F.struct("_block", "_line")).otherwise(F.col("_record")))
+
+    def taken(name: str) -> Column:
+        return F.when(F.col("_start") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1"))
+
+    ends = ends.withColumn("_in", taken("_in"))
+    ends = materialize(ends.select(
+        "_file", "_block", "_start", F.last("_in", ignorenulls=True).over(earlier).alias("_before"),
+        F.last("_in", ignorenulls=True).over(of_file).alias("_final"),
+        (F.last("_after").over(of_file) == 1).alias("_open_end")), "blocks")
+    x = x.join(ends, ["_file", "_block"]).withColumn("_record", F.coalesce(taken("_record"), "_before"))
+    unclosed = F.col("_open_end") & (F.col("_record") == F.col("_final"))
+    whole = unclosed | F.coalesce(taken("_whole"), F.lit(False))
     parts = F.sort_array(F.collect_list(F.struct("_block", "_line", "value")))
-    joined = x.groupBy("source_file", "_record").agg(parts.alias("_parts"))
-    joined = joined.select(F.array_join(F.col("_parts.value"), "\n").alias("value"), "source_file")
-    return plain.unionByName(joined.filter(F.length(F.trim("value")) > 0)), True
+    joined = x.filter(~whole).groupBy("_file", "_record").agg(parts.alias("_parts"))
+    joined = joined.select(F.array_join(F.col("_parts.value"), "\n").alias("value"), "_file")
+    records = x.filter(whole).select("value", "_file").unionByName(joined).filter(F.length(F.trim("value")) > 0)
+    records = records.join(files, "_file").select("value", "source_file")
+    return materialize(plain.unionByName(records), "records"), True
 
 
 def with_fields(records: DataFrame) -> DataFrame:
@@ -207,10 +219,18 @@ def split_ragged_lines(lines: DataFrame, layouts=(RAW12, RAW13),
                      F.struct(*[(F.array_position("_names", F.lit(c.lower())) - 1).cast("int").alias(c)
                                 for c in wanted]).alias("_at")))
     judged = records.filter(~is_head).join(heads, "source_file", "left")
-    ok = F.coalesce((F.col("n_fields") == F.col("expected_fields")) & ~_opens(F.col("value")), F.lit(False))
-    if joined:
-        apart = F.explode(F.when(ok, F.array("value")).otherwise(F.split("value", "\n")))
-        judged = with_fields(judged.withColumn("value", apart).filter(F.length(F.trim("value")) > 0))
+
+    def fits(n_fields: Column) -> Column:
+        return F.coalesce((n_fields == F.col("expected_fields")) & ~_opens(F.col("value")), F.lit(False))
+
+    ok = fits(F.col("n_fields"))
+    if joined:  # judged once, for both results; the fields are counted as they are cut
+        spoilt = F.when(F.contains(F.col("value"), F.lit("\n")), ~fits(_n_fields(F.col("value"))))
+        apart = F.explode(F.when(spoilt, F.split("value", "\n")).otherwise(F.array("value")))
+        judged = judged.drop("n_fields", "_fields").withColumn("value", apart).filter(F.length(F.trim("value")) > 0)
+        judged = judged.withColumn("_fields", _split(F.col("value"))).withColumn("n_fields", F.size("_fields"))
+        judged = materialize(judged.withColumn("_ok", ok), "judged")
+        return judged.filter("_ok").drop("_ok"), judged.filter("NOT _ok").drop("_ok", "_fields", "_at")
     return judged.filter(ok), judged.filter(~ok).drop("_fields", "_at")
 
 
