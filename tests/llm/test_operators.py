@@ -1,6 +1,7 @@
 """The training-data operators against brute force on small tables, and their
 results on null, empty, repeated, very long and missing rows."""
 
+import random
 import re
 import zlib
 
@@ -634,3 +635,28 @@ def test_odd_text_ends_encode_like_whole_texts():
     for s in range(0, len(odd), 300):
         part = odd[s:s + 300]
         assert enc.encode(part) == enc._whole(part)
+
+
+def test_marks_after_a_word_are_not_encoded_again():
+    """A word that ends with marks takes the ids of the word and the marks."""
+    class Counted:
+        def __init__(self, tok):
+            self.tok, self.texts = tok, []
+
+        def encode_batch_fast(self, texts, **kw):
+            self.texts += texts
+            return self.tok.encode_batch_fast(texts, **kw)
+
+    enc = tokens.Encoder(tokens.public_vocabulary())
+    enc.tok = Counted(enc.tok)
+    words = ["word", "it's", "x'", "año", "m²", "ж", "中", "a\nb", "12", "-", "***", "don't-", "(a)b", "_", "é", "́"]
+    marks = ["", ",", ".", "...", "***", "$$$", "'", "',", ",'", ".\n", "!?", "-)", "'s", ".'s", "._", "»", ".»"]
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(words) + rng.choice(marks) for _ in range(40)) for _ in range(60)]
+    texts += [w + m + " " + w + m for w in words for m in marks]
+    want = [e.ids for e in enc.tok.tok.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [np.frombuffer(b, "<u2").tolist() for b in enc.encode(texts)] == want
+    enc.encode(["start again"])
+    enc.tok.texts = []
+    enc.encode([" ".join(["again.", "again,", "again..."])])
+    assert not any("again." in t or "again," in t for t in enc.tok.texts if t[0] == " ")
