@@ -3,7 +3,9 @@
 import hashlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -107,3 +109,25 @@ def test_token_bytes(tok):
     assert b"".join(tok.a_bytes[i] for i in tok.encode(["né\n日"])[0][0]) == " né\n日".encode()
     assert tok.b_bytes[tok.b.piece_to_id("<0x0A>")] == b"\n"
     assert len(tok.a_bytes) == tok.a.get_vocab_size()
+
+
+def test_figures_drop_what_the_alignment_kept():
+    """Workers that aligned segments sum them up without their vocabularies and known words."""
+    tok = alignment.Tokenizers(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    found = alignment.align(tok, ["some words, some more", None])
+    cache = alignment.worker_cache()
+    cache["alignment"] = tok
+    n = len(found["a"])
+    out = alignment._figures(pa.table({"seg": [0], "blob": [alignment._pack([1, 2], found)]}),
+                             pa.table({"pair": np.arange(n), "n_docs": found["n_docs"], "best": np.ones(n, bool)}))
+    assert out.column("n_best").to_pylist() == found["n_links"].tolist() and out.column("doc_id").to_pylist() == [1, 2]
+    assert "alignment" not in cache
+
+
+def test_known_words_are_kept_as_one_record():
+    tok = alignment.Tokenizers(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    words = ["a", "naïve", "日本語", "x-ray,", "\x0bq", "ünter.\nAnd"]
+    alignment._learn(tok, words)
+    for word, a, b in zip(words, *tok.encode(words)):
+        record = np.frombuffer(tok.known[word], "<u4").tolist()
+        assert record == [len(a), *a, *b]
