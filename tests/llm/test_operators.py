@@ -660,3 +660,16 @@ def test_marks_after_a_word_are_not_encoded_again():
     enc.tok.texts = []
     enc.encode([" ".join(["again.", "again,", "again..."])])
     assert not any("again." in t or "again," in t for t in enc.tok.texts if t[0] == " ")
+
+
+def test_line_breaks_in_a_piece_are_not_encoded_again():
+    """A line break between two words takes the ids of the words and its own."""
+    enc = tokens.Encoder(tokens.public_vocabulary())
+    ends = ["word", "it's", "x.", "\u00b2", "\u4e2d", "\n", "\t", "\x1c", "\x85", "\u3000", "'", "&&&", "\u0301", "'s", ""]
+    texts = [f"{a}{x}\n{y}{b}" for x in ends for y in ends for a in ("", "at ") for b in ("", ", on\noff")]
+    assert enc.encode(texts) == enc._whole(texts)
+    enc.encode(["start. Again known"])
+    learn, new = enc._learn, []
+    enc._learn = lambda keys: (new.extend(keys), learn(keys))
+    enc.encode(["start.\nstart, known.\nstart again,\nstart"])
+    assert not any("\n" in k or "," in k[2:] or "." in k for k in new)
