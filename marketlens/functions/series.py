@@ -46,9 +46,10 @@ def with_buckets(df: DataFrame, keys, ts: str, bucket_seconds: int | None,
     None) ranges of about ``target_rows`` rows of the order (keys, ts, order,
     row number).
 
-    Ranges are written bucketed by ``_bucket``, so what is partitioned by
+    Ranges are written bucketed by ``_bucket``, so what is grouped by
     (keys, _bucket) afterwards reads them without another exchange, and every
-    use sees the same cuts.  With fixed widths the result is explicitly
+    use sees the same cuts; ``islands`` and ``running_total`` deal them by
+    (keys, _bucket) before their windows.  With fixed widths the result is explicitly
     hash-partitioned on (keys, _bucket): rows partitioned by the keys alone
     would satisfy a window's clustering requirement and put every bucket of a
     hot key in one task."""
@@ -63,6 +64,15 @@ def with_buckets(df: DataFrame, keys, ts: str, bucket_seconds: int | None,
     return materialize_bucketed(cut, "series", parts, "_bucket")
 
 
+def _dealt(xb: DataFrame, kb, bucket_seconds: int | None) -> DataFrame:
+    """Rows dealt by (keys, _bucket) for the ordered windows.  Ranges get a
+    partition number, or adaptive execution could merge a hot key's ranges
+    into one task."""
+    if bucket_seconds is not None:
+        return xb                                   # as with_buckets left them
+    return xb.repartition(int(xb.sparkSession.conf.get("spark.sql.shuffle.partitions")), *kb)
+
+
 def _previous(xb: DataFrame, keys, aggregates: dict, carried: dict) -> DataFrame:
     """One row per (key, bucket): ``carried`` expressions over the
     ``aggregates`` of the key's earlier buckets, and ``_before``, the key's
@@ -88,7 +98,7 @@ def running_total(df: DataFrame, keys, ts: str, value: str, out: str,
     w_in = (Window.partitionBy(*kb).orderBy(ts, *order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     pre = _previous(xb, keys, {"_bt": F.sum(value)}, {"_pre": F.sum("_bt")})
-    return (xb.withColumn("_in", F.sum(value).over(w_in)).join(pre, kb)
+    return (_dealt(xb, kb, bucket_seconds).withColumn("_in", F.sum(value).over(w_in)).join(pre, kb)
             .withColumn(out, F.coalesce("_pre", F.lit(0)) + F.col("_in"))
             .drop("_bucket", "_in", "_pre", "_before"))
 
@@ -145,8 +155,8 @@ def islands(df: DataFrame, keys, ts: str, cond: Column, bucket_seconds: int | No
     w_run = (Window.partitionBy(*kb).orderBy("_ts", *order, "_f")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     w_all = w_run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    flagged = x.withColumns({"_grp": F.sum(is_false).over(w_run),
-                             "_nfalse": F.sum(is_false).over(w_all)})
+    flagged = _dealt(x, kb, bucket_seconds).withColumns({
+        "_grp": F.sum(is_false).over(w_run), "_nfalse": F.sum(is_false).over(w_all)})
     most = [F.max(c).alias(c) for c in largest]
     seg = (flagged.filter(F.col("_f")).groupBy(*kb, "_grp")
            .agg(F.min("_ts").alias("start_ts"), F.max("_ts").alias("end_ts"),
